@@ -29,75 +29,65 @@ def embedded_url(line: Column) -> Column:
     return F.when(line.startswith("http"), line).when(tail != "", tail).otherwise(line)
 
 
-def split_url(raw: Column) -> Column:
-    """Struct of scheme, host, port text, path, query; scheme http by default."""
+def full_url(raw: Column) -> Column:
+    """Trimmed URL with ``http://`` in front where it has no scheme."""
     url = strip_ws(raw)
-    full = F.when(url.rlike(SCHEME), url).otherwise(F.concat(F.lit("http://"), url))
-
-    def part(i: int) -> Column:
-        return F.regexp_extract(full, PARTS, i)
-
-    has_slashes = part(2) == "//"
-    authority = F.when(has_slashes, part(3)).otherwise(F.lit(""))
-    server = F.regexp_replace(authority, "^.*@", "")
-    bracketed = server.startswith("[")
-    path = F.when(has_slashes, part(4)).otherwise(F.concat(part(3), part(4)))
-    return F.struct(
-        F.lower(part(1)).alias("scheme"),
-        F.lower(F.regexp_extract(server, r"^\[?([^\]:]*(?:(?:^|:)[^\]]*(?=\]))?)", 1)).alias("host"),
-        F.regexp_extract(server, r"^[^:]*:(.*)$", 1).alias("port"),
-        path.alias("path"),
-        part(6).alias("query"),
-    )
+    return F.when(url.rlike(SCHEME), url).otherwise(F.concat(F.lit("http://"), url))
 
 
-def canonical(raw: Column) -> Column:
-    """Struct of ``normalized_url`` and ``reason``; exactly one is set.
+def url_parts(full: Column) -> Column:
+    """Array of scheme, slashes, authority, path, query; one match per URL."""
+    return F.split(F.regexp_replace(full, PARTS, "$1\u0001$2\u0001$3\u0001$4\u0001$6"), "\u0001")
 
-    Checks run in a fixed order: empty, blanks inside, scheme, host present,
-    host shape, port.  User info and fragment are dropped, scheme and host go
-    to lower case, a bare ``/`` path goes away, the query is kept.
-    """
-    url = strip_ws(raw)
-    p = split_url(raw)
-    port_ok = (p["port"] == "") | (p["port"].rlike("^[0-9]+$") & (F.coalesce(p["port"].try_cast("int"), F.lit(65536)) <= 65535))
-    reason = (
+
+def host_of(server: Column) -> Column:
+    bracketed = F.regexp_extract(server, r"^\[([^\]]*)\]", 1)
+    return F.lower(F.when(server.startswith("["), bracketed).otherwise(F.regexp_extract(server, "^([^:]*)", 1)))
+
+
+def port_of(server: Column) -> Column:
+    return F.regexp_extract(server, r"^(?:\[[^\]]*\]|[^:\[]*):(.*)$", 1)
+
+
+def refusal(url: Column, scheme: Column, host: Column, port: Column) -> Column:
+    """Why a URL cannot be used, in a fixed order of checks; null if it can."""
+    number = F.coalesce(port.try_cast("int"), F.lit(65536))
+    port_ok = (port == "") | (port.rlike("^[0-9]+$") & (number <= 65535))
+    return (
         F.when(url == "", F.lit("empty URL"))
         .when(url.rlike(WS), F.lit("URL contains whitespace"))
-        .when(~p["scheme"].isin("http", "https"), F.concat(F.lit("unsupported URL scheme: "), p["scheme"]))
-        .when(p["host"] == "", F.lit("URL is missing a host"))
-        .when((p["host"] != "localhost") & ~F.contains(p["host"], F.lit(".")), F.lit("URL host is not valid"))
+        .when(~scheme.isin("http", "https"), F.concat(F.lit("unsupported URL scheme: "), scheme))
+        .when(host == "", F.lit("URL is missing a host"))
+        .when((host != "localhost") & ~F.contains(host, F.lit(".")), F.lit("URL host is not valid"))
         .when(~port_ok, F.lit("URL port is not valid"))
     )
-    authority = F.when(p["port"] == "", p["host"]).otherwise(
-        F.concat(p["host"], F.lit(":"), p["port"].try_cast("int").cast("string"))
-    )
-    is_arxiv = p["host"].isin("arxiv.org", "www.arxiv.org")
-    paper = F.regexp_replace(F.regexp_extract(p["path"], r"^/(?:abs|pdf)/(.*)$", 1), "/+$", "")
-    to_pdf = is_arxiv & (
-        p["path"].startswith("/abs/") | (p["path"].startswith("/pdf/") & ~F.lower(p["path"]).endswith(".pdf"))
-    )
-    path = (
-        F.when(to_pdf, F.concat(F.lit("/pdf/"), paper, F.lit(".pdf")))
-        .when(p["path"] == "/", F.lit(""))
-        .otherwise(p["path"])
+
+
+def assemble(scheme: Column, host: Column, port: Column, path: Column, query: Column) -> Column:
+    """Canonical URL of checked parts: port without leading zeros, a bare ``/``
+    dropped, paper abstracts turned into their PDF."""
+    authority = F.when(port == "", host).otherwise(F.concat(host, F.lit(":"), port.try_cast("int").cast("string")))
+    is_arxiv = host.isin("arxiv.org", "www.arxiv.org")
+    paper = F.regexp_replace(F.substring(path, 6, 1 << 30), "/+$", "")
+    to_pdf = is_arxiv & (path.startswith("/abs/") | (path.startswith("/pdf/") & ~F.lower(path).endswith(".pdf")))
+    new_path = (
+        F.when(to_pdf, F.concat(F.lit("/pdf/"), paper, F.lit(".pdf"))).when(path == "/", F.lit("")).otherwise(path)
     )
-    query = F.when(p["query"] == "", F.lit("")).otherwise(F.concat(F.lit("?"), p["query"]))
-    out = F.concat(p["scheme"], F.lit("://"), F.when(is_arxiv, F.lit("arxiv.org")).otherwise(authority), path, query)
-    return F.struct(F.when(reason.isNull(), out).alias("normalized_url"), reason.alias("reason"))
+    tail = F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query))
+    return F.concat(scheme, F.lit("://"), F.when(is_arxiv, F.lit("arxiv.org")).otherwise(authority), new_path, tail)
 
 
 def content_type(normalized_url: Column) -> Column:
     """Type by host block list, then by the suffix of the path."""
-    p = split_url(normalized_url)
-    path = F.lower(p["path"])
+    host = F.regexp_extract(normalized_url, r"^https?://(?:www\.)?([^/?#:]*)", 1)
+    path = F.lower(F.regexp_extract(normalized_url, r"^https?://[^/?#]*([^?#]*)", 1))
     suffix = F.regexp_extract(path, r"\.([^./]*)$", 1)
     return (
-        F.when(F.regexp_replace(p["host"], r"^www\.", "").isin(UNSUPPORTED_HOSTS), F.lit("unknown"))
-        .when(path.endswith(".pdf"), F.lit("pdf"))
-        .when(path.endswith(".html") | path.endswith(".htm"), F.lit("html"))
-        .when(path.endswith(".md"), F.lit("markdown"))
-        .when(path.endswith(".txt"), F.lit("text"))
+        F.when(host.isin(UNSUPPORTED_HOSTS), F.lit("unknown"))
+        .when(suffix == "pdf", F.lit("pdf"))
+        .when(suffix.isin("html", "htm"), F.lit("html"))
+        .when(suffix == "md", F.lit("markdown"))
+        .when(suffix == "txt", F.lit("text"))
         .when(suffix.isin(NON_DOCUMENT_SUFFIXES), F.lit("unknown"))
         .otherwise(F.lit("html"))
     )

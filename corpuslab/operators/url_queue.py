@@ -5,16 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse_ws
-from ..functions.urls import CONTENT_TYPES, RAW_SUFFIX, canonical, content_type, embedded_url, file_stem
+from ..functions.arrays import hold
+from ..functions.text import collapse_ws, strip_ws
+from ..functions.urls import (
+    CONTENT_TYPES, RAW_SUFFIX, assemble, content_type, embedded_url, file_stem, full_url, host_of, port_of, refusal, url_parts,
+)
 
 RECOVERABLE_TYPES = list(RAW_SUFFIX)
 
 
 def canonical_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Add ``normalized_url`` and ``reason`` to inbox lines."""
-    out = lines.withColumn("__c", canonical(embedded_url(F.col(line))))
-    return out.withColumns({"normalized_url": F.col("__c.normalized_url"), "reason": F.col("__c.reason")}).drop("__c")
+    """Add ``normalized_url`` and ``reason`` to inbox lines; one is set.
+
+    User info and fragment are dropped, scheme and host go to lower case, the
+    query is kept.  Each step is computed once per row.
+    """
+    full = hold(lines, __full=full_url(embedded_url(F.col(line))))
+    parts = hold(full, __parts=url_parts(F.col("__full")))
+    p = F.col("__parts")
+    slashes = F.get(p, F.lit(1)) == "//"
+    server = F.regexp_replace(F.when(slashes, F.get(p, F.lit(2))).otherwise(F.lit("")), "^.*@", "")
+    path = F.when(slashes, F.get(p, F.lit(3))).otherwise(F.concat(F.get(p, F.lit(2)), F.get(p, F.lit(3))))
+    named = hold(
+        parts,
+        __scheme=F.lower(F.get(p, F.lit(0))),
+        __host=host_of(server),
+        __port=port_of(server),
+        __path=path,
+        __query=F.get(p, F.lit(4)),
+    )
+    c = {k: F.col(f"__{k}") for k in ("scheme", "host", "port", "path", "query")}
+    url = strip_ws(embedded_url(F.col(line)))
+    judged = hold(named, reason=refusal(url, c["scheme"], c["host"], c["port"]))
+    out = judged.withColumn("normalized_url", F.when(F.col("reason").isNull(), assemble(**c)))
+    return hold(out.drop("__full", "__parts", *[f"__{k}" for k in c]), normalized_url=F.col("normalized_url"))
 
 
 def unique_urls(canonical_rows: DataFrame, line: str = "line", order: str = "position") -> DataFrame:
@@ -24,7 +48,7 @@ def unique_urls(canonical_rows: DataFrame, line: str = "line", order: str = "pos
         F.min_by(line, order).alias("source_line"), F.count(F.lit(1)).alias("n_lines")
     )
     url = F.col("normalized_url")
-    return first.withColumns({"stem": file_stem(url), "content_type": content_type(url)})
+    return hold(first, stem=file_stem(url), content_type=content_type(url))
 
 
 def stem_collisions(urls: DataFrame) -> DataFrame:
@@ -75,7 +99,7 @@ def requeue_outcomes(archive: DataFrame, outputs: DataFrame, status: DataFrame,
     source = F.trim(F.regexp_extract("line", r"^([^\t]*)", 1))
     rows = canonical_lines(archive.where(collapse_ws("line") != "").withColumn("source_line", source), "source_line")
     url = F.col("normalized_url")
-    rows = rows.withColumns({"stem": file_stem(url), "content_type": content_type(url)})
+    rows = hold(rows, stem=file_stem(url), content_type=content_type(url))
     held = outputs.where("size > 0").select("stem", "content_type").distinct().withColumn("__held", F.lit(True))
     gone = status.where(
         F.col("http_status").isin("404", "410") | F.contains(F.lower(F.coalesce("error", F.lit(""))), F.lit("could not resolve host"))
