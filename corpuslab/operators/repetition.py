@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import hold
 from ..functions.scores import LINEAR_SVM, linear_score
+from ..session import materialize
 from .ranges import overlap_join
 from .running import running, running_number
 
@@ -159,7 +160,9 @@ def merge_hits(hits: DataFrame, key: str) -> DataFrame:
     Of runs that overlap, the earliest is kept and what it covers is dropped.
     Returns ``hit_start, hit_end, k, repetitions``.
     """
-    pieces = hits.groupBy(key, "k", "hit_start").agg(F.max("hit_end").alias("hit_end"))
+    # Hits are few next to the words they come from; each running step reads
+    # its input twice, so detection is written once and not repeated.
+    pieces = materialize(hits.groupBy(key, "k", "hit_start").agg(F.max("hit_end").alias("hit_end")), "hit-pieces")
     reach = running(pieces, [key, "k"], "hit_start", F.col("hit_end"), "__reach", how="max", inclusive=False)
     fresh = F.col("__reach").isNull() | (F.col("hit_start") > F.col("__reach") - F.col("k"))
     islands = running(
@@ -173,9 +176,8 @@ def merge_hits(hits: DataFrame, key: str) -> DataFrame:
         .withColumn("hit_end", F.col("hit_start") + F.col("k") * F.col("repetitions"))
         .drop("__end")
     )
-    per_start = runs.groupBy(key, "hit_start").agg(
-        F.max_by(F.struct("hit_end", "k", "repetitions"), F.struct("hit_end", "k")).alias("__b")
-    ).select(key, "hit_start", "__b.*")
+    best = F.max_by(F.struct("hit_end", "k", "repetitions"), F.struct("hit_end", "k")).alias("__b")
+    per_start = materialize(runs.groupBy(key, "hit_start").agg(best).select(key, "hit_start", "__b.*"), "hit-runs")
     covered = running(per_start, [key], "hit_start", F.col("hit_end"), "__reach", how="max", inclusive=False)
     return covered.where(F.col("__reach").isNull() | (F.col("hit_start") >= F.col("__reach"))).drop("__reach")
 
@@ -212,6 +214,7 @@ def collapse_in_cues(cues: DataFrame, hits: DataFrame, key: str, order: str, wor
     base = cues.select(key, order, "start_ms", "end_ms", "word_start", "word_end", words)
     ids = base.select(key, F.col(order).alias("__o"), "word_start", "word_end")
     touched = overlap_join(ids, hits.select(key, "hit_start", "hit_end"), [key], ("word_start", "word_end"), ("hit_start", "hit_end"))
+    touched = materialize(touched.select(key, "__o", "hit_start"), "touched-cues")
     spans = touched.groupBy(key, "hit_start").agg(F.min("__o").alias("__a"), F.max("__o").alias("__b"))
     reach = running(spans, [key], "hit_start", F.col("__b"), "__reach", how="max", inclusive=False)
     heads = running(
@@ -254,7 +257,7 @@ def collapse_in_cues(cues: DataFrame, hits: DataFrame, key: str, order: str, wor
     kept = cleaned.select(
         key, order, "start_ms", "end_ms", "content", F.col("__head").isNotNull().alias("was_cleaned")
     )
-    return running_number(kept, [key], order, "new_index")
+    return running_number(materialize(kept, "cleaned-cues"), [key], order, "new_index")
 
 
 def training_rows(texts: DataFrame, key: str, words: str) -> DataFrame:
