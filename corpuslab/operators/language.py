@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import counted, run_starts
 from ..functions.text import alpha_words, strip_ws, words
+from ..session import materialize
 
 CHUNK_WORDS = 1000
 MIN_CONFIDENCE = 0.7
@@ -58,6 +59,8 @@ def train(docs: DataFrame, label: str, text: str, vocabulary: int = VOCABULARY)
     Smoothing is add-one.
     """
     per_label = gram_counts(docs.select(label, text), [label], text).groupBy(label, "gram").agg(F.sum("n").alias("n"))
+    # Read four times below; far smaller than the texts.
+    per_label = materialize(per_label, "gram-counts")
     top = (
         per_label.groupBy("gram").agg(F.sum("n").alias("__all")).orderBy(F.desc("__all"), F.asc("gram")).limit(vocabulary)
     )

@@ -19,8 +19,19 @@ FIRST_DAY = dt.date(2023, 12, 1)
 MS_PER_WORD = 400
 
 
+# Tables whose rows cost much CPU, and the key that spreads them.
+_HEAVY = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table.  A text table with fewer input splits than cores is
+    spread over them first; a large one is read as it lies, without a shuffle."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name in _HEAVY:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores, _HEAVY[name])
+    return df
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

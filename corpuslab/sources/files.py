@@ -128,13 +128,17 @@ def timeseries_csv(spark: SparkSession, folder: str, id_to_name: DataFrame) -> D
     )
 
 
-def prediction_csvs(spark: SparkSession, folder: str) -> DataFrame:
-    """One CSV per model; the file name is the model, the header is checked."""
+def prediction_csvs(spark: SparkSession, folder: str, by_folder: bool = False) -> DataFrame:
+    """One CSV per model; the file name is the model, the header is checked.
+
+    With ``by_folder`` a model is a ``model=<name>`` folder of files instead.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in PREDICTION_COLUMNS])
     rows = spark.read.option("recursiveFileLookup", True).csv(
         folder, schema=schema, header=True, quote='"', escape='"', mode="FAILFAST", enforceSchema=False
     )
-    model = F.regexp_replace(file_name(F.col("_metadata.file_path")), r"\.csv$", "")
+    path = F.col("_metadata.file_path")
+    model = F.regexp_extract(path, "/model=([^/]+)/", 1) if by_folder else F.regexp_replace(file_name(path), r"\.csv$", "")
     return rows.select(
         model.alias("model"),
         file_name(F.col("Script")).alias("item"),
