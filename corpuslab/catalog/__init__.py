@@ -5,6 +5,7 @@ from . import (  # noqa: F401
     corpus_queries,
     cue_queries,
     publication_queries,
+    stream_queries,
     text_queries,
     url_queries,
 )

@@ -371,6 +371,17 @@ def text_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(channel.alias("channel")).agg(F.sum(lines).cast("long").alias("n_lines"))
 
 
+@query("raw_pending", "SELECT 'text' AS content_type, CAST(3 AS BIGINT) AS n_pending, count(*) > 0 AS any FROM documents")
+def raw_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts as four raw files; the one with the first name is cleaned."""
+    root = scratch_dir(spark, "raw")
+    views.table(spark, sf_dir, "documents").select("text").repartition(4).write.text(f"{root}/text")
+    items = files_source.raw_items(spark, root)
+    cleaned = items.groupBy("content_type").agg(F.min("stem").alias("stem"), F.lit(5).alias("size"))
+    todo = files_source.pending_raw(items, cleaned)
+    return todo.groupBy("content_type").agg(F.count(F.lit(1)).alias("n_pending"), (F.sum("raw_bytes") > 0).alias("any"))
+
+
 # --- model evaluation ---------------------------------------------------------
 
 _PRED = """pr AS (SELECT 'm' || m AS model, CASE WHEN quality = 1 THEN 'good_' ELSE 'bad_' END || doc_id || '.sh' AS item,

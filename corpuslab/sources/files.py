@@ -22,10 +22,8 @@ def file_name(path: Column) -> Column:
 def text_files(spark: SparkSession, folder: str, suffix: str, recursive: bool = True) -> DataFrame:
     """Whole text files as (path, name, text), sidecars left out."""
     rows = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", recursive)
-        .option("pathGlobFilter", f"*{suffix}")
-        .text(folder)
+        spark.read.option("pathGlobFilter", f"*{suffix}")
+        .text(folder, wholetext=True, recursiveFileLookup=recursive)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     )
     named = rows.withColumn("name", file_name(F.col("path")))
