@@ -133,7 +133,7 @@ def _runs_sql(src: str, keys: str) -> list[str]:
         f"wd AS (SELECT {keys}, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS i, len(words) AS n FROM {src})",
         f"eq AS (SELECT {ks}, a.i, b.i - a.i AS k FROM wd a JOIN wd b ON {on} AND a.w = b.w AND b.i > a.i AND b.i - a.i <= a.n // 5)",
         f"isl AS (SELECT *, i - row_number() OVER (PARTITION BY {keys}, k ORDER BY i) AS g FROM eq)",
-        f"""rn AS (SELECT {keys}, k, min(i) AS s, count(*) // k + 1 AS reps FROM isl GROUP BY {keys}, k, g HAVING count(*) // k + 1 >= 5)""",
+        f"""rn AS (SELECT {keys}, k, min(i) AS s, count(*) // k + 1 AS reps, min(i) + count(*) + k AS reach FROM isl GROUP BY {keys}, k, g HAVING count(*) // k + 1 >= 5)""",
         f"""pr AS (SELECT *, s + k * reps AS e FROM rn r WHERE NOT EXISTS (SELECT 1 FROM rn q WHERE
   {" AND ".join(f"q.{x} = r.{x}" for x in keys.split(", "))} AND q.k < r.k AND r.k % q.k = 0 AND q.s <= r.s AND q.s + q.k * q.reps + q.k > r.s + r.k))""",
         f"hit AS (SELECT *, {score} AS score FROM pr WHERE {score} > 0)",
@@ -155,7 +155,7 @@ def _turn_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def repetition_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of at least five repetitions inside each cue."""
-    return R.repeated_runs(_turn_words(spark, sf_dir), "words").drop("words")
+    return R.repeated_runs(_turn_words(spark, sf_dir), "words").drop("words", "reach")
 
 
 @query(
@@ -240,11 +240,11 @@ def first_hit_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MERGED = [
     *_HITS,
-    "m1 AS (SELECT conv_id, k, hit_start, max(hit_end) AS hit_end FROM hits GROUP BY 1, 2, 3)",
-    """m2 AS (SELECT *, coalesce(hit_start > max(hit_end) OVER (PARTITION BY conv_id, k ORDER BY hit_start
+    "m1 AS (SELECT conv_id, k, hit_start, max(window_id * 375 + reach) AS hit_reach FROM hits GROUP BY 1, 2, 3)",
+    """m2 AS (SELECT *, coalesce(hit_start > max(hit_reach) OVER (PARTITION BY conv_id, k ORDER BY hit_start
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - k, true) AS fresh FROM m1)""",
     "m3 AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY conv_id, k ORDER BY hit_start) AS island FROM m2)",
-    "m4 AS (SELECT conv_id, k, min(hit_start) AS hit_start, (max(hit_end) - min(hit_start)) // k AS reps FROM m3 GROUP BY conv_id, k, island)",
+    "m4 AS (SELECT conv_id, k, min(hit_start) AS hit_start, (max(hit_reach) - min(hit_start)) // k AS reps FROM m3 GROUP BY conv_id, k, island)",
     "m5 AS (SELECT *, hit_start + k * reps AS hit_end FROM m4 QUALIFY row_number() OVER (PARTITION BY conv_id, hit_start ORDER BY hit_start + k * reps DESC, k DESC) = 1)",
     """merged AS (SELECT * EXCLUDE (mx) FROM (SELECT *, max(hit_end) OVER (PARTITION BY conv_id ORDER BY hit_start
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx FROM m5) WHERE mx IS NULL OR hit_start >= mx)""",

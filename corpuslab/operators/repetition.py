@@ -30,8 +30,9 @@ def _same(w: Column, i: Column, k: Column) -> Column:
 
 def repeated_runs(df: DataFrame, words: str, min_repetitions: int = MIN_REPETITIONS) -> DataFrame:
     """Maximal runs at their primitive period, one row each:
-    ``start, k, repetitions, run_end``; ``run_end`` is after the last full
-    repetition.  Rows keep the other columns of ``df`` and the word array."""
+    ``start, k, repetitions, run_end, reach``; ``run_end`` is after the last full
+    repetition, ``reach`` after the last word that still follows the period.
+    Rows keep the other columns of ``df`` and the word array."""
     r = int(min_repetitions)
     if r < 2:
         raise ValueError("min_repetitions must be at least 2")
@@ -76,6 +77,7 @@ def repeated_runs(df: DataFrame, words: str, min_repetitions: int = MIN_REPETITI
         hold(rows, __primitive=~repeats_within)
         .where("__primitive")
         .withColumn("run_end", (s + k * F.col("repetitions")).cast("long"))
+        .withColumn("reach", (F.col("__stop") + k).cast("long"))
         .withColumns({"start": s.cast("long"), "k": k.cast("long")})
         .drop("__j", "__stop", "__primitive")
     )
@@ -139,7 +141,8 @@ def word_windows(
 
 def window_hits(windows: DataFrame, key: str, min_repetitions: int = MIN_REPETITIONS) -> DataFrame:
     """Classified hits per window in transcript positions: ``hit_start,
-    hit_end`` next to the window-local ``start, run_end``, plus ``pattern``."""
+    hit_end, hit_reach`` next to the window-local ``start, run_end``, plus
+    ``pattern``."""
     runs = classify(repeated_runs(windows, "words", min_repetitions))
     kept = runs.withColumn(
         "pattern", F.array_join(F.slice("words", (F.col("start") + 1).cast("int"), F.col("k").cast("int")), " ")
@@ -149,6 +152,7 @@ def window_hits(windows: DataFrame, key: str, min_repetitions: int = MIN_REPETIT
         {
             "hit_start": F.col("window_start") + F.col("start"),
             "hit_end": F.col("window_start") + F.col("run_end"),
+            "hit_reach": F.col("window_start") + F.col("reach"),
         }
     )
 
@@ -162,8 +166,8 @@ def merge_hits(hits: DataFrame, key: str) -> DataFrame:
     """
     # Hits are few next to the words they come from; each running step reads
     # its input twice, so detection is written once and not repeated.
-    pieces = materialize(hits.groupBy(key, "k", "hit_start").agg(F.max("hit_end").alias("hit_end")), "hit-pieces")
-    reach = running(pieces, [key, "k"], "hit_start", F.col("hit_end"), "__reach", how="max", inclusive=False)
+    pieces = materialize(hits.groupBy(key, "k", "hit_start").agg(F.max("hit_reach").alias("hit_reach")), "hit-pieces")
+    reach = running(pieces, [key, "k"], "hit_start", F.col("hit_reach"), "__reach", how="max", inclusive=False)
     fresh = F.col("__reach").isNull() | (F.col("hit_start") > F.col("__reach") - F.col("k"))
     islands = running(
         reach.withColumn("__new", F.when(fresh, F.col("hit_start"))),
@@ -171,7 +175,7 @@ def merge_hits(hits: DataFrame, key: str) -> DataFrame:
     )
     runs = (
         islands.groupBy(key, "k", F.col("__island").alias("hit_start"))
-        .agg(F.max("hit_end").alias("__end"))
+        .agg(F.max("hit_reach").alias("__end"))
         .withColumn("repetitions", F.floor((F.col("__end") - F.col("hit_start")) / F.col("k")).cast("long"))
         .withColumn("hit_end", F.col("hit_start") + F.col("k") * F.col("repetitions"))
         .drop("__end")

@@ -43,11 +43,11 @@ def pipelines(regularization: float) -> dict[str, Pipeline]:
     """Linear SVM, logistic and quadratic logistic pipelines."""
     assemble = VectorAssembler(inputCols=["repetitions", "sequence_length"], outputCol="features")
     squared = PolynomialExpansion(degree=2, inputCol="features", outputCol="squared")
-    shared = {"regParam": regularization, "standardization": False, "weightCol": "weight", "maxIter": 50, "tol": 1e-5}
+    shared = {"regParam": regularization, "tol": 1e-4, "weightCol": "weight"}
     return {
-        "linear_svm": Pipeline(stages=[assemble, LinearSVC(**shared)]),
-        "logistic": Pipeline(stages=[assemble, LogisticRegression(**shared)]),
-        "quadratic": Pipeline(stages=[assemble, squared, LogisticRegression(featuresCol="squared", **shared)]),
+        "linear_svm": Pipeline(stages=[assemble, LinearSVC(maxIter=15, **shared)]),
+        "logistic": Pipeline(stages=[assemble, LogisticRegression(maxIter=50, **shared)]),
+        "quadratic": Pipeline(stages=[assemble, squared, LogisticRegression(featuresCol="squared", maxIter=50, **shared)]),
     }
 
 
