@@ -148,7 +148,7 @@ def stored_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("repetition_models")
 def repetition_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated classifiers on the looped cues."""
-    return training.score_models(training.labelled_cues(spark, sf_dir))
+    return training.score_models(training.labelled_cues(spark, sf_dir), max_iter=10)
 
 
 @query(

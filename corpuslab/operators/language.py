@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import counted, run_starts
-from ..functions.text import alpha_words, strip_ws, words
+from ..functions.text import strip_ws, words
 from ..session import materialize
 
 CHUNK_WORDS = 1000
@@ -41,7 +41,8 @@ def chunks(docs: DataFrame, keys: list[str], text: str, target: int = CHUNK_WORD
 
 def gram_counts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """(keys, gram, n): trigram counts built inside each row."""
-    alpha = F.nullif(F.nullif(alpha_words(F.col(text)), F.lit("")), F.lit("??"))
+    kept = F.filter(words(F.col(text)), lambda w: w.rlike(r"\p{L}"))
+    alpha = F.nullif(F.array_join(kept, " "), F.lit(""))
     chars = df.select(*keys, F.split(F.concat(F.lit(" "), F.lower(alpha), F.lit(" ")), "").alias("__c"))
     c = F.col("__c")
     grams = F.transform(F.sequence(F.lit(0), F.size(c) - 3), lambda i: F.concat(c[i], c[i + 1], c[i + 2]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -15,6 +17,7 @@ from ..session import materialize
 from . import views
 
 FOLDS = 5
+MAX_ITER = 50
 
 
 def labelled_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,15 +42,15 @@ def folded(rows: DataFrame, folds: int = FOLDS) -> DataFrame:
     )
 
 
-def pipelines(regularization: float) -> dict[str, Pipeline]:
+def pipelines(regularization: float, max_iter: int = MAX_ITER) -> dict[str, Pipeline]:
     """Linear SVM, logistic and quadratic logistic pipelines."""
     assemble = VectorAssembler(inputCols=["repetitions", "sequence_length"], outputCol="features")
     squared = PolynomialExpansion(degree=2, inputCol="features", outputCol="squared")
-    shared = {"regParam": regularization, "tol": 1e-4, "weightCol": "weight"}
+    shared = {"regParam": regularization, "maxIter": max_iter, "tol": 1e-4, "weightCol": "weight"}
     return {
-        "linear_svm": Pipeline(stages=[assemble, LinearSVC(maxIter=15, **shared)]),
-        "logistic": Pipeline(stages=[assemble, LogisticRegression(maxIter=50, **shared)]),
-        "quadratic": Pipeline(stages=[assemble, squared, LogisticRegression(featuresCol="squared", maxIter=50, **shared)]),
+        "linear_svm": Pipeline(stages=[assemble, LinearSVC(**shared)]),
+        "logistic": Pipeline(stages=[assemble, LogisticRegression(**shared)]),
+        "quadratic": Pipeline(stages=[assemble, squared, LogisticRegression(featuresCol="squared", **shared)]),
     }
 
 
@@ -55,11 +58,11 @@ def _judge() -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(metricName="accuracy", weightCol="weight")
 
 
-def fit(rows: DataFrame, name: str, folds: int = FOLDS, cost: float = 1.0):
+def fit(rows: DataFrame, name: str, folds: int = FOLDS, cost: float = 1.0, max_iter: int = MAX_ITER):
     """Cross-validate and fit one classifier on weighted rows with a ``fold``:
     (model, mean accuracy over the folds, its deviation)."""
     total = rows.agg(F.sum("weight").alias("w")).first()["w"]
-    return _fit(rows, pipelines(1.0 / (cost * max(total or 0.0, 1.0)))[name], folds)
+    return _fit(rows, pipelines(1.0 / (cost * max(total or 0.0, 1.0)), max_iter)[name], folds)
 
 
 def _fit(rows: DataFrame, pipeline: Pipeline, folds: int):
@@ -74,11 +77,16 @@ def _fit(rows: DataFrame, pipeline: Pipeline, folds: int):
     return found.bestModel, found.avgMetrics[0], found.stdMetrics[0]
 
 
-def score_models(rows: DataFrame) -> DataFrame:
-    """One row per classifier: cross-validated and training accuracy."""
+def score_models(rows: DataFrame, max_iter: int = MAX_ITER) -> DataFrame:
+    """One row per classifier: cross-validated and training accuracy.  The
+    classifiers are fitted side by side."""
     stored = materialize(folded(rows).coalesce(1), "training-rows")
-    out = []
-    for name in pipelines(1.0):
-        model, mean, deviation = fit(stored, name)
-        out.append((name, float(mean), float(deviation), float(_judge().evaluate(model.transform(stored)))))
+
+    def score(name: str) -> tuple[str, float, float, float]:
+        model, mean, deviation = fit(stored, name, max_iter=max_iter)
+        return name, float(mean), float(deviation), float(_judge().evaluate(model.transform(stored)))
+
+    names = list(pipelines(1.0))
+    with ThreadPoolExecutor(len(names)) as pool:
+        out = list(pool.map(score, names))
     return rows.sparkSession.createDataFrame(out, "model string, cv_accuracy double, cv_std double, training_accuracy double")
