@@ -351,21 +351,13 @@ def detection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "hit_digest",
-    with_(*_HITS) + """SELECT conv_id, count(*) AS n_hits,
-  string_agg(hit_start || ':' || k || 'x' || reps || ':' || array_to_string(win.words[s + 1:s + k], ' '), '; ' ORDER BY hit_start, hits.window_id) AS digest
-  FROM hits JOIN win USING (conv_id, window_id) GROUP BY 1""",
+    with_(*_HITS) + """SELECT conv_id, count(*) OVER (PARTITION BY conv_id) AS n_hits, hits.window_id, hit_start,
+  hit_start || ': ' || k || ' words x ' || reps || ': ' || array_to_string(win.words[s + 1:s + k], ' ') AS line
+  FROM hits JOIN win USING (conv_id, window_id)""",
 )
 def hit_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits grouped by transcript in order."""
-    hits = R.window_hits(_windows(spark, sf_dir), "conv_id")
-    line = F.concat(
-        F.col("hit_start").cast("string"), F.lit(":"), F.col("k").cast("string"), F.lit("x"),
-        F.col("repetitions").cast("string"), F.lit(":"), F.col("pattern"),
-    )
-    items = F.array_sort(F.collect_list(F.struct("hit_start", "window_id", line.alias("line"))))
-    return hits.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_hits"), F.array_join(F.transform(items, lambda s: s["line"]), "; ").alias("digest")
-    )
+    """Hits in transcript order with the count of their transcript."""
+    return writers.hit_digest(R.window_hits(_windows(spark, sf_dir), "conv_id"), "conv_id")
 
 
 @query("detection_reports")
@@ -373,7 +365,7 @@ def detection_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     cues = _looped(spark, sf_dir)
     windows = R.word_windows(cues, "conv_id", "turn", "words")
     reports = writers.detection_reports(_hit_spans(cues), "conv_id", windows)
-    return reports.select("conv_id", "total_windows", "total_hits", F.to_json("hits").alias("hits"))
+    return reports.select("conv_id", "part", "total_windows", "total_hits", F.to_json("hits").alias("hits"))
 
 
 @query(

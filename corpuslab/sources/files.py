@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +24,10 @@ def file_name(path: Column) -> Column:
 
 
 def text_files(spark: SparkSession, folder: str, suffix: str, recursive: bool = True) -> DataFrame:
-    """Whole text files as (path, name, text), sidecars left out."""
+    """Whole text files as (path, name, text), sidecars left out.
+
+    Empty files give no row; ``inventory`` lists them.
+    """
     rows = (
         spark.read.option("pathGlobFilter", f"*{suffix}")
         .text(folder, wholetext=True, recursiveFileLookup=recursive)
@@ -58,41 +65,71 @@ def inbox_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Listing below ``root/stage/channel/...`` without reading any content."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select("path", F.col("length").alias("size"), F.unix_timestamp("modificationTime").alias("mtime"))
+def _children(folder: str) -> list[str]:
+    """Folders directly below ``folder``."""
+    system, path = fs.FileSystem.from_uri(folder)
+    found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return sorted(f"{folder.rstrip('/')}/{i.base_name}" for i in found if not i.is_file)
+
+
+def listed(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """(folder, below, size, mtime) of every file under the folders.
+
+    Spark's file sources leave out empty files, which the audits look for, so
+    each task lists its folders itself.  No content is read.
+    """
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for folder in batch["folder"]:
+                system, path = fs.FileSystem.from_uri(folder)
+                infos = [i for i in system.get_file_info(fs.FileSelector(path, recursive=True)) if i.is_file]
+                yield pd.DataFrame(
+                    {
+                        "folder": folder,
+                        "below": [i.path[len(path.rstrip("/")) + 1 :] for i in infos],
+                        "size": [i.size for i in infos],
+                        "mtime": [int(i.mtime.timestamp()) for i in infos],
+                    }
+                )
+
+    if not folders:
+        return spark.createDataFrame([], "folder string, below string, size long, mtime long")
+    rows = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(
+        min(len(folders), spark.sparkContext.defaultParallelism), "folder"
     )
-    below = F.split(F.regexp_replace("path", "^.*?" + _quoted(root) + "/?", ""), "/")
-    parts = files.withColumn("__p", below).where(F.size("__p") >= 3)
-    return parts.select(
-        F.col("__p")[0].alias("stage"),
-        F.col("__p")[1].alias("channel"),
-        F.array_join(F.slice("__p", F.lit(3), F.size("__p") - 3), "/").alias("dir"),
-        F.element_at("__p", -1).alias("name"),
+    return rows.mapInPandas(walk, "folder string, below string, size long, mtime long")
+
+
+def inventory(spark: SparkSession, root: str) -> DataFrame:
+    """Listing below ``root/stage/channel/...`` without reading any content.
+
+    The driver sees the stage and channel folders only, tasks list the files.
+    """
+    channels = [c for stage in _children(root) for c in _children(stage)]
+    files = listed(spark, channels)
+    at, parts = F.split("folder", "/"), F.split("below", "/")
+    return files.select(
+        F.element_at(at, -2).alias("stage"),
+        F.element_at(at, -1).alias("channel"),
+        F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/").alias("dir"),
+        F.element_at(parts, -1).alias("name"),
         "size",
         "mtime",
-        "path",
+        F.concat_ws("/", "folder", "below").alias("path"),
     )
 
 
-def _quoted(root: str) -> str:
-    path = root.split("://", 1)[-1].rstrip("/")
-    return "\\Q" + path + "\\E"
-
-
 def raw_items(spark: SparkSession, root: str) -> DataFrame:
     """Raw content items below ``root/<type>/``: name, stem, type, bytes."""
     from ..functions.urls import RAW_SUFFIX
 
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select("path", F.col("length").alias("raw_bytes"))
-    )
-    parts = F.split("path", "/")
-    rows = files.select(
-        "path", "raw_bytes", F.element_at(parts, -1).alias("raw_name"), F.element_at(parts, -2).alias("content_type")
+    files = listed(spark, [f for f in _children(root) if f.rsplit("/", 1)[-1] in RAW_SUFFIX])
+    rows = files.where(~F.contains("below", F.lit("/"))).select(
+        F.concat_ws("/", "folder", "below").alias("path"),
+        F.col("size").alias("raw_bytes"),
+        F.col("below").alias("raw_name"),
+        F.element_at(F.split("folder", "/"), -1).alias("content_type"),
     ).where(~F.col("raw_name").startswith("._"))
     expected = F.lit(False)
     for kind, suffix in RAW_SUFFIX.items():

@@ -60,16 +60,32 @@ def append_archive(lines: DataFrame, path: str) -> None:
     lines.select("kind", "day", "line").write.mode("append").partitionBy("kind", "day").text(path)
 
 
+REPORT_WORDS = 1 << 20
+
+
 def detection_reports(hits: DataFrame, key: str, windows: DataFrame) -> DataFrame:
-    """One nested row per transcript: evaluated windows and hit structs.
+    """Nested report rows: evaluated windows and hit structs per transcript.
 
-    Hits per transcript are few next to its words; a transcript without hits
-    keeps an empty list.
+    A report covers ``REPORT_WORDS`` words of a transcript (``part``), so its
+    list stays bounded; ordinary transcripts have one part.  A part without
+    hits keeps an empty list.
     """
     hit = F.struct("hit_start_ms", "hit_end_ms", "hit_start", "hit_end", F.col("k").alias("repetition_length"), "repetitions")
-    found = hits.groupBy(key).agg(F.array_sort(F.collect_list(hit)).alias("hits"))
-    totals = windows.groupBy(key).agg(F.count(F.lit(1)).alias("total_windows"))
-    return totals.join(found, key, "left").withColumn("total_hits", F.coalesce(F.size("hits"), F.lit(0)))
+    part = F.floor(F.col("hit_start") / REPORT_WORDS).alias("part")
+    found = hits.groupBy(key, part).agg(F.array_sort(F.collect_list(hit)).alias("hits"))
+    covered = F.floor(F.col("window_start") / REPORT_WORDS).alias("part")
+    totals = windows.groupBy(key, covered).agg(F.count(F.lit(1)).alias("total_windows"))
+    return totals.join(found, [key, "part"], "left").withColumn("total_hits", F.coalesce(F.size("hits"), F.lit(0)))
+
+
+def hit_digest(hits: DataFrame, key: str) -> DataFrame:
+    """Digest rows, one per hit in transcript order, with the hit count of the
+    transcript next to each."""
+    sizes = hits.groupBy(key).agg(F.count(F.lit(1)).alias("n_hits"))
+    line = F.format_string("%d: %d words x %d: %s", "hit_start", "k", "repetitions", "pattern")
+    return hits.join(sizes, key).select(key, "n_hits", "window_id", "hit_start", line.alias("line")).orderBy(
+        key, "hit_start", "window_id"
+    )
 
 
 def write_json(rows: DataFrame, path: str) -> None:
