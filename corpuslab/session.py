@@ -25,11 +25,15 @@ def local_session(cores: str = "*", app: str = "corpuslab") -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
-    The cluster names that folder, so every executor sees it.  Only where it is
-    unset, as in local tests, a temporary folder is set once for the session.
+    The cluster names that folder, so every executor sees it.  Where it is
+    unset, a local master gets a temporary folder once for the session; on a
+    cluster that folder would not be shared, so it is an error there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir is unset on {master}; name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="corpuslab-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -41,3 +45,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """The written intermediates of one run, removed as soon as nothing reads them."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root = spark, scratch_dir(spark, name)
+        self.paths: dict[int, str] = {}
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}-{len(self.paths)}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path
+        self.paths[len(self.paths)] = path
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete what ``save`` wrote for these frames."""
+        for df in frames:
+            self.remove(self.paths[id(df)])
+
+    def close(self) -> None:
+        """Delete all that the run wrote."""
+        self.remove(self.root)
+
+    def remove(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
