@@ -52,20 +52,20 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, scratch_dir(spark, name)
-        self.paths: dict[int, str] = {}
+        self.saved: list[tuple[DataFrame, str]] = []
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}-{len(self.paths)}"
+        path = f"{self.root}/{name}-{len(self.saved)}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
-        self.paths[len(self.paths)] = path
+        self.saved.append((out, path))
         return out
 
     def drop(self, *frames: DataFrame) -> None:
         """Delete what ``save`` wrote for these frames."""
-        for df in frames:
-            self.remove(self.paths[id(df)])
+        for df, path in self.saved:
+            if any(df is f for f in frames):
+                self.remove(path)
 
     def close(self) -> None:
         """Delete all that the run wrote."""
