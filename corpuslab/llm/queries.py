@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, cuckoo, tokens
+from . import bpe, chat, cuckoo, licenses, tokens, winnow
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,39 @@ FROM n
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts of every document."""
     return cuckoo.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op2_license_scan", licenses.sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op5_benchmark_decontamination", winnow.sql())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item."""
+    return winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op8_chat_formatting",
+    r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e AS (
+  SELECT *, regexp_replace(replace(text, '\', '\\'), '(<)(\||/?s>)|(\[)(/?INST\])', '\1\3\\\2\4', 'g') AS escaped FROM t
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + length(role) + 1 + length(escaped) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+""",
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one whose texts hold control strings, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
+    return chat.chat_digests(turns.unionByName(extra))
