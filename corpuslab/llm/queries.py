@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, cuckoo, licenses, tokens, winnow
+from . import bpe, brown, chat, cuckoo, licenses, tokens, winnow
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
     return chat.chat_digests(turns.unionByName(extra))
+
+
+@query("op9_lm_scoring")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class n-gram and unigram log-probability of every document."""
+    return brown.score_documents(table(spark, sf_dir, "documents"))
