@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, brown, chat, cuckoo, licenses, tokens, winnow
+from . import bpe, brown, chat, cuckoo, licenses, rules, tokens, winnow
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class n-gram and unigram log-probability of every document."""
     return brown.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by the rule ensemble."""
+    return rules.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
