@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, brown, chat, cuckoo, licenses, rules, tokens, winnow
+from . import bigru, bpe, brown, chat, cuckoo, licenses, rules, tokens, winnow
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by the rule ensemble."""
     return rules.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the recurrent network."""
+    return bigru.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
