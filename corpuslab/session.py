@@ -54,9 +54,9 @@ class Scratch:
         self.spark, self.root = spark, scratch_dir(spark, name)
         self.saved: list[tuple[DataFrame, str]] = []
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         path = f"{self.root}/{name}-{len(self.saved)}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.saved.append((out, path))
         return out
