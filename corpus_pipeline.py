@@ -5,14 +5,29 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslab.llm import bpe, cuckoo
+from corpuslab.llm import bigru, bpe, cuckoo, near, winnow
+from corpuslab.llm.common import table, without
 from corpuslab.session import scratch_dir
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the recurrent network does not predict to be toxic."""
+    return bigru.accepted(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without exact copies; the smallest id of each group stays."""
-    kept = cuckoo.exact_dedup(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """One document of each group of equal texts, that of the smallest id."""
+    return without(docs, cuckoo.exact_dedup(docs).where("NOT kept"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component, that of the smallest id."""
+    return without(docs, near.near_duplicates(docs).where("NOT kept"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    return without(docs, winnow.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
 
 
 def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,18 +36,21 @@ def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("toxicity", toxicity),
     ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
     ("BPE encoding and decoding", bpe_round_trip),
 ]
 
-#: Training and tokenising have no SQL; tests hold the stages against brute force.
+#: Training and tokenising have no SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage for the documents of ``sf_dir``."""
     root = scratch_dir(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         path = f"{root}/{i}"
         stage(spark, docs, sf_dir).write.parquet(path)

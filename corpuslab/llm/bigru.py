@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from .common import fold, groups, id_and_text, words_of
 
@@ -23,15 +24,10 @@ NGRAM_BITS = 15
 NGRAMS = (3, 4, 5, 6)
 EPOCHS, BATCH, LEARNING_RATE = 8, 128, 0.01
 #: Word types whose gate inputs a Python worker keeps.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 250_000
 EDGES = b".,!?;:|%*#$&\"'()[]{}<>-_=+/\\~`^@"
 
 
-def tokens(text: str) -> list[bytes]:
-    """Lower-cased words without punctuation at their edges, empty ones left out."""
-    return [s for w in words_of(text) if (s := w.strip(EDGES))]
-
-
 def ngrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(word index, bucket) of all hashed byte n-grams of ``<word>``, by word."""
     data = np.frombuffer(b"".join(b"<" + w + b">" for w in words), np.uint8).astype(np.uint32)
@@ -91,16 +87,19 @@ class Network:
 
     def reset(self) -> None:
         self.rows: dict[bytes, int] = {}
-        self.gates = np.zeros((0, 6 * HIDDEN), np.float32)
+        self.gates = np.zeros((1024, 6 * HIDDEN), np.float32)
 
     def inputs(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(word place, n-gram owner, n-gram bucket, input vectors) of word types."""
+        """(word place, n-gram owner, n-gram bucket, input vectors) of word types, without the punctuation at their edges."""
+        words = [w.strip(EDGES) for w in words]
         place = np.array([self.vocabulary.get(w, len(self.vocabulary)) for w in words], np.int64)
         owner, bucket = ngrams(words)
         n = np.maximum(np.bincount(owner, minlength=len(words)), 1)[:, None]
         starts = np.searchsorted(owner, np.arange(len(words)))
-        char = np.add.reduceat(self.p["gram"][bucket], starts) / n if len(words) else np.zeros((0, CHAR_DIM), np.float32)
-        peak = np.maximum.reduceat(self.gram_odds[bucket], starts) if len(words) else np.zeros(0, np.float32)
+        # words of punctuation alone have no n-gram: a zero row at the end takes their place
+        has = np.bincount(owner, minlength=len(words))[:, None] > 0
+        char = np.where(has, np.add.reduceat(np.concatenate([self.p["gram"][bucket], np.zeros((1, CHAR_DIM), np.float32)]), starts) / n, 0)
+        peak = np.where(has[:, 0], np.maximum.reduceat(np.append(self.gram_odds[bucket], np.float32(0)), starts), 0)
         return place, owner, bucket, np.concatenate([self.p["word"][place], char, peak[:, None]], 1).astype(np.float32)
 
     def ids(self, texts: list[list[bytes]]) -> list[np.ndarray]:
@@ -112,8 +111,11 @@ class Network:
         if new:
             x = self.inputs(new)[3]
             made = np.concatenate([x @ self.p["wf"] + self.p["bf"], x @ self.p["wb"] + self.p["bb"]], 1)
-            rows.update(zip(new, range(len(self.gates), len(self.gates) + len(new))))
-            self.gates = np.concatenate([self.gates, made.astype(np.float32)])
+            start, stop = len(rows), len(rows) + len(new)
+            if stop > len(self.gates):
+                self.gates = np.concatenate([self.gates, np.zeros((stop, 6 * HIDDEN), np.float32)])
+            self.gates[start:stop] = made
+            rows.update(zip(new, range(start, stop)))
         return [np.fromiter(map(rows.__getitem__, t), np.int64, len(t)) for t in texts]
 
     def _direction(self, gates: np.ndarray, mask: np.ndarray, u: np.ndarray, order, keep: list | None):
@@ -147,11 +149,11 @@ class Network:
             keep |= {"f": fk, "b": bk, "hs": hs, "e": e, "alpha": alpha, "pooled": pooled}
         return pooled @ p["o"] + p["b"][0]
 
-    def logits(self, wins: np.ndarray, block: int = 4096) -> np.ndarray:
+    def logits(self, wins: np.ndarray, block: int = 1024) -> np.ndarray:
         out = np.empty(len(wins), np.float32)
         for i in range(0, len(wins), block):
             w = wins[i : i + block]
-            out[i : i + block] = self.forward(self.gates[np.maximum(w, 0)] if len(self.gates) else np.zeros((*w.shape, 6 * HIDDEN), np.float32), w >= 0)
+            out[i : i + block] = self.forward(self.gates[np.maximum(w, 0)], w >= 0)
         return out
 
     def backward(self, dlogit: np.ndarray, mask: np.ndarray, keep: dict, x: np.ndarray) -> tuple[dict, np.ndarray]:
@@ -220,7 +222,7 @@ def train(texts: list[str], y: np.ndarray, weight: np.ndarray, seed: int = 5) ->
     """Fit on labelled texts.  A text is judged by its highest windows: in each epoch the network picks them anew, and
     learns from the highest window of every text and a random one of the texts of label 0."""
     rng = np.random.default_rng(seed)
-    words = [tokens(t) for t in texts]
+    words = [[w.strip(EDGES) for w in words_of(t)] for t in texts]
     df = Counter(w for ws in words for w in set(ws))
     vocabulary = {w: i for i, (w, n) in enumerate(sorted(df.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY]) if n > 1}
     vocabulary = {w: i for i, w in enumerate(vocabulary)}
@@ -237,7 +239,7 @@ def train(texts: list[str], y: np.ndarray, weight: np.ndarray, seed: int = 5) ->
     names = list(types)
     place = np.array([vocabulary.get(w, len(vocabulary)) for w in names], np.int64)
     doc, wins = windows([np.array([types[w] for w in ws], np.int64) for ws in words])
-    odds = word_odds[place] + np.maximum.reduceat(gram_odds[bucket], bounds[:-1])
+    odds = word_odds[place] + np.where(np.diff(bounds) > 0, np.maximum.reduceat(np.append(gram_odds[bucket], 0), bounds[:-1]), 0)
     score = np.where(wins >= 0, np.exp(3 * odds[wins]), 0).sum(1)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
@@ -289,7 +291,7 @@ def _type_logits(net: Network, names: list[bytes], wins: np.ndarray) -> np.ndarr
     x = net.inputs(names)[3]
     net.gates = np.concatenate([x @ net.p["wf"] + net.p["bf"], x @ net.p["wb"] + net.p["bb"]], 1).astype(np.float32)
     out = net.logits(wins)
-    net.gates = np.zeros((0, 6 * HIDDEN), np.float32)
+    net.reset()
     return out
 
 
@@ -306,37 +308,54 @@ def calibrate(features: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[
     return float(w[0]), float(w[1]), float(w[2])
 
 
-def classify(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "toxic", folds: int = 5, held_fold: int = 0, sample: int = SAMPLE
-) -> DataFrame:
-    """(doc_id, held_out, score, predicted), one row per input row.
-
-    Only labels outside ``held_fold`` are learned from, of each label at most ``sample``
-    rows (the first by hash of the id), weighted back to their share.  Every overlapping
-    window of every whole text is scored.  Null labels and ids do not train; of repeated
-    labels the largest counts.  Null texts count as empty, which are one window without
-    words; without usable labels every score is 0.5; an empty table gives no rows.
-    """
-    d = id_and_text(docs, id_col, text_col).withColumn("held_out", fold(F.col("doc_id"), folds) == held_fold)
+def fitted(d: DataFrame, labels: DataFrame, label_id: str, label_col: str, folds: int, held_fold: int, sample: int) -> Network:
+    """The network learned from (doc_id, text) and their labels outside ``held_fold``."""
     known = labels.select(F.col(label_id).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     known = known.where(fold(F.col("doc_id"), folds) != held_fold)
     # ids first, texts for the chosen ones only; twice ``sample`` rows at most
-    chosen = known.where("label = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).unionByName(known.where("label = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    rows = d.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample).collect()
+    first = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
+    rows = d.join(F.broadcast(first[0].unionByName(first[1])), "doc_id").select("doc_id", "text", "label").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample).collect()
     share = dict(known.groupBy("label").count().collect())
     y = np.array([r["label"] for r in rows], float)
-    weight = np.array([share[r["label"]] / max(1, (y == r["label"]).sum()) for r in rows])
-    weight = weight / weight.mean() if len(weight) else weight
-    net = train([r["text"] for r in rows], y, weight)
+    weight = np.array([share[r["label"]] / (y == r["label"]).sum() for r in rows])
+    return train([r["text"] for r in rows], y, weight / weight.mean() if len(weight) else weight)
+
+
+def scored(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
+    """All columns of ``docs`` with ``score`` and ``predicted`` behind them, columns of these names replaced."""
+    keep = [c for c in docs.columns if c not in ("score", "predicted")]
     model = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = model.value
         for batch in batches:
-            for part, texts in groups(batch):
-                doc, wins = windows(net.ids([tokens(t) for t in texts]))
+            for part, texts in groups(batch, text_col):
+                doc, wins = windows(net.ids([words_of(t) for t in texts]))
                 p = net.probability(net.document_scores(doc, net.logits(wins), len(texts)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [*part.schema.names, "score", "predicted"])
 
-    kind = d.schema["doc_id"].dataType.simpleString()
-    return d.select("doc_id", "held_out", "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    rows = docs.select(*keep)
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, columns as they were."""
+    net = fitted(id_and_text(docs), labels, "doc_id", "toxic", 5, 0, sample)
+    rows = scored(docs.withColumnsRenamed({c: "_" + c for c in ("score", "predicted") if c in docs.columns}), net)
+    return rows.where("predicted = 0").drop("score", "predicted").withColumnsRenamed({"_" + c: c for c in ("score", "predicted") if c in docs.columns}).select(docs.columns)
+
+
+def classify(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "toxic", folds: int = 5, held_fold: int = 0, sample: int = SAMPLE
+) -> DataFrame:
+    """(doc_id, held_out, score, predicted), one row per input row.
+
+    Only labels outside ``held_fold`` are learned from, of each label at most ``sample``
+    rows (the first by hash of the id), weighted back to their share.  Every overlapping
+    window of every whole text is scored.  Null labels and ids do not train; of repeated
+    labels the largest counts.  Null texts count as empty, which are one window without
+    words; without usable labels every score is 0.5; an empty table gives no rows.
+    """
+    d = id_and_text(docs, id_col, text_col).withColumn("held_out", fold(F.col("doc_id"), folds) == held_fold)
+    net = fitted(d, labels, label_id, label_col, folds, held_fold, sample)
+    return scored(d.select("doc_id", "held_out", "text"), net).drop("text")

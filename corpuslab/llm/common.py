@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Texts are handed to the word-level code in groups of about this many characters.
 GROUP_CHARS = 1 << 19
+#: Rows up to which a list of ids is broadcast; beyond, it is joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +63,16 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: i
     return left.join(hot, key).unionByName(rest.join(right.where(~large), key))
 
 
+def checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has few rows; as it is otherwise."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is not among ``ids``; rows with a null id stay."""
+    return docs.join(checked(ids.select(id_col)), id_col, "left_anti").select(docs.columns)
+
+
 class Memo:
     """Bounded memo: two generations of ``half`` entries; the older one is dropped when the younger is full."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bigru, bpe, brown, chat, cuckoo, licenses, rules, tokens, winnow
+from . import bigru, bpe, brown, chat, cuckoo, licenses, near, rules, tokens, winnow
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by the recurrent network."""
     return bigru.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_minhash_near_dedup", near.sql())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
