@@ -24,6 +24,8 @@ SURE = int(COORDINATES * THRESHOLD / 100 - 6 * np.sqrt(COORDINATES * THRESHOLD /
 #: Edges of a hub that one task verifies.
 HUB_EDGES = 256
 ELEMENTS = 1 << 18
+#: Members of a bucket that are compared together, members of a component in one list, and lists that one task verifies.
+BLOCK, PART, HUBS = 4096, 1 << 15, 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -81,7 +83,11 @@ def bands(sketch: np.ndarray) -> np.ndarray:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, n_shingles, sig, bands, coords, text) of each (row, doc_id, text); ``sig`` names the set, null for the empty one."""
+    """(row, doc_id, n_shingles, sig, bands, coords, text) of each (row, doc_id, text).
+
+    ``sig`` names the set, null for the empty one; ``coords`` has one byte of each
+    coordinate, then four of each band.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +95,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                 sets = [shingles(t) for t in texts]
                 s = sketches(sets)
                 keys = bands(s)
-                coords = mix(s).astype(np.uint8)
+                coords = np.concatenate([mix(s).astype(np.uint8), keys.astype("<u4").view(np.uint8)], 1)
                 full = [len(x) > 0 for x in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -108,6 +114,10 @@ def sketched(docs: DataFrame) -> DataFrame:
     return docs.select("row", "doc_id", "text").mapInArrow(run, f"row long, doc_id {kind}, n_shingles long, sig binary, bands array<long>, coords binary, text string")
 
 
+def unpacked(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES + 4 * BANDS)
+
+
 def plausible(edges: DataFrame, sets: DataFrame) -> DataFrame:
     """Those (a, b) whose sketches agree in enough coordinates that they may be linked."""
     one = sets.select(F.col("vid").alias("a"), F.col("coords").alias("_a"))
@@ -116,7 +126,7 @@ def plausible(edges: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(j).to_pylist()), np.uint8).reshape(-1, COORDINATES) for j in (2, 3))
+            x, y = (unpacked(batch.column(j))[:, :COORDINATES] for j in (2, 3))
             yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= SURE))
 
     return both.mapInArrow(run, "a long, b long")
@@ -151,6 +161,108 @@ def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("a", "vid", "spoke", "text").mapInArrow(run, "a long, b long")
 
 
+def across(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(g, part, a, partners): per vertex ``a`` and other component ``g`` the members of ``g`` that it may be linked to.
+
+    ``rows``: key, band, vid, size, comp, parts of buckets with several components.  Each
+    pair counts in the first band it shares, and no pair makes a row of its own; large
+    buckets are compared block by block.
+    """
+    blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    dealt = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("vid"), F.col("n")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    dealt = dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "band", "vid", "size", "comp", "parts").join(sets, "vid")
+    dealt = dealt.select("key", "lo", "hi", "block", "band", "vid", "size", "comp", "parts", "coords").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+
+    def compare(lo: int, hi: int, block, band: int, vid, size, comp, parts, coords) -> list[tuple]:
+        kinds, counts = np.unique(comp, return_counts=True)
+        minor = comp != kinds[counts.argmax()]
+        marks = coords[:, COORDINATES : COORDINATES + 4 * band]
+        out = []
+        for i in np.flatnonzero(minor):
+            ok = (comp != comp[i]) & (np.minimum(size, size[i]) * 100 >= np.maximum(size, size[i]) * THRESHOLD)
+            if lo != hi:
+                ok &= block != block[i]
+            ok &= ~minor | (vid > vid[i])  # two of the minor ones meet once
+            at = np.flatnonzero(ok)
+            at = at[(coords[at, :COORDINATES] == coords[i, :COORDINATES]).sum(1) >= SURE]
+            if band and len(at):
+                at = at[~(marks[at].reshape(len(at), band, 4) == marks[i].reshape(band, 4)).all(2).any(1)]
+            place = vid[at] % parts[at]
+            for g in np.unique(comp[at]):
+                for k in np.unique(place[comp[at] == g]):
+                    out.append((int(g), int(k), int(vid[i]), vid[at[(comp[at] == g) & (place == k)]].tolist()))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(group: list[tuple]) -> pa.RecordBatch:
+            key = group[0][:3]
+            cols = [np.array([r[j] for r in group]) for j in (3, 5, 6, 7, 8)]
+            coords = np.frombuffer(b"".join([r[9] for r in group]), np.uint8).reshape(len(group), -1)
+            found = compare(key[1], key[2], cols[0], int(group[0][4]), *cols[1:], coords)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array([x[j] for x in found], k) for j, k in enumerate(kinds)], ["g", "part", "a", "partners"])
+
+        group: list[tuple] = []
+        for batch in batches:
+            for r in zip(*(c.to_pylist() for c in batch.columns)):
+                if group and r[:3] != group[0][:3]:
+                    yield made(group)
+                    group = []
+                group.append(r)
+        if group:
+            yield made(group)
+
+    return dealt.mapInArrow(run, "g long, part long, a long, partners array<long>")
+
+
+def attached(lists: DataFrame, texts: DataFrame) -> DataFrame:
+    """A link (a, b) for each ``a`` and component ``g`` of ``lists`` that has one, by the full sets.
+
+    Vertices with partners in one component are taken ``HUBS`` at a time, so a partner's
+    text is read once for all of them.
+    """
+    sizes = lists.groupBy("g", "part").agg(F.ceil(F.count("*") / HUBS).cast("int").alias("n"))
+    dealt = lists.join(sizes, ["g", "part"]).select("g", "part", F.pmod(F.xxhash64("a"), F.col("n")).cast("int").alias("hub"), "a", "partners")
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = {(g, part, hub, b) for g, part, hub, _, partners in zip(*(c.to_pylist() for c in batch.columns)) for b in partners}
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in seen], k) for j, k in enumerate(kinds)], ["g", "part", "hub", "vid"])
+
+    none = F.lit(None)
+    partner = dealt.mapInArrow(wanted, "g long, part long, hub int, vid long").distinct().join(texts, "vid").select("g", "part", "hub", F.lit(2).alias("kind"), "vid", none.cast("array<long>").alias("partners"), "text")
+    hubs = dealt.select("g", "part", "hub", F.col("a").alias("vid")).distinct().join(texts, "vid").select("g", "part", "hub", F.lit(1).alias("kind"), "vid", none.cast("array<long>").alias("partners"), "text")
+    rows = dealt.select("g", "part", "hub", F.lit(0).alias("kind"), F.col("a").alias("vid"), "partners", none.cast("string").alias("text")).unionByName(hubs).unionByName(partner)
+    rows = rows.repartition("g", "part", "hub").sortWithinPartitions("g", "part", "hub", "kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, of, own, done = None, {}, {}, set()
+        for batch in batches:
+            found = []
+            for g, part, hub, kind, vid, partners, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (g, part, hub) != now:
+                    now, of, own, done = (g, part, hub), {}, {}, set()
+                if kind == 0:
+                    for b in partners:
+                        of.setdefault(b, []).append(vid)
+                elif kind == 1:
+                    own[vid] = shingles(text)
+                else:
+                    s = None
+                    for a in of[vid]:
+                        if a in done:
+                            continue
+                        s = shingles(text) if s is None else s
+                        shared = len(np.intersect1d(own[a], s, assume_unique=True))
+                        if 100 * shared >= THRESHOLD * (len(own[a]) + len(s) - shared):
+                            found.append((a, vid))
+                            done.add(a)  # one link connects it with the component
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(vid, comp) of every vertex of (a, b), ``comp`` the smallest vertex it reaches.
 
@@ -184,31 +296,29 @@ def links(buckets: DataFrame, sets: DataFrame, texts: DataFrame, scratch: Scratc
     """(vid, comp) over all links between members of a bucket.
 
     Stars first: every member against the first member of its bucket, in two orders;
-    then, in buckets whose members are not all connected, every pair of members of
-    different components.  Pairs inside a component change nothing and are left out, so
-    a large group of copies costs its size and not its square.
+    then, in buckets whose members are not all connected, the members of the smaller
+    components against those of the others.  Pairs inside a component change nothing and
+    are left out, so a large group of copies costs its size and not its square.
     """
-    found = None
-    labels = None
-    for leader in ("min", "max", None):
-        rows = buckets
-        if labels is not None:
-            rows = rows.join(labels, "vid", "left").withColumn("comp", F.coalesce("comp", "vid"))
+    found = labels = None
+    for pick in (F.min, F.max, None):
+        if labels is None:
+            rows = buckets.withColumn("comp", F.col("vid"))
+        else:
+            rows = buckets.join(labels, "vid", "left").withColumn("comp", F.coalesce("comp", "vid"))
             mixed = rows.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi").select("key")
-            rows = scratch.save(rows.join(mixed, "key").select("key", "vid", "size", "comp"), "open")
+            rows = scratch.save(rows.join(mixed, "key").select("key", "band", "vid", "size", "comp"), "open")
             if rows.isEmpty():
                 break
+        if pick is None:
+            parts = labels.groupBy("comp").agg(F.ceil(F.count("*") / PART).cast("long").alias("parts"))
+            rows = rows.join(parts, "comp", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+            good = attached(scratch.save(across(rows, sets), "lists"), texts)
         else:
-            rows = rows.withColumn("comp", F.col("vid"))
-        first = rows.select("key", F.col("vid").alias("a"), F.col("size").alias("size_a"), F.col("comp").alias("comp_a"))
-        if leader:
-            pick = F.min if leader == "min" else F.max
             first = rows.groupBy("key").agg(pick(F.struct("vid", "size", "comp")).alias("x")).select("key", F.col("x.vid").alias("a"), F.col("x.size").alias("size_a"), F.col("x.comp").alias("comp_a"))
             pairs = rows.join(first, "key").where((F.col("comp") != F.col("comp_a")) & _alike("size", "size_a"))
-        else:
-            pairs = rows.join(first, "key").where((F.col("comp_a") < F.col("comp")) & _alike("size", "size_a"))
-        edges = scratch.save(plausible(pairs.select("a", F.col("vid").alias("b")).distinct(), sets), "candidates")
-        good = scratch.save(verified(edges, texts), "links")
+            good = verified(scratch.save(plausible(pairs.select("a", F.col("vid").alias("b")).distinct(), sets), "candidates"), texts)
+        good = scratch.save(good, "links")
         found = good if found is None else found.unionByName(good)
         labels = components(found, scratch)
     return labels
@@ -235,9 +345,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = full.count()
     # one row stands for each set
     reps = full.select(F.col("row").alias("vid"), F.col("n_shingles").alias("size"), "bands").join(checked(vertices.select("vid")), "vid", "left_semi")
-    keys = reps.select("vid", "size", F.explode("bands").alias("key"))
+    keys = reps.select("vid", "size", F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = scratch.save(keys.join(checked(scratch.save(shared, "shared"), 4 * BROADCAST_ROWS), "key").select("key", "vid", "size"), "buckets")
+    buckets = scratch.save(keys.join(checked(scratch.save(shared, "shared"), 4 * BROADCAST_ROWS), "key").select("key", "band", "vid", "size"), "buckets")
     members = scratch.save(buckets.select("vid").distinct(), "members")
     wanted = full.select(F.col("row").alias("vid"), "coords", "text").join(checked(members), "vid", "left_semi")
     wanted = scratch.save(wanted, "members", compression="zstd")
