@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.text import strip_ws
 from ..functions.times import bucket_key, compact_date
 from ..operators import corpus as C
 from ..operators import inventory as I
@@ -14,7 +15,7 @@ from ..operators import publications as P
 from ..operators import tfidf
 from ..plans import reports, views
 from .base import query
-from .sqltext import CANDIDATES, CHANNELS, CORPUS, markdown, month_key, n_words, rep, tfidf as tfidf_sql, week_key, with_
+from .sqltext import CANDIDATES, CHANNELS, CORPUS, markdown, month_key, n_words, rep, strip, tfidf as tfidf_sql, week_key, with_
 
 DOCS = f"docs AS (SELECT doc_id, channel, title, upload_date, {markdown('text')} AS document FROM cand)"
 THEMES = [CORPUS, CANDIDATES, DOCS, *tfidf_sql("docs")]
@@ -306,21 +307,21 @@ def channel_name_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "pending_summaries",
-    with_(CORPUS, "p AS (SELECT channel, doc_id FROM corpus WHERE NOT has_summary AND trim(text) <> '')") + """SELECT p.channel, doc_id, n AS channel_pending FROM p JOIN (SELECT channel, count(*) AS n FROM p GROUP BY channel) USING (channel)""",
+    with_(CORPUS, "p AS (SELECT channel, doc_id FROM corpus WHERE NOT has_summary AND " + strip("text") + " <> '')") + """SELECT p.channel, doc_id, n AS channel_pending FROM p JOIN (SELECT channel, count(*) AS n FROM p GROUP BY channel) USING (channel)""",
 )
 def pending_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = views.corpus(spark, sf_dir)
-    todo = M.pending(docs.drop("has_summary"), docs.where("has_summary"), ["doc_id"]).where(F.trim("text") != "")
+    todo = M.pending(docs.drop("has_summary"), docs.where("has_summary"), ["doc_id"]).where(strip_ws("text") != "")
     return I.pending_order(todo.select("channel", "doc_id"), ["doc_id"]).select("channel", "doc_id", "channel_pending")
 
 
 @query(
     "pending_counts",
-    with_(CORPUS) + """SELECT count(*) AS files, count(*) FILTER (has_summary) AS done,
-  count(*) FILTER (NOT has_summary AND trim(text) = '') AS empty, count(*) FILTER (NOT has_summary AND trim(text) <> '') AS pending FROM corpus""",
+    with_(CORPUS) + f"""SELECT count(*) AS files, count(*) FILTER (has_summary) AS done,
+  count(*) FILTER (NOT has_summary AND {strip('text')} = '') AS empty, count(*) FILTER (NOT has_summary AND {strip('text')} <> '') AS pending FROM corpus""",
 )
 def pending_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blank = F.trim("text") == ""
+    blank = strip_ws("text") == ""
     done = F.col("has_summary")
     return views.corpus(spark, sf_dir).agg(
         F.count(F.lit(1)).alias("files"), F.count_if(done).alias("done"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import tfidf
 from ..plans import reports, training, views
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 from ..sources import writers
 from ..streaming import registry, seen
 from .base import query
@@ -28,15 +28,15 @@ def _link_folder(spark: SparkSession, sf_dir: str, part: str) -> str:
 
 @query("stream_unseen_links", "SELECT DISTINCT url AS link, CASE WHEN contains(url, '/en/') THEN 'first' ELSE 'second' END AS run FROM pages")
 def stream_unseen_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over growing input; each link comes out once over both."""
+    """Two runs over one growing folder, with one seen table, output and checkpoint; what
+    each run wrote is read from the output alone."""
     base = scratch_dir(spark, "unseen")
-    outs = []
     for run in ("first", "second"):
-        links = seen.link_stream(spark, _link_folder(spark, sf_dir, run), "link string")
-        seen.emit_unseen(links, f"{base}/seen-{run}", f"{base}/out-{run}", f"{base}/cp-{run}").awaitTermination()
-        outs.append(spark.read.schema("link string").parquet(f"{base}/out-{run}").select("link", F.lit(run).alias("run")))
-    first, second = outs
-    return first.unionByName(second.join(first.select("link"), "link", "left_anti"))
+        arrived = spark.read.schema("link string").parquet(_link_folder(spark, sf_dir, run))
+        arrived.withColumn("run", F.lit(run)).write.mode("append").parquet(f"{base}/in")
+        links = seen.link_stream(spark, f"{base}/in", "link string, run string")
+        seen.emit_unseen(links, f"{base}/seen", f"{base}/out", f"{base}/cp").awaitTermination()
+    return spark.read.schema("link string, run string").parquet(f"{base}/out").select("link", "run")
 
 
 @query("stream_drop_seen", "SELECT DISTINCT url AS link FROM pages")
@@ -109,16 +109,18 @@ def stream_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "snapshot_runs",
-    with_(*THEMES) + """SELECT '2024-03-01' AS run_day, 'term' AS kind, term FROM
+    with_(*THEMES) + """, picked AS (SELECT 'term' AS kind, term FROM
   (SELECT term FROM found WHERE NOT contains(term, ' ') ORDER BY score DESC, term LIMIT 50)
-  UNION ALL SELECT '2024-03-01', 'phrase', term FROM (SELECT term FROM found WHERE contains(term, ' ') AND document_frequency >= 2
-    ORDER BY document_frequency DESC, score DESC, term LIMIT 30)""",
+  UNION ALL SELECT 'phrase', term FROM (SELECT term FROM found WHERE contains(term, ' ') AND document_frequency >= 2
+    ORDER BY document_frequency DESC, score DESC, term LIMIT 30))
+  SELECT run_day, kind, term FROM picked, (VALUES ('2024-02-29'), ('2024-03-01')) d(run_day)""",
 )
 def snapshot_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top terms and phrases appended under their run day and read back."""
-    found = tfidf.entries(reports.theme_weights(_docs(spark, sf_dir), "doc_id"))
+    """Top terms and phrases stored under two run days, the second day run twice, and read back."""
+    found = materialize(tfidf.entries(reports.theme_weights(_docs(spark, sf_dir), "doc_id")), "themes")
     path = scratch_dir(spark, "snapshots")
-    writers.write_snapshot(tfidf.top_terms(found, 50), tfidf.top_phrases(found, 30, 2), "2024-03-01", path)
+    for day in ("2024-02-29", "2024-03-01", "2024-03-01"):
+        writers.write_snapshot(tfidf.top_terms(found, 50), tfidf.top_phrases(found, 30, 2), day, path)
     return spark.read.schema("kind string, term string, run_day string").parquet(path).select("run_day", "kind", "term")
 
 
@@ -148,7 +150,7 @@ def stored_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("repetition_models")
 def repetition_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated classifiers on the looped cues."""
-    return training.score_models(training.labelled_cues(spark, sf_dir), max_iter=10)
+    return training.score_models(training.labelled_cues(spark, sf_dir))
 
 
 @query(

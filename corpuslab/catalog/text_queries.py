@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +20,9 @@ from .sqltext import collapse, lit, n_words, rep, strip, with_, words
 
 # --- pages --------------------------------------------------------------------
 
-_ENTITY = "CASE WHEN i = 1 THEN p " + " ".join(
-    f"WHEN starts_with(p, '{n};') THEN {lit(c)} || substr(p, {len(n) + 2})" for n, c in P.ENTITIES.items()
-) + " ELSE '&' || p END"
+_NAME_MAP = f"map_from_entries([{', '.join(f'({lit(n)}, {lit(c)})' for n, c in html5.items() if n.endswith(';'))}])"
+# named references with a semicolon, as the given pages have no others
+_ENTITY = r"CASE WHEN i = 1 THEN p WHEN name_map[regexp_extract(p, '^[A-Za-z][A-Za-z0-9]{1,31};')] IS NOT NULL THEN name_map[regexp_extract(p, '^[A-Za-z][A-Za-z0-9]{1,31};')] || substr(p, length(regexp_extract(p, '^[A-Za-z][A-Za-z0-9]{1,31};')) + 1) ELSE '&' || p END"
 
 
 def _page_lines(x: str) -> str:
@@ -33,7 +35,15 @@ def _page_lines(x: str) -> str:
     return f"list_filter(list_transform({parts}, lambda x: {collapse('x')}), lambda x: x <> '')"
 
 
-_PAGES = f"""pg AS (SELECT page_id, {_page_lines(f"CASE WHEN regexp_matches(html, {lit(P.BODY)}) THEN regexp_extract(html, {lit(P.BODY)}, 1) ELSE html END")} AS lines FROM pages)"""
+def _inside(x: str, tag: str) -> str:
+    """Between the first opening tag and the first closing one behind it; the whole text without them."""
+    low = f"lower({x})"
+    start = f"(position('<{tag}' IN {low}) + position('>' IN substr({low}, position('<{tag}' IN {low}))))"
+    return f"CASE WHEN contains({low}, '<{tag}') AND contains(substr({low}, {start}), '</{tag}>') THEN substr({x}, {start}, position('</{tag}>' IN substr({low}, {start})) - 1) ELSE {x} END"
+
+
+_PAGES = f"""nm AS (SELECT {_NAME_MAP} AS name_map),
+pg AS (SELECT page_id, {_page_lines("body")} AS lines FROM (SELECT page_id, {_inside("html", "body")} AS body FROM pages), nm)"""
 
 
 def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +86,9 @@ _IS_NEWS = "contains(html, 'newsletter-post') AND contains(html, 'substackcdn.co
     "newsletter_text",
     with_(
         f"nl AS (SELECT page_id, {_NEWS} AS html FROM pages)",
+        f"nm AS (SELECT {_NAME_MAP} AS name_map)",
         f"""ex AS (SELECT page_id, html, {_IS_NEWS} AS news, {_page_lines("CASE WHEN " + _IS_NEWS + " THEN " + rep(_ARTICLE, '(?s)<div class="post-ufi">.*?</div>', ' ') +
-        f" WHEN regexp_matches(html, {lit(P.BODY)}) THEN regexp_extract(html, {lit(P.BODY)}, 1) ELSE html END")} AS lines FROM nl)""",
+        f" ELSE {_inside('html', 'body')} END")} AS lines FROM nl, nm)""",
     ) + f"""SELECT page_id, array_to_string(CASE WHEN news THEN list_filter(lines, lambda x: lower(x) NOT IN ({quoted(P.CHROME_LINES)})
     AND NOT ({" OR ".join(f"starts_with(lower(x), {lit(p)})" for p in P.CHROME_PREFIXES)})
     AND NOT (contains(lower(x), 'subscribers') AND len(string_split(x, ' ')) <= 4)) ELSE lines END, chr(10) || chr(10)) AS text FROM ex""",
@@ -115,7 +126,7 @@ _DECORATED = """CASE doc_id % 6 WHEN 0 THEN text || ' <div class="x">' WHEN 1 TH
 @query(
     "markdown_validation",
     f"""SELECT doc_id, CASE WHEN {collapse('md')} = '' THEN 'empty' WHEN len(list_filter(list_transform(regexp_extract_all(
-    {rep(rep('md', '(?s)```.*?```'), '`[^`' + chr(10) + ']*`')}, {lit(P.INLINE_TAG)}, 1), lambda x: lower(x)), lambda x: x IN ({quoted(P.HTML_TAGS)}))) > 0
+    {rep(rep('md', '(?s)```.*?```'), '`[^`' + chr(10) + ']*`')}, '</?[ \\t\\r\\n]*([A-Za-z][-:A-Za-z0-9]*)(?:[ \\t\\r\\n/][^<>]*)?>', 1), lambda x: lower(x)), lambda x: x IN ({quoted(P.HTML_TAGS)}))) > 0
   THEN 'inline html' ELSE 'ok' END AS verdict FROM (SELECT doc_id, {_DECORATED} AS md FROM documents)""",
 )
 def markdown_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,11 +148,11 @@ def markdown_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "folder_titles",
     f"""SELECT doc_id, coalesce(nullif({rep(rep(rep('t', '[<>:"/\\\\|?*]', '_'), '_+', '_'), '^[. _]+|[. _]+$')}, ''), 'untitled') AS folder
-  FROM (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN ' ._? ' ELSE lang || ': ' || source || '?/' || substr(text, 1, 20) || '..' END AS t FROM documents)""",
+  FROM (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN ' ._? ' ELSE lang || ': ' || source || '?/' || replace(text, chr(10), ' ') || '..' END AS t FROM documents)""",
 )
 def folder_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.when(F.col("doc_id") % 9 == 0, F.lit(" ._? ")).otherwise(
-        F.concat("lang", F.lit(": "), "source", F.lit("?/"), F.substring("text", 1, 20), F.lit(".."))
+        F.concat("lang", F.lit(": "), "source", F.lit("?/"), F.replace("text", F.lit("\n"), F.lit(" ")), F.lit(".."))
     )
     return views.table(spark, sf_dir, "documents").select("doc_id", T.safe_dirname(title).alias("folder"))
 
@@ -255,11 +266,11 @@ def _grams(src: str, keys: str, text: str, out: str) -> str:
 
 
 _MODEL = f"""{_grams('documents', 'lang', 'text', 'pg')},
-top AS (SELECT gram FROM pg GROUP BY gram ORDER BY sum(n) DESC, gram LIMIT 2000),
-kept AS (SELECT pg.* FROM pg JOIN top USING (gram)),
+top AS (SELECT DISTINCT gram FROM pg),
+kept AS (SELECT * FROM pg),
 lb AS (SELECT d.lang, ln(count(*)::DOUBLE / (SELECT count(*) FROM documents)) AS prior, (SELECT sum(n) FROM kept k WHERE k.lang = d.lang)::DOUBLE AS total
   FROM documents d GROUP BY d.lang),
-model AS (SELECT lb.lang AS label, prior, top.gram, ln((coalesce(k.n, 0) + 1.0) / (total + 2000.0)) AS log_p
+model AS (SELECT lb.lang AS label, prior, top.gram, ln((coalesce(k.n, 0) + 1.0) / (total + (SELECT count(*) FROM top))) AS log_p
   FROM lb CROSS JOIN top LEFT JOIN kept k ON k.lang = lb.lang AND k.gram = top.gram)"""
 _PRED = f"""{_grams('ch', 'doc_id, chunk', 'chunk_text', 'cg')},
 sc AS (SELECT doc_id, chunk, label, sum(n * log_p) + max(prior) AS s FROM cg JOIN model USING (gram) GROUP BY 1, 2, 3),
@@ -370,8 +381,8 @@ def token_histogram_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "summary_plan",
-    with_(_TOK) + """SELECT doc_id, tokens, verdict, CASE WHEN verdict = 'ok' THEN least(800, 2048 - tokens) END AS request_tokens FROM
-  (SELECT doc_id, tokens, CASE WHEN trim(text) = '' THEN 'skip (empty)' WHEN tokens > 1228 OR 2048 - tokens <= 0 THEN 'skip (oversized)' ELSE 'ok' END AS verdict FROM tk)""",
+    with_(_TOK) + f"""SELECT doc_id, tokens, verdict, CASE WHEN verdict = 'ok' THEN least(800, 2048 - tokens) END AS request_tokens FROM
+  (SELECT doc_id, tokens, CASE WHEN {strip('text')} = '' THEN 'skip (empty)' WHEN tokens > 1228 OR 2048 - tokens <= 0 THEN 'skip (oversized)' ELSE 'ok' END AS verdict FROM tk)""",
 )
 def summary_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8192-token context shared by four workers, 60 % threshold."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import strip_ws
+
 MIN_BUCKET_WIDTH = 1024
 DEFAULT_BUCKETS = 32
 
@@ -66,7 +68,7 @@ def summary_plan(docs: DataFrame, tokens: str, text: Column, context: int, perce
     t = F.col(tokens)
     left = F.lit(context) - t
     verdict = (
-        F.when(F.trim(text) == "", F.lit("skip (empty)"))
+        F.when(strip_ws(text) == "", F.lit("skip (empty)"))
         .when((t > limit) | (left <= 0), F.lit("skip (oversized)"))
         .otherwise(F.lit("ok"))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_markdown, word_count
-from .matching import match_by_id_then_stem
+from .matching import left_join_known, match_by_id_then_stem
 
 
 def summary_stats(summaries: DataFrame, text: str) -> DataFrame:
@@ -43,8 +43,7 @@ def build_index(
     )
     stats = summary_stats(summaries, "text").select(F.col("path").alias("summary_path"), "summary_words", "summary_chars")
     joined = (
-        with_sum.join(meta, "metadata_path", "left")
-        .join(stats, "summary_path", "left")
+        left_join_known(left_join_known(with_sum, meta, "metadata_path"), stats, "summary_path")
         .join(cue_ends.select("path", "last_end_ms"), "path", "left")
         .join(channels.withColumn("__known", F.lit(True)), "channel", "left")
     )

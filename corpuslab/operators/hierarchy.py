@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import safe_dirname
 from ..functions.urls import with_timestamp
+from .matching import left_join_known
 from .running import running_number
 
 MAX_DEPTH = 20
@@ -28,7 +29,8 @@ def folder_paths(nodes: DataFrame) -> DataFrame:
     reach = 1
     while reach < MAX_DEPTH:
         up = chain.select(F.col("id").alias("next"), F.col("chain").alias("__up"), F.col("next").alias("__next"))
-        joined = chain.join(up, "next", "left")
+        # finished chains have no next node and leave the join
+        joined = left_join_known(chain, up, "next")
         chain = joined.select(
             "id",
             F.when(F.col("__up").isNull(), F.col("chain")).otherwise(F.concat("chain", "__up")).alias("chain"),
@@ -48,7 +50,9 @@ def folder_paths(nodes: DataFrame) -> DataFrame:
 def with_paths(items: DataFrame, nodes: DataFrame, key: str) -> DataFrame:
     """Add ``path`` to items by collection id; special and unknown ids get
     their own labels."""
-    joined = items.join(folder_paths(nodes).withColumnRenamed("id", key), key, "left")
+    special = F.col(key).isin(*SPECIAL)
+    placed = left_join_known(items.where(~F.coalesce(special, F.lit(False))), folder_paths(nodes).withColumnRenamed("id", key), key)
+    joined = placed.unionByName(items.where(special), allowMissingColumns=True)
     label = F.coalesce("path", F.concat(F.lit("Unknown("), F.col(key).cast("string"), F.lit(")")))
     for ident, name in SPECIAL.items():
         label = F.when(F.col(key) == ident, F.lit(name)).otherwise(label)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranges import point_join
 from .running import running
 
 MIN_PIECE_MS = 10
@@ -57,11 +56,18 @@ def trimmed(speech: DataFrame, key: str) -> DataFrame:
 def to_original(points: DataFrame, kept: DataFrame, key: str, point: str) -> DataFrame:
     """Trimmed time to original time; null outside every kept piece.  A border
     belongs to the earlier piece."""
-    # Ends are inclusive: shift to half-open (trimmed_from, trimmed_to].
-    spans = kept.select(
-        key, "from_ms", "trimmed_from", (F.col("trimmed_from") + 1).alias("__a"), (F.col("trimmed_to") + 1).alias("__b")
-    ).withColumn("__a", F.when(F.col("trimmed_from") == 0, F.lit(0).cast("long")).otherwise(F.col("__a")))
-    placed = point_join(points, spans, [key], point, ("__a", "__b"), width=1 << 16)
-    return placed.withColumn("original_ms", F.col("from_ms") + F.col(point) - F.col("trimmed_from")).drop(
-        "from_ms", "trimmed_from", "__a", "__b"
-    )
+    # Pieces tile the trimmed recording, so a point lies in the last piece that starts
+    # before it.  Starts and distinct points are put in one order and filled forward;
+    # a start comes behind a point at the same place, but for the first piece.
+    starts = kept.select(
+        key,
+        F.when(F.col("trimmed_from") == 0, F.lit(0)).otherwise(F.col("trimmed_from") * 2 + 1).cast("long").alias("__at"),
+        F.struct("from_ms", "trimmed_from", "trimmed_to").alias("__piece"),
+    ).groupBy(key, "__at").agg(F.max("__piece").alias("__piece"))
+    asked = points.where(F.col(point) >= 0).select(key, (F.col(point).cast("long") * 2).alias("__at")).distinct()
+    both = starts.unionByName(asked, allowMissingColumns=True).groupBy(key, "__at").agg(F.max("__piece").alias("__piece"))
+    filled = running(both, [key], "__at", F.col("__piece"), "__last", how="last").select(key, "__at", "__last")
+    placed = points.withColumn("__at", F.col(point).cast("long") * 2).join(filled, [key, "__at"], "left")
+    inside = F.col(point) <= F.col("__last.trimmed_to")
+    original = F.when(inside, F.col("__last.from_ms") + F.col(point) - F.col("__last.trimmed_from"))
+    return placed.withColumn("original_ms", original).drop("__at", "__last")

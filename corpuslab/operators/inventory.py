@@ -289,8 +289,11 @@ def fully_skipped(skipped: DataFrame, processed: DataFrame) -> DataFrame:
     return skipped.select("channel").distinct().join(processed.select("channel"), "channel", "left_anti")
 
 
-def limited_per_channel(pending: DataFrame, limits: DataFrame, order: list[str], run_limit: int | None = None) -> DataFrame:
-    """Pending items within their channel's limit (0 none, -1 all).
+def limited_per_channel(
+    pending: DataFrame, limits: DataFrame, order: list[str], run_limit: int | None = None, default_limit: int = -1
+) -> DataFrame:
+    """Pending items within their channel's limit (0 none, -1 all); ``default_limit``
+    holds for channels without a limit row.
 
     The rank is computed only for limited channels; unlimited ones skip it.
     Then the run limit applies in channel order.
@@ -298,9 +301,9 @@ def limited_per_channel(pending: DataFrame, limits: DataFrame, order: list[str],
     from .topn import top_per_group
 
     caps = limits.select("channel", F.col("item_limit").alias("__cap"))
-    joined = pending.join(caps, "channel")
+    joined = pending.join(caps, "channel", "left").withColumn("__cap", F.coalesce("__cap", F.lit(default_limit)))
     free = joined.where("__cap = -1").drop("__cap")
-    largest = limits.agg(F.max("item_limit").alias("m")).first()["m"] or 0
+    largest = max(limits.agg(F.max("item_limit").alias("m")).first()["m"] or 0, default_limit)
     capped = joined.where("__cap > 0")
     ranked = top_per_group(capped, ["channel"], [F.asc(c) for c in order], max(int(largest), 1), spread_on=order[-1], rank="__rank")
     out = free.unionByName(ranked.where("__rank <= __cap").drop("__rank", "__cap"))

@@ -20,7 +20,6 @@ from ..session import materialize
 CHUNK_WORDS = 1000
 MIN_CONFIDENCE = 0.7
 ENGLISH_SHARE = 0.8
-VOCABULARY = 2000
 
 
 def chunks(docs: DataFrame, keys: list[str], text: str, target: int = CHUNK_WORDS) -> DataFrame:
@@ -52,47 +51,42 @@ def gram_counts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     return marked.select(*keys, F.explode(pairs).alias("__e")).select(*keys, "__e.gram", "__e.n")
 
 
-def train(docs: DataFrame, label: str, text: str, vocabulary: int = VOCABULARY) -> DataFrame:
+def train(docs: DataFrame, label: str, text: str) -> DataFrame:
     """Model with one row per gram: ``gram, per_label`` where ``per_label`` is
     an array of (label, prior, log_p).
 
-    The ``vocabulary`` most frequent grams are kept, which bounds the rows.
-    Smoothing is add-one.
+    Every gram is kept.  Smoothing is add-one.
     """
     per_label = gram_counts(docs.select(label, text), [label], text).groupBy(label, "gram").agg(F.sum("n").alias("n"))
     # Read four times below; far smaller than the texts.
     per_label = materialize(per_label, "gram-counts")
-    top = (
-        per_label.groupBy("gram").agg(F.sum("n").alias("__all")).orderBy(F.desc("__all"), F.asc("gram")).limit(vocabulary)
-    )
-    kept = per_label.join(F.broadcast(top.select("gram")), "gram")
+    vocabulary = per_label.agg(F.count_distinct("gram")).scalar()
     n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     priors = docs.groupBy(label).agg(F.log(F.count(F.lit(1)) / n_docs).alias("prior"))
-    totals = kept.groupBy(label).agg(F.sum("n").alias("total"))
+    totals = per_label.groupBy(label).agg(F.sum("n").alias("total"))
     # One struct per label: a handful of languages.
     labels = priors.join(totals, label).agg(
         F.array_sort(F.collect_list(F.struct(F.col(label).alias("label"), "prior", "total"))).alias("l")
     ).scalar()
-    counts = kept.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("__m"))
+    counts = per_label.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("__m"))
     per = F.transform(
         F.col("__labels"),
         lambda x: F.struct(
             x["label"].alias("label"),
             x["prior"].alias("prior"),
             F.log(
-                (F.coalesce(F.try_element_at("__m", x["label"]), F.lit(0)) + 1.0) / (x["total"] + float(vocabulary))
+                (F.coalesce(F.try_element_at("__m", x["label"]), F.lit(0)) + 1.0) / (x["total"] + F.col("__v"))
             ).alias("log_p"),
         ),
     )
-    return counts.withColumn("__labels", labels).select("gram", per.alias("per_label"))
+    return counts.withColumns({"__labels": labels, "__v": vocabulary}).select("gram", per.alias("per_label"))
 
 
 def predict(chunked: DataFrame, keys: list[str], text: str, model: DataFrame) -> DataFrame:
     """Best label and its posterior per chunk; ``??`` where no word holds a
     letter."""
     grams = gram_counts(chunked, keys, text)
-    # The model has at most ``VOCABULARY`` rows.
-    hits = grams.join(F.broadcast(model), "gram").select(*keys, "n", F.explode("per_label").alias("__p"))
+    hits = grams.join(model, "gram").select(*keys, "n", F.explode("per_label").alias("__p"))
     scored = (
         hits.groupBy(*keys, F.col("__p.label").alias("label"))
         .agg((F.sum(F.col("n") * F.col("__p.log_p")) + F.first("__p.prior")).alias("__s"))

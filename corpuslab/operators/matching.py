@@ -48,6 +48,13 @@ def match_by_id_then_stem(
     return with_id.unionByName(without_id)
 
 
+def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join on ``key`` in which rows without a key take no part, so they share no task."""
+    matched = left.where(F.col(key).isNotNull()).join(right, key, "left")
+    rest = left.where(F.col(key).isNull())
+    return matched.unionByName(rest, allowMissingColumns=True)
+
+
 def duplicate_keys(df: DataFrame, key: Column, name: str) -> DataFrame:
     """Keys shared by more than one row, with the first two holders."""
     return (

@@ -21,15 +21,18 @@ SCORE_DECIMALS = 6
 
 # English function words removed before phrases are formed.  A
 # default only; pass ``stop_words`` to use another list.
-STOP_WORDS = (
-    "about above after again against all also am an and any are as at be because been before being below "
-    "between both but by can cannot could did do does doing down during each few for from further had has "
-    "have having he her here hers herself him himself his how if in into is it its itself just me more most "
-    "must my myself no nor not now of off on once only or other our ours ourselves out over own same she "
-    "should so some such than that the their theirs them themselves then there these they this those through "
-    "to too under until up us very was we were what when where which while who whom why will with would you "
-    "your yours yourself yourselves"
-).split()
+STOP_WORDS = [
+    "about", "above", "after", "again", "against", "all", "also", "am", "an", "and", "any", "are", "as", "at", "be",
+    "because", "been", "before", "being", "below", "between", "both", "but", "by", "can", "cannot", "could", "did",
+    "do", "does", "doing", "down", "during", "each", "few", "for", "from", "further", "had", "has", "have",
+    "having", "he", "her", "here", "hers", "herself", "him", "himself", "his", "how", "if", "in", "into", "is",
+    "it", "its", "itself", "just", "me", "more", "most", "must", "my", "myself", "no", "nor", "not", "now", "of",
+    "off", "on", "once", "only", "or", "other", "our", "ours", "ourselves", "out", "over", "own", "same", "she",
+    "should", "so", "some", "such", "than", "that", "the", "their", "theirs", "them", "themselves", "then", "there",
+    "these", "they", "this", "those", "through", "to", "too", "under", "until", "up", "us", "very", "was", "we",
+    "were", "what", "when", "where", "which", "while", "who", "whom", "why", "will", "with", "would", "you", "your",
+    "yours", "yourself", "yourselves",
+]
 
 
 def _kept_tokens(text: Column, stop_words: list[str]) -> Column:

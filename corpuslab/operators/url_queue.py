@@ -10,6 +10,7 @@ from ..functions.text import collapse_ws, strip_ws
 from ..functions.urls import (
     CONTENT_TYPES, RAW_SUFFIX, assemble, content_type, embedded_url, file_stem, full_url, host_of, port_of, refusal, url_parts,
 )
+from .matching import left_join_known
 
 RECOVERABLE_TYPES = list(RAW_SUFFIX)
 
@@ -96,7 +97,7 @@ def requeue_outcomes(archive: DataFrame, outputs: DataFrame, status: DataFrame,
     A line counts as duplicate once an earlier line of the same URL became a
     candidate.  ``status`` holds (normalized_url, http_status, error).
     """
-    source = F.trim(F.regexp_extract("line", r"^([^\t]*)", 1))
+    source = strip_ws(F.regexp_extract("line", r"^([^\t]*)", 1))
     rows = canonical_lines(archive.where(collapse_ws("line") != "").withColumn("source_line", source), "source_line")
     url = F.col("normalized_url")
     rows = hold(rows, stem=file_stem(url), content_type=content_type(url))
@@ -104,7 +105,10 @@ def requeue_outcomes(archive: DataFrame, outputs: DataFrame, status: DataFrame,
     gone = status.where(
         F.col("http_status").isin("404", "410") | F.contains(F.lower(F.coalesce("error", F.lit(""))), F.lit("could not resolve host"))
     ).select("normalized_url").distinct().withColumn("__gone", F.lit(True))
-    joined = rows.join(held, ["stem", "content_type"], "left").join(gone, "normalized_url", "left")
+    # unprocessable lines have no URL and skip the joins
+    usable = rows.where(url.isNotNull())
+    joined = usable.join(held, ["stem", "content_type"], "left").join(gone, "normalized_url", "left")
+    joined = joined.unionByName(rows.where(url.isNull()), allowMissingColumns=True)
     early = (
         F.when(url.isNull(), "unprocessable")
         .when(~F.col("content_type").isin(RECOVERABLE_TYPES), "unsupported")
@@ -113,7 +117,7 @@ def requeue_outcomes(archive: DataFrame, outputs: DataFrame, status: DataFrame,
     )
     marked = joined.withColumn("__early", early)
     first = marked.where("__early is null").groupBy("normalized_url").agg(F.min(order).alias("__first"))
-    return marked.join(first, "normalized_url", "left").withColumn(
+    return left_join_known(marked, first, "normalized_url").withColumn(
         "outcome",
         F.coalesce("__early", F.when(F.col(order) == F.col("__first"), "recoverable").otherwise("duplicate")),
     ).drop("__early", "__first", "__held", "__gone")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import bucket_key
-from ..functions.text import normalize_markdown
+from ..functions.text import normalize_markdown, strip_ws
 from ..operators import corpus, tfidf
 from ..operators.topn import ranked, top_per_group
 from ..session import materialize
@@ -26,7 +26,7 @@ def document_text(rows: DataFrame, summary: str, transcript: str | None = None)
     appended where asked for."""
     text = normalize_markdown(F.col(summary))
     if transcript is not None:
-        text = F.trim(F.concat_ws(" ", text, normalize_markdown(F.col(transcript))))
+        text = strip_ws(F.concat_ws(" ", text, normalize_markdown(F.col(transcript))))
     return rows.withColumn("document", text)
 
 

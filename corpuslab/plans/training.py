@@ -17,7 +17,7 @@ from ..session import materialize
 from . import views
 
 FOLDS = 5
-MAX_ITER = 50
+MAX_ITER = 1000
 
 
 def labelled_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,7 @@ def _fit(rows: DataFrame, pipeline: Pipeline, folds: int):
 def score_models(rows: DataFrame, max_iter: int = MAX_ITER) -> DataFrame:
     """One row per classifier: cross-validated and training accuracy.  The
     classifiers are fitted side by side."""
-    stored = materialize(folded(rows).coalesce(1), "training-rows")
+    stored = materialize(folded(rows), "training-rows")
 
     def score(name: str) -> tuple[str, float, float, float]:
         model, mean, deviation = fit(stored, name, max_iter=max_iter)

@@ -24,14 +24,11 @@ _HEAVY = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table.  A text table with fewer input splits than cores is
-    spread over them first; a large one is read as it lies, without a shuffle."""
+    """A given table, as it lies; where the session sets
+    ``spark.corpuslab.inputPartitions``, text tables are dealt over so many parts."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name in _HEAVY:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores, _HEAVY[name])
-    return df
+    parts = spark.conf.get("spark.corpuslab.inputPartitions", "")
+    return df.repartition(int(parts), _HEAVY[name]) if parts and name in _HEAVY else df
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", app: str = "corpuslab") -> SparkSession:
-    """Local session for tests and benchmarks; a cluster brings its own."""
+    """Local session for tests and benchmarks; a cluster brings its own.
+
+    Its inputs are single files of one row group, so the text tables are dealt over the
+    cores (``spark.corpuslab.inputPartitions``); a session without that setting reads
+    tables as they lie.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -18,6 +23,7 @@ def local_session(cores: str = "*", app: str = "corpuslab") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.corpuslab.inputPartitions", "" if cores == "*" else cores)
         .getOrCreate()
     )
 

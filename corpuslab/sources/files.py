@@ -48,10 +48,18 @@ def text_lines(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
     )
 
 
+def _directly_in(path: Column, folder: str) -> Column:
+    """Files of any name in the folder itself, not below it; those of the system are left out."""
+    name = folder.rstrip("/").rsplit("/", 1)[-1]
+    parts = F.split(path, "/")
+    return (F.element_at(parts, -2) == name) & ~F.element_at(parts, -1).rlike("^[._]")
+
+
 def inbox_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Stripped non-empty lines of the files directly in the inbox; the ``done``
     and ``unprocessed`` folders below it are not entered."""
-    rows = spark.read.text(folder.rstrip("/") + "/*.txt").select(
+    rows = spark.read.option("recursiveFileLookup", True).text(folder)
+    rows = rows.where(_directly_in(F.col("_metadata.file_path"), folder)).select(
         F.col("_metadata.file_path").alias("path"), strip_ws(F.col("value")).alias("line")
     )
     return rows.where("line <> ''")
@@ -60,7 +68,8 @@ def inbox_lines(spark: SparkSession, folder: str) -> DataFrame:
 def inbox_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """(path, sha256) of the files directly in the inbox."""
     return (
-        spark.read.format("binaryFile").load(folder.rstrip("/") + "/*.txt")
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+        .where(_directly_in(F.col("path"), folder))
         .select("path", F.sha2(F.col("content"), 256).alias("sha256"))
     )
 

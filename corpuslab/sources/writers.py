@@ -48,11 +48,11 @@ def write_ranking(ranking: DataFrame, path: str) -> None:
 
 
 def write_snapshot(terms: DataFrame, phrases: DataFrame, run_day: str, path: str) -> None:
-    """Append one run's top terms and phrases under its run day."""
+    """Store one run's top terms and phrases under its run day; a second run of a day replaces the first."""
     rows = terms.select(F.lit("term").alias("kind"), "term").unionByName(
         phrases.select(F.lit("phrase").alias("kind"), "term")
     )
-    rows.withColumn("run_day", F.lit(run_day)).write.mode("append").partitionBy("run_day").parquet(path)
+    rows.write.mode("overwrite").parquet(f"{path}/run_day={run_day}")
 
 
 def append_archive(lines: DataFrame, path: str) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.budget import upsert_failed_windows
-from .seen import _read_before
+from .seen import _base_version, _forget, _is_new, _read_before
 
 WINDOW_SCHEMA = "raw_name string, failed_window long"
 SIZE_SCHEMA = "raw_name string, raw_bytes long, reason string, seq long"
@@ -21,9 +21,13 @@ def latest_sizes(rows: DataFrame) -> DataFrame:
 
 def _upsert(stream: DataFrame, path: str, checkpoint: str, schema: str, merge) -> StreamingQuery:
     """Each batch writes a full new version from the latest earlier one."""
+    if _is_new(stream.sparkSession, checkpoint):
+        _forget(stream.sparkSession, f"{checkpoint}-base")
+    first = _base_version(stream.sparkSession, path, schema, checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch_id += first
         earlier = _read_before(spark, path, schema, batch_id)
         newest = earlier.agg(F.max("batch_id").alias("b")).first()["b"]
         names = [c.strip().split(" ")[0] for c in schema.split(",")]

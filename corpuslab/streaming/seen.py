@@ -16,6 +16,34 @@ def drop_seen(links: DataFrame, key: str = "link") -> DataFrame:
     return links.dropDuplicates([key])
 
 
+def _is_new(spark: SparkSession, checkpoint: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint)
+    return not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _forget(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _base_version(spark: SparkSession, path: str, schema: str, checkpoint: str) -> int:
+    """What a run adds to its batch numbers: the version stored last when its checkpoint began.
+
+    It is kept beside the checkpoint.  A new checkpoint, also one that replaces a lost
+    one, continues behind everything stored; a batch that runs again keeps its number.
+    """
+    note = f"{checkpoint}-base"
+    try:
+        return int(spark.read.schema("base long").json(note).first()["base"])
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    stored = _read_before(spark, path, schema, 1 << 62).agg(F.max("batch_id").alias("b")).first()["b"]
+    base = 0 if stored is None else int(stored) + 1
+    spark.createDataFrame([(base,)], "base long").write.json(note)
+    return base
+
+
 def _read_before(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
     """Rows of earlier batches; empty on the first one."""
     rows = spark.read.schema(f"{schema}, batch_id long").option("ignoreMissingFiles", True)
@@ -37,8 +65,14 @@ def emit_unseen(
     batch that runs again gives the same rows.
     """
 
+    fresh_checkpoint = _is_new(links.sparkSession, checkpoint)
+    if fresh_checkpoint:
+        _forget(links.sparkSession, f"{checkpoint}-base")
+    base = _base_version(links.sparkSession, seen_path, f"{key} {key_type}", checkpoint)
+
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch_id += base
         seen = _read_before(spark, seen_path, f"{key} {key_type}", batch_id)
         fresh = batch.dropDuplicates([key]).join(seen.select(key), key, "left_anti")
         target = f"{out_path}/batch_id={batch_id}"
