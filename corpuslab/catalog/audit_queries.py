@@ -313,7 +313,7 @@ def audio_without_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "partial_downloads",
     with_(_FILES, "nm AS (SELECT *, regexp_extract(name, '\\[([A-Za-z0-9_-]{11})\\]', 1) AS id11 FROM vis)")
-    + """SELECT id11 AS video_id, count(*) AS n_artifacts, min(channel) AS channel, min(name) AS first_artifact,
+    + """SELECT id11 AS video_id, count(*) AS n_artifacts, min(channel) AS channel, min(name) AS first_artifact, string_agg(name, ';' ORDER BY name) AS artifacts,
   id11 IN (SELECT id11 FROM nm WHERE ends_with(name, '.mp4')) AS merged FROM nm WHERE id11 <> '' AND regexp_matches(name, '\\.f[0-9]') GROUP BY 1""",
 )
 def partial_downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -650,9 +650,10 @@ _LEAVES = """lf AS (SELECT conv_id, turn // 2 AS node, min(turn) AS from_idx, ma
 @query(
     "leaf_export",
     with_(*CUES, _LEAVES) + """SELECT conv_id, 'n' || node AS node_id, 'Talk_ ' || conv_id AS folder, 'leaf_' || lpad(CAST(rn AS VARCHAR), 3, '0') AS leaf,
-  'Talk_ ' || conv_id || '_leaf_' || lpad(CAST(rn AS VARCHAR), 3, '0') AS citation_key, node_text, true AS in_bounds,
-  'https://example.com/w' || CASE WHEN conv_id % 2 = 0 THEN '?v=' || conv_id || '&t=' ELSE '?t=' END || ms // 1000 AS link
-  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY from_idx) AS rn FROM lf)""",
+  'Talk_ ' || conv_id || '_leaf_' || lpad(CAST(rn AS VARCHAR), 3, '0') AS citation_key, node_text, true AS in_bounds, link,
+  CAST(to_json({'citation_key': 'Talk_ ' || conv_id || '_leaf_' || lpad(CAST(rn AS VARCHAR), 3, '0'), 'source_type': 'youtube', 'common': {'title': 'Talk: ' || conv_id, 'url': link},
+    'source_data': {'channel': 'c', 'node_id': 'n' || node, 'leaf_index': rn, 'start_entry_idx': from_idx, 'end_entry_idx_exclusive': to_idx}}) AS VARCHAR) AS citation
+  FROM (SELECT *, 'https://example.com/w' || CASE WHEN conv_id % 2 = 0 THEN '?v=' || conv_id || '&t=' ELSE '?t=' END || ms // 1000 AS link, row_number() OVER (PARTITION BY conv_id ORDER BY from_idx) AS rn FROM lf)""",
 )
 def leaf_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves of a two-level topic tree: spans of two turns below one root."""
@@ -674,7 +675,7 @@ def leaf_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = texts.withColumns({
         "title": F.concat(F.lit("Talk: "), c), "url": url, "channel": F.lit("c"), "upload_date": F.lit(None).cast("string"),
     })
-    return H.citations(rows).select("conv_id", "node_id", "folder", "leaf", "citation_key", "node_text", "in_bounds", "link")
+    return H.citations(rows).select("conv_id", "node_id", "folder", "leaf", "citation_key", "node_text", "in_bounds", "link", "citation")
 
 
 @query(

@@ -14,6 +14,8 @@ from ..operators import matching as M
 from ..operators import publications as P
 from ..operators import tfidf
 from ..plans import reports, views
+from ..session import materialize, scratch_dir
+from ..sources import writers
 from .base import query
 from .sqltext import CANDIDATES, CHANNELS, CORPUS, markdown, month_key, n_words, rep, strip, tfidf as tfidf_sql, week_key, with_
 
@@ -160,21 +162,67 @@ _PREVIOUS = "pcand AS (SELECT * FROM corpus WHERE has_summary AND upload_date >=
 _PDOCS = f"pdocs AS (SELECT doc_id, channel, {markdown('text')} AS document FROM pcand)"
 
 
+def _emerging_sql(picked: str) -> str:
+    return with_(*THEMES, _PREVIOUS, _PDOCS, *tfidf_sql("pdocs", prefix="p_")) + f"""SELECT term FROM
+  (SELECT term FROM found {picked}) EXCEPT SELECT term FROM (SELECT term FROM p_found {picked})"""
+
+
+def _emerging(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Two runs are stored; what the newest has and the one before it lacks is read from storage."""
+    import datetime as dt
+
+    path = scratch_dir(spark, "runs")
+    for day in (dt.date(2024, 2, 9), views.REFERENCE):
+        found = materialize(tfidf.entries(reports.theme_weights(_docs(spark, sf_dir, day), "doc_id")), "themes")
+        terms, phrases = tfidf.top_terms(found, reports.TOP_TERMS), tfidf.top_phrases(found, reports.TOP_PHRASES, reports.MIN_DOCUMENTS)
+        writers.write_snapshot(terms, phrases, day.isoformat(), path)
+    newest = writers.stored_run(spark, path, kind)
+    return reports.emerging(newest, writers.stored_run(spark, path, kind, views.REFERENCE.isoformat()))
+
+
+@query("emerging_terms", _emerging_sql("WHERE NOT contains(term, ' ') ORDER BY score DESC, term LIMIT 50"))
+def emerging_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of the newest stored run that the run before it lacks."""
+    return _emerging(spark, sf_dir, "term")
+
+
+@query("emerging_phrases", _emerging_sql("WHERE contains(term, ' ') AND document_frequency >= 2 ORDER BY document_frequency DESC, score DESC, term LIMIT 30"))
+def emerging_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of the newest stored run that the run before it lacks."""
+    return _emerging(spark, sf_dir, "phrase")
+
+
 @query(
-    "emerging_terms",
-    with_(*THEMES, _PREVIOUS, _PDOCS, *tfidf_sql("pdocs", prefix="p_")) + """SELECT term FROM
-  (SELECT term FROM found WHERE NOT contains(term, ' ') ORDER BY score DESC, term LIMIT 50)
-  EXCEPT SELECT term FROM (SELECT term FROM p_found WHERE NOT contains(term, ' ') ORDER BY score DESC, term LIMIT 50)""",
+    "themes_report",
+    with_(*THEMES) + """, t AS (SELECT row_number() OVER (ORDER BY score DESC, term) AS r, * FROM found WHERE NOT contains(term, ' ') QUALIFY r <= 50),
+p AS (SELECT row_number() OVER (ORDER BY document_frequency DESC, score DESC, term) AS r, * FROM found WHERE contains(term, ' ') AND document_frequency >= 2 QUALIFY r <= 30),
+l AS (SELECT 0 AS pos, '# Themes' AS line UNION ALL SELECT 1, '## Terms' UNION ALL SELECT 2, '| Rank | Term | Score | Documents |' UNION ALL SELECT 3, '|---|---|---|---|'
+  UNION ALL SELECT 1000 + r, '| ' || r || ' | ' || replace(term, '|', '\|') || ' | ' || printf('%.6f', score) || ' | ' || document_frequency || ' |' FROM t
+  UNION ALL SELECT 2001, '## Phrases' UNION ALL SELECT 2002, '| Rank | Phrase | Score | Documents |' UNION ALL SELECT 2003, '|---|---|---|---|'
+  UNION ALL SELECT 3000 + r, '| ' || r || ' | ' || replace(term, '|', '\|') || ' | ' || printf('%.6f', score) || ' | ' || document_frequency || ' |' FROM p)
+SELECT line FROM l""",
 )
-def emerging_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Terms of this run's report that the one of three weeks before lacks."""
-    import datetime as dt
+def themes_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The themes report as Markdown, written as text and read back."""
+    found = materialize(tfidf.entries(reports.theme_weights(_docs(spark, sf_dir), "doc_id")), "themes")
+    path = scratch_dir(spark, "themes-report")
+    writers.write_lines(reports.theme_lines(reports.term_report(found), reports.phrase_report(found)), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
-    def top(reference) -> DataFrame:
-        found = tfidf.entries(reports.theme_weights(_docs(spark, sf_dir, reference), "doc_id"))
-        return tfidf.top_terms(found, reports.TOP_TERMS)
 
-    return reports.emerging(top(views.REFERENCE), top(dt.date(2024, 2, 9)))
+@query(
+    "timeline_report",
+    _timeline_sql(week_key("upload_date")).replace("SELECT bucket, CAST(sum(k) AS BIGINT) AS video_count", ", tl AS (SELECT bucket, CAST(sum(k) AS BIGINT) AS video_count", 1)
+    + """)
+SELECT line FROM (SELECT '# Timeline' AS line UNION ALL SELECT '## ' || bucket FROM tl UNION ALL SELECT '- Videos: ' || video_count FROM tl
+  UNION ALL SELECT '- Channels: ' || channels FROM tl UNION ALL SELECT '- Terms: ' || CASE WHEN top_terms = '' THEN 'none' ELSE top_terms END FROM tl
+  UNION ALL SELECT '- Phrases: ' || CASE WHEN top_phrases = '' THEN 'none' ELSE top_phrases END FROM tl)""",
+)
+def timeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly timeline as Markdown, written as text and read back."""
+    path = scratch_dir(spark, "timeline-report")
+    writers.write_lines(reports.timeline_lines(_timeline(spark, sf_dir, "week")), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 @query(

@@ -262,7 +262,8 @@ def merged_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SPANS = """spans AS (SELECT h.conv_id, h.hit_start, min(c.turn) AS cue_from, max(c.turn) AS cue_to, min(c.start_ms) AS hit_start_ms,
-  max(c.end_ms) AS hit_end_ms, count(*) AS n_cues FROM merged h JOIN cues c ON c.conv_id = h.conv_id AND c.word_start < h.hit_end AND h.hit_start < c.word_end
+  max(c.end_ms) AS hit_end_ms, count(*) AS n_cues,
+  string_agg(c.content, ' ' ORDER BY c.turn) FILTER (c.word_start < h.hit_start + h.k) AS text FROM merged h JOIN cues c ON c.conv_id = h.conv_id AND c.word_start < h.hit_end AND h.hit_start < c.word_end
   GROUP BY 1, 2)"""
 
 
@@ -272,7 +273,7 @@ def _hit_spans(cues: DataFrame) -> DataFrame:
 
 @query("hit_cue_spans", with_(*_MERGED, _SPANS) + "SELECT * FROM spans")
 def hit_cue_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hit_spans(_looped(spark, sf_dir)).select("conv_id", "hit_start", "cue_from", "cue_to", "hit_start_ms", "hit_end_ms", "n_cues")
+    return _hit_spans(_looped(spark, sf_dir)).select("conv_id", "hit_start", "cue_from", "cue_to", "hit_start_ms", "hit_end_ms", "n_cues", "text")
 
 
 @query(
@@ -340,13 +341,13 @@ def collapsed_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "detection_summary",
-    with_(*_HITS) + """SELECT count(*) AS files_processed, count(h) AS files_with_hits, CAST(coalesce(sum(h), 0) AS BIGINT) AS total_hits,
+    with_(*_HITS) + """SELECT count(*) AS files_processed, (SELECT count(DISTINCT conv_id) FROM cues) - count(*) AS files_failed, count(h) AS files_with_hits, CAST(coalesce(sum(h), 0) AS BIGINT) AS total_hits,
   CAST(sum(n) AS BIGINT) AS total_windows FROM (SELECT conv_id, count(*) AS n FROM win GROUP BY 1)
   LEFT JOIN (SELECT conv_id, count(*) AS h FROM hits GROUP BY 1) USING (conv_id)""",
 )
 def detection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = materialize(_windows(spark, sf_dir), "windows")
-    return R.detection_summary(windows, R.window_hits(windows, "conv_id"), "conv_id")
+    return R.detection_summary(windows, R.window_hits(windows, "conv_id"), "conv_id", views.table(spark, sf_dir, "conversations"))
 
 
 @query(

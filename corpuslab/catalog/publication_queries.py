@@ -57,6 +57,14 @@ def channel_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.withColumn("per_day", F.round("per_day", 9))
 
 
+@query("channel_ranking_file", with_(PUBS) + "SELECT DISTINCT channel_id AS line FROM pubs")
+def channel_ranking_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking written as text, one channel id a line, and read back."""
+    path = scratch_dir(spark, "ranking")
+    writers.write_ranking(channel_ranking(spark, sf_dir), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 def _payload(pubs: DataFrame) -> DataFrame:
     """Metadata JSON per event; event types carry different faults."""
     e = F.col("event_id")

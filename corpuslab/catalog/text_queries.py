@@ -231,9 +231,9 @@ def _research(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.research({"transcripts": docs, "summaries": talks}, ["id"], "text", " The the, É LES ,, und")
 
 
-@query("keyword_research", with_(_RESEARCH) + "SELECT * FROM rk")
+@query("keyword_research", with_(_RESEARCH) + "SELECT *, row_number() OVER (PARTITION BY corpus ORDER BY n_lines DESC, id) AS rank FROM rk")
 def keyword_research(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _research(spark, sf_dir)
+    return S.research_ranks(materialize(_research(spark, sf_dir), "research"), "id")
 
 
 @query("keyword_research_counts", with_(_RESEARCH) + "SELECT corpus, count(*) AS n_documents FROM rk GROUP BY 1")
@@ -327,6 +327,19 @@ def language_channel_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(report.schema).json(path)
 
 
+@query(
+    "language_file_report",
+    with_(_CHUNKS, _MODEL, _PRED) + """SELECT source AS channel, section, doc_id, languages, word_count FROM prof,
+  (VALUES ('all files'), ('not English')) s(section) WHERE section = 'all files' OR NOT english_only""",
+)
+def language_file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per file and channel, and a section of the files that are not English, written by channel and read back."""
+    path = scratch_dir(spark, "language-files")
+    rows = L.file_rows(_profiles(spark, sf_dir), ["channel", "doc_id"])
+    writers.write_by_channel(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
 @query(
     "language_confusion",
     with_(_CHUNKS, _MODEL, _PRED) + "SELECT lang, predicted, count(*) AS n FROM pred JOIN documents USING (doc_id) GROUP BY 1, 2",

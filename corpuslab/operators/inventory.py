@@ -271,12 +271,13 @@ def metadata_for_media(media: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def partial_downloads(files: DataFrame) -> DataFrame:
-    """Interrupted merges per id: artifact count, channel, and whether the
-    merged file is there."""
+    """Interrupted merges per id: artifacts with their count, channel, and whether
+    the merged file is there."""
     ident = F.regexp_extract("name", r"\[([A-Za-z0-9_-]{11})\]", 1)
     named = visible(files).withColumn("video_id", ident).where("video_id <> ''")
     parts = named.where(F.col("name").rlike(PARTIAL)).groupBy("video_id").agg(
-        F.count(F.lit(1)).alias("n_artifacts"), F.min("channel").alias("channel"), F.min("name").alias("first_artifact")
+        F.count(F.lit(1)).alias("n_artifacts"), F.min("channel").alias("channel"), F.min("name").alias("first_artifact"),
+        F.array_join(F.array_sort(F.collect_list("name")), ";").alias("artifacts"),
     )
     merged = named.where(
         F.col("name").endswith(".mp4") & ~F.col("name").rlike(r"\.f[0-9][^/]*\.mp4$") & ~F.col("name").endswith(".temp.mp4")

@@ -86,18 +86,16 @@ def predict(chunked: DataFrame, keys: list[str], text: str, model: DataFrame) ->
     """Best label and its posterior per chunk; ``??`` where no word holds a
     letter."""
     grams = gram_counts(chunked, keys, text)
-    hits = grams.join(model, "gram").select(*keys, "n", F.explode("per_label").alias("__p"))
-    scored = (
-        hits.groupBy(*keys, F.col("__p.label").alias("label"))
-        .agg((F.sum(F.col("n") * F.col("__p.log_p")) + F.first("__p.prior")).alias("__s"))
-    )
-    best = scored.groupBy(*keys).agg(
-        F.max("__s").alias("__top"),
-        F.collect_list("__s").alias("__all"),
-        F.min_by("label", F.struct(-F.col("__s"), F.col("label"))).alias("predicted"),
-    )
-    total = F.aggregate("__all", F.lit(0.0), lambda acc, s: acc + F.exp(s - F.col("__top")))
-    out = best.select(*keys, "predicted", (F.lit(1.0) / total).alias("confidence"))
+    # labels and priors are the same in every row of the model; there is a handful of them
+    first = model.select("per_label").first()
+    labels = [(x["label"], x["prior"]) for x in first["per_label"]] if first else [("??", 0.0)]
+    sums = [F.sum(F.col("n") * F.get("per_label", F.lit(i))["log_p"]).alias(f"__s{i}") for i in range(len(labels))]
+    summed = grams.join(model, "gram").groupBy(*keys).agg(*sums)
+    scores = F.array(*[F.struct((F.col(f"__s{i}") + prior).alias("s"), F.lit(label).alias("label")) for i, (label, prior) in enumerate(labels)])
+    best = summed.select(*keys, scores.alias("__all")).withColumn("__top", F.array_max(F.transform("__all", lambda x: x["s"])))
+    total = F.aggregate("__all", F.lit(0.0), lambda acc, x: acc + F.exp(x["s"] - F.col("__top")))
+    winner = F.array_min(F.transform(F.filter("__all", lambda x: x["s"] == F.col("__top")), lambda x: x["label"]))
+    out = best.select(*keys, winner.alias("predicted"), (F.lit(1.0) / total).alias("confidence"))
     return (
         chunked.select(*keys).join(out, keys, "left")
         .withColumns({
@@ -144,6 +142,12 @@ def file_profiles(docs: DataFrame, predictions: DataFrame, keys: list[str], text
     )
 
 
+def file_rows(profiles: DataFrame, keys: list[str]) -> DataFrame:
+    """A row per file in the section of all files, and a second one for those that are not English."""
+    sections = F.explode(F.when(F.col("english_only"), F.array(F.lit("all files"))).otherwise(F.array(F.lit("all files"), F.lit("not English"))))
+    return profiles.select(*keys, sections.alias("section"), "languages", "word_count")
+
+
 def channel_report(profiles: DataFrame, channel: str) -> DataFrame:
     """Files, English files and language sets per channel."""
     return profiles.groupBy(channel).agg(

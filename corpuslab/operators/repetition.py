@@ -189,7 +189,7 @@ def merge_hits(hits: DataFrame, key: str) -> DataFrame:
 def hit_cue_spans(hits: DataFrame, cues: DataFrame, key: str, order: str) -> DataFrame:
     """First and last cue of every hit with their times, and the joined text of
     the first occurrence's cues."""
-    rows = cues.select(key, F.col(order).alias("__o"), "word_start", "word_end", "start_ms", "end_ms")
+    rows = cues.select(key, F.col(order).alias("__o"), "content", "word_start", "word_end", "start_ms", "end_ms")
     pairs = overlap_join(rows, hits, [key], ("word_start", "word_end"), ("hit_start", "hit_end"))
     cols = [c for c in hits.columns if c != key]
     return pairs.groupBy(key, *cols).agg(
@@ -198,6 +198,10 @@ def hit_cue_spans(hits: DataFrame, cues: DataFrame, key: str, order: str) -> Dat
         F.min("start_ms").alias("hit_start_ms"),
         F.max("end_ms").alias("hit_end_ms"),
         F.count(F.lit(1)).alias("n_cues"),
+        # the cues of one occurrence are few, however long the loop is
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.when(F.col("word_start") < F.col("hit_start") + F.col("k"), F.struct("__o", "content")))), lambda c: c["content"]), " "
+        ).alias("text"),
     )
 
 
@@ -282,12 +286,14 @@ def training_rows(texts: DataFrame, key: str, words: str) -> DataFrame:
     )
 
 
-def detection_summary(windows: DataFrame, hits: DataFrame, key: str) -> DataFrame:
-    """One row: transcripts seen, with hits, hits in all, windows evaluated."""
+def detection_summary(windows: DataFrame, hits: DataFrame, key: str, transcripts: DataFrame) -> DataFrame:
+    """One row: transcripts seen, with hits, failed (no window came of them), hits in
+    all, windows evaluated."""
     seen = windows.groupBy(key).agg(F.count(F.lit(1)).alias("__w"))
     with_hits = hits.groupBy(key).agg(F.count(F.lit(1)).alias("__h"))
-    return seen.join(with_hits, key, "left").agg(
-        F.count(F.lit(1)).alias("files_processed"),
+    return transcripts.select(key).distinct().join(seen, key, "left").join(with_hits, key, "left").agg(
+        F.count("__w").alias("files_processed"),
+        F.count_if(F.col("__w").isNull()).alias("files_failed"),
         F.count("__h").alias("files_with_hits"),
         F.coalesce(F.sum("__h"), F.lit(0)).alias("total_hits"),
         F.sum("__w").alias("total_windows"),

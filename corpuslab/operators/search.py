@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import running_number
+
 
 def lines_of(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     """One row per line: ``line_no`` from 1 and ``line``."""
@@ -50,6 +52,19 @@ def research(corpora: dict[str, DataFrame], keys: list[str], text: str, keywords
     return out.select("corpus", *keys, "n_lines")
 
 
+def research_ranks(found: DataFrame, key: str) -> DataFrame:
+    """Add ``rank`` within the corpus: most lines first, then by the integer ``key``.
+
+    The documents of one count are numbered in blocks, behind the number of documents
+    with higher counts, so no task sorts a corpus.
+    """
+    sizes = found.groupBy("corpus", "n_lines").agg(F.count(F.lit(1)).alias("__n"))
+    above = Window.partitionBy("corpus").orderBy(F.desc("n_lines")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("corpus", "n_lines", F.coalesce(F.sum("__n").over(above), F.lit(0)).alias("__before"))
+    placed = running_number(found, ["corpus", "n_lines"], key, "__i")
+    return placed.join(offsets, ["corpus", "n_lines"]).withColumn("rank", F.col("__before") + F.col("__i")).drop("__before", "__i")
+
+
 def research_counts(ranking: DataFrame, corpora: list[str]) -> DataFrame:
     """Matching documents per corpus, zero included."""
     names = ranking.sparkSession.createDataFrame([(c,) for c in corpora], "corpus string")

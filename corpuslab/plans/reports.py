@@ -79,6 +79,33 @@ def emerging(current: DataFrame, previous: DataFrame | None) -> DataFrame:
     return current.select("term").join(previous.select("term"), "term", "left_anti").distinct()
 
 
+def theme_lines(terms: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Markdown lines (pos, line) of the themes report, from ranked terms and phrases."""
+
+    def table(rows: DataFrame, name: str, first: int) -> DataFrame:
+        heads = [(first + 1, f"## {name}s"), (first + 2, f"| Rank | {name} | Score | Documents |"), (first + 3, "|---|---|---|---|")]
+        cells = [F.col("rank").cast("string"), _cell(F.col("term")), F.format_string("%.6f", "score"), F.col("document_frequency").cast("string")]
+        body = rows.select((F.col("rank") + first + 1000).alias("pos"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+        return rows.sparkSession.createDataFrame(heads, "pos long, line string").unionByName(body)
+
+    title = terms.sparkSession.createDataFrame([(0, "# Themes")], "pos long, line string")
+    return title.unionByName(table(terms, "Term", 0)).unionByName(table(phrases, "Phrase", 2000))
+
+
+def timeline_lines(rows: DataFrame) -> DataFrame:
+    """Markdown lines (pos, line) of the timeline: bucket, video_count, channels, top_terms, top_phrases as text."""
+
+    def text(c: str):
+        return F.when(F.col(c) == "", F.lit("none")).otherwise(F.col(c))
+
+    lines = F.array(
+        F.concat(F.lit("## "), "bucket"), F.concat(F.lit("- Videos: "), F.col("video_count").cast("string")), F.concat(F.lit("- Channels: "), "channels"),
+        F.concat(F.lit("- Terms: "), text("top_terms")), F.concat(F.lit("- Phrases: "), text("top_phrases")),
+    )
+    body = rows.select("bucket", F.posexplode(lines).alias("i", "line")).select(F.concat_ws(" ", "bucket", F.col("i").cast("string")).alias("pos"), "line")
+    return rows.sparkSession.createDataFrame([("", "# Timeline")], "pos string, line string").unionByName(body)
+
+
 def _listing(c) -> object:
     return F.when(F.size(c) == 0, F.lit("none")).otherwise(F.array_join(c, ", "))
 

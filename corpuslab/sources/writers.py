@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import TIMESERIES_COLUMNS
@@ -55,6 +55,14 @@ def write_snapshot(terms: DataFrame, phrases: DataFrame, run_day: str, path: str
     rows.write.mode("overwrite").parquet(f"{path}/run_day={run_day}")
 
 
+def stored_run(spark: SparkSession, path: str, kind: str, before: str | None = None) -> DataFrame | None:
+    """Terms or phrases of the newest stored run, or the newest before a day; None on a first run."""
+    rows = spark.read.schema("kind string, term string, run_day string").parquet(path)
+    earlier = rows if before is None else rows.where(F.col("run_day") < before)
+    day = earlier.agg(F.max("run_day").alias("d")).first()["d"]
+    return None if day is None else rows.where((F.col("run_day") == day) & (F.col("kind") == kind)).select("term")
+
+
 def append_archive(lines: DataFrame, path: str) -> None:
     """Append archive lines under ``kind=/day=``."""
     lines.select("kind", "day", "line").write.mode("append").partitionBy("kind", "day").text(path)
