@@ -24,7 +24,7 @@ SURE = int(COORDINATES * THRESHOLD / 100 - 6 * np.sqrt(COORDINATES * THRESHOLD /
 #: Edges of a hub that one task verifies.
 HUB_EDGES = 256
 ELEMENTS = 1 << 18
-#: Members of a bucket that are compared together, members of a component in one list, and lists that one task verifies.
+#: Members of a bucket that are compared together, members of a component in one list, and vertices that one task attaches.
 BLOCK, PART, HUBS = 4096, 1 << 15, 64
 
 
@@ -221,7 +221,7 @@ def attached(lists: DataFrame, texts: DataFrame) -> DataFrame:
     Vertices with partners in one component are taken ``HUBS`` at a time, so a partner's
     text is read once for all of them.
     """
-    sizes = lists.groupBy("g", "part").agg(F.ceil(F.count("*") / HUBS).cast("int").alias("n"))
+    sizes = lists.select("g", "part", "a").distinct().groupBy("g", "part").agg(F.ceil(F.count("*") / HUBS).cast("int").alias("n"))
     dealt = lists.join(sizes, ["g", "part"]).select("g", "part", F.pmod(F.xxhash64("a"), F.col("n")).cast("int").alias("hub"), "a", "partners")
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
