@@ -12,7 +12,7 @@ from ..operators import cues as Q
 from ..operators import intervals as V
 from ..operators import repetition as R
 from ..plans import views
-from ..session import materialize
+from ..session import materialize, scratch_dir
 from ..sources import files, writers
 from .base import query
 from .sqltext import prepare, strip, with_, words
@@ -361,12 +361,24 @@ def hit_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.hit_digest(R.window_hits(_windows(spark, sf_dir), "conv_id"), "conv_id")
 
 
-@query("detection_reports")
+@query(
+    "detection_reports",
+    with_(
+        *_MERGED, _SPANS,
+        """hj AS (SELECT conv_id, hit_start // 1048576 AS part, count(*) AS n, to_json(list({'hit_start_ms': hit_start_ms, 'hit_end_ms': hit_end_ms, 'hit_start': hit_start,
+  'hit_end': hit_end, 'repetition_length': k, 'repetitions': reps} ORDER BY hit_start_ms, hit_end_ms, hit_start)) AS hits FROM spans JOIN merged USING (conv_id, hit_start) GROUP BY 1, 2)""",
+        "tw AS (SELECT conv_id, window_start // 1048576 AS part, count(*) AS total_windows FROM win GROUP BY 1, 2)",
+    ) + "SELECT conv_id, part, total_windows, coalesce(n, 0) AS total_hits, coalesce(CAST(hits AS VARCHAR), '[]') AS hits FROM tw LEFT JOIN hj USING (conv_id, part)",
+)
 def detection_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested reports written as JSON and read back."""
     cues = _looped(spark, sf_dir)
     windows = R.word_windows(cues, "conv_id", "turn", "words")
     reports = writers.detection_reports(_hit_spans(cues), "conv_id", windows)
-    return reports.select("conv_id", "part", "total_windows", "total_hits", F.to_json("hits").alias("hits"))
+    path = scratch_dir(spark, "reports")
+    writers.write_json(reports, path)
+    stored = spark.read.schema(reports.schema).json(path)
+    return stored.select("conv_id", "part", "total_windows", "total_hits", F.to_json("hits").alias("hits"))
 
 
 @query(

@@ -83,7 +83,9 @@ def detection_reports(hits: DataFrame, key: str, windows: DataFrame) -> DataFram
     found = hits.groupBy(key, part).agg(F.array_sort(F.collect_list(hit)).alias("hits"))
     covered = F.floor(F.col("window_start") / REPORT_WORDS).alias("part")
     totals = windows.groupBy(key, covered).agg(F.count(F.lit(1)).alias("total_windows"))
-    return totals.join(found, [key, "part"], "left").withColumn("total_hits", F.coalesce(F.size("hits"), F.lit(0)))
+    rows = totals.join(found, [key, "part"], "left")
+    rows = rows.withColumn("hits", F.coalesce("hits", F.array().cast(found.schema["hits"].dataType)))
+    return rows.withColumn("total_hits", F.size("hits"))
 
 
 def hit_digest(hits: DataFrame, key: str) -> DataFrame:
