@@ -236,7 +236,34 @@ def corpus_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snap.withColumns({c: F.col(c).cast("string") for c in ("first_date", "last_date")})
 
 
-@query("research_digest")
+_DIGEST = with_(
+    *THEMES, _PHRASES, _PREVIOUS, _PDOCS, *tfidf_sql("pdocs", prefix="p_"),
+    f"bdocs AS (SELECT doc_id, channel, {week_key('upload_date')} AS bucket, {markdown('text')} AS document FROM cand)",
+    *tfidf_sql("bdocs", "bucket", prefix="b_"),
+    "bt AS (SELECT bucket, term, row_number() OVER (PARTITION BY bucket ORDER BY score DESC, term) AS r FROM b_found WHERE NOT contains(term, ' ') QUALIFY r <= 5)",
+    "bc AS (SELECT bucket, count(*) AS n FROM bdocs GROUP BY 1)",
+    "tm AS (SELECT row_number() OVER (ORDER BY score DESC, term) AS rank, * FROM found WHERE NOT contains(term, ' ') QUALIFY rank <= 50)",
+    "fresh AS (SELECT term FROM tm EXCEPT SELECT term FROM (SELECT term FROM p_found WHERE NOT contains(term, ' ') ORDER BY score DESC, term LIMIT 50))",
+    """rd AS (SELECT p.rank, row_number() OVER (PARTITION BY w.term ORDER BY round(weight, 9) DESC, w.channel, w.doc_id) AS position, w.doc_id, w.channel
+  FROM w JOIN phrases p ON p.term = w.term QUALIFY position <= 10)""",
+    """fixed(section, major, line) AS (VALUES (0, '0', '# Research Digest'), (0, '1', ''), (0, '2', 'Generated: 2024-03-01'), (0, '3', ''), (0, '4', '## Corpus Snapshot'),
+  (2, '0', '### Top terms (TF-IDF)'), (2, '1', ''), (2, '2', '| Rank | Term | Score | Videos |'), (2, '3', '|------|------|-------|--------|'),
+  (4, '0', '### Top phrases'), (4, '1', ''), (4, '2', '| Rank | Phrase | Doc frequency | Top channels |'), (4, '3', '|---|---|---|---|'),
+  (6, '0', '## Timeline'), (8, '0', '## Emerging (vs previous run)'), (10, '0', '## Reading List'))""",
+    """snap AS (SELECT count(*) AS n, count(*) FILTER (has_summary) AS h, min(upload_date) AS lo, max(upload_date) AS hi, count(DISTINCT channel) AS c FROM corpus)""",
+) + """SELECT section, major, 0 AS minor, line FROM fixed
+UNION ALL SELECT 1, '0', 0, '- Videos indexed: ' || n FROM snap
+UNION ALL SELECT 1, '1', 0, '- With summaries: ' || h || ' (' || printf('%.1f', round(h * 100.0 / n, 4)) || '%)' FROM snap
+UNION ALL SELECT 1, '2', 0, '- Date range: ' || lo || ' — ' || hi FROM snap
+UNION ALL SELECT 1, '3', 0, '- Channels: ' || c FROM snap
+UNION ALL SELECT 3, lpad(CAST(rank AS VARCHAR), 9, '0'), 0, '| ' || rank || ' | ' || replace(term, '|', '\\|') || ' | ' || printf('%.6f', score) || ' | ' || document_frequency || ' |' FROM tm
+UNION ALL SELECT 5, lpad(CAST(rank AS VARCHAR), 9, '0'), 0, '| ' || rank || ' | ' || replace(term, '|', '\\|') || ' | ' || document_frequency || ' | ' || replace(channels, ',', ', ') || ' |' FROM phrases
+UNION ALL SELECT 7, bucket, 0, '### ' || bucket || ' — ' || n || ' videos — ' || coalesce((SELECT string_agg(term, ', ' ORDER BY r) FROM bt WHERE bt.bucket = bc.bucket), 'none') FROM bc
+UNION ALL SELECT 9, '0', 0, '- New terms: ' || coalesce((SELECT string_agg(term, ', ' ORDER BY term) FROM fresh), 'none')
+UNION ALL SELECT 11, lpad(CAST(rank AS VARCHAR), 9, '0'), position, position || '. **Doc ' || doc_id || '** — ' || channel FROM rd"""
+
+
+@query("research_digest", _DIGEST)
 def research_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest lines of a full run against the run of three weeks before."""
     import datetime as dt
