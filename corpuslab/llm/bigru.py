@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +24,8 @@ NGRAMS = (3, 4, 5, 6)
 EPOCHS, BATCH, LEARNING_RATE = 8, 128, 0.01
 #: Word types whose gate inputs a Python worker keeps.
 MEMO_WORDS = 250_000
+#: Word types whose n-grams are looked at together in training.
+TYPES = 20_000
 EDGES = b".,!?;:|%*#$&\"'()[]{}<>-_=+/\\~`^@"
 
 
@@ -207,7 +208,7 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(a * features[:, 0] + b * features[:, 1] + c, -40, 40)))
 
 
-def log_odds(present: list[np.ndarray], y: np.ndarray, size: int) -> np.ndarray:
+def log_odds(present: Iterable[np.ndarray], y: np.ndarray, size: int) -> np.ndarray:
     """Smoothed log-odds of label 1 by presence in a text, shrunk and clipped."""
     n = np.zeros((2, size))
     for own, label in zip(present, y):
@@ -222,25 +223,30 @@ def train(texts: list[str], y: np.ndarray, weight: np.ndarray, seed: int = 5) ->
     """Fit on labelled texts.  A text is judged by its highest windows: in each epoch the network picks them anew, and
     learns from the highest window of every text and a random one of the texts of label 0."""
     rng = np.random.default_rng(seed)
-    words = [[w.strip(EDGES) for w in words_of(t)] for t in texts]
-    df = Counter(w for ws in words for w in set(ws))
-    vocabulary = {w: i for i, (w, n) in enumerate(sorted(df.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY]) if n > 1}
-    vocabulary = {w: i for i, w in enumerate(vocabulary)}
-    types = {w: i for i, w in enumerate(df)}
-    owner, bucket = ngrams(list(types))
-    bounds = np.searchsorted(owner, np.arange(len(types) + 1))
-    word_odds = log_odds([np.array(sorted({vocabulary[w] for w in ws if w in vocabulary}), np.int64) for ws in words], y, len(vocabulary) + 1)
-    gram_odds = log_odds([_grams_of(ws, types, bucket, bounds) for ws in words], y, 1 << NGRAM_BITS)
+    types: dict[bytes, int] = {}
+    ids = [np.array([types.setdefault(w.strip(EDGES), len(types)) for w in words_of(t)], np.int32) for t in texts]
+    names = list(types)
+    own = [np.unique(x) for x in ids]
+    df = np.bincount(np.concatenate(own), minlength=len(names)) if own else np.zeros(0, np.int64)
+    frequent = sorted((i for i in range(len(names)) if df[i] > 1), key=lambda i: (-df[i], names[i]))[:VOCABULARY]
+    vocabulary = {names[i]: k for k, i in enumerate(frequent)}
+    place = np.array([vocabulary.get(w, len(vocabulary)) for w in names], np.int64)
+    bucket, bounds = grams_of_types(names)
+    word_odds = log_odds((np.unique(place[x][place[x] < len(vocabulary)]) for x in own), y, len(vocabulary) + 1)
+    gram_odds = log_odds((np.unique(np.concatenate([bucket[bounds[i] : bounds[i + 1]] for i in x] or [bucket[:0]])) for x in own), y, 1 << NGRAM_BITS)
     net = Network(vocabulary, word_odds, gram_odds, seed)
     if not len(y) or y.min(initial=1) == y.max(initial=0):
         prior = np.average(y, weights=weight) if len(y) else 0.5
         net.scale = (0.0, 0.0, float(np.log(np.clip(prior, 1e-3, 0.999) / (1 - np.clip(prior, 1e-3, 0.999)))) if len(y) else 0.0)
         return net
-    names = list(types)
-    place = np.array([vocabulary.get(w, len(vocabulary)) for w in names], np.int64)
-    doc, wins = windows([np.array([types[w] for w in ws], np.int64) for ws in words])
-    odds = word_odds[place] + np.where(np.diff(bounds) > 0, np.maximum.reduceat(np.append(gram_odds[bucket], 0), bounds[:-1]), 0)
-    score = np.where(wins >= 0, np.exp(3 * odds[wins]), 0).sum(1)
+    doc, wins = windows(ids)
+    odds = word_odds[place]
+    for i in range(0, len(names), TYPES):
+        part = bounds[i : i + TYPES + 1]
+        peak = np.maximum.reduceat(np.append(gram_odds[bucket[part[0] : part[-1]]], 0), part[:-1] - part[0])
+        odds[i : i + TYPES] += np.where(np.diff(part) > 0, peak, 0)
+    del bucket, own
+    score = np.where(wins >= 0, np.exp(3 * odds)[wins], 0).sum(1)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     for epoch in range(EPOCHS):
@@ -282,14 +288,23 @@ def train(texts: list[str], y: np.ndarray, weight: np.ndarray, seed: int = 5) ->
     return net
 
 
-def _grams_of(ws: list[bytes], types: dict[bytes, int], bucket: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    parts = [bucket[bounds[i] : bounds[i + 1]] for i in {types[w] for w in ws}]
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+def grams_of_types(names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """N-gram buckets of all word types, and where those of each begin."""
+    buckets, sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+    for i in range(0, len(names), TYPES):
+        part = names[i : i + TYPES]
+        owner, bucket = ngrams(part)
+        buckets.append(bucket.astype(np.int32))
+        sizes.append(np.bincount(owner, minlength=len(part)))
+    return np.concatenate(buckets), np.cumsum(np.concatenate(sizes))
 
 
 def _type_logits(net: Network, names: list[bytes], wins: np.ndarray) -> np.ndarray:
-    x = net.inputs(names)[3]
-    net.gates = np.concatenate([x @ net.p["wf"] + net.p["bf"], x @ net.p["wb"] + net.p["bb"]], 1).astype(np.float32)
+    """Logits of windows over word types."""
+    net.gates = np.empty((max(1, len(names)), 6 * HIDDEN), np.float32)
+    for i in range(0, len(names), TYPES):
+        x = net.inputs(names[i : i + TYPES])[3]
+        net.gates[i : i + TYPES] = np.concatenate([x @ net.p["wf"] + net.p["bf"], x @ net.p["wb"] + net.p["bb"]], 1)
     out = net.logits(wins)
     net.reset()
     return out
