@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from corpuslab.llm import bigru, bpe, cuckoo, near, winnow
-from corpuslab.llm.common import table, without
+from corpuslab.llm.common import importable, table, without
 from corpuslab.session import scratch_dir
 
 
@@ -49,6 +49,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage for the documents of ``sf_dir``."""
+    importable(spark)
     root = scratch_dir(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import bigru, bpe, brown, chat, cuckoo, licenses, near, rules, tokens, winnow
-from .common import table
+from .common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -16,7 +17,12 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn
