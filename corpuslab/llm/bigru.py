@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from .common import fold, groups, id_and_text, words_of
+from .common import first_by_hash, fold, groups, id_and_text, words_of
 
 #: Labelled rows of each label that are learned from at most, the first by hash of their id.
 SAMPLE = 1500
@@ -328,7 +328,7 @@ def fitted(d: DataFrame, labels: DataFrame, label_id: str, label_col: str, folds
     known = labels.select(F.col(label_id).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     known = known.where(fold(F.col("doc_id"), folds) != held_fold)
     # ids first, texts for the chosen ones only; twice ``sample`` rows at most
-    first = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
+    first = [first_by_hash(known.where(F.col("label") == k), "doc_id", sample) for k in (0, 1)]
     rows = d.join(F.broadcast(first[0].unionByName(first[1])), "doc_id").select("doc_id", "text", "label").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample).collect()
     share = dict(known.groupBy("label").count().collect())
     y = np.array([r["label"] for r in rows], float)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import hold
 from ..session import Scratch
-from .common import fold, id_and_text
+from .common import first_by_hash, fold, id_and_text
 
 #: Labelled rows that the trees and the weights are fitted on at most, the first by hash of their id.
 SAMPLE = 20_000
@@ -195,7 +195,7 @@ def classify(
     names = [c for c in stats.columns if c not in ("doc_id", "held_out")]
     known = labels.select(F.col(label_id).alias("doc_id"), F.col(label_col).cast("double").alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
     train = stats.where(~F.col("held_out")).join(known, "doc_id")
-    rows = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(*names, "label").toPandas()
+    rows = first_by_hash(train, "doc_id", sample).select(*names, "label").toPandas()
     model = fit(rows[names].to_numpy("float64"), rows["label"].to_numpy("float64"))
     score = compiled(*model, names)
     return stats.select("doc_id", "held_out", score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
