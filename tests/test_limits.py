@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from corpuslab import session
 from corpuslab.functions import text as T
-from corpuslab.operators import hierarchy, intervals, inventory, language, matching, pages
+from corpuslab.operators import hierarchy, intervals, inventory, language, matching, pages, search
+from corpuslab.plans import reports
 from corpuslab.sources import files, writers
 from corpuslab.streaming import registry, seen
 
@@ -151,3 +152,26 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_dir(Session(), "x")
+
+
+def test_ranks_within_a_corpus(spark):
+    rows = [("a", i, i % 3) for i in range(50)] + [("b", 7, 1)]
+    found = spark.createDataFrame(rows, "corpus string, id long, n_lines long")
+    got = {(r["corpus"], r["id"]): r["rank"] for r in search.research_ranks(found, "id").collect()}
+    order = sorted((r for r in rows if r[0] == "a"), key=lambda r: (-r[2], r[1]))
+    assert [got[("a", r[1])] for r in order] == list(range(1, 51)) and got[("b", 7)] == 1
+
+
+def test_first_run_has_nothing_before_it(spark, tmp_path):
+    terms = spark.createDataFrame([("a",)], "term string")
+    writers.write_snapshot(terms, terms.limit(0), "2024-03-01", str(tmp_path))
+    assert writers.stored_run(spark, str(tmp_path), "term", "2024-03-01") is None
+    assert reports.emerging(writers.stored_run(spark, str(tmp_path), "term"), None).count() == 0
+
+
+def test_predictions_sum_over_labels(spark):
+    docs = spark.createDataFrame([("en", "the then there"), ("de", "der die das dies")], "lang string, text string")
+    model = language.train(docs, "lang", "text")
+    asked = spark.createDataFrame([(1, "then the"), (2, "dies das"), (3, "123"), (4, "zzz")], "id int, t string")
+    got = {r["id"]: (r["predicted"], r["confidence"]) for r in language.predict(asked, ["id"], "t", model).collect()}
+    assert got[1][0] == "en" and got[2][0] == "de" and got[1][1] > 0.9 and got[3] == ("??", 0.0) and got[4] == ("??", 0.0)
