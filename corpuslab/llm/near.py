@@ -122,7 +122,7 @@ def plausible(edges: DataFrame, sets: DataFrame) -> DataFrame:
     """Those (a, b) whose sketches agree in enough coordinates that they may be linked."""
     one = sets.select(F.col("vid").alias("a"), F.col("coords").alias("_a"))
     two = sets.select(F.col("vid").alias("b"), F.col("coords").alias("_b"))
-    both = edges.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "_a", "_b")
+    both = one.join(checked(edges.select("a", "b")), "a").join(two, "b").select("a", "b", "_a", "_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,7 +141,8 @@ def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
     degree = edges.groupBy("a").agg(F.ceil(F.count("*") / HUB_EDGES).cast("int").alias("parts"))
     salted = edges.join(degree, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("vid"), F.lit(1).alias("spoke"))
     hubs = degree.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("vid"), F.lit(0).alias("spoke"))
-    rows = hubs.unionByName(salted).join(texts, "vid").repartition("a", "part").sortWithinPartitions("a", "part", "spoke")
+    # ids travel to the texts while they are few enough, so texts are shuffled to their hubs only
+    rows = texts.join(checked(hubs.unionByName(salted)), "vid").repartition("a", "part").sortWithinPartitions("a", "part", "spoke")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, own = None, np.zeros(0, np.uint64)
@@ -231,8 +232,8 @@ def attached(lists: DataFrame, texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in seen], k) for j, k in enumerate(kinds)], ["g", "part", "hub", "vid"])
 
     none = F.lit(None)
-    partner = dealt.mapInArrow(wanted, "g long, part long, hub int, vid long").distinct().join(texts, "vid").select("g", "part", "hub", F.lit(2).alias("kind"), "vid", none.cast("array<long>").alias("partners"), "text")
-    hubs = dealt.select("g", "part", "hub", F.col("a").alias("vid")).distinct().join(texts, "vid").select("g", "part", "hub", F.lit(1).alias("kind"), "vid", none.cast("array<long>").alias("partners"), "text")
+    partner = texts.join(checked(dealt.mapInArrow(wanted, "g long, part long, hub int, vid long").distinct()), "vid").select("g", "part", "hub", F.lit(2).alias("kind"), "vid", none.cast("array<long>").alias("partners"), "text")
+    hubs = texts.join(checked(dealt.select("g", "part", "hub", F.col("a").alias("vid")).distinct()), "vid").select("g", "part", "hub", F.lit(1).alias("kind"), "vid", none.cast("array<long>").alias("partners"), "text")
     rows = dealt.select("g", "part", "hub", F.lit(0).alias("kind"), F.col("a").alias("vid"), "partners", none.cast("string").alias("text")).unionByName(hubs).unionByName(partner)
     rows = rows.repartition("g", "part", "hub").sortWithinPartitions("g", "part", "hub", "kind")
 
@@ -317,7 +318,7 @@ def links(buckets: DataFrame, sets: DataFrame, texts: DataFrame, scratch: Scratc
         else:
             first = rows.groupBy("key").agg(pick(F.struct("vid", "size", "comp")).alias("x")).select("key", F.col("x.vid").alias("a"), F.col("x.size").alias("size_a"), F.col("x.comp").alias("comp_a"))
             pairs = rows.join(first, "key").where((F.col("comp") != F.col("comp_a")) & _alike("size", "size_a"))
-            good = verified(scratch.save(plausible(pairs.select("a", F.col("vid").alias("b")).distinct(), sets), "candidates"), texts)
+            good = verified(scratch.save(plausible(scratch.save(pairs.select("a", F.col("vid").alias("b")).distinct(), "pairs"), sets), "candidates"), texts)
         good = scratch.save(good, "links")
         found = good if found is None else found.unionByName(good)
         labels = components(found, scratch)
