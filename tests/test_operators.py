@@ -99,7 +99,7 @@ def test_language_chunks(spark):
 
 def test_language_prediction_and_user_model(spark):
     docs = spark.createDataFrame([("en", "the cat and the dog"), ("fr", "le chat et le chien"), ("en", "that thing there"), ("fr", "elle est belle")], "lang string, text string")
-    model = L.train(docs, "lang", "text", 200)
+    model = L.train(docs, "lang", "text")
     asked = spark.createDataFrame([(1, "the dog there"), (2, "le chien belle"), (3, "12 34")], "i int, t string")
     got = {r["i"]: r["predicted"] for r in L.predict(asked, ["i"], "t", model).collect()}
     assert got == {1: "en", 2: "fr", 3: "??"}
