@@ -197,9 +197,9 @@ def emerging_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_(*THEMES) + """, t AS (SELECT row_number() OVER (ORDER BY score DESC, term) AS r, * FROM found WHERE NOT contains(term, ' ') QUALIFY r <= 50),
 p AS (SELECT row_number() OVER (ORDER BY document_frequency DESC, score DESC, term) AS r, * FROM found WHERE contains(term, ' ') AND document_frequency >= 2 QUALIFY r <= 30),
 l AS (SELECT 0 AS pos, '# Themes' AS line UNION ALL SELECT 1, '## Terms' UNION ALL SELECT 2, '| Rank | Term | Score | Documents |' UNION ALL SELECT 3, '|---|---|---|---|'
-  UNION ALL SELECT 1000 + r, '| ' || r || ' | ' || replace(term, '|', '\|') || ' | ' || printf('%.6f', score) || ' | ' || document_frequency || ' |' FROM t
+  UNION ALL SELECT 1000 + r, '| ' || r || ' | ' || replace(term, '|', '\\|') || ' | ' || printf('%.6f', score) || ' | ' || document_frequency || ' |' FROM t
   UNION ALL SELECT 2001, '## Phrases' UNION ALL SELECT 2002, '| Rank | Phrase | Score | Documents |' UNION ALL SELECT 2003, '|---|---|---|---|'
-  UNION ALL SELECT 3000 + r, '| ' || r || ' | ' || replace(term, '|', '\|') || ' | ' || printf('%.6f', score) || ' | ' || document_frequency || ' |' FROM p)
+  UNION ALL SELECT 3000 + r, '| ' || r || ' | ' || replace(term, '|', '\\|') || ' | ' || printf('%.6f', score) || ' | ' || document_frequency || ' |' FROM p)
 SELECT line FROM l""",
 )
 def themes_report(spark: SparkSession, sf_dir: str) -> DataFrame:
