@@ -20,9 +20,13 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, cuckoo.exact_dedup(docs).where("NOT kept"))
 
 
+#: Words of a shingle in the near-dedup stage; query op10 has its own two.
+NEAR_WORDS = 5
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, that of the smallest id."""
-    return without(docs, near.near_duplicates(docs).where("NOT kept"))
+    return without(docs, near.near_duplicates(docs, size=NEAR_WORDS).where("NOT kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,8 +19,6 @@ COORDINATES = ROWS * BANDS
 SHINGLE = 2
 #: Links: ``100 * intersection >= THRESHOLD * union``.
 THRESHOLD = 80
-#: Equal coordinates below which a pair is not verified: six standard deviations under those of a pair at the threshold.
-SURE = int(COORDINATES * THRESHOLD / 100 - 6 * np.sqrt(COORDINATES * THRESHOLD / 100 * (1 - THRESHOLD / 100)))
 #: Edges of a hub that one task verifies.
 HUB_EDGES = 256
 ELEMENTS = 1 << 18
@@ -28,6 +26,11 @@ ELEMENTS = 1 << 18
 BLOCK, PART, HUBS = 4096, 1 << 15, 64
 
 
+def sure(threshold: int) -> int:
+    """Equal coordinates below which a pair is not verified: six standard deviations under those of a pair at the threshold."""
+    return int(COORDINATES * threshold / 100 - 6 * np.sqrt(COORDINATES * threshold / 100 * (1 - threshold / 100)))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective mixing of uint64."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -82,7 +85,7 @@ def bands(sketch: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def sketched(docs: DataFrame) -> DataFrame:
+def sketched(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(row, doc_id, n_shingles, sig, bands, coords, text) of each (row, doc_id, text).
 
     ``sig`` names the set, null for the empty one; ``coords`` has one byte of each
@@ -92,7 +95,7 @@ def sketched(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in groups(batch):
-                sets = [shingles(t) for t in texts]
+                sets = [shingles(t, size) for t in texts]
                 s = sketches(sets)
                 keys = bands(s)
                 coords = np.concatenate([mix(s).astype(np.uint8), keys.astype("<u4").view(np.uint8)], 1)
@@ -118,21 +121,22 @@ def unpacked(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES + 4 * BANDS)
 
 
-def plausible(edges: DataFrame, sets: DataFrame) -> DataFrame:
+def plausible(edges: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Those (a, b) whose sketches agree in enough coordinates that they may be linked."""
     one = sets.select(F.col("vid").alias("a"), F.col("coords").alias("_a"))
     two = sets.select(F.col("vid").alias("b"), F.col("coords").alias("_b"))
     both = one.join(checked(edges.select("a", "b")), "a").join(two, "b").select("a", "b", "_a", "_b")
+    least = sure(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (unpacked(batch.column(j))[:, :COORDINATES] for j in (2, 3))
-            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= SURE))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= least))
 
     return both.mapInArrow(run, "a long, b long")
 
 
-def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(edges: DataFrame, texts: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """The (a, b) that are linked, by their full sets.
 
     The text of ``a`` meets those of all its partners; hubs with many of them are dealt
@@ -149,26 +153,27 @@ def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             found = []
             for a, vid, spoke, text in zip(*(batch.column(j).to_pylist() for j in range(4))):
-                s = shingles(text)
+                s = shingles(text, size)
                 if not spoke:
                     hub, own = a, s
                     continue
                 assert hub == a
                 shared = len(np.intersect1d(own, s, assume_unique=True))
-                if 100 * shared >= THRESHOLD * (len(own) + len(s) - shared):
+                if 100 * shared >= threshold * (len(own) + len(s) - shared):
                     found.append((a, vid))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return rows.select("a", "vid", "spoke", "text").mapInArrow(run, "a long, b long")
 
 
-def across(rows: DataFrame, sets: DataFrame) -> DataFrame:
+def across(rows: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(g, part, a, partners): per vertex ``a`` and other component ``g`` the members of ``g`` that it may be linked to.
 
     ``rows``: key, band, vid, size, comp, parts of buckets with several components.  Each
     pair counts in the first band it shares, and no pair makes a row of its own; large
     buckets are compared block by block.
     """
+    least = sure(threshold)
     blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
     dealt = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("vid"), F.col("n")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     dealt = dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "band", "vid", "size", "comp", "parts").join(sets, "vid")
@@ -180,12 +185,12 @@ def across(rows: DataFrame, sets: DataFrame) -> DataFrame:
         marks = coords[:, COORDINATES : COORDINATES + 4 * band]
         out = []
         for i in np.flatnonzero(minor):
-            ok = (comp != comp[i]) & (np.minimum(size, size[i]) * 100 >= np.maximum(size, size[i]) * THRESHOLD)
+            ok = (comp != comp[i]) & (np.minimum(size, size[i]) * 100 >= np.maximum(size, size[i]) * threshold)
             if lo != hi:
                 ok &= block != block[i]
             ok &= ~minor | (vid > vid[i])  # two of the minor ones meet once
             at = np.flatnonzero(ok)
-            at = at[(coords[at, :COORDINATES] == coords[i, :COORDINATES]).sum(1) >= SURE]
+            at = at[(coords[at, :COORDINATES] == coords[i, :COORDINATES]).sum(1) >= least]
             if band and len(at):
                 at = at[~(marks[at].reshape(len(at), band, 4) == marks[i].reshape(band, 4)).all(2).any(1)]
             place = vid[at] % parts[at]
@@ -216,7 +221,7 @@ def across(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "g long, part long, a long, partners array<long>")
 
 
-def attached(lists: DataFrame, texts: DataFrame) -> DataFrame:
+def attached(lists: DataFrame, texts: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """A link (a, b) for each ``a`` and component ``g`` of ``lists`` that has one, by the full sets.
 
     Vertices with partners in one component are taken ``HUBS`` at a time, so a partner's
@@ -248,15 +253,15 @@ def attached(lists: DataFrame, texts: DataFrame) -> DataFrame:
                     for b in partners:
                         of.setdefault(b, []).append(vid)
                 elif kind == 1:
-                    own[vid] = shingles(text)
+                    own[vid] = shingles(text, size)
                 else:
                     s = None
                     for a in of[vid]:
                         if a in done:
                             continue
-                        s = shingles(text) if s is None else s
+                        s = shingles(text, size) if s is None else s
                         shared = len(np.intersect1d(own[a], s, assume_unique=True))
-                        if 100 * shared >= THRESHOLD * (len(own[a]) + len(s) - shared):
+                        if 100 * shared >= threshold * (len(own[a]) + len(s) - shared):
                             found.append((a, vid))
                             done.add(a)  # one link connects it with the component
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
@@ -288,12 +293,12 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return labels
 
 
-def _alike(a: str, b: str):
+def _alike(a: str, b: str, threshold: int):
     """Sets of these sizes can be linked."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * THRESHOLD
+    return F.least(a, b) * 100 >= F.greatest(a, b) * threshold
 
 
-def links(buckets: DataFrame, sets: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+def links(buckets: DataFrame, sets: DataFrame, texts: DataFrame, scratch: Scratch, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """(vid, comp) over all links between members of a bucket.
 
     Stars first: every member against the first member of its bucket, in two orders;
@@ -314,22 +319,22 @@ def links(buckets: DataFrame, sets: DataFrame, texts: DataFrame, scratch: Scratc
         if pick is None:
             parts = labels.groupBy("comp").agg(F.ceil(F.count("*") / PART).cast("long").alias("parts"))
             rows = rows.join(parts, "comp", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-            good = attached(scratch.save(across(rows, sets), "lists"), texts)
+            good = attached(scratch.save(across(rows, sets, threshold), "lists"), texts, size, threshold)
         else:
             first = rows.groupBy("key").agg(pick(F.struct("vid", "size", "comp")).alias("x")).select("key", F.col("x.vid").alias("a"), F.col("x.size").alias("size_a"), F.col("x.comp").alias("comp_a"))
-            pairs = rows.join(first, "key").where((F.col("comp") != F.col("comp_a")) & _alike("size", "size_a"))
-            good = verified(scratch.save(plausible(scratch.save(pairs.select("a", F.col("vid").alias("b")).distinct(), "pairs"), sets), "candidates"), texts)
+            pairs = rows.join(first, "key").where((F.col("comp") != F.col("comp_a")) & _alike("size", "size_a", threshold))
+            good = verified(scratch.save(plausible(scratch.save(pairs.select("a", F.col("vid").alias("b")).distinct(), "pairs"), sets, threshold), "candidates"), texts, size, threshold)
         good = scratch.save(good, "links")
         found = good if found is None else found.unionByName(good)
         labels = components(found, scratch)
     return labels
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row.
 
-    Documents are linked when ``100 * |A and B| >= 80 * |A or B|`` of their sets of word
-    pairs; ``component_id`` is the smallest id that links lead to.  Equal sets are taken
+    Documents are linked when ``100 * |A and B| >= threshold * |A or B|`` of their sets of
+    word ``size``-grams; ``component_id`` is the smallest id that links lead to.  Equal sets are taken
     as one vertex, so their copies are never paired.  Candidates share a band of their
     sketches, links are confirmed on the full sets.
 
@@ -338,9 +343,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     it is kept.  Repeated rows are copies of each other (``kept`` marks all rows of the
     kept id).  An empty table gives no rows.
     """
+    if size < 1 or not THRESHOLD <= threshold <= 100:
+        raise ValueError(f"size must be at least 1 and threshold from {THRESHOLD}, which the bands are made for, to 100")
     scratch = Scratch(docs.sparkSession, "near-duplicates")
     d = id_and_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    full = scratch.save(sketched(d), "sketches", compression="zstd")
+    full = scratch.save(sketched(d, size), "sketches", compression="zstd")
     has = full.where(F.col("sig").isNotNull())
     vertices = scratch.save(has.groupBy("sig").agg(F.min("row").alias("vid"), F.count("*").alias("copies"), F.min("doc_id").alias("first_id")), "vertices")
     total = full.count()
@@ -352,7 +359,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = scratch.save(buckets.select("vid").distinct(), "members")
     wanted = full.select(F.col("row").alias("vid"), "coords", "text").join(checked(members), "vid", "left_semi")
     wanted = scratch.save(wanted, "members", compression="zstd")
-    labels = links(buckets, wanted.select("vid", "coords"), wanted.select("vid", "text"), scratch)
+    labels = links(buckets, wanted.select("vid", "coords"), wanted.select("vid", "text"), scratch, size, threshold)
 
     comp = vertices.join(labels, "vid", "left").withColumn("comp", F.coalesce("comp", "vid"))
     least = comp.groupBy("comp").agg(F.min("first_id").alias("component_id"), F.count("*").alias("sets"))

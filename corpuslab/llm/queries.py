@@ -113,4 +113,4 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_minhash_near_dedup", near.sql())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
-    return near.near_duplicates(table(spark, sf_dir, "documents"))
+    return near.near_duplicates(table(spark, sf_dir, "documents"), size=2)

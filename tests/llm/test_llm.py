@@ -381,6 +381,42 @@ def test_near_duplicates_against_brute_force(spark, docs, rows):
     same(near.near_duplicates(df), brute_components(made), "doc_id", "n_shingles", "component_id", "kept")
 
 
+def brute_kept_words(rows, size):
+    """Ids that near dedup over word ``size``-grams keeps: the smallest of each component."""
+    sets = {}
+    for i, t in rows:
+        ws = (t or "").encode().lower().split()
+        sets[i] = {tuple(ws[k : k + size]) for k in range(max(1, len(ws) - size + 1))} if ws else set()
+    comp = {i: i for i in sets}
+    for i, j in combinations(sorted(sets), 2):
+        if sets[i] and sets[j] and comp[i] != comp[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+            lo, hi = sorted((comp[i], comp[j]))
+            comp = {k: lo if c == hi else c for k, c in comp.items()}
+    return {i for i, c in comp.items() if i == c}
+
+
+def test_near_dedup_stage_takes_five_words(spark):
+    base = [f"w{i}" for i in range(100)]
+    scattered = [f"x{i}" if i % 20 == 10 else w for i, w in enumerate(base)]  # 0.82 on word pairs, 0.59 on five words
+    together = [f"y{i}" if 50 <= i < 53 else w for i, w in enumerate(base)]  # 0.86 on five words
+    rows = [(1, " ".join(base)), (2, " ".join(scattered)), (3, " ".join(together)), (4, "a b c"), (5, "a  b c"), (6, ""), (7, None)]
+    rng = np.random.default_rng(5)
+    for i in range(10, 150):
+        ws = list(base[: 60 + i % 2 * 40])
+        for k in rng.integers(0, len(ws), rng.integers(0, 6)):
+            ws[k] = f"z{rng.integers(0, 50)}"
+        rows.append((i, " ".join(ws)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, "").collect()}
+    assert got == brute_kept_words(rows, 5) and got != brute_kept_words(rows, 2)
+    few = rows[:7]
+    got = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df.where("doc_id < 10"), "").collect()}
+    assert got == brute_kept_words(few, 5) == {1, 2, 4, 6, 7}
+    assert {r["doc_id"] for r in near.near_duplicates(df.where("doc_id < 10"), size=2).where("kept").collect()} == brute_kept_words(few, 2) == {1, 4, 6, 7}
+    with pytest.raises(ValueError, match="threshold"):
+        near.near_duplicates(df, threshold=50)
+
+
 def test_sketches_fill_and_estimate():
     rng = np.random.default_rng(0)
     a = np.unique(rng.integers(0, 1 << 63, 400).astype(np.uint64))
