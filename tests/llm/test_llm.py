@@ -315,6 +315,25 @@ def test_scores_do_not_depend_on_what_tasks_hold(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_words_outside_the_exchange_get_classes_from_their_neighbours(spark):
+    rng = np.random.default_rng(6)
+    # rare words of one length: those of the first kind stand after "aa" and before "bb", the others the other way round
+    texts = []
+    for i in range(1200):
+        ws = []
+        for _ in range(12):
+            k = int(rng.integers(0, 200))
+            ws += ["aa", f"u{k:03}", "bb"] if k % 2 else ["bb", f"v{k:03}", "aa"]
+        texts.append((i, " ".join(ws)))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+
+    def held_out(**more):
+        got = [r for r in brown.score_documents(df, clustered=20, classes=8, **more).collect() if r["held_out"]]
+        return sum(r["score"] for r in got) / sum(r["n_tokens"] for r in got)
+
+    assert held_out() > held_out(moves=0) + 0.1
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(2)
     # words 0-9 are followed by 10-19 and the other way round
