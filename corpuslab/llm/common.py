@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import Scratch
+
 #: Texts are handed to the word-level code in groups of about this many characters.
 GROUP_CHARS = 1 << 19
 #: Rows up to which a list of ids is broadcast; beyond, it is joined by shuffle.
@@ -113,3 +115,31 @@ class Memo:
         if len(young) >= self.half:
             self.old, self.young = young, {}
         return young
+
+
+def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(vid, comp) of every vertex of (a, b), ``comp`` the smallest vertex it reaches.
+
+    Each round hangs every vertex below its smallest neighbour and draws the edges between
+    what they hang below, until no edge is left.  Hubs and large components are joined by
+    ``skew_join``, so neither puts its edges or members into one task.
+    """
+    left = scratch.save(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    labels = None
+    n_edges = left.count()
+    while n_edges:
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        parent = scratch.save(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select(F.col("a").alias("v"), F.least("a", "m").alias("p"), "n"), "parents")
+        if labels is None:
+            labels = parent.select(F.col("v").alias("vid"), F.col("p").alias("comp"))
+        else:
+            members = labels.groupBy(F.col("comp").alias("v")).agg(F.count("*").alias("members"))
+            above = scratch.save(members.join(parent.select("v", "p"), "v", "left").select(F.col("v").alias("comp"), F.coalesce("p", "v").alias("up"), "members"), "above")
+            labels = scratch.save(skew_join(labels, above, "comp", "members", labels.count()).select("vid", F.col("up").alias("comp")), "labels")
+        up = skew_join(left, parent.select(F.col("v").alias("a"), F.col("p").alias("up_a"), "n"), "a", "n", 2 * n_edges).select("up_a", "b")
+        up = skew_join(up, parent.select(F.col("v").alias("b"), F.col("p").alias("up_b"), "n"), "b", "n", 2 * n_edges).select("up_a", "up_b").where("up_a <> up_b")
+        left = scratch.save(up.select(F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b")).distinct(), "edges")
+        n_edges = left.count()
+    if labels is None:
+        return left.select(F.col("a").alias("vid"), F.col("b").alias("comp"))
+    return labels

@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bigru, bpe, brown, chat, cuckoo, licenses, near, rules, tokens, winnow
+from . import anchors, bigru, bpe, brown, chat, cuckoo, licenses, near, rules, tokens, winnow
 from .common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return near.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
+@query("op12_simhash_near_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash component of every document."""
+    return anchors.simhash_duplicates(table(spark, sf_dir, "documents"))
