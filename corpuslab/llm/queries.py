@@ -7,8 +7,9 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import anchors, bigru, bpe, brown, chat, cuckoo, licenses, near, rules, tokens, winnow
+from . import anchors, bigru, bpe, brown, chat, cuckoo, licenses, near, negatives, rules, tokens, winnow
 from .common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +121,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash component of every document."""
     return anchors.simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op13_hard_negatives", negatives.sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh label is wrong by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label))
