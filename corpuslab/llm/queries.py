@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchors, bigru, bpe, brown, chat, cuckoo, licenses, near, negatives, rules, tokens, winnow
+from . import anchors, bigru, bpe, brown, chat, cuckoo, licenses, near, negatives, rules, tokens, trie, winnow
 from .common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,9 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth vector; every seventh label is wrong by one."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
+@query("op11_prefix_trie", trie.sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of the conversations, which begin like the first one of their hundred."""
+    return trie.forked_trie(table(spark, sf_dir, "conversations"))
