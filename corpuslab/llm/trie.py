@@ -129,7 +129,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 def cells(pos: np.ndarray, one: np.ndarray, two: np.ndarray, width: int) -> np.ndarray:
     """(DEPTH, n) cells of the prefixes, those of row ``j`` from ``j * width`` on."""
     x = mix(one.view(np.uint64) ^ mix(two.view(np.uint64) ^ mix(pos.view(np.uint64) + np.uint64(1))))
-    return np.stack([(mix(x + np.uint64(j + 1) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(width)).astype(np.int64) + j * width for j in range(DEPTH)])
+    seeds = [np.uint64((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64)) for j in range(DEPTH)]
+    return np.stack([(mix(x + seed) % np.uint64(width)).astype(np.int64) + j * width for j, seed in enumerate(seeds)])
 
 
 def sketch(rows: DataFrame, width: int) -> np.ndarray:
