@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from .common import first_by_hash, fold, groups, id_and_text, words_of
 
@@ -22,8 +21,8 @@ VOCABULARY = 30_000
 NGRAM_BITS = 15
 NGRAMS = (3, 4, 5, 6)
 EPOCHS, BATCH, LEARNING_RATE = 8, 128, 0.01
-#: Word types whose gate inputs a Python worker keeps.
-MEMO_WORDS = 250_000
+#: Word types whose gate inputs a task keeps, in a table of this size (19 MB); it is emptied when full and when the task ends.
+MEMO_WORDS = 100_000
 #: Word types whose n-grams are looked at together in training.
 TYPES = 20_000
 EDGES = b".,!?;:|%*#$&\"'()[]{}<>-_=+/\\~`^@"
@@ -88,7 +87,7 @@ class Network:
 
     def reset(self) -> None:
         self.rows: dict[bytes, int] = {}
-        self.gates = np.zeros((1024, 6 * HIDDEN), np.float32)
+        self.gates = np.zeros((0, 6 * HIDDEN), np.float32)
 
     def inputs(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(word place, n-gram owner, n-gram bucket, input vectors) of word types, without the punctuation at their edges."""
@@ -105,16 +104,18 @@ class Network:
 
     def ids(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         """Rows of the gate table for all words; new word types are computed together."""
-        if len(self.rows) > MEMO_WORDS:
-            self.reset()
+        kinds = {w for t in texts for w in t}
+        new = [w for w in kinds if w not in self.rows]
+        if len(self.rows) + len(new) > len(self.gates):
+            # the table is there once; only texts with more word types than that make it larger
+            self.rows, new = {}, list(kinds)
+            if max(MEMO_WORDS, len(new)) != len(self.gates):
+                self.gates = np.zeros((max(MEMO_WORDS, len(new)), 6 * HIDDEN), np.float32)
         rows = self.rows
-        new = list({w for t in texts for w in t if w not in rows})
         if new:
             x = self.inputs(new)[3]
             made = np.concatenate([x @ self.p["wf"] + self.p["bf"], x @ self.p["wb"] + self.p["bb"]], 1)
             start, stop = len(rows), len(rows) + len(new)
-            if stop > len(self.gates):
-                self.gates = np.concatenate([self.gates, np.zeros((stop, 6 * HIDDEN), np.float32)])
             self.gates[start:stop] = made
             rows.update(zip(new, range(start, stop)))
         return [np.fromiter(map(rows.__getitem__, t), np.int64, len(t)) for t in texts]
@@ -337,20 +338,27 @@ def fitted(d: DataFrame, labels: DataFrame, label_id: str, label_col: str, folds
 
 
 def scored(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with ``score`` and ``predicted`` behind them, columns of these names replaced."""
+    """All columns of ``docs`` with ``score`` and ``predicted`` behind them, columns of these names replaced.
+
+    Only the text goes to Python; the other columns wait in the engine.
+    """
     keep = [c for c in docs.columns if c not in ("score", "predicted")]
     model = docs.sparkSession.sparkContext.broadcast(net)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         net = model.value
-        for batch in batches:
-            for part, texts in groups(batch, text_col):
-                doc, wins = windows(net.ids([words_of(t) for t in texts]))
-                p = net.probability(net.document_scores(doc, net.logits(wins), len(texts)))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [*part.schema.names, "score", "predicted"])
-
-    rows = docs.select(*keep)
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
+        try:
+            for column in batches:
+                made = [np.zeros(0)]
+                for _, texts in groups(pa.RecordBatch.from_arrays([column], ["text"])):
+                    doc, wins = windows(net.ids([words_of(t) for t in texts]))
+                    made.append(net.probability(net.document_scores(doc, net.logits(wins), len(texts))))
+                yield pa.array(np.concatenate(made))
+        finally:
+            net.reset()
+
+    rows = docs.select(*keep, F.arrow_udf(run, "double")(text_col).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

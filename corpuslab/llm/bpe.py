@@ -24,7 +24,8 @@ PIECE = regex.compile(
 #: Unicode white space.  Between a non-space and a space no piece of ``PIECE`` goes on, so text is cut there.
 SPACE = "\t-\r \x85\xa0  -     　"
 SEGMENT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-MEMO_ENTRIES = 250_000
+#: Bytes of each of the memo's two generations, which a task leaves empty.
+MEMO_BYTES = 32 << 20
 #: Longer words are handled one by one.
 SHORT = 64
 NONE = np.iinfo(np.int32).max
@@ -83,7 +84,7 @@ class ByteBpe:
         self.made_rank = np.sort(self.pair_rank)
         self.single = np.array([vocab[bytes([b])] for b in range(256)], np.int64)
         self.build_trie()
-        self.memo = Memo(MEMO_ENTRIES)
+        self.memo = Memo(MEMO_BYTES)
 
     def build_trie(self) -> None:
         """Sorted (state, byte) keys with the next state, and the token that ends in each state."""
@@ -298,10 +299,13 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for batch in batches:
-            for part, texts in groups(batch):
-                packed = [np.frombuffer(x, "<u4").astype(np.int32) for x in bpe.encode(texts)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        try:
+            for batch in batches:
+                for part, texts in groups(batch):
+                    packed = [np.frombuffer(x, "<u4").astype(np.int32) for x in bpe.encode(texts)]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        finally:
+            bpe.memo.clear()
 
     d = id_and_text(docs, id_col, text_col)
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids array<int>")
@@ -330,20 +334,23 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for batch in batches:
-            for part, texts in groups(batch):
-                packed = bpe.encode(texts)
-                decoded = [bpe.decode(x) for x in packed]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array([len(x) // 4 for x in packed], pa.int64()),
-                        pa.array([sha256(x).hexdigest() for x in packed]),
-                        pa.array([sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in decoded]),
-                        pa.array([x == y for x, y in zip(texts, decoded)]),
-                    ],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same_text"],
-                )
+        try:
+            for batch in batches:
+                for part, texts in groups(batch):
+                    packed = bpe.encode(texts)
+                    decoded = [bpe.decode(x) for x in packed]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column(0),
+                            pa.array([len(x) // 4 for x in packed], pa.int64()),
+                            pa.array([sha256(x).hexdigest() for x in packed]),
+                            pa.array([sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in decoded]),
+                            pa.array([x == y for x, y in zip(texts, decoded)]),
+                        ],
+                        ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same_text"],
+                    )
+        finally:
+            bpe.memo.clear()
 
     kind = d.schema["doc_id"].dataType.simpleString()
     return d.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, same_text boolean")

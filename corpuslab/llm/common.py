@@ -98,22 +98,32 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFram
 
 
 class Memo:
-    """Bounded memo: two generations of ``half`` entries; the older one is dropped when the younger is full."""
+    """Memo of two generations of about ``limit`` bytes each; the older one is dropped when the younger is full."""
 
-    def __init__(self, half: int):
-        self.half, self.young, self.old = half, {}, {}
+    #: What an entry takes beside its bytes: two objects and its place in a table that is up to two thirds empty.
+    ENTRY = 220
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.young, self.old, self.size = {}, {}, 0
 
     def get(self, keys: Iterable, make) -> dict:
         """A dict with the values of ``keys``, among others; ``make`` takes the list of missing keys and returns their values."""
         young, old = self.young, self.old
         missing = [k for k in set(keys) if k not in young]
-        if old and missing:
-            young.update((k, old[k]) for k in missing if k in old)
-            missing = [k for k in missing if k not in young]
-        if missing:
-            young.update(zip(missing, make(missing)))
-        if len(young) >= self.half:
-            self.old, self.young = young, {}
+        if not missing:
+            return young
+        found = {k: old[k] for k in missing if k in old} if old else {}
+        rest = [k for k in missing if k not in found]
+        if rest:
+            found.update(zip(rest, make(rest)))
+        young.update(found)
+        self.size += self.ENTRY * len(found) + sum(map(len, found)) + sum(len(v) for v in found.values() if isinstance(v, bytes))
+        if self.size >= self.limit:
+            self.old, self.young, self.size = young, {}, 0
         return young
 
 

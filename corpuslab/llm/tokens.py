@@ -19,7 +19,8 @@ from .common import Memo, groups, id_and_text
 CHUNK = 32_768
 OVERLAP = 512
 WIDEN = 8
-MEMO_ENTRIES = 250_000
+#: Bytes of each of the memo's two generations, which a task leaves empty.
+MEMO_BYTES = 32 << 20
 MARK = "▁"
 SEGMENT = re.compile(" *[^ ]+| +")
 
@@ -42,7 +43,7 @@ class PieceCounter:
         self.space_is_border = not any(x[1] == " " != x[0] for x in self.joined)
         #: Bytes of text that each token stands for.
         self.width = np.array([1 if m.is_byte(i) else len(p.encode()) for i, p in zip(ids, pieces)], np.int64)
-        self.memo = Memo(MEMO_ENTRIES)
+        self.memo = Memo(MEMO_BYTES)
 
     def count_segments(self, segments: list[str]) -> list[int]:
         # each segment begins with the space that the model adds again; a lone space is one token
@@ -97,9 +98,12 @@ def _whole(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(path)
-        for batch in batches:
-            for part, texts in groups(batch):
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(c.count(texts), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+        try:
+            for batch in batches:
+                for part, texts in groups(batch):
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(c.count(texts), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+        finally:
+            c.memo.clear()
 
     return docs.select("doc_id", "n_bytes", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_tokens long")
 
