@@ -124,27 +124,25 @@ def cue_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- repetition ---------------------------------------------------------------
 
 
-def _runs_sql(src: str, keys: str) -> list[str]:
-    """Brute force: every period k of every word array, gaps and islands."""
+def _runs_sql(src: str, keys: str, p: str = "") -> list[str]:
+    """Brute force: every period k of every word array, gaps and islands; ``p`` goes before the names."""
     ks = ", ".join(f"a.{k}" for k in keys.split(", "))
     on = " AND ".join(f"a.{k} = b.{k}" for k in keys.split(", "))
     score = "0.888846 * reps + 0.666538 * k - 6.777051"
     return [
-        f"wd AS (SELECT {keys}, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS i, len(words) AS n FROM {src})",
-        f"eq AS (SELECT {ks}, a.i, b.i - a.i AS k FROM wd a JOIN wd b ON {on} AND a.w = b.w AND b.i > a.i AND b.i - a.i <= a.n // 5)",
-        f"isl AS (SELECT *, i - row_number() OVER (PARTITION BY {keys}, k ORDER BY i) AS g FROM eq)",
-        f"""rn AS (SELECT {keys}, k, min(i) AS s, count(*) // k + 1 AS reps, min(i) + count(*) + k AS reach FROM isl GROUP BY {keys}, k, g HAVING count(*) // k + 1 >= 5)""",
-        f"""pr AS (SELECT *, s + k * reps AS e FROM rn r WHERE NOT EXISTS (SELECT 1 FROM rn q WHERE
+        f"{p}wd AS (SELECT {keys}, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS i, len(words) AS n FROM {src})",
+        f"{p}eq AS (SELECT {ks}, a.i, b.i - a.i AS k FROM {p}wd a JOIN {p}wd b ON {on} AND a.w = b.w AND b.i > a.i AND b.i - a.i <= a.n // 5)",
+        f"{p}isl AS (SELECT *, i - row_number() OVER (PARTITION BY {keys}, k ORDER BY i) AS g FROM {p}eq)",
+        f"""{p}rn AS (SELECT {keys}, k, min(i) AS s, count(*) // k + 1 AS reps, min(i) + count(*) + k AS reach FROM {p}isl GROUP BY {keys}, k, g HAVING count(*) // k + 1 >= 5)""",
+        f"""{p}pr AS (SELECT *, s + k * reps AS e FROM {p}rn r WHERE NOT EXISTS (SELECT 1 FROM {p}rn q WHERE
   {" AND ".join(f"q.{x} = r.{x}" for x in keys.split(", "))} AND q.k < r.k AND r.k % q.k = 0 AND q.s <= r.s AND q.s + q.k * q.reps + q.k > r.s + r.k))""",
-        f"hit AS (SELECT *, {score} AS score FROM pr WHERE {score} > 0)",
-        f"h1 AS (SELECT * FROM hit QUALIFY row_number() OVER (PARTITION BY {keys}, s ORDER BY k DESC) = 1)",
-        f"""h2 AS (SELECT * EXCLUDE (m) FROM (SELECT *, max(e) OVER (PARTITION BY {keys} ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m
-  FROM h1) WHERE m IS NULL OR e > m)""",
+        f"{p}hit AS (SELECT *, {score} AS score FROM {p}pr WHERE {score} > 0)",
+        f"{p}h1 AS (SELECT * FROM {p}hit QUALIFY row_number() OVER (PARTITION BY {keys}, s ORDER BY k DESC) = 1)",
+        f"""{p}h2 AS (SELECT * EXCLUDE (m) FROM (SELECT *, max(e) OVER (PARTITION BY {keys} ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m
+  FROM {p}h1) WHERE m IS NULL OR e > m)""",
     ]
 
 
-
-
 def _turn_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.cues(spark, sf_dir, looped=True).select("conv_id", "turn", "words")
 
@@ -170,10 +168,13 @@ def repetition_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("repetition_documents")
+@query(
+    "repetition_documents",
+    with_(f"dw AS (SELECT doc_id, {words(prepare('text'))} AS words FROM documents)", *_runs_sql("dw", "doc_id"))
+    + "SELECT doc_id, s AS start, k, reps AS repetitions, round(score::DOUBLE, 6) AS score FROM h2",
+)
 def repetition_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits in whole documents; all periods of long texts are too slow for
-    plain SQL, the method is checked on cues and small fixtures."""
+    """Hits in whole documents."""
     docs = views.table(spark, sf_dir, "documents").select("doc_id", T.words(T.prepare("text")).alias("words"))
     hits = R.classify(R.repeated_runs(docs, "words")).drop("words")
     return R.outermost(hits, ["doc_id"]).select("doc_id", "start", "k", "repetitions", F.round("score", 6).alias("score"))
@@ -239,21 +240,18 @@ def first_hit_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MERGED = [
-    *_HITS,
-    "m1 AS (SELECT conv_id, k, hit_start, max(window_id * 375 + reach) AS hit_reach FROM hits GROUP BY 1, 2, 3)",
-    """m2 AS (SELECT *, coalesce(hit_start > max(hit_reach) OVER (PARTITION BY conv_id, k ORDER BY hit_start
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - k, true) AS fresh FROM m1)""",
-    "m3 AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY conv_id, k ORDER BY hit_start) AS island FROM m2)",
-    "m4 AS (SELECT conv_id, k, min(hit_start) AS hit_start, (max(hit_reach) - min(hit_start)) // k AS reps FROM m3 GROUP BY conv_id, k, island)",
-    "m5 AS (SELECT *, hit_start + k * reps AS hit_end FROM m4 QUALIFY row_number() OVER (PARTITION BY conv_id, hit_start ORDER BY hit_start + k * reps DESC, k DESC) = 1)",
+    *LOOPED,
+    """wp AS (SELECT conv_id, word_start + i - 1 AS p, w FROM (SELECT conv_id, word_start, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM cues))""",
+    "tr AS (SELECT conv_id, list(w ORDER BY p) AS words FROM wp GROUP BY 1)",
+    *_runs_sql("tr", "conv_id"),
+    "m5 AS (SELECT conv_id, s AS hit_start, e AS hit_end, k, reps FROM hit QUALIFY row_number() OVER (PARTITION BY conv_id, s ORDER BY e DESC, k DESC) = 1)",
     """merged AS (SELECT * EXCLUDE (mx) FROM (SELECT *, max(hit_end) OVER (PARTITION BY conv_id ORDER BY hit_start
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx FROM m5) WHERE mx IS NULL OR hit_start >= mx)""",
 ]
 
 
 def _merged(cues: DataFrame) -> DataFrame:
-    windows = R.word_windows(cues, "conv_id", "turn", "words")
-    return R.merge_hits(R.window_hits(windows, "conv_id"), "conv_id")
+    return R.transcript_hits(cues, "conv_id", "turn", "words")
 
 
 @query("merged_hits", with_(*_MERGED) + "SELECT conv_id, hit_start, hit_end, k, reps AS repetitions FROM merged")
@@ -312,18 +310,17 @@ def cleaned_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "cleaned_check",
-    with_(*LOOPED) + "SELECT count(DISTINCT conv_id) AS transcripts, CAST(0 AS BIGINT) AS hits_left FROM cues",
+    with_(*_CLEANED, "again AS (SELECT conv_id, list(w ORDER BY p) AS words FROM own GROUP BY 1)", *_runs_sql("again", "conv_id", "z"))
+    + "SELECT (SELECT count(*) FROM again) AS transcripts, (SELECT count(*) FROM zhit) AS hits_left",
 )
 def cleaned_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detection run again on the cleaned cues finds nothing."""
+    """What detection finds when it runs again over the whole cleaned transcripts."""
     cues = _looped(spark, sf_dir)
     cleaned = R.collapse_in_cues(cues, _merged(cues), "conv_id", "turn", "words").select("conv_id", "turn", "content")
-    again = Q.word_offsets(cleaned, "conv_id", "turn", F.col("content")).withColumn("words", T.words("content"))
-    windows = materialize(R.word_windows(again, "conv_id", "turn", "words"), "windows")
-    hits = R.window_hits(windows, "conv_id").groupBy("conv_id").agg(F.count(F.lit(1)).alias("h"))
-    return windows.select("conv_id").distinct().join(hits, "conv_id", "left").agg(
-        F.count(F.lit(1)).alias("transcripts"), F.coalesce(F.sum("h"), F.lit(0)).alias("hits_left")
-    )
+    again = materialize(Q.word_offsets(cleaned, "conv_id", "turn", F.col("content")).withColumn("words", T.words("content")), "cleaned-again")
+    hits = R.classify(R.transcript_runs(again, "conv_id", "turn", "words"))
+    both = again.select("conv_id", F.lit(0).alias("hit")).unionByName(hits.select("conv_id", F.lit(1).alias("hit")))
+    return both.agg(F.count_distinct(F.when(F.col("hit") == 0, F.col("conv_id"))).alias("transcripts"), F.sum("hit").cast("long").alias("hits_left"))
 
 
 @query(
@@ -364,7 +361,7 @@ def hit_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "detection_reports",
     with_(
-        *_MERGED, _SPANS,
+        *_MERGED, _SPANS, *_WINDOWS[-2:],
         """hj AS (SELECT conv_id, hit_start // 1048576 AS part, count(*) AS n, to_json(list({'hit_start_ms': hit_start_ms, 'hit_end_ms': hit_end_ms, 'hit_start': hit_start,
   'hit_end': hit_end, 'repetition_length': k, 'repetitions': reps} ORDER BY hit_start_ms, hit_end_ms, hit_start)) AS hits FROM spans JOIN merged USING (conv_id, hit_start) GROUP BY 1, 2)""",
         "tw AS (SELECT conv_id, window_start // 1048576 AS part, count(*) AS total_windows FROM win GROUP BY 1, 2)",

@@ -1,20 +1,19 @@
 """Find and collapse runaway repetitions in word sequences.
 
 A phrase of ``k`` words that repeats ``r`` times in a row is a run of positions
-``i`` with ``w[i] = w[i + k]`` of length at least ``(r - 1) * k``.  Such a run
-covers a multiple of ``(r - 1) * k``, so for each period only those anchors are
-compared: about 1.3 comparisons per word and window over all periods, instead
-of one per word and period, and no period is left out.
+``i`` with ``w[i] = w[i + k]`` of length at least ``(r - 1) * k``; ``loops`` finds
+them.  Windows serve the report; what is merged and cleaned is found in whole
+transcripts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arrays import hold
 from ..functions.scores import LINEAR_SVM, linear_score
 from ..session import materialize
+from .loops import runs_in_rows, transcript_runs
 from .ranges import overlap_join
 from .running import running, running_number
 
@@ -23,64 +22,12 @@ OVERLAP_PERCENT = 25.0
 MIN_REPETITIONS = 5
 
 
-def _same(w: Column, i: Column, k: Column) -> Column:
-    """Whether position i repeats k words later; false outside the array."""
-    return (i >= 0) & F.coalesce(F.get(w, i) == F.get(w, i + k), F.lit(False))
-
-
 def repeated_runs(df: DataFrame, words: str, min_repetitions: int = MIN_REPETITIONS) -> DataFrame:
     """Maximal runs at their primitive period, one row each:
     ``start, k, repetitions, run_end, reach``; ``run_end`` is after the last full
     repetition, ``reach`` after the last word that still follows the period.
-    Rows keep the other columns of ``df`` and the word array."""
-    r = int(min_repetitions)
-    if r < 2:
-        raise ValueError("min_repetitions must be at least 2")
-    w = F.col(words)
-    n = F.size(w)
-
-    def anchors(k: Column) -> Column:
-        step = k * (r - 1)
-        half = F.floor(step / 2).cast("int")
-
-        def near_run(j: Column) -> Column:
-            right = F.forall(F.sequence(j, j + F.greatest(half, F.lit(1)) - 1), lambda i: _same(w, i, k))
-            left = F.forall(F.sequence(j - F.greatest(half, F.lit(1)) + 1, j), lambda i: _same(w, i, k))
-            return right | left
-
-        def first_in_run(j: Column) -> Column:
-            return (j < step) | ~F.forall(F.sequence(j - step, j), lambda i: _same(w, i, k))
-
-        hits = F.filter(F.sequence(F.lit(0), n - k - 1, step), lambda j: _same(w, j, k) & near_run(j) & first_in_run(j))
-        return F.transform(hits, lambda j: F.struct(k.alias("k"), j.alias("j")))
-
-    periods = F.sequence(F.lit(1), F.floor(n / r).cast("int"))
-    found = F.when(n >= r, F.flatten(F.transform(periods, anchors)))
-    rows = df.withColumn("__c", F.explode(found)).withColumns({"k": F.col("__c.k"), "__j": F.col("__c.j")}).drop("__c")
-
-    k, j = F.col("k"), F.col("__j")
-    ahead = F.transform(F.sequence(j, n - k), lambda i: _same(w, i, k))
-    back = F.transform(F.sequence(F.lit(1), j + 1), lambda t: _same(w, j - t, k))
-    rows = hold(
-        rows,
-        __stop=j + F.array_position(ahead, False).cast("int") - 1,
-        start=j - F.array_position(back, False).cast("int") + 1,
-    )
-    length = F.col("__stop") - F.col("start")
-    rows = rows.withColumn("repetitions", (F.floor(length / k) + 1).cast("long")).where(F.col("repetitions") >= r)
-    s = F.col("start")
-    shorter = F.filter(
-        F.sequence(F.lit(1), F.greatest(F.floor(k / 2).cast("int"), F.lit(1))), lambda d: (d < k) & (k % d == 0)
-    )
-    repeats_within = F.exists(shorter, lambda d: F.forall(F.sequence(s, s + k - d - 1), lambda i: _same(w, i, d)))
-    return (
-        hold(rows, __primitive=~repeats_within)
-        .where("__primitive")
-        .withColumn("run_end", (s + k * F.col("repetitions")).cast("long"))
-        .withColumn("reach", (F.col("__stop") + k).cast("long"))
-        .withColumns({"start": s.cast("long"), "k": k.cast("long")})
-        .drop("__j", "__stop", "__primitive")
-    )
+    Rows keep the other columns of ``df`` and the word array; a row's words are one text."""
+    return runs_in_rows(df, words, min_repetitions)
 
 
 def classify(runs: DataFrame, coefficients: tuple[float, float, float] = LINEAR_SVM) -> DataFrame:
@@ -157,31 +104,15 @@ def window_hits(windows: DataFrame, key: str, min_repetitions: int = MIN_REPETIT
     )
 
 
-def merge_hits(hits: DataFrame, key: str) -> DataFrame:
-    """Join the pieces of one run seen by neighbouring windows.
+def transcript_hits(cues: DataFrame, key: str, order: str, words: str, min_repetitions: int = MIN_REPETITIONS) -> DataFrame:
+    """Classified runs of whole transcripts that do not overlap: ``hit_start, hit_end, k, repetitions``.
 
-    Pieces of equal period that share at least one period of words are one run.
-    Of runs that overlap, the earliest is kept and what it covers is dropped.
-    Returns ``hit_start, hit_end, k, repetitions``.
+    Of runs with one start the longest is taken, then of runs that overlap the earliest;
+    what it covers is dropped.
     """
-    # Hits are few next to the words they come from; each running step reads
-    # its input twice, so detection is written once and not repeated.
-    pieces = materialize(hits.groupBy(key, "k", "hit_start").agg(F.max("hit_reach").alias("hit_reach")), "hit-pieces")
-    reach = running(pieces, [key, "k"], "hit_start", F.col("hit_reach"), "__reach", how="max", inclusive=False)
-    fresh = F.col("__reach").isNull() | (F.col("hit_start") > F.col("__reach") - F.col("k"))
-    islands = running(
-        reach.withColumn("__new", F.when(fresh, F.col("hit_start"))),
-        [key, "k"], "hit_start", F.col("__new"), "__island", how="last",
-    )
-    runs = (
-        islands.groupBy(key, "k", F.col("__island").alias("hit_start"))
-        .agg(F.max("hit_reach").alias("__end"))
-        .withColumn("repetitions", F.floor((F.col("__end") - F.col("hit_start")) / F.col("k")).cast("long"))
-        .withColumn("hit_end", F.col("hit_start") + F.col("k") * F.col("repetitions"))
-        .drop("__end")
-    )
-    best = F.max_by(F.struct("hit_end", "k", "repetitions"), F.struct("hit_end", "k")).alias("__b")
-    per_start = materialize(runs.groupBy(key, "hit_start").agg(best).select(key, "hit_start", "__b.*"), "hit-runs")
+    runs = classify(transcript_runs(cues, key, order, words, min_repetitions))
+    best = F.max_by(F.struct(F.col("run_end").alias("hit_end"), "k", "repetitions"), F.struct("run_end", "k")).alias("__b")
+    per_start = materialize(runs.groupBy(key, F.col("start").alias("hit_start")).agg(best).select(key, "hit_start", "__b.*"), "hit-runs")
     covered = running(per_start, [key], "hit_start", F.col("hit_end"), "__reach", how="max", inclusive=False)
     return covered.where(F.col("__reach").isNull() | (F.col("hit_start") >= F.col("__reach"))).drop("__reach")
 

@@ -1,10 +1,13 @@
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from corpuslab.functions import scores
 from corpuslab.functions import text as T
+from corpuslab.operators import loops
 from corpuslab.operators import repetition as R
 from corpuslab.operators.cues import word_offsets
 
@@ -91,8 +94,7 @@ def test_loop_over_many_cues_is_collapsed(spark):
     rows = [("t", 0, "before the loop"), *[("t", i, "thank you") for i in range(1, 41)], ("t", 41, "thank you and bye"), ("t", 42, "end")]
     rows += [("calm", i, f"plain words {i}") for i in range(3)]
     cues = timed(spark, rows)
-    windows = R.word_windows(cues, "t", "i", "words", size=40, overlap=25.0)
-    merged = R.merge_hits(R.window_hits(windows, "t"), "t")
+    merged = R.transcript_hits(cues, "t", "i", "words")
     assert [(r["hit_start"], r["hit_end"], r["k"], r["repetitions"]) for r in merged.collect()] == [(3, 85, 2, 41)]
     spans = R.hit_cue_spans(merged, cues, "t", "i").first()
     assert (spans["cue_from"], spans["cue_to"], spans["n_cues"]) == (1, 41, 41)
@@ -120,3 +122,78 @@ def test_training_rows(spark):
     df = spark.createDataFrame([(1, "a b " * 8), (2, "one two")], "i int, t string").select("i", T.words("t").alias("w"))
     got = {r["i"]: (r["repetitions"], r["sequence_length"], r["area"]) for r in R.training_rows(df, "i", "w").collect()}
     assert got == {1: (8, 2, 16), 2: (0, 0, 0)}
+
+
+def cut(words, name, rnd, most=9):
+    """Cues of a transcript, some without words."""
+    rows, i = [], 0
+    while words:
+        n = rnd.randint(0, most)
+        rows.append((name, i, " ".join(words[:n])))
+        words, i = words[n:], i + 1
+    return rows
+
+
+@pytest.mark.parametrize(("phrase", "nxt", "block"), [(1024, 16, 16), (4, 2, 4), (2, 4, 2)])
+def test_runs_of_whole_transcripts_match_brute_force(spark, monkeypatch, phrase, nxt, block):
+    """Small blocks put borders into every run and need several levels."""
+    monkeypatch.setattr(loops, "PHRASE", phrase)
+    monkeypatch.setattr(loops, "NEXT", nxt)
+    monkeypatch.setattr(loops, "BLOCK", block)
+    rnd = random.Random(phrase)
+    rows, want = [], set()
+    for t in range(14):
+        words = []
+        for _ in range(rnd.randint(1, 4)):
+            words += [rnd.choice("abcd") for _ in range(rnd.randint(0, 40))]
+            k = rnd.choice([1, 1, 2, 3, 5, 8, 9, 16, 17, 23])
+            one = [rnd.choice("xyab") for _ in range(k)]
+            words += one * rnd.randint(3, 8) + one[: rnd.randint(0, k)]
+        rows += cut(words, f"t{t}", rnd)
+        want |= {(f"t{t}", *r) for r in brute_runs(words, 5)}
+    got = R.transcript_runs(timed(spark, [*rows, (None, 0, "a " * 9)]), "t", "i", "words").collect()
+    assert {(r["t"], r["start"], r["k"], r["repetitions"]) for r in got} == want and len(got) == len(want)
+    assert all(r["run_end"] == r["start"] + r["k"] * r["repetitions"] <= r["reach"] for r in got)
+
+
+def test_long_phrases_anywhere(spark):
+    """What windows of 500 words cannot see: long phrases, and loops over a block's border."""
+    rnd = random.Random(4)
+
+    def words(n):
+        return [f"w{rnd.randrange(10**9)}" for _ in range(n)]
+
+    border = loops.PHRASE * loops.BLOCK
+    made = {
+        "from 300": words(300) + words(50) * 5 + words(80),
+        "long": words(7) + words(120) * 5,
+        "very long": words(100) + words(1500) * 5 + words(3),
+        "border": words(border - 250) + words(100) * 5 + words(9),
+        "loop": words(border - 9) + ["so"] * 60000 + words(2),
+        "four": words(120) * 4,
+    }
+    rows = [r for name, ws in made.items() for r in cut(ws, name, rnd, 3000)]
+    got = {(r["t"], r["hit_start"], r["hit_end"], r["k"], r["repetitions"]) for r in R.transcript_hits(timed(spark, rows), "t", "i", "words").collect()}
+    assert got == {
+        ("from 300", 300, 550, 50, 5), ("long", 7, 607, 120, 5), ("very long", 100, 7600, 1500, 5),
+        ("border", border - 250, border + 250, 100, 5), ("loop", border - 9, border + 59991, 1, 60000),
+    }
+
+
+def test_time_of_a_loop_is_linear():
+    def seconds(n):
+        x, core = np.full(n, 7, np.uint64), np.ones(n, bool)
+        start = time.process_time()
+        found = loops.found_in(x, core, n // 5, 5)
+        assert [tuple(f) for f in found.tolist() if f[3] == 1] == [(1, n, 1, 1)]
+        return time.process_time() - start
+
+    seconds(1 << 15)
+    assert seconds(1 << 19) < 3.5 * seconds(1 << 18) + 0.2
+
+
+def test_empty_and_null_words(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, ["a"] * 9)], "i int, w array<string>")
+    assert [(r["i"], r["k"], r["repetitions"], len(r["w"])) for r in R.repeated_runs(df, "w").collect()] == [(3, 1, 9, 9)]
+    assert R.repeated_runs(df.where("false"), "w").count() == 0
+    assert R.transcript_runs(timed(spark, [("a", 0, "")]).where("false"), "t", "i", "words").count() == 0
