@@ -1,22 +1,30 @@
-"""TF-IDF over words and phrases as relational steps.
+"""TF-IDF over words and phrases, one sparse vector a row.
 
-Term counts of a document are built inside its row (sort, then run lengths), so
-counting needs no shuffle by document.  The vocabulary is the top ``cap``
-features, at most ``cap`` rows per group.  Only the L2 norm needs all terms of
-a document together: the text is shuffled once by document before it is
-tokenised.
+Texts are tokenised once: a document's terms and their counts are arrays of its
+row (sort, then run lengths), which are stored.  The vocabulary is the top
+``cap`` features, at most ``cap`` rows per group; it is looked up inside the
+rows, where all terms of a document are together, so weights and norms need no
+exchange and neither texts nor postings move.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import counted, run_starts
+from ..functions.arrays import run_starts
+from ..session import materialize
 from .topn import top_per_group
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 MAX_FEATURES = 10000
+#: Vocabulary rows of all groups that are looked up together; more groups are taken one set after the other.
+ENTRIES = 2_000_000
 SCORE_DECIMALS = 6
 
 # English function words removed before phrases are formed.  A
@@ -49,19 +57,31 @@ def _ngrams(kept: Column, n: int) -> Column:
     return F.when(F.size(kept) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
-def term_counts(
-    docs: DataFrame, text: str, ngrams: tuple[int, int] = (1, 2), stop_words: list[str] | None = None
-) -> DataFrame:
-    """One row per (document row, term) with ``tf``; other columns are kept."""
+def vectors(docs: DataFrame, text: str, ngrams: tuple[int, int] = (1, 2), stop_words: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``terms``, the document's distinct terms in order, and their counts ``tfs`` in place of the text."""
     stop = STOP_WORDS if stop_words is None else stop_words
     keep = [c for c in docs.columns if c != text]
     kept = docs.select(*keep, _kept_tokens(F.col(text), list(stop)).alias("__kept"))
     grams = [_ngrams(F.col("__kept"), n) for n in range(ngrams[0], ngrams[1] + 1)]
-    terms = kept.select(*keep, F.sort_array(F.concat(*grams)).alias("__terms"))
-    t = F.col("__terms")
-    with_starts = terms.select(*keep, "__terms", run_starts(t).alias("__starts"))
-    pairs = counted(t, F.col("__starts"), "term", "tf")
-    return with_starts.select(*keep, F.explode(pairs).alias("__e")).select(*keep, "__e.term", "__e.tf")
+    sorted_terms = kept.select(*keep, F.sort_array(F.concat(*grams)).alias("__terms"))
+    t, starts = F.col("__terms"), F.col("__starts")
+    found = sorted_terms.select(*keep, "__terms", F.coalesce(run_starts(t), F.array().cast("array<int>")).alias("__starts"))
+    tfs = F.transform(starts, lambda a, i: (F.coalesce(F.get(starts, i + 1), F.size(t)) - a).cast("long"))
+    return found.select(*keep, F.transform(starts, lambda a: t[a]).alias("terms"), tfs.alias("tfs"))
+
+
+def postings(found: DataFrame) -> DataFrame:
+    """One row per (document row, term) with ``tf``; other columns are kept."""
+    keep = [c for c in found.columns if c not in ("terms", "tfs")]
+    rows = found.select(*keep, F.explode(F.arrays_zip("terms", "tfs")).alias("__e"))
+    return rows.select(*keep, F.col("__e.terms").alias("term"), F.col("__e.tfs").alias("tf"))
+
+
+def term_counts(
+    docs: DataFrame, text: str, ngrams: tuple[int, int] = (1, 2), stop_words: list[str] | None = None
+) -> DataFrame:
+    """One row per (document row, term) with ``tf``; other columns are kept."""
+    return postings(vectors(docs, text, ngrams, stop_words))
 
 
 def vocabulary(counts: DataFrame, group: list[str], cap: int = MAX_FEATURES) -> DataFrame:
@@ -74,6 +94,46 @@ def vocabulary(counts: DataFrame, group: list[str], cap: int = MAX_FEATURES) ->
     return top_per_group(totals, group, order, cap, spread_on="term")
 
 
+def _looked_up(found: DataFrame, group: str | None, vocab: DataFrame) -> DataFrame:
+    """``found`` with ``hits``, the (entry, tf, weight) of its terms that are in ``vocab`` (group, term, df, n_docs, entry).
+
+    ``vocab`` has ``ENTRIES`` rows at most and is held by every task; the row's
+    terms are looked up together and its norm is a sum over the row.
+    """
+    table = vocab.toArrow()
+    names = table["group"].combine_chunks().dictionary_encode()
+    terms = table["term"].combine_chunks().dictionary_encode()
+    code = names.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(terms.dictionary) + terms.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(code)
+    idf = np.log((1.0 + table["n_docs"].to_numpy()) / (1.0 + table["df"].to_numpy())) + 1.0
+    sent = found.sparkSession.sparkContext.broadcast((names.dictionary, terms.dictionary, code[order], table["entry"].to_numpy()[order], idf[order]))
+    keep = [c for c in found.columns if c not in ("terms", "tfs")]
+    at = {c: found.columns.index(c) for c in found.columns}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, terms, codes, entry, idf = sent.value
+        for batch in batches:
+            own, counts = batch.column(at["terms"]), batch.column(at["tfs"])
+            sizes = own.value_lengths().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            which = np.zeros(len(sizes), np.int64)
+            if group is not None:
+                which = pc.fill_null(pc.index_in(batch.column(at[group]).cast(names.type), value_set=names), -1).to_numpy(zero_copy_only=False)
+            term = pc.fill_null(pc.index_in(own.flatten(), value_set=terms), -1).to_numpy(zero_copy_only=False)
+            wanted = which[row] * len(terms) + term
+            place = np.minimum(np.searchsorted(codes, wanted), max(len(codes) - 1, 0))
+            hit = np.flatnonzero((term >= 0) & (which[row] >= 0) & (codes[place] == wanted)) if len(codes) else np.zeros(0, np.int64)
+            tf = counts.flatten().to_numpy(zero_copy_only=False)[hit]
+            raw = tf * idf[place[hit]]
+            norm = np.sqrt(np.bincount(row[hit], raw * raw, len(sizes)))
+            entries = pa.StructArray.from_arrays([pa.array(entry[place[hit]]), pa.array(tf), pa.array(raw / norm[row[hit]])], ["entry", "tf", "weight"])
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[hit], minlength=len(sizes)))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*(batch.column(at[c]) for c in keep), pa.ListArray.from_arrays(pa.array(ends), entries)], [*keep, "hits"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields if f.name in keep)
+    return found.mapInArrow(run, f"{schema}, hits array<struct<entry:long,tf:long,weight:double>>")
+
+
 def weights(
     docs: DataFrame,
     doc: str,
@@ -85,24 +145,35 @@ def weights(
 ) -> DataFrame:
     """L2-normed TF-IDF weight per (document, vocabulary term).
 
-    idf = ln((1 + N) / (1 + df)) + 1 with N and df local to the group.  Adds
-    ``term, tf, df, n_docs, weight``.
+    idf = ln((1 + N) / (1 + df)) + 1 with N and df local to the group (one column
+    at most; rows of a null group are left out).  Adds ``term, tf, df, n_docs,
+    weight``.  Every row is a document of its own.
     """
     group = group or []
-    vocab = vocabulary(term_counts(docs.select(*group, text), text, ngrams, stop_words), group, cap)
-    placed = term_counts(docs.repartition(doc), text, ngrams, stop_words)
+    if len(group) > 1:
+        raise ValueError("one group column at most")
+    found = materialize(vectors(docs, text, ngrams, stop_words), "term-vectors")
+    vocab = vocabulary(postings(found.select(*group, "terms", "tfs")), group, cap)
     if group:
-        sizes = docs.groupBy(*group).agg(F.count(F.lit(1)).alias("n_docs"))
-        vocab = vocab.join(sizes, group)
-        hits = placed.join(vocab.select(*group, "term", "df", "n_docs"), [*group, "term"])
+        vocab = vocab.join(found.groupBy(*group).agg(F.count(F.lit(1)).alias("n_docs")), group)
     else:
-        n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-        # At most ``cap`` rows, so the small side has a proven bound.
-        hits = placed.join(F.broadcast(vocab.select("term", "df")), "term").withColumn("n_docs", n_docs)
-    idf = F.log((F.lit(1.0) + F.col("n_docs")) / (F.lit(1.0) + F.col("df"))) + 1.0
-    raw = hits.withColumn("__raw", F.col("tf") * idf)
-    norm = F.sqrt(F.sum(F.col("__raw") * F.col("__raw")).over(Window.partitionBy(doc)))
-    return raw.withColumn("weight", F.col("__raw") / norm).drop("__raw")
+        vocab = vocab.withColumn("n_docs", F.lit(found.count()))
+    name = F.col(group[0]).cast("string") if group else F.lit("")
+    vocab = materialize(vocab.select(name.alias("group"), "term", "df", "n_docs").withColumn("entry", F.monotonically_increasing_id()), "vocabulary")
+    out = None
+    # a group is a period or a channel; their names are few next to the vocabulary
+    names = sorted(r["group"] for r in vocab.select("group").distinct().collect())
+    step = max(1, ENTRIES // cap)
+    for i in range(0, max(1, len(names)), step):
+        some = names[i : i + step]
+        rows = found.where(name.isin(some)) if group and len(names) > step else found
+        part = vocab.where(F.col("group").isin(some)) if group and len(names) > step else vocab
+        hits = _looked_up(rows, group[0] if group else None, part)
+        keep = [c for c in hits.columns if c != "hits"]
+        flat = hits.select(*keep, F.explode("hits").alias("__h")).select(*keep, "__h.entry", "__h.tf", "__h.weight")
+        made = flat.join(F.broadcast(part.select("entry", "term", "df", "n_docs")), "entry").drop("entry")
+        out = made if out is None else out.unionByName(made)
+    return out
 
 
 def entries(weighted: DataFrame, group: list[str] | None = None, channel: str = "channel") -> DataFrame:

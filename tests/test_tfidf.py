@@ -99,3 +99,26 @@ def test_empty_summary_counts_as_missing(spark):
     got = {r["i"]: (r["summary_words"], r["summary_chars"]) for r in C.summary_stats(df, "text").select("i", "summary_words", "summary_chars").collect()}
     assert got == {1: (None, None), 2: (2, 9)}
     assert df.where(F.col("i") > 5).count() == 0
+
+
+def test_groups_may_be_taken_in_sets(spark, monkeypatch):
+    rows = [(i, "c", f"b{i % 5}" if i % 6 else None, t) for i, t in corpus(7).items()]
+    df = spark.createDataFrame(rows, "doc long, channel string, bucket string, document string")
+
+    def found():
+        return sorted((r["doc"], r["term"], r["tf"], r["df"], r["n_docs"], round(r["weight"], 12)) for r in tfidf.weights(df, "doc", "document", ["bucket"], cap=9, stop_words=[]).collect())
+
+    whole = found()
+    monkeypatch.setattr(tfidf, "ENTRIES", 18)
+    assert found() == whole and whole
+    with pytest.raises(ValueError, match="one group"):
+        tfidf.weights(df, "doc", "document", ["bucket", "channel"])
+
+
+def test_weights_move_neither_texts_nor_postings(spark):
+    df = spark.createDataFrame([(i, "c", t) for i, t in corpus(8).items()], "doc long, channel string, document string")
+    plan = tfidf.weights(df, "doc", "document")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan and "regexp" not in plan
+    # repeated rows are documents of their own
+    twice = tfidf.weights(spark.createDataFrame([(1, "c", "ab cd"), (1, "c", "ab")], df.schema), "doc", "document").collect()
+    assert sorted((r["term"], round(r["weight"], 6)) for r in twice) == [("ab", 0.449436), ("ab", 1.0), ("ab cd", 0.631667), ("cd", 0.631667)]
