@@ -441,6 +441,14 @@ def trimmed_to_original(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.to_original(points, kept, "rec", "t").select("event_id", "t", "original_ms")
 
 
+def _stored_logs(spark: SparkSession, lines: DataFrame, key: str, per_file: int) -> DataFrame:
+    """(key, position, line) of logs that were written as text files of at most ``per_file`` lines."""
+    root = scratch_dir(spark, "logs")
+    writers.write_logs(lines, key, "event_id", root, per_file=per_file)
+    read = files.ordered_lines(spark, root, ".txt")
+    return materialize(read.select(F.regexp_extract("folder", f"{key}=([^/]*)$", 1).alias(key), "position", "line"), "log-lines")
+
+
 @query(
     "silence_log",
     """SELECT user_id AS rec, CAST(round(a * 1000) AS BIGINT) AS start_ms, CAST(round(b * 1000) AS BIGINT) AS end_ms FROM
@@ -448,7 +456,7 @@ def trimmed_to_original(spark: SparkSession, sf_dir: str) -> DataFrame:
    FROM events WHERE event_type IN ('view', 'click') WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) WHERE event_type = 'click' AND prev = 'view'""",
 )
 def silence_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines per user: views open a silence, clicks close it."""
+    """Log files per user, read back by line: views open a silence, clicks close it."""
     e = F.col("event_id").cast("string")
     line = (
         F.when(F.col("event_type") == "view", F.concat(F.lit("[silencedetect] silence_start: "), e, F.lit(".0")))
@@ -456,13 +464,13 @@ def silence_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit("frame= 1"))
     )
     lines = views.table(spark, sf_dir, "events").select(F.col("user_id").alias("rec"), "event_id", line.alias("line"))
-    return V.pair_log_lines(lines, "rec", "event_id")
+    return V.pair_log_lines(_stored_logs(spark, lines, "rec", 1000).withColumn("rec", F.col("rec").cast("long")), "rec", "position")
 
 
-_LOG = """lg AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS log_file, event_id, CASE WHEN event_type = 'signup' THEN 'https://example.com/@user' || user_id END AS url,
-  CASE WHEN event_type = 'error' THEN 'id' || user_id END AS vid FROM events),
-fl AS (SELECT *, last_value(url IGNORE NULLS) OVER (PARTITION BY log_file ORDER BY event_id) AS channel_url FROM lg),
-facts AS (SELECT log_file, channel_url, vid AS video_id, event_id FROM fl WHERE vid IS NOT NULL AND channel_url IS NOT NULL)"""
+_LOG = """lg AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS log_file, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id) AS position,
+  CASE WHEN event_type = 'signup' THEN 'https://example.com/@user' || user_id END AS url, CASE WHEN event_type = 'error' THEN 'id' || user_id END AS vid FROM events),
+fl AS (SELECT *, last_value(url IGNORE NULLS) OVER (PARTITION BY log_file ORDER BY position) AS channel_url FROM lg),
+facts AS (SELECT log_file, channel_url, vid AS video_id, position FROM fl WHERE vid IS NOT NULL AND channel_url IS NOT NULL)"""
 
 
 def _log_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -477,15 +485,16 @@ def _log_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = views.table(spark, sf_dir, "events").select(
         F.to_date("ts").cast("string").alias("log_file"), "event_id", line.alias("line")
     )
-    filled = running(files.log_facts(lines), ["log_file"], "event_id", F.col("channel_url"), "channel", how="last")
+    stored = _stored_logs(spark, lines, "log_file", 100)
+    filled = running(files.log_facts(stored), ["log_file"], "position", F.col("channel_url"), "channel", how="last")
     return filled.where("video_id is not null and channel is not null").select(
-        "log_file", F.col("channel").alias("channel_url"), "video_id", "event_id"
+        "log_file", F.col("channel").alias("channel_url"), "video_id", "position"
     )
 
 
 @query("log_facts", with_(_LOG) + "SELECT * FROM facts")
 def log_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error lines with the channel line before them in the same log."""
+    """Error lines of written logs with the channel line before them in the same log."""
     return _log_facts(spark, sf_dir)
 
 

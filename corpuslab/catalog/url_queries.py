@@ -231,19 +231,30 @@ def seen_links_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.seen_after(seen, Q.unseen(links, seen))
 
 
+def _stored_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a written inbox: several files, blank padding, and a done folder that is not read."""
+    root = scratch_dir(spark, "inbox")
+    lines = views.inbox(spark, sf_dir).repartitionByRange("position").sortWithinPartitions("position").select("line")
+    padded = F.explode(F.array(F.concat(F.lit("  "), "line", F.lit("\t")), F.lit("   "))).alias("value")
+    lines.select(padded).write.option("maxRecordsPerFile", 1000).text(root)
+    lines.write.text(root + "/done")
+    return files.inbox_lines(spark, root)
+
+
 @query(
     "inbox_files",
-    with_(_INBOX) + f"SELECT {strip('line')} AS line, count(*) AS n FROM inbox WHERE {strip('line')} <> '' GROUP BY 1",
+    with_(_INBOX) + f"SELECT {strip('line')} AS line, 2 * row_number() OVER (ORDER BY position) - 1 AS position FROM inbox QUALIFY line <> ''",
 )
 def inbox_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inbox lines written with blank padding next to a done folder, and read
-    back without either."""
-    root = scratch_dir(spark, "inbox")
-    lines = views.inbox(spark, sf_dir).select("line")
-    padded = F.explode(F.array(F.concat(F.lit("  "), "line", F.lit("\t")), F.lit("   "))).alias("value")
-    lines.select(padded).write.text(root)
-    lines.write.text(root + "/done")
-    return files.inbox_lines(spark, root).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+    """Inbox lines of files with their places."""
+    return _stored_inbox(spark, sf_dir).select("line", "position")
+
+
+@query("inbox_queue", with_(*_UNIQUE) + f"SELECT normalized_url, {strip('source_line')} AS source_line, n_lines, stem, content_type FROM urls")
+def inbox_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs of the inbox files with the first line that names each."""
+    found = Q.unique_urls(Q.canonical_lines(_stored_inbox(spark, sf_dir)))
+    return found.select("normalized_url", "source_line", "n_lines", "stem", "content_type")
 
 
 @query("inbox_consumable", "SELECT 'page' || page_id AS path FROM pages WHERE NOT contains(html, '&quot;')")

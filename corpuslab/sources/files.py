@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip_ws
+from ..session import materialize
 
 TIMESERIES_COLUMNS = ["channelid", "datetime", "videotitle", "videoduration_minutes", "videoid"]
 TIMESERIES_SCHEMA = T.StructType(
@@ -37,15 +38,28 @@ def text_files(spark: SparkSession, folder: str, suffix: str, recursive: bool =
     return named.where(~F.col("name").startswith("._")).select("path", "name", "text")
 
 
-def text_lines(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
-    """Lines of text files as (path, line); splits files across tasks, so there
-    is no line number."""
-    return (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{suffix}" if suffix else "*")
-        .text(folder)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
-    )
+def ordered_lines(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
+    """Lines of all text files below ``folder`` with their places: ``path, folder, name, line_number, position, line``.
+
+    ``line_number`` counts from 1 in the file, ``position`` over all files of one
+    folder in the order of their names, as parts of a log that was rolled over.  Empty
+    lines count.  Files are read in splits; a line's number is its place in its split and
+    the number of lines in the splits before it, of which there is one row a split.
+    Sidecars are left out, empty files give no row.
+    """
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}" if suffix else "*").text(folder)
+    path = F.col("_metadata.file_path")
+    # a split is read by one task from its first line to its last, so the ids of its rows follow one another
+    read = rows.select(path.alias("path"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__id"), F.col("value").alias("line"))
+    read = materialize(read, "lines")
+    splits = read.groupBy("path", "__block").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    splits = splits.withColumns({"name": file_name(F.col("path")), "folder": F.regexp_replace("path", "/[^/]*$", "")}).where(~F.col("name").startswith("._"))
+    in_file = Window.partitionBy("path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    in_folder = Window.partitionBy("folder").orderBy("name", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    before = {"__file": F.coalesce(F.sum("__n").over(in_file), F.lit(0)), "__folder": F.coalesce(F.sum("__n").over(in_folder), F.lit(0))}
+    placed = read.join(splits.withColumns(before).drop("__n"), ["path", "__block"])
+    place = F.col("__id") - F.col("__first") + 1
+    return placed.select("path", "folder", "name", (F.col("__file") + place).alias("line_number"), (F.col("__folder") + place).alias("position"), "line")
 
 
 def _directly_in(path: Column, folder: str) -> Column:
@@ -56,13 +70,11 @@ def _directly_in(path: Column, folder: str) -> Column:
 
 
 def inbox_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Stripped non-empty lines of the files directly in the inbox; the ``done``
-    and ``unprocessed`` folders below it are not entered."""
-    rows = spark.read.option("recursiveFileLookup", True).text(folder)
-    rows = rows.where(_directly_in(F.col("_metadata.file_path"), folder)).select(
-        F.col("_metadata.file_path").alias("path"), strip_ws(F.col("value")).alias("line")
-    )
-    return rows.where("line <> ''")
+    """Stripped non-empty lines of the files directly in the inbox, with ``path, name,
+    line_number`` and ``position`` in the order of the file names and lines; the
+    ``done`` and ``unprocessed`` folders below it are not entered."""
+    rows = ordered_lines(spark, folder).where(_directly_in(F.col("path"), folder))
+    return rows.select("path", "name", "line_number", "position", strip_ws(F.col("line")).alias("line")).where("line <> ''")
 
 
 def inbox_snapshot(spark: SparkSession, folder: str) -> DataFrame:

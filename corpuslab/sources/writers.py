@@ -110,3 +110,13 @@ def write_by_channel(rows: DataFrame, path: str) -> None:
 def write_exports(leaves: DataFrame, path: str) -> None:
     """Leaf text and citation pairs as JSON rows by folder."""
     leaves.select("folder", "leaf", "node_text", "citation").write.mode("overwrite").partitionBy("folder").json(path)
+
+
+def write_logs(lines: DataFrame, key: str, order: str, path: str, line: str = "line", per_file: int = 1_000_000) -> None:
+    """One ``<key>=<value>`` folder of text files per log.
+
+    Lines are dealt by log and order, so a long log is written by several tasks, in files
+    whose names are in the order of their lines.
+    """
+    dealt = lines.select(key, order, F.col(line).alias("value")).repartitionByRange(key, order).sortWithinPartitions(key, order)
+    dealt.select(key, "value").write.partitionBy(key).option("maxRecordsPerFile", per_file).text(path)

@@ -26,6 +26,46 @@ def test_inbox_ignores_archives(spark, tmp_path):
     assert before[0]["sha256"] != files.inbox_snapshot(spark, str(tmp_path)).collect()[0]["sha256"]
 
 
+@pytest.mark.parametrize("split", [64, 1000, 1 << 27])
+def test_lines_keep_their_places(spark, tmp_path, split):
+    """Files of many splits, line ends of both kinds, empty lines, an empty file, a sidecar."""
+    texts = {
+        "a/one.log": [f"line {i} " + "x" * (i % 90) for i in range(300)],
+        "a/two.log": ["", "only", "", "é"],
+        "b/one.log": [str(i) for i in range(200)],
+        "b/zero.log": [],
+        "b/._one.log": ["junk"],
+    }
+    for name, lines in texts.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(("\r\n" if name == "b/one.log" else "\n").join([*lines, ""] if lines else []).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        rows = files.ordered_lines(spark, str(tmp_path), ".log").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {}
+    for r in rows:
+        got.setdefault(r["path"].split(str(tmp_path) + "/")[1], []).append((r["line_number"], r["position"], r["line"]))
+    one = len(texts["a/one.log"])
+    assert {n: sorted(x) for n, x in got.items()} == {
+        "a/one.log": [(i, i, t) for i, t in enumerate(texts["a/one.log"], 1)],
+        "a/two.log": [(i, one + i, t) for i, t in enumerate(texts["a/two.log"], 1)],
+        "b/one.log": [(i, i, t) for i, t in enumerate(texts["b/one.log"], 1)],
+    }
+
+
+def test_logs_are_written_in_order_by_several_tasks(spark, tmp_path):
+    rows = spark.range(5000).select((F.col("id") % 10 > 2).cast("int").alias("log"), F.col("id").alias("event_id"), F.concat(F.lit("l"), "id").alias("line"))
+    writers.write_logs(rows.orderBy(F.rand(3)), "log", "event_id", f"{tmp_path}/logs", per_file=700)
+    back = files.ordered_lines(spark, f"{tmp_path}/logs", ".txt").collect()
+    assert len({r["path"] for r in back}) > 5
+    for log in (0, 1):
+        own = [r["line"] for r in sorted((r for r in back if f"log={log}/" in r["path"]), key=lambda r: r["position"])]
+        assert own == [f"l{i}" for i in range(5000) if (i % 10 > 2) == bool(log)]
+
+
 def test_inventory_lists_without_content(spark, tmp_path):
     folder = tmp_path / "videos" / "chan" / "sub"
     folder.mkdir(parents=True)
