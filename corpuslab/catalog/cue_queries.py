@@ -223,6 +223,28 @@ def word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_CUE_WINDOWS = [
+    *LOOPED,
+    "lst AS (SELECT conv_id, max(turn) AS z FROM cues GROUP BY 1)",
+    """st AS (SELECT c.conv_id, c.turn, min(a.turn) AS a, min(a.word_start) AS s FROM cues c JOIN cues a ON a.conv_id = c.conv_id AND a.word_start >= c.word_end - 125 GROUP BY 1, 2)""",
+    """nx AS (SELECT st.conv_id, st.turn, st.a, st.s, coalesce(min(e.turn), any_value(z)) AS nxt FROM st JOIN lst USING (conv_id)
+  LEFT JOIN cues e ON e.conv_id = st.conv_id AND e.word_end >= st.s + 500 WHERE st.turn < z GROUP BY ALL)""",
+    """fi AS (SELECT lst.conv_id, coalesce(min(e.turn), any_value(z)) AS turn FROM lst LEFT JOIN cues e ON e.conv_id = lst.conv_id AND e.word_end >= 500 GROUP BY 1)""",
+    """ch AS (SELECT fi.conv_id, 0 AS n, (SELECT min(turn) FROM cues c WHERE c.conv_id = fi.conv_id) AS a, CAST(0 AS BIGINT) AS s, fi.turn FROM fi
+  UNION ALL SELECT ch.conv_id, n + 1, nx.a, nx.s, nx.nxt FROM ch JOIN nx ON nx.conv_id = ch.conv_id AND nx.turn = ch.turn)""",
+]
+
+
+@query(
+    "cue_windows",
+    with_(*_CUE_WINDOWS).replace("WITH ", "WITH RECURSIVE ", 1) + """SELECT conv_id, CAST(n AS BIGINT) AS window_index, a AS cue_from, ch.turn AS cue_to, s AS window_start, word_end AS window_end
+  FROM ch JOIN cues USING (conv_id, turn)""",
+)
+def cue_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of whole cues over the looped transcripts."""
+    return Q.cue_windows(_looped(spark, sf_dir), "conv_id", "turn")
+
+
 @query("window_hits", with_(*_HITS) + "SELECT conv_id, window_id, hit_start, hit_end, k, reps AS repetitions FROM hits")
 def window_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = R.window_hits(_windows(spark, sf_dir), "conv_id")

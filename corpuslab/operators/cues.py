@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws, words
 from ..functions.times import CUE_TIME, cue_time_ms
+from ..session import materialize
 from .ranges import overlap_join, point_join
-from .running import running
+from .running import running, running_number
 
 CUE_BLOCK = r"(?s)^[ \t]*([0-9]+)[ \t]*\n[ \t]*(" + CUE_TIME + r")[ \t]*-->[ \t]*(" + CUE_TIME + r")[^\n]*\n?(.*)$"
 
@@ -116,3 +117,64 @@ def hours_by_channel(cues: DataFrame, channel: str, key: str) -> DataFrame:
     """Files and summed end time (whole seconds) per channel."""
     ends = cues.groupBy(channel, key).agg(F.floor(F.max("end_ms") / 1000).cast("long").alias("end_s"))
     return ends.groupBy(channel).agg(F.count(F.lit(1)).alias("n_files"), F.sum("end_s").alias("total_s"))
+
+
+def _first_at_least(points: DataFrame, asked: DataFrame, key: str, at: str, value: str, out: str) -> DataFrame:
+    """(key, at, out): for each asked place the ``value`` of the first point at or behind it; null past the last one.
+
+    Points and places are put in one descending order and filled forward.
+    """
+    both = points.select(key, (-2 * F.col(at) - 1).alias("__o"), F.col(value).alias("__v")).unionByName(
+        asked.select(key, (-2 * F.col(at)).alias("__o")).distinct(), allowMissingColumns=True
+    )
+    filled = running(materialize(both, "places"), [key], "__o", F.col("__v"), "__last", how="last")
+    return filled.where(F.col("__o") % 2 == 0).select(key, F.expr("-__o div 2").alias(at), F.col("__last").alias(out))
+
+
+def cue_windows(cues: DataFrame, key: str, order: str, size: int = 500, overlap: float = 25.0) -> DataFrame:
+    """Windows that grow and shrink by whole cues: ``window_index, cue_from, cue_to,
+    window_start, window_end``, the last two in words.
+
+    A window takes cues until it has ``size`` words or the transcript ends; then cues leave
+    at its front until at most ``overlap`` percent of ``size`` words are left, and the next
+    window grows from there.  Cues need ``word_start`` and ``word_end``; ``order`` must be an
+    integer, unique per transcript.
+
+    Where the next window ends depends only on where one ends, and prefix sums tell it
+    for every cue.  The ends that are reached from the first one come by doubling these
+    pointers, so no task goes through a transcript, however long it is.
+    """
+    if not 0 <= overlap < 100 or size < 1:
+        raise ValueError("size must be positive and overlap from 0 to below 100 percent")
+    keep = int(size * overlap / 100)
+    base = materialize(cues.where(F.col(key).isNotNull()).select(key, F.col(order).cast("long").alias("__i"), "word_start", "word_end"), "cue-spans")
+    last = base.groupBy(key).agg(F.max("__i").alias("__end"))
+    # where a window begins again behind each cue, then where it ends; one row for each place
+    starts = base.groupBy(key, F.col("word_start").alias("__s")).agg(F.min("__i").alias("__i")).withColumn("__v", F.struct("__s", "__i"))
+    again = base.withColumn("__s", F.col("word_end") - keep)
+    again = again.join(_first_at_least(starts, again, key, "__s", "__v", "__from"), [key, "__s"], "left").drop("__s")
+    again = again.where("__from IS NOT NULL").select(key, "__i", F.col("__from.__i").alias("__a"), F.col("__from.__s").alias("__as"))
+    ends = base.groupBy(key, F.col("word_end").alias("__s")).agg(F.min("__i").alias("__v"))
+    asked = again.withColumn("__s", F.col("__as") + size)
+    first = base.select(key).distinct().withColumn("__s", F.lit(size).cast("long"))
+    found = materialize(_first_at_least(ends, asked.select(key, "__s").unionByName(first), key, "__s", "__v", "__next"), "window-ends")
+    ahead = asked.join(found, [key, "__s"], "left").join(last, key)
+    step = ahead.where(F.col("__i") < F.col("__end")).select(key, "__i", "__a", "__as", F.coalesce("__next", "__end").alias("__next"))
+    step = materialize(step, "window-steps")
+    begun = first.join(found, [key, "__s"], "left").join(last, key).select(key, F.coalesce("__next", "__end").alias("__i"))
+
+    reached, jump = materialize(begun, "reached"), step.select(key, "__i", "__next")
+    while not jump.isEmpty():
+        reached = materialize(reached.unionByName(reached.join(jump, [key, "__i"]).select(key, F.col("__next").alias("__i"))), "reached")
+        after = jump.select(key, F.col("__i").alias("__next"), F.col("__next").alias("__then"))
+        jump = materialize(jump.join(after, [key, "__next"]).select(key, "__i", F.col("__then").alias("__next")), "jumps")
+
+    placed = reached.join(step.select(key, "__i", F.struct("__a", "__as").alias("__begin")), [key, "__i"], "left")
+    placed = materialize(placed.join(base.select(key, "__i", "word_end"), [key, "__i"]), "windows")
+    numbered = running_number(placed, [key], "__i", "__n")
+    lead = base.groupBy(key).agg(F.min("__i").alias("__first"))
+    whole = running(materialize(numbered, "windows"), [key], "__i", F.col("__begin"), "__came", how="last", inclusive=False).join(lead, key)
+    return whole.select(
+        key, (F.col("__n") - 1).alias("window_index"), F.coalesce("__came.__a", "__first").alias("cue_from"), F.col("__i").alias("cue_to"),
+        F.coalesce("__came.__as", F.lit(0)).cast("long").alias("window_start"), F.col("word_end").alias("window_end"),
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import safe_dirname
 from ..functions.urls import with_timestamp
+from ..session import materialize
 from .matching import left_join_known
 from .running import running_number
 
@@ -20,14 +21,15 @@ def folder_paths(nodes: DataFrame) -> DataFrame:
     ``->``.
 
     Ancestors double at each step (1, 2, 4, 8, 16), so the depth limit of 20
-    takes five joins.  The chain is cut at the limit and at the first node that
-    repeats, which ends cycles.
+    takes five joins, fewer if all chains end before.  Each step is stored, so
+    the next one reads it and not the steps before.  The chain is cut at the
+    limit and at the first node that repeats, which ends cycles.
     """
     chain = nodes.select(
         "id", F.array(F.struct("id", "title")).alias("chain"), F.col("parent_id").alias("next")
     )
-    reach = 1
-    while reach < MAX_DEPTH:
+    chain, reach = materialize(chain, "chains"), 1
+    while reach < MAX_DEPTH and not chain.where("next IS NOT NULL").isEmpty():
         up = chain.select(F.col("id").alias("next"), F.col("chain").alias("__up"), F.col("next").alias("__next"))
         # finished chains have no next node and leave the join
         joined = left_join_known(chain, up, "next")
@@ -36,6 +38,7 @@ def folder_paths(nodes: DataFrame) -> DataFrame:
             F.when(F.col("__up").isNull(), F.col("chain")).otherwise(F.concat("chain", "__up")).alias("chain"),
             F.col("__next").alias("next"),
         )
+        chain = materialize(chain, "chains")
         reach *= 2
     ids = F.transform("chain", lambda s: s["id"])
     repeats = F.filter(

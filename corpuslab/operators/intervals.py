@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .running import running
 
 MIN_PIECE_MS = 10
@@ -36,15 +37,17 @@ def complement(silences: DataFrame, totals: DataFrame, key: str) -> DataFrame:
     """Speech pieces: what the silences leave of [0, total); pieces under
     10 ms are dropped.
 
-    The cursor is the end of the previous silence.
+    The cursor is the end of the previous silence.  The pieces are stored: the
+    steps behind read them several times.
     """
+    silences = materialize(silences, "silences")
     prev = running(silences, [key], "start_ms", F.col("end_ms"), "__cursor", how="last", inclusive=False)
     gaps = prev.select(key, F.coalesce("__cursor", F.lit(0)).cast("long").alias("from_ms"), F.col("start_ms").alias("to_ms"))
     last = silences.groupBy(key).agg(F.max_by("end_ms", "start_ms").alias("__last"))
     tail = totals.join(last, key, "left").select(
         key, F.coalesce("__last", F.lit(0)).cast("long").alias("from_ms"), F.col("total_ms").alias("to_ms")
     )
-    return gaps.unionByName(tail).where(F.col("to_ms") - F.col("from_ms") >= MIN_PIECE_MS)
+    return materialize(gaps.unionByName(tail).where(F.col("to_ms") - F.col("from_ms") >= MIN_PIECE_MS), "speech")
 
 
 def trimmed(speech: DataFrame, key: str) -> DataFrame:
@@ -66,6 +69,7 @@ def to_original(points: DataFrame, kept: DataFrame, key: str, point: str) -> Dat
     ).groupBy(key, "__at").agg(F.max("__piece").alias("__piece"))
     asked = points.where(F.col(point) >= 0).select(key, (F.col(point).cast("long") * 2).alias("__at")).distinct()
     both = starts.unionByName(asked, allowMissingColumns=True).groupBy(key, "__at").agg(F.max("__piece").alias("__piece"))
+    both = materialize(both, "points-and-pieces")
     filled = running(both, [key], "__at", F.col("__piece"), "__last", how="last").select(key, "__at", "__last")
     placed = points.withColumn("__at", F.col(point).cast("long") * 2).join(filled, [key, "__at"], "left")
     inside = F.col(point) <= F.col("__last.trimmed_to")

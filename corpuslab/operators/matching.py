@@ -18,41 +18,38 @@ def match_by_id_then_stem(
     never forms all pairs.  Adds ``out`` and ``out``_status.
     """
     *scope, ident = keys
-    by_id = candidates.where(F.col(ident).isNotNull()).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n_id"), F.min(path).alias("__p_id")
+    known = candidates.where(F.col(ident).isNotNull())
+    by_id = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n_id"), F.min(path).alias("__p_id"))
+    by_stem_id = known.groupBy(*keys, stem).agg(F.count(F.lit(1)).alias("__n_st"), F.min(path).alias("__p_st"))
+    by_stem = candidates.groupBy(*scope, F.col(stem).alias("__stem")).agg(F.min(path).alias("__p_only"))
+    columns = left.columns
+    has_id = F.col(ident).isNotNull()
+    rows = left_join_known(left_join_known(left, by_id, keys), by_stem_id, [*keys, stem])
+    rows = left_join_known(rows.withColumn("__stem", F.when(~has_id, F.col(stem))), by_stem, [*scope, "__stem"])
+    found = F.when(F.col("__n_id") == 1, F.col("__p_id")).when(F.col("__n_st") == 1, F.col("__p_st"))
+    status = (
+        F.when(~has_id, F.when(F.col("__p_only").isNull(), "missing").otherwise("stem_only"))
+        .when(F.col("__n_id").isNull(), "missing")
+        .when(F.col("__n_id") == 1, "by_id")
+        .when(F.col("__n_st") == 1, "by_stem")
+        .otherwise("ambiguous")
     )
-    by_stem_id = candidates.where(F.col(ident).isNotNull()).groupBy(*keys, stem).agg(
-        F.count(F.lit(1)).alias("__n_st"), F.min(path).alias("__p_st")
-    )
-    by_stem = candidates.groupBy(*scope, stem).agg(F.min(path).alias("__p_only"))
-    with_id = (
-        left.where(F.col(ident).isNotNull())
-        .join(by_id, keys, "left")
-        .join(by_stem_id, [*keys, stem], "left")
-        .withColumn(out, F.when(F.col("__n_id") == 1, F.col("__p_id")).when(F.col("__n_st") == 1, F.col("__p_st")))
-        .withColumn(
-            f"{out}_status",
-            F.when(F.col("__n_id").isNull(), "missing")
-            .when(F.col("__n_id") == 1, "by_id")
-            .when(F.col("__n_st") == 1, "by_stem")
-            .otherwise("ambiguous"),
-        )
-        .drop("__n_id", "__p_id", "__n_st", "__p_st")
-    )
-    without_id = (
-        left.where(F.col(ident).isNull())
-        .join(by_stem, [*scope, stem], "left")
-        .withColumnRenamed("__p_only", out)
-        .withColumn(f"{out}_status", F.when(F.col(out).isNull(), "missing").otherwise("stem_only"))
-    )
-    return with_id.unionByName(without_id)
+    return rows.select(*columns, F.when(has_id, found).otherwise(F.col("__p_only")).alias(out), status.alias(f"{out}_status"))
 
 
-def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join on ``key`` in which rows without a key take no part, so they share no task."""
-    matched = left.where(F.col(key).isNotNull()).join(right, key, "left")
-    rest = left.where(F.col(key).isNull())
-    return matched.unionByName(rest, allowMissingColumns=True)
+def left_join_known(left: DataFrame, right: DataFrame, key: str | list[str]) -> DataFrame:
+    """Left join on ``key``; rows without a key are dealt over all tasks, as they meet nothing.
+
+    Both sides are named once, so stacked joins do not multiply the plan.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    dealt = left.withColumn("__deal", F.when(missing, F.monotonically_increasing_id() + 1).otherwise(F.lit(0)))
+    # always 0, but not a constant: a constant would leave the join's keys and with it the dealing
+    met = right.withColumn("__deal", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("long"))
+    return dealt.join(met, [*keys, "__deal"], "left").drop("__deal")
 
 
 def duplicate_keys(df: DataFrame, key: Column, name: str) -> DataFrame:

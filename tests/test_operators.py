@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpuslab import catalog
 from corpuslab.functions import times
 from corpuslab.operators import articles, budget, cues, evaluation, hierarchy, intervals, inventory, matching, pages
 from corpuslab.operators import publications as P
@@ -211,3 +212,24 @@ def test_stem_collision(spark):
 def test_bucket_name_is_checked():
     with pytest.raises(ValueError, match="bucket"):
         times.bucket_key(None, "year")
+
+
+@pytest.mark.parametrize(("name", "scans"), [("folder_paths", 1), ("bookmark_lines", 3), ("metadata_match", 4), ("corpus_index", 16), ("trimmed_to_original", 4), ("theme_terms", 2)])
+def test_plans_read_their_inputs_a_few_times(spark, name, scans):
+    """Stacked joins and running sums once read their inputs up to a hundred times."""
+    df = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= scans
+
+
+def test_left_join_known_deals_rows_without_a_key(spark):
+    left = spark.range(100).select("id", F.when(F.col("id") < 3, F.col("id")).alias("a"), F.lit("x").alias("b"))
+    right = spark.createDataFrame([(1, "x", 7), (None, "x", 9), (2, "y", 8)], "a long, b string, v int")
+    got = {r["id"]: r["v"] for r in matching.left_join_known(left, right, ["a", "b"]).collect()}
+    assert got == {i: 7 if i == 1 else None for i in range(100)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = matching.left_join_known(left, right, "a")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(a" in plan and "__deal" in plan.split("hashpartitioning(a")[1][:30]

@@ -9,7 +9,7 @@ from corpuslab.functions import scores
 from corpuslab.functions import text as T
 from corpuslab.operators import loops
 from corpuslab.operators import repetition as R
-from corpuslab.operators.cues import word_offsets
+from corpuslab.operators.cues import cue_windows, word_offsets
 
 
 def brute_runs(words, r):
@@ -197,3 +197,32 @@ def test_empty_and_null_words(spark):
     assert [(r["i"], r["k"], r["repetitions"], len(r["w"])) for r in R.repeated_runs(df, "w").collect()] == [(3, 1, 9, 9)]
     assert R.repeated_runs(df.where("false"), "w").count() == 0
     assert R.transcript_runs(timed(spark, [("a", 0, "")]).where("false"), "t", "i", "words").count() == 0
+
+
+def brute_cue_windows(sizes, size, overlap):
+    """The loop: grow by cues, then let cues go."""
+    out, first, n = [], 0, 0
+    for i, words in enumerate(sizes):
+        n += words
+        if i == len(sizes) - 1 or n >= size:
+            out.append((len(out), first, i, sum(sizes[:first]), sum(sizes[: i + 1])))
+            while n > size * overlap / 100:
+                n -= sizes[first]
+                first += 1
+    return out
+
+
+def test_cue_windows_are_those_of_the_loop(spark):
+    rnd = random.Random(8)
+    sizes = {f"t{t}": [rnd.choice([0, 0, 1, 2, 3, 7, 20]) for _ in range(rnd.randint(1, 70))] for t in range(25)}
+    sizes |= {"none": [0, 0, 0], "one": [3], "large": [50, 60], "long": [1] * 900}
+    rows = [(t, i, " ".join(["w"] * n)) for t, own in sizes.items() for i, n in enumerate(own)]
+    cues = timed(spark, rows)
+    for size, overlap in ((20, 25.0), (7, 0.0), (10, 33.0)):
+        got = {}
+        for r in cue_windows(cues, "t", "i", size, overlap).collect():
+            got.setdefault(r["t"], []).append((r["window_index"], r["cue_from"], r["cue_to"], r["window_start"], r["window_end"]))
+        assert {t: sorted(w) for t, w in got.items()} == {t: brute_cue_windows(own, size, overlap) for t, own in sizes.items()}
+    assert cue_windows(cues.where("false"), "t", "i").count() == 0
+    with pytest.raises(ValueError, match="overlap"):
+        cue_windows(cues, "t", "i", 10, 100.0)
