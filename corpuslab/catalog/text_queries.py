@@ -55,14 +55,14 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extracted(spark, sf_dir).select("page_id", "family", "text")
 
 
-_NEWS = """CASE WHEN contains(html, 'lang="en"') THEN replace(replace(html, '<article>', '<article class="newsletter-post post"><div class="post-ufi">Like</div>'),
+_NEWS = """CASE WHEN contains(html, 'lang="en"') THEN replace(replace(html, '<article>', '<article class="newsletter-post"><div class="post-ufi"><div>Like</div><img src="x"> 12 <span>x<br/>y</span> likes</div>'),
   '</article>', '<p>Subscribe now</p><p>Over 10 readers</p></article><!-- substackcdn.com -->') ELSE html END"""
 
 
 def _newsletters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English pages turned into newsletter posts with chrome around them."""
     html = F.replace(
-        F.replace("html", F.lit("<article>"), F.lit('<article class="newsletter-post post"><div class="post-ufi">Like</div>')),
+        F.replace("html", F.lit("<article>"), F.lit('<article class="newsletter-post"><div class="post-ufi"><div>Like</div><img src="x"> 12 <span>x<br/>y</span> likes</div>')),
         F.lit("</article>"), F.lit("<p>Subscribe now</p><p>Over 10 readers</p></article><!-- substackcdn.com -->"),
     )
     rows = views.table(spark, sf_dir, "pages").select("page_id", "html")
@@ -87,7 +87,7 @@ _IS_NEWS = "contains(html, 'newsletter-post') AND contains(html, 'substackcdn.co
     with_(
         f"nl AS (SELECT page_id, {_NEWS} AS html FROM pages)",
         f"nm AS (SELECT {_NAME_MAP} AS name_map)",
-        f"""ex AS (SELECT page_id, html, {_IS_NEWS} AS news, {_page_lines("CASE WHEN " + _IS_NEWS + " THEN " + rep(_ARTICLE, '(?s)<div class="post-ufi">.*?</div>', ' ') +
+        f"""ex AS (SELECT page_id, html, {_IS_NEWS} AS news, {_page_lines("CASE WHEN " + _IS_NEWS + " THEN " + rep(_ARTICLE, '(?s)<div class="post-ufi">.*? likes</div>', ' ') +
         f" ELSE {_inside('html', 'body')} END")} AS lines FROM nl, nm)""",
     ) + f"""SELECT page_id, array_to_string(CASE WHEN news THEN list_filter(lines, lambda x: lower(x) NOT IN ({quoted(P.CHROME_LINES)})
     AND NOT ({" OR ".join(f"starts_with(lower(x), {lit(p)})" for p in P.CHROME_PREFIXES)})

@@ -233,3 +233,36 @@ def test_left_join_known_deals_rows_without_a_key(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning(a" in plan and "__deal" in plan.split("hashpartitioning(a")[1][:30]
+
+
+@pytest.mark.parametrize(
+    ("html", "left"),
+    [
+        ("a<div class='x post-ufi'>b<div>c<div>d</div></div>e</div>f", "a f"),
+        ('a<div role="dialog"><div role=dialog>b</div>c</div>d<div role="dialogue">e</div>', 'a d<div role="dialogue">e</div>'),
+        ("a<section data-testid=navbar>b<br>c<img src=x>d<br/>e</section>f", "a f"),
+        ("a<div class='button-wrapper'>b<p>c", "a"),
+        ("a</div>b<p aria-label='The Subscribe Modal here'>c</p>d</p>e", "a</div>b d</p>e"),
+        ("a<img class='post-footer'>b<hr class=\"post-footer\"/>c", "a b c"),
+        ("a<b>plain</b> post-ufi", "a<b>plain</b> post-ufi"),
+        ("<div class='post-ufi'>x</div><div class='post-ufi'>y</div>z", "  z"),
+        ("", ""), (None, None),
+    ],
+)
+def test_chrome_containers_go_with_all_that_is_nested(spark, html, left):
+    row = spark.createDataFrame([(html,)], "h string").select(pages.without_containers(F.col("h")).alias("x")).first()
+    assert row["x"] == left
+
+
+def test_long_pages_are_cut_in_linear_time(spark):
+    import time
+
+    def seconds(n):
+        html = "<p>" + "<div><i>x</i></div>" * n + "<div class='post-ufi'>" + "<div>y</div>" * n + "</div>z"
+        df = spark.createDataFrame([(html,)], "h string").select(pages.without_containers(F.col("h")).alias("x"))
+        start = time.time()
+        assert df.first()["x"].endswith("</div> z")
+        return time.time() - start
+
+    seconds(1000)
+    assert seconds(40000) < 6 * seconds(10000) + 2
