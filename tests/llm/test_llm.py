@@ -500,3 +500,43 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
         if name != "BPE encoding and decoding":
             assert after.columns == docs.columns
         docs = after
+
+
+def test_neighbours_of_frequent_words_may_take_several_rows(spark, monkeypatch):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+
+    def scores():
+        return {r["doc_id"]: round(r["score"], 6) for r in brown.score_documents(d, clustered=30, held_words=900, classes=8).collect()}
+
+    whole = scores()
+    monkeypatch.setattr(brown, "ROW_WORDS", 20)
+    monkeypatch.setattr(brown, "FLUSH_PAIRS", 2000)
+    assert scores() == whole
+    few = {r["doc_id"]: r["score"] for r in brown.score_documents(d, clustered=30, held_words=900, classes=8, known_words=50).collect()}
+    assert few.keys() == whole.keys() and all(s < 0 for s in few.values())
+
+
+def test_class_matrix_counts_every_pair(spark):
+    """The matrix from the neighbours is that of the classes of all neighbouring words."""
+    texts = [(i, " ".join(f"w{(i * i + j * j * j) % 23}" for j in range(i % 17))) for i in range(60)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    count = Counter(w for _, t in texts for w in t.split())
+    held = sorted(count, key=lambda w: (-count[w], w))[:12]
+    rest = sorted(set(count) - set(held))[:-3]
+    at = np.concatenate([np.arange(5) % 3, np.arange(3, 3 + brown.LENGTHS + 1)])
+    keys = np.sort(brown.rest_keys([w.encode() for w in rest]))
+    words = brown.Known(held, 5, keys, at)
+    rng = np.random.default_rng(1)
+    classes = np.concatenate([at[:5], rng.integers(0, 9, 7), at[-1:], rng.integers(0, 9, len(keys))]).astype(np.uint8)
+    want = np.zeros((16, 16), int)
+    fixed = np.zeros((16, 16), int)
+    for _, t in texts:
+        place, symbol, _, flat = words.of([t])
+        numbers = words.numbers(place, symbol, flat)
+        own = brown.classes_of(numbers, classes)
+        for a, b, x, y in zip([int(at[-1]), *own], own, [12, *numbers], numbers):
+            want[a, b] += 1
+            fixed[a, b] += all(0 <= z < 5 or z == 12 for z in (x, y))
+    send = spark.sparkContext.broadcast
+    near = brown.neighbours(df, send((held, 5)), send(keys), at, np.append(np.arange(12) % 3 + 1, 1))
+    assert (brown.class_matrix(near, send(classes), 5, 12, fixed) == want).all()
