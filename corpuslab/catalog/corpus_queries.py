@@ -97,17 +97,25 @@ def theme_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("term", "doc_id", F.col("position").cast("long").alias("position"))
 
 
-_BOTH = f"docs AS (SELECT doc_id, channel, trim({markdown('text')} || ' ' || {markdown('title')}) AS document FROM cand)"
+_BOTH = [
+    "said AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS transcript FROM conversations GROUP BY 1)",
+    f"""docs AS (SELECT doc_id, channel, trim({markdown('text')} || CASE WHEN transcript IS NULL THEN '' ELSE ' ' || {markdown('transcript')} END) AS document
+  FROM cand LEFT JOIN said ON conv_id = doc_id)""",
+]
 
 
 @query(
     "theme_terms_with_transcript",
-    with_(CORPUS, CANDIDATES, _BOTH, *tfidf_sql("docs")) + """SELECT term, score, document_frequency FROM found
+    with_(CORPUS, CANDIDATES, *_BOTH, *tfidf_sql("docs")) + """SELECT term, score, document_frequency FROM found
   WHERE NOT contains(term, ' ') ORDER BY score DESC, term LIMIT 50""",
 )
 def theme_terms_with_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Summary text with a second text appended."""
-    docs = reports.document_text(_candidates(spark, sf_dir), "text", "title").select("doc_id", "channel", "document")
+    """Summary text with the transcript of the same number appended, where there is one."""
+    turns = views.table(spark, sf_dir, "conversations").where("text IS NOT NULL")
+    said = turns.groupBy(F.col("conv_id").alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("l"))
+    said = said.select("doc_id", F.array_join(F.transform("l", lambda t: t["text"]), " ").alias("transcript"))
+    rows = _candidates(spark, sf_dir).join(said, "doc_id", "left")
+    docs = reports.document_text(rows, "text", "transcript").select("doc_id", "channel", "document")
     found = tfidf.entries(reports.theme_weights(docs, "doc_id"))
     return tfidf.top_terms(found, 50).select("term", "score", "document_frequency")
 
