@@ -571,14 +571,15 @@ def article_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "heading_block_dropped",
-    """SELECT doc_id, CASE WHEN lang = 'fr' THEN NULL ELSE '---' || chr(10) || 'a: ' || doc_id || chr(10) || '---' || CASE WHEN lang = 'en'
-  THEN chr(10) || source || chr(10) || '---' ELSE chr(10) || '# H1' || chr(10) || source END END AS kept FROM documents""",
+    """SELECT doc_id, CASE WHEN lang = 'fr' THEN NULL ELSE '---' || chr(10) || 'a: ' || doc_id || chr(10) || '---' || chr(10) || CASE
+  WHEN lang = 'en' THEN text || chr(10) || '---' WHEN regexp_matches(chr(10) || text || chr(10), '\\n\\s*---\\s*\\n') THEN regexp_extract(text || chr(10), '(?s)^(?:.*?\\n)??[ \\t]*---[ \\t]*\\n(.*)\\n$', 1)
+  ELSE '# H1' || chr(10) || text END END AS kept FROM documents""",
 )
 def heading_block_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """French texts lack the opening mark, English ones carry the block."""
+    """The documents' texts behind front matter; French ones lack the opening mark, English ones carry the block."""
     lead = F.when(F.col("lang") == "fr", F.lit("x\n")).otherwise(F.lit(""))
-    mid = F.when(F.col("lang") == "en", F.concat(F.lit("# H1\n## H2\n---\n"), "source", F.lit("\n---"))).otherwise(
-        F.concat(F.lit("# H1\n"), "source")
+    mid = F.when(F.col("lang") == "en", F.concat(F.lit("# H1\n## H2\n---\n"), "text", F.lit("\n---"))).otherwise(
+        F.concat(F.lit("# H1\n"), "text")
     )
     text = F.concat(lead, F.lit("---\na: "), F.col("doc_id").cast("string"), F.lit("\n---\n"), mid)
     return views.table(spark, sf_dir, "documents").select("doc_id", T.drop_heading_block(text).alias("kept"))
