@@ -9,6 +9,7 @@ from ..operators import tfidf
 from ..plans import reports, training, views
 from ..session import materialize, scratch_dir
 from ..sources import writers
+from ..sources.runs import Runs
 from ..streaming import registry, seen
 from .base import query
 from .corpus_queries import THEMES, _docs
@@ -124,6 +125,42 @@ def snapshot_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("kind string, term string, run_day string").parquet(path).select("run_day", "kind", "term")
 
 
+_RUN_DAYS = "(VALUES ('2024-02-29'), ('2024-03-01')) d(run_day)"
+
+
+@query(
+    "published_runs",
+    with_(*THEMES) + f""", picked AS (SELECT 'terms' AS stored, term AS name, 0 AS n FROM
+  (SELECT term FROM found WHERE NOT contains(term, ' ') ORDER BY score DESC, term LIMIT 50)
+  UNION ALL SELECT 'phrases', term, 0 FROM (SELECT term FROM found WHERE contains(term, ' ') AND document_frequency >= 2
+    ORDER BY document_frequency DESC, score DESC, term LIMIT 30)
+  UNION ALL SELECT 'index', channel, count(*) FROM corpus GROUP BY channel)
+  SELECT run_day, stored, name, CAST(n AS BIGINT) AS n FROM picked, {_RUN_DAYS}""",
+)
+def published_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index, terms and phrases of two runs, each published as a whole; a third run that
+    ends before its last table leaves no trace in what readers see."""
+    runs = Runs(spark, scratch_dir(spark, "published"))
+    found = materialize(tfidf.entries(reports.theme_weights(_docs(spark, sf_dir), "doc_id")), "themes")
+    for day in ("2024-02-29", "2024-03-01", "2024-03-02"):
+        run = runs.begin(day)
+        run.write("index", views.corpus(spark, sf_dir).drop("text"), ["channel"])
+        run.write("terms", tfidf.top_terms(found, 50).select("term"))
+        if day < "2024-03-02":
+            run.write("phrases", tfidf.top_phrases(found, 30, 2).select("term"))
+            run.publish()
+    out = None
+    for day in runs.names():
+        index = runs.table("index", day).groupBy(F.col("channel").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+        listed = [("terms", runs.table("terms", day)), ("phrases", runs.table("phrases", day))]
+        rows = index.select(F.lit("index").alias("stored"), "name", "n")
+        for stored, held in listed:
+            rows = rows.unionByName(held.select(F.lit(stored).alias("stored"), F.col("term").alias("name"), F.lit(0).cast("long").alias("n")))
+        rows = rows.select(F.lit(day).alias("run_day"), "stored", "name", "n")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("stored_index", with_(CORPUS) + "SELECT channel, count(*) AS n, count(*) FILTER (has_summary) AS with_summary FROM corpus GROUP BY 1")
 def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index written by channel, read back by channel."""

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.budget import upsert_failed_windows
-from .seen import _base_version, _forget, _is_new, _read_before
+from .seen import first_number
+from .state import BUCKETS, KeyedState
 
 WINDOW_SCHEMA = "raw_name string, failed_window long"
 SIZE_SCHEMA = "raw_name string, raw_bytes long, reason string, seq long"
@@ -19,20 +20,15 @@ def latest_sizes(rows: DataFrame) -> DataFrame:
     return rows.groupBy("raw_name").agg(last).select("raw_name", "__l.*")
 
 
-def _upsert(stream: DataFrame, path: str, checkpoint: str, schema: str, merge) -> StreamingQuery:
-    """Each batch writes a full new version from the latest earlier one."""
-    if _is_new(stream.sparkSession, checkpoint):
-        _forget(stream.sparkSession, f"{checkpoint}-base")
-    first = _base_version(stream.sparkSession, path, schema, checkpoint)
+def _upsert(stream: DataFrame, path: str, checkpoint: str, schema: str, merge, buckets: int) -> StreamingQuery:
+    """Each batch rewrites the buckets of its own files."""
+    first = first_number(stream.sparkSession, path, checkpoint)
+    names = [c.strip().split(" ")[0] for c in schema.split(",")]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch_id += first
-        earlier = _read_before(spark, path, schema, batch_id)
-        newest = earlier.agg(F.max("batch_id").alias("b")).first()["b"]
-        names = [c.strip().split(" ")[0] for c in schema.split(",")]
-        base = earlier.where(F.col("batch_id") == F.lit(newest)).select(*names)
-        merge(base, batch.select(*names)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        state = KeyedState(batch.sparkSession, path, schema, "raw_name", buckets)
+        if not state.done(first + batch_id):
+            state.upsert(batch.select(*names), first + batch_id, merge)
 
     return (
         stream.writeStream.foreachBatch(step)
@@ -42,18 +38,16 @@ def _upsert(stream: DataFrame, path: str, checkpoint: str, schema: str, merge) -
     )
 
 
-def uncleanable(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def uncleanable(stream: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
     """Failed output windows per file; a recorded window never shrinks."""
-    return _upsert(stream, path, checkpoint, WINDOW_SCHEMA, upsert_failed_windows)
+    return _upsert(stream, path, checkpoint, WINDOW_SCHEMA, upsert_failed_windows, buckets)
 
 
-def unextractable(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def unextractable(stream: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
     """Failed sizes per file; the last one counts."""
-    return _upsert(stream, path, checkpoint, SIZE_SCHEMA, lambda old, new: latest_sizes(old.unionByName(new)))
+    return _upsert(stream, path, checkpoint, SIZE_SCHEMA, lambda old, new: latest_sizes(old.unionByName(new)), buckets)
 
 
-def current(spark, path: str, schema: str) -> DataFrame:
+def current(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The newest version of a registry."""
-    rows = spark.read.schema(f"{schema}, batch_id long").parquet(path)
-    newest = rows.agg(F.max("batch_id").alias("b")).scalar()
-    return rows.where(F.col("batch_id") == newest).drop("batch_id")
+    return KeyedState(spark, path, schema, "raw_name").rows()

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources import manifests
+from .state import BUCKETS, KeyedState
+
 
 def link_stream(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(folder)
@@ -16,69 +18,41 @@ def drop_seen(links: DataFrame, key: str = "link") -> DataFrame:
     return links.dropDuplicates([key])
 
 
-def _is_new(spark: SparkSession, checkpoint: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint)
-    return not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
-def _forget(spark: SparkSession, name: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def _base_version(spark: SparkSession, path: str, schema: str, checkpoint: str) -> int:
-    """What a run adds to its batch numbers: the version stored last when its checkpoint began.
+def first_number(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """What a run adds to its batch numbers: one more than the version stored last when its checkpoint began.
 
     It is kept beside the checkpoint.  A new checkpoint, also one that replaces a lost
     one, continues behind everything stored; a batch that runs again keeps its number.
     """
     note = f"{checkpoint}-base"
-    try:
+    if manifests.exists(spark, checkpoint) and manifests.exists(spark, f"{note}/_SUCCESS"):
         return int(spark.read.schema("base long").json(note).first()["base"])
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    stored = _read_before(spark, path, schema, 1 << 62).agg(F.max("batch_id").alias("b")).first()["b"]
-    base = 0 if stored is None else int(stored) + 1
-    spark.createDataFrame([(base,)], "base long").write.json(note)
+    stored = manifests.numbers(spark, path)
+    base = stored[-1] + 1 if stored else 0
+    spark.createDataFrame([(base,)], "base long").write.mode("overwrite").json(note)
     return base
 
 
-def _read_before(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
-    """Rows of earlier batches; empty on the first one."""
-    rows = spark.read.schema(f"{schema}, batch_id long").option("ignoreMissingFiles", True)
-    try:
-        return rows.parquet(path).where(F.col("batch_id") < batch_id)
-    except Exception as e:  # the folder does not exist before the first write
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], f"{schema}, batch_id long")
-
-
 def emit_unseen(
-    links: DataFrame, seen_path: str, out_path: str, checkpoint: str, key: str = "link", key_type: str = "string"
+    links: DataFrame, seen_path: str, out_path: str, checkpoint: str, key: str = "link", key_type: str = "string", buckets: int = BUCKETS
 ) -> StreamingQuery:
     """Write links not emitted before, then add them to the seen table.
 
-    The seen table grows only after the output is written.  Both are stored per
-    batch and replaced as a whole, and a batch looks only at earlier ones, so a
-    batch that runs again gives the same rows.
+    The seen table grows only after the output is written, which is replaced as a whole by
+    a batch that runs again.  A batch reads the buckets of its own links only.  A null link
+    is emitted once, like any other.
     """
-
-    fresh_checkpoint = _is_new(links.sparkSession, checkpoint)
-    if fresh_checkpoint:
-        _forget(links.sparkSession, f"{checkpoint}-base")
-    base = _base_version(links.sparkSession, seen_path, f"{key} {key_type}", checkpoint)
+    base = first_number(links.sparkSession, seen_path, checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch_id += base
-        seen = _read_before(spark, seen_path, f"{key} {key_type}", batch_id)
-        fresh = batch.dropDuplicates([key]).join(seen.select(key), key, "left_anti")
-        target = f"{out_path}/batch_id={batch_id}"
+        spark, number = batch.sparkSession, base + batch_id
+        state = KeyedState(spark, seen_path, f"{key} {key_type}", key, buckets)
+        if state.done(number):
+            return
+        target = f"{out_path}/batch_id={number}"
+        fresh = state.unseen(batch)
         fresh.write.mode("overwrite").parquet(target)
-        emitted = spark.read.schema(fresh.schema).parquet(target)
-        emitted.select(key).write.mode("overwrite").parquet(f"{seen_path}/batch_id={batch_id}")
+        state.append(spark.read.schema(fresh.schema).parquet(target).select(key), number)
 
     return (
         links.writeStream.foreachBatch(step)
@@ -88,6 +62,11 @@ def emit_unseen(
     )
 
 
+def seen_keys(spark: SparkSession, path: str, key: str = "link", key_type: str = "string") -> DataFrame:
+    """All keys emitted so far."""
+    return KeyedState(spark, path, f"{key} {key_type}", key).rows()
+
+
 def process_new_files(
     spark: SparkSession, folder: str, schema: str, transform, out_path: str, checkpoint: str, partition_by: list[str] | None = None
 ) -> StreamingQuery:
