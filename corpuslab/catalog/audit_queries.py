@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import frontmatter as FM
 from ..functions import text as T
 from ..functions.urls import with_timestamp
 from ..operators import articles as A
@@ -18,7 +19,7 @@ from ..session import materialize, scratch_dir
 from ..sources import files as files_source
 from .base import query, quoted
 from .cue_queries import CUES
-from .sqltext import CHANNELS, lit, with_
+from .sqltext import CHANNELS, lit, strip, with_
 
 # --- file inventory -----------------------------------------------------------
 
@@ -569,6 +570,55 @@ def article_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _typed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents behind a front matter of every value type; most classes break one rule."""
+    d = F.col("doc_id")
+    n = d.cast("string")
+    case = F.pmod(d, F.lit(8))
+    tags = F.when(case == 2, F.lit('["a, b", 7]')).otherwise(F.concat(F.lit('["a, b", '), F.lit("'"), "lang", F.lit("' ]  # two")))
+    author = F.when(case == 1, F.lit("12")).otherwise(F.lit("a b"))
+    day = F.when(case == 3, F.lit("2024-01-02 10:00:00")).when(case == 7, F.lit('"2024-02-30"')).otherwise(F.lit("2024-01-02"))
+    title = F.concat(F.lit('"T \\"'), n, F.lit('\\" \\\\n"'))
+    front = F.concat(
+        F.lit("# head\ntitle: "), title, F.lit("\nsubtitle: 'it''s'\nslug:\n  doc-"), n, F.lit("\nauthor: "), author, F.lit("\ndate: "), day,
+        F.lit("\ndateline: CITY\ntags: "), tags, F.lit("\nsummary: >-\n  first of\n  "), "source", F.lit("\n\n  second\nimage: i.png\nmeta:\n  note: |\n    x\n      "),
+        "lang", F.lit("\n  draft: yes"), F.when(case == 4, F.lit("\noops")).otherwise(F.lit("")),
+    )
+    front = F.when(case == 5, F.lit("- a\n- b: c")).otherwise(front)
+    content = F.concat(F.lit("---\n"), front, F.lit("\n---\n"), F.coalesce("text", F.lit("")))
+    return views.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("doc-"), n, F.lit(".md")).alias("name"), content.alias("content"))
+
+
+_BLOCKS = "string_split_regex(coalesce(text, ''), '\\n[ \\t\\r]*\\n')"
+_PROSE = f"""list_filter(list_transform(list_filter(list_transform({_BLOCKS}, lambda b: {strip('b')}),
+  lambda b: b <> '' AND NOT regexp_matches(b, '^(#{{1,6}}[ \\t]|---|```)') AND NOT (contains(b, '**') AND contains(b, '—'))),
+  lambda b: {strip("regexp_replace(regexp_replace(b, '[*`]', '', 'g'), '[[]([^]\\n]+)[]][(][^)\\n]+[)]', '\\1', 'g')")}), lambda b: b <> '')"""
+
+
+@query(
+    "article_texts",
+    f"""SELECT doc_id, c <> 5 AS mapped, CASE WHEN c <> 5 THEN 'T "' || doc_id || '" \\n' END AS title, CASE WHEN c <> 5 THEN 'first of ' || source || chr(10) || 'second' END AS summary,
+  CASE WHEN c <> 5 THEN 'x' || chr(10) || '  ' || lang || chr(10) END AS note, CASE WHEN c <> 5 THEN CASE WHEN c = 2 THEN 'str int' ELSE 'str str' END END AS tag_kinds,
+  concat_ws('; ', CASE c WHEN 5 THEN 'front matter is a mapping' WHEN 4 THEN 'front matter parses' WHEN 1 THEN 'field author' WHEN 3 THEN 'field date' WHEN 2 THEN 'field tags' END,
+    CASE WHEN c NOT IN (4, 5) AND {strip("coalesce(text, '')")} = '' THEN 'body' END,
+    CASE WHEN c IN (3, 7) THEN 'date format' END) AS violations,
+  CAST(len(prose) AS BIGINT) AS n_paragraphs, sha256(array_to_string(prose, chr(10))) AS prose_sha256
+  FROM (SELECT doc_id, source, lang, text, doc_id % 8 AS c, {_PROSE} AS prose FROM documents)""",
+)
+def article_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed fields and rules of articles whose bodies are the documents' whole texts; marks are taken out of the prose compared."""
+    out = A.violations(A.parse_articles(_typed_files(spark, sf_dir)))
+    fm = F.col("fm")
+    bare = F.filter(F.transform("paragraphs", lambda p: T.strip_ws(F.regexp_replace(p, "[*`]", ""))), lambda p: p != "")
+    return out.select(
+        "doc_id", FM.is_mapping(fm).alias("mapped"), F.col("fm_title").alias("title"), F.col("fm_summary").alias("summary"),
+        FM.find(fm, "meta.note")["text"].alias("note"),
+        F.array_join(F.transform(FM.find(fm, "tags")["items"], lambda i: i["kind"]), " ").alias("tag_kinds"),
+        F.array_join("violations", "; ").alias("violations"), F.size(bare).cast("long").alias("n_paragraphs"),
+        F.sha2(F.array_join(bare, "\n"), 256).alias("prose_sha256"),
+    )
+
+
 @query(
     "heading_block_dropped",
     """SELECT doc_id, CASE WHEN lang = 'fr' THEN NULL ELSE '---' || chr(10) || 'a: ' || doc_id || chr(10) || '---' || chr(10) || CASE

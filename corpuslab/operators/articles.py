@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import hold
+from ..functions.frontmatter import entries, find, is_mapping, parses
 from ..functions.text import dateline, image_urls, paragraphs, strip_ws
+from .matching import left_join_known
 from .topn import ranked
 
-FRONT = r"(?s)^[ \t\r]*---[ \t\r]*\n(.*?)(?:^|\n)[ \t\r]*---[ \t\r]*(?:\n(.*))?$"
+FRONT = r"(?s)^[ \t\r]*---[ \t\r]*\n(?:(.*?)\n)??[ \t\r]*---[ \t\r]*(?:\n(.*))?$"
 FRONT_OPEN = r"(?s)^[ \t\r]*---[ \t\r]*(?:\n|$)"
 # Required fields, in the order they are checked, and slot sizes.
 REQUIRED = ["title", "subtitle", "slug", "author", "date", "dateline", "tags", "summary", "image"]
@@ -27,72 +30,79 @@ def split_front_matter(files: DataFrame, content: str = "content") -> DataFrame:
     )
 
 
-def field(front: Column, key: str) -> Column:
-    """Scalar value of a flat ``key: value`` line, quotes stripped; null if the
-    key is absent."""
-    line = rf"(?m)^{key}:[ \t]*(.*?)[ \t\r]*$"
-    raw = F.regexp_extract(front, line, 1)
-    return F.when(front.rlike(rf"(?m)^{key}:"), F.regexp_replace(raw, "^([\"'])(.*)\\1$", "$2"))
+def parse_articles(files: DataFrame, content: str = "content") -> DataFrame:
+    """Front matter as typed entries (``fm``), its fields as text (``fm_<field>``), ``fm_tags``
+    array, dateline, paragraphs and images of the body.
 
+    A field that is absent or null is null; of a repeated one the last counts.  Without a
+    closed front matter all fields are null and the body is empty.
+    """
+    parted = split_front_matter(files, content)
+    body = F.coalesce("body", F.lit(""))
+    held = hold(parted, fm=entries(F.col("front")), body_dateline=dateline(body), paragraphs=paragraphs(body), images=image_urls(body))
+    cols = {f"fm_{k}": _text(k) for k in REQUIRED if k != "tags"}
+    cols["fm_tags"] = F.transform(find(F.col("fm"), "tags")["items"], lambda i: i["text"])
+    return held.withColumns(cols)
 
-def tags(front: Column) -> Column:
-    """Tag list, inline ``[a, b]`` or one ``- tag`` line each; null otherwise."""
-    inline = F.regexp_extract(front, r"(?m)^tags:[ \t]*\[(.*)\][ \t\r]*$", 1)
-    has_inline = front.rlike(r"(?m)^tags:[ \t]*\[.*\][ \t\r]*$")
-    block = F.regexp_extract(front, r"(?m)^tags:[ \t\r]*\n((?:[ \t]*-[^\n]*(?:\n|\z))+)", 1)
-    items = F.when(has_inline & (strip_ws(inline) == ""), F.array().cast("array<string>")).when(
-        has_inline, F.split(inline, ",")
-    ).when(block != "", F.regexp_extract_all(block, F.lit(r"(?m)^[ \t]*-[ \t]*([^\n]*?)[ \t\r]*$"), F.lit(1)))
-    return F.transform(items, lambda t: F.regexp_replace(strip_ws(t), "^([\"'])(.*)\\1$", "$2"))
 
+def _text(key: str) -> Column:
+    entry = find(F.col("fm"), key)
+    return F.when(entry["kind"] != "null", entry["text"])
 
-def parse_articles(files: DataFrame, content: str = "content") -> DataFrame:
-    """Front-matter fields as columns, ``tags`` array, dateline, paragraphs and
-    images of the body."""
-    parted = split_front_matter(files, content)
-    front = F.col("front")
-    cols = {f"fm_{k}": field(front, k) for k in REQUIRED if k != "tags"}
-    cols["fm_tags"] = tags(front)
-    body = F.coalesce("body", F.lit(""))
-    cols["body_dateline"] = dateline(body)
-    cols["paragraphs"] = paragraphs(body)
-    cols["images"] = image_urls(body)
-    return parted.withColumns(cols)
+
+def _breaks(key: str) -> Column:
+    """Whether a required field lacks a value of its type: text that is not blank, a date, a list of such texts."""
+    entry = find(F.col("fm"), key)
+    blank = lambda v: (v["kind"] != "str") | (strip_ws(v["text"]) == "")
+    if key == "tags":
+        broken = (entry["kind"] != "list") | (F.size(entry["items"]) < 1) | F.exists(entry["items"], blank)
+    elif key == "date":
+        broken = (entry["kind"] != "date") & blank(entry)
+    else:
+        broken = blank(entry)
+    return F.coalesce(broken, F.lit(True))
+
+
+#: Tasks that share the files of one slug when slugs that occur more than once are marked.
+SLUG_SALT = 16
 
 
 def violations(parsed: DataFrame, name: str = "name", content: str = "content") -> DataFrame:
     """Add ``violations``: every broken rule by name, in order.
 
-    Slug uniqueness comes from a count per slug joined back, so a slug copied
-    over many files stays a partial aggregate.
+    Fields are judged where the front matter parses and is a mapping; a value of another
+    type breaks its field's rule as an absent one does.  Slugs are counted by a partial
+    aggregate; only slugs that occur more than once are joined back, salted, and files
+    without a slug are dealt over all tasks.
     """
-    slug = F.col("fm_slug")
+    slug, fm = F.col("fm_slug"), F.col("fm")
+    closed = F.col("front").isNotNull()
+    present = closed & parses(fm) & is_mapping(fm)
+    slug_text = F.coalesce(find(fm, "slug")["kind"] == "str", F.lit(False)) & present
     rules = [
         F.when(~F.col(name).endswith(".md"), "file extension"),
         F.when(~F.col(content).rlike(FRONT_OPEN), "front matter opens"),
-        F.when(F.col(content).rlike(FRONT_OPEN) & F.col("front").isNull(), "front matter closes"),
+        F.when(F.col(content).rlike(FRONT_OPEN) & ~closed, "front matter closes"),
+        F.when(closed & ~is_mapping(fm), "front matter is a mapping"),
+        F.when(closed & is_mapping(fm) & ~parses(fm), "front matter parses"),
     ]
-    present = F.col("front").isNotNull()
-    for key in REQUIRED:
-        if key == "tags":
-            bad = F.coalesce(F.size("fm_tags") < 1, F.lit(True)) | F.exists(F.coalesce("fm_tags", F.array(F.lit(""))), lambda t: t == "")
-        else:
-            bad = F.coalesce(strip_ws(F.col(f"fm_{key}")) == "", F.lit(True))
-        rules.append(F.when(present & bad, f"field {key}"))
+    rules += [F.when(present & _breaks(key), f"field {key}") for key in REQUIRED]
     rules += [
         F.when(present & (strip_ws(F.coalesce("body", F.lit(""))) == ""), "body"),
-        F.when(slug.isNotNull() & ~slug.rlike("^[a-z0-9-]+$"), "slug pattern"),
+        F.when(slug_text & ~slug.rlike(r"^[a-z0-9-]+\z"), "slug pattern"),
         F.when(
-            F.col("fm_date").isNotNull()
+            present & F.col("fm_date").isNotNull()
             & (~F.col("fm_date").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") | F.try_to_date("fm_date", "yyyy-MM-dd").isNull()),
             "date format",
         ),
-        F.when(F.col("__copies") > 1, "slug unique"),
-        F.when(slug.isNotNull() & (F.regexp_replace(F.col(name), r"\.[^.]*$", "") != slug), "name equals slug"),
+        F.when(F.col("__copied"), "slug unique"),
+        F.when(slug_text & (F.regexp_replace(F.col(name), r"\.[^.]*$", "") != slug), "name equals slug"),
     ]
-    copies = parsed.where(slug.isNotNull()).groupBy("fm_slug").agg(F.count(F.lit(1)).alias("__copies"))
-    joined = parsed.join(copies, "fm_slug", "left")
-    return joined.withColumn("violations", F.array_compact(F.array(*rules))).drop("__copies")
+    keyed = parsed.withColumns({"__slug": F.when(slug_text, slug), "__salt": F.pmod(F.xxhash64(F.col(name)), F.lit(SLUG_SALT)).cast("int")})
+    copies = keyed.where(F.col("__slug").isNotNull()).groupBy("__slug").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    salted = copies.select("__slug", F.lit(True).alias("__copied"), F.explode(F.sequence(F.lit(0), F.lit(SLUG_SALT - 1))).alias("__salt"))
+    joined = left_join_known(keyed, salted, ["__slug", "__salt"])
+    return joined.withColumn("violations", F.array_compact(F.array(*rules))).drop("__copied", "__slug", "__salt")
 
 
 def select_articles(valid: DataFrame, date: str, slug: str, n: int = FRONT_PAGE) -> DataFrame:
