@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import frontmatter as FM
@@ -17,6 +17,7 @@ from ..operators import matching as M
 from ..plans import views
 from ..session import materialize, scratch_dir
 from ..sources import files as files_source
+from ..sources import writers
 from .base import query, quoted
 from .cue_queries import CUES
 from .sqltext import CHANNELS, lit, strip, with_
@@ -351,25 +352,38 @@ def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = views.table(spark, sf_dir, "documents")
     for i in range(3):
         part = docs.where(F.col("doc_id") % 3 == i).select("source", "text")
-        part.repartition("source").write.partitionBy("source").text(f"{root}/stage{i}")
+        part.write.partitionBy("source").option("maxRecordsPerFile", writers.FILE_TEXTS).text(f"{root}/stage{i}")
     found = files_source.inventory(spark, root).where("size > 0 and name like 'part-%'")
     channel = F.regexp_replace("channel", "^source=", "")
     return found.groupBy("stage", channel.alias("channel")).agg((F.count(F.lit(1)) > 0).alias("has_files"))
 
 
+def _digest_sql(text: str) -> str:
+    return f"CAST(sum(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)) AS BIGINT)"
+
+
+def _digest(text: Column) -> Column:
+    """Sum of the first 32 bits of the MD5 of each text, whatever their order."""
+    return F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"))
+
+
 @query(
     "text_tree",
-    "SELECT source AS channel, CAST(sum(len(regexp_extract_all(text, chr(10))) + 1) AS BIGINT) AS n_lines FROM documents GROUP BY 1",
+    f"""SELECT source AS channel, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars, {_digest_sql('line')} AS lines_digest
+  FROM (SELECT source, unnest(string_split(replace(text, chr(13), ' '), chr(10))) AS line FROM documents) GROUP BY 1""",
 )
 def text_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts written as files per channel and read back whole."""
+    """Texts written as files of a few texts per channel by all tasks, read back whole and compared by their lines."""
     root = scratch_dir(spark, "texts")
     docs = views.table(spark, sf_dir, "documents").select("source", F.replace("text", F.lit("\r"), F.lit(" ")).alias("text"))
-    docs.repartition("source").write.partitionBy("source").text(root)
+    writers.write_texts(docs.where(F.col("text").isNotNull()), "source", root)
     found = files_source.text_files(spark, root, ".txt")
-    channel = F.regexp_extract("path", "/source=([^/]+)/", 1)
-    lines = F.regexp_count("text", F.lit("\n"))
-    return found.groupBy(channel.alias("channel")).agg(F.sum(lines).cast("long").alias("n_lines"))
+    channel = F.regexp_extract("path", "/source=([^/]+)/", 1).alias("channel")
+    lines = F.split(F.regexp_replace("text", r"\n\z", ""), "\n")
+    rows = found.select(channel, F.explode(lines).alias("line"))
+    return rows.groupBy("channel").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line")).cast("long").alias("n_chars"), _digest(F.col("line")).alias("lines_digest")
+    )
 
 
 @query("raw_pending", "SELECT 'text' AS content_type, CAST(3 AS BIGINT) AS n_pending, count(*) > 0 AS any FROM documents")
@@ -429,18 +443,23 @@ def item_set_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.item_set_gaps(views.predictions(spark, sf_dir), "m0")
 
 
-@query("prediction_files", with_(_PRED) + "SELECT model, count(*) AS n, count(*) FILTER (match = 'Y') AS n_right FROM pm GROUP BY 1")
+@query(
+    "prediction_files",
+    with_(_PRED) + f"""SELECT model, count(*) AS n, count(*) FILTER (match = 'Y') AS n_right, {_digest_sql("concat_ws(',', item, expected, predicted, match)")} AS rows_digest
+  FROM pm GROUP BY 1""",
+)
 def prediction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One CSV folder per model, collected and checked on the way back."""
+    """One CSV folder per model, written in files of bounded length by all tasks, collected and checked on the way back."""
     root = scratch_dir(spark, "predictions")
     rows = views.predictions(spark, sf_dir)
     out = rows.select(
         F.concat(F.lit("/tests/"), "item").alias("Script"), F.col("expected").alias("Expected"),
         F.col("predicted").alias("Predicted"), F.col("match").alias("Match"), F.lit(None).cast("string").alias("Error"), "model",
     )
-    out.repartition("model").write.partitionBy("model").csv(root, header=True, quote='"', escape='"')
+    out.write.partitionBy("model").option("maxRecordsPerFile", writers.FILE_ROWS).csv(root, header=True, quote='"', escape='"')
     back = files_source.prediction_csvs(spark, root, by_folder=True)
-    return back.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("match") == "Y").alias("n_right"))
+    row = F.concat_ws(",", "item", "expected", "predicted", "match")
+    return back.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("match") == "Y").alias("n_right"), _digest(row).alias("rows_digest"))
 
 
 _BOARD = """bd AS (SELECT 'u' || user_id AS model, CAST(sum(value) * 10 AS BIGINT) AS time_ms, round((count(*) FILTER (event_type = 'purchase'))::DOUBLE / count(*), 6) AS f1,
@@ -643,8 +662,8 @@ def heading_block_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
   (SELECT 'doc-' || doc_id AS slug, row_number() OVER (ORDER BY doc_id % 90 DESC, 'doc-' || doc_id) AS rank FROM documents WHERE {_VIOL} = '') WHERE rank <= 21""",
 )
 def front_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = A.violations(_parsed(spark, sf_dir)).where(F.size("violations") == 0)
-    return A.front_page(valid.select("fm_date", F.col("fm_slug").alias("slug")), "fm_date", "slug").select(
+    valid = A.violations(_parsed(spark, sf_dir)).where(F.size("violations") == 0).select("fm_date", F.col("fm_slug").alias("slug"))
+    return A.front_page(materialize(valid, "articles"), "fm_date", "slug").select(
         "rank", "slug", "slot", "column", "position"
     )
 

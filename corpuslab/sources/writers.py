@@ -25,6 +25,20 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.orderBy("pos").select("line").coalesce(1).write.mode("overwrite").text(path)
 
 
+#: Whole texts and short rows that one written file holds at most.
+FILE_TEXTS = 32
+FILE_ROWS = 1_000_000
+
+
+def write_texts(texts: DataFrame, key: str, path: str, column: str = "text", per_file: int = FILE_TEXTS) -> None:
+    """Texts as files of at most ``per_file`` texts in one folder per key.
+
+    Every task writes what it holds, so a key with many texts is written by all of them
+    and no file grows with the key.  A text ends with a line end.
+    """
+    texts.select(key, column).write.partitionBy(key).option("maxRecordsPerFile", per_file).text(path)
+
+
 def timeseries_rows(pubs: DataFrame) -> DataFrame:
     """Publication rows in CSV column order with ISO instants in UTC."""
     ts = F.col("published_at")

@@ -1,4 +1,5 @@
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +136,12 @@ def test_ranking_and_exports(spark, tmp_path):
     leaf = spark.createDataFrame([("f", "leaf_001", "text", "{}")], "folder string, leaf string, node_text string, citation string")
     writers.write_exports(leaf, str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out")).where(F.col("leaf") == "leaf_001").count() == 1
+
+
+def test_texts_of_one_key_are_split_over_files(spark, tmp_path):
+    rows = spark.createDataFrame([("hot", f"t{i}\nu") for i in range(50)] + [("cold", ""), ("cold", "x")], "source string, text string").repartition(3)
+    writers.write_texts(rows, "source", str(tmp_path / "t"), per_file=8)
+    found = files.text_files(spark, str(tmp_path / "t"), ".txt").collect()
+    assert max(r["text"].count("u") for r in found) <= 8 and len([r for r in found if "=hot" in r["path"]]) >= 7
+    lines = Counter(line for r in found for line in r["text"].removesuffix("\n").split("\n"))
+    assert lines == Counter([f"t{i}" for i in range(50)] + ["u"] * 50 + ["", "x"])
