@@ -13,9 +13,10 @@ from ..operators import inventory as I
 from ..operators import matching as M
 from ..operators import publications as P
 from ..operators import tfidf
+from ..plans import markdown as report_lines
 from ..plans import reports, views
 from ..session import materialize, scratch_dir
-from ..sources import writers
+from ..sources import files, writers
 from .base import query
 from .sqltext import CANDIDATES, CHANNELS, CORPUS, markdown, month_key, n_words, rep, strip, tfidf as tfidf_sql, week_key, with_
 
@@ -200,37 +201,74 @@ def emerging_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _emerging(spark, sf_dir, "phrase")
 
 
+def _written(spark: SparkSession, lines: DataFrame, name: str) -> DataFrame:
+    """Report lines (position, line), written as one text file and read back."""
+    path = scratch_dir(spark, name)
+    writers.write_lines(lines, path)
+    return files.ordered_lines(spark, path, ".txt").select("position", "line")
+
+
+# Parts of the reports in SQL: a list of lines per row, numbered at the end over all parts.
+_TERMS = "tm AS (SELECT row_number() OVER (ORDER BY score DESC, term) AS rank, * FROM found WHERE NOT contains(term, ' ') QUALIFY rank <= 50)"
+_BUCKETS = [
+    f"bdocs AS (SELECT doc_id, channel, {week_key('upload_date')} AS bucket, {markdown('text')} AS document FROM cand)",
+    *tfidf_sql("bdocs", "bucket", prefix="b_"),
+    "bt AS (SELECT bucket, term, row_number() OVER (PARTITION BY bucket ORDER BY score DESC, term) AS r FROM b_found WHERE NOT contains(term, ' ') QUALIFY r <= 5)",
+    """bp AS (SELECT bucket, term, row_number() OVER (PARTITION BY bucket ORDER BY document_frequency DESC, score DESC, term) AS r
+  FROM b_found WHERE contains(term, ' ') AND document_frequency >= 2 QUALIFY r <= 5)""",
+    "bc AS (SELECT bucket, channel, count(*) AS k FROM bdocs GROUP BY ALL)",
+    """bk AS (SELECT bucket, CAST(sum(k) AS BIGINT) AS n, string_agg(channel || ' (' || k || ')', ', ' ORDER BY channel) AS channels,
+  coalesce((SELECT string_agg(term, ', ' ORDER BY r) FROM bt WHERE bt.bucket = bc.bucket), 'none') AS terms,
+  coalesce((SELECT string_agg(term, ', ' ORDER BY r) FROM bp WHERE bp.bucket = bc.bucket), 'none') AS phrases FROM bc GROUP BY bucket)""",
+]
+
+
+def _tables_sql(section: int, level: str) -> str:
+    return f"""SELECT {section} AS s, '' AS p, 0 AS m, CASE WHEN count(*) > 0 THEN ['', '{level} Top terms (TF-IDF)', '', '| Rank | Term | Score | Videos |', '|------|------|-------|--------|']
+    ELSE ['', '{level} Top terms (TF-IDF)', '', '_No terms extracted._'] END AS lines FROM tm
+  UNION ALL SELECT {section + 1}, '', rank, ['| ' || rank || ' | ' || replace(term, '|', '\\|') || ' | ' || printf('%.6f', score) || ' | ' || document_frequency || ' |'] FROM tm
+  UNION ALL SELECT {section + 2}, '', 0, CASE WHEN count(*) > 0 THEN ['', '{level} Top phrases', '', '| Rank | Phrase | Doc frequency | Top channels |', '|------|--------|---------------|--------------|']
+    ELSE ['', '{level} Top phrases', '', '_No phrases met the document-frequency threshold._'] END FROM phrases
+  UNION ALL SELECT {section + 3}, '', rank, ['| ' || rank || ' | ' || replace(term, '|', '\\|') || ' | ' || document_frequency || ' | ' || replace(channels, ',', ', ') || ' |'] FROM phrases"""
+
+
+def _report_sql(ctes: list[str], *parts: str) -> str:
+    union = "\n  UNION ALL ".join(parts)
+    return with_(*ctes, f"parts AS ({union})", "flat AS (SELECT s, p, m, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM parts)") + (
+        "SELECT row_number() OVER (ORDER BY s, p, m, i) AS position, line FROM flat"
+    )
+
+
 @query(
     "themes_report",
-    with_(*THEMES) + """, t AS (SELECT row_number() OVER (ORDER BY score DESC, term) AS r, * FROM found WHERE NOT contains(term, ' ') QUALIFY r <= 50),
-p AS (SELECT row_number() OVER (ORDER BY document_frequency DESC, score DESC, term) AS r, * FROM found WHERE contains(term, ' ') AND document_frequency >= 2 QUALIFY r <= 30),
-l AS (SELECT 0 AS pos, '# Themes' AS line UNION ALL SELECT 1, '## Terms' UNION ALL SELECT 2, '| Rank | Term | Score | Documents |' UNION ALL SELECT 3, '|---|---|---|---|'
-  UNION ALL SELECT 1000 + r, '| ' || r || ' | ' || replace(term, '|', '\\|') || ' | ' || printf('%.6f', score) || ' | ' || document_frequency || ' |' FROM t
-  UNION ALL SELECT 2001, '## Phrases' UNION ALL SELECT 2002, '| Rank | Phrase | Score | Documents |' UNION ALL SELECT 2003, '|---|---|---|---|'
-  UNION ALL SELECT 3000 + r, '| ' || r || ' | ' || replace(term, '|', '\\|') || ' | ' || printf('%.6f', score) || ' | ' || document_frequency || ' |' FROM p)
-SELECT line FROM l""",
+    _report_sql(
+        [*THEMES, _PHRASES, _TERMS],
+        "SELECT 0 AS s, '' AS p, 0 AS m, ['# Themes Report', '', '- Lookback days: 30', '- Channel filter: all channels', '- Videos considered: ' || count(*)] AS lines FROM cand",
+        _tables_sql(2, "##"),
+    ),
 )
 def themes_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The themes report as Markdown, written as text and read back."""
-    found = materialize(tfidf.entries(reports.theme_weights(_docs(spark, sf_dir), "doc_id")), "themes")
-    path = scratch_dir(spark, "themes-report")
-    writers.write_lines(reports.theme_lines(reports.term_report(found), reports.phrase_report(found)), path)
-    return spark.read.text(path).select(F.col("value").alias("line"))
+    docs = _docs(spark, sf_dir)
+    found = materialize(tfidf.entries(reports.theme_weights(docs, "doc_id")), "themes")
+    return _written(spark, report_lines.theme_lines(docs, reports.term_report(found), reports.phrase_report(found), reports.LOOKBACK_DAYS), "themes-report")
 
 
 @query(
     "timeline_report",
-    _timeline_sql(week_key("upload_date")).replace("SELECT bucket, CAST(sum(k) AS BIGINT) AS video_count", ", tl AS (SELECT bucket, CAST(sum(k) AS BIGINT) AS video_count", 1)
-    + """)
-SELECT line FROM (SELECT '# Timeline' AS line UNION ALL SELECT '## ' || bucket FROM tl UNION ALL SELECT '- Videos: ' || video_count FROM tl
-  UNION ALL SELECT '- Channels: ' || channels FROM tl UNION ALL SELECT '- Terms: ' || CASE WHEN top_terms = '' THEN 'none' ELSE top_terms END FROM tl
-  UNION ALL SELECT '- Phrases: ' || CASE WHEN top_phrases = '' THEN 'none' ELSE top_phrases END FROM tl)""",
+    _report_sql(
+        [CORPUS, CANDIDATES, *_BUCKETS],
+        """SELECT 0 AS s, '' AS p, 0 AS m, ['# Timeline Report', '', '- Lookback days: 30', '- Channel filter: all channels', '- Bucket type: week',
+    '- Videos considered: ' || count(*)] AS lines FROM cand""",
+        "SELECT 1, bucket, 0, ['', '## ' || bucket, '', '- Videos: ' || n, '- Channels: ' || channels, '- Top terms: ' || terms, '- Top phrases: ' || phrases] FROM bk",
+        "SELECT 2, '', 0, ['', '_No videos in the lookback window._'] FROM bk HAVING count(*) = 0",
+    ),
 )
 def timeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weekly timeline as Markdown, written as text and read back."""
-    path = scratch_dir(spark, "timeline-report")
-    writers.write_lines(reports.timeline_lines(_timeline(spark, sf_dir, "week")), path)
-    return spark.read.text(path).select(F.col("value").alias("line"))
+    docs = _docs(spark, sf_dir)
+    buckets = materialize(reports.timeline(docs, "doc_id", "week"), "buckets")
+    return _written(spark, report_lines.timeline_lines(docs, buckets, "week", reports.LOOKBACK_DAYS), "timeline-report")
 
 
 @query(
@@ -244,44 +282,45 @@ def corpus_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snap.withColumns({c: F.col(c).cast("string") for c in ("first_date", "last_date")})
 
 
-_DIGEST = with_(
-    *THEMES, _PHRASES, _PREVIOUS, _PDOCS, *tfidf_sql("pdocs", prefix="p_"),
-    f"bdocs AS (SELECT doc_id, channel, {week_key('upload_date')} AS bucket, {markdown('text')} AS document FROM cand)",
-    *tfidf_sql("bdocs", "bucket", prefix="b_"),
-    "bt AS (SELECT bucket, term, row_number() OVER (PARTITION BY bucket ORDER BY score DESC, term) AS r FROM b_found WHERE NOT contains(term, ' ') QUALIFY r <= 5)",
-    "bc AS (SELECT bucket, count(*) AS n FROM bdocs GROUP BY 1)",
-    "tm AS (SELECT row_number() OVER (ORDER BY score DESC, term) AS rank, * FROM found WHERE NOT contains(term, ' ') QUALIFY rank <= 50)",
-    "fresh AS (SELECT term FROM tm EXCEPT SELECT term FROM (SELECT term FROM p_found WHERE NOT contains(term, ' ') ORDER BY score DESC, term LIMIT 50))",
-    """rd AS (SELECT p.rank, row_number() OVER (PARTITION BY w.term ORDER BY round(weight, 9) DESC, w.channel, w.doc_id) AS position, w.doc_id, w.channel
+_DIGEST = _report_sql(
+    [
+        *THEMES, _PHRASES, _TERMS, _PREVIOUS, _PDOCS, *tfidf_sql("pdocs", prefix="p_"), *_BUCKETS,
+        "new_terms AS (SELECT term FROM tm EXCEPT SELECT term FROM (SELECT term FROM p_found WHERE NOT contains(term, ' ') ORDER BY score DESC, term LIMIT 50))",
+        """new_phrases AS (SELECT term FROM phrases EXCEPT SELECT term FROM
+  (SELECT term FROM p_found WHERE contains(term, ' ') AND document_frequency >= 2 ORDER BY document_frequency DESC, score DESC, term LIMIT 30))""",
+        """rd AS (SELECT p.rank, row_number() OVER (PARTITION BY w.term ORDER BY round(weight, 9) DESC, w.channel, w.doc_id) AS position, w.doc_id, w.channel
   FROM w JOIN phrases p ON p.term = w.term QUALIFY position <= 10)""",
-    """fixed(section, major, line) AS (VALUES (0, '0', '# Research Digest'), (0, '1', ''), (0, '2', 'Generated: 2024-03-01'), (0, '3', ''), (0, '4', '## Corpus Snapshot'),
-  (2, '0', '### Top terms (TF-IDF)'), (2, '1', ''), (2, '2', '| Rank | Term | Score | Videos |'), (2, '3', '|------|------|-------|--------|'),
-  (4, '0', '### Top phrases'), (4, '1', ''), (4, '2', '| Rank | Phrase | Doc frequency | Top channels |'), (4, '3', '|---|---|---|---|'),
-  (6, '0', '## Timeline'), (8, '0', '## Emerging (vs previous run)'), (10, '0', '## Reading List'))""",
-    """snap AS (SELECT count(*) AS n, count(*) FILTER (has_summary) AS h, min(upload_date) AS lo, max(upload_date) AS hi, count(DISTINCT channel) AS c FROM corpus)""",
-) + """SELECT section, major, 0 AS minor, line FROM fixed
-UNION ALL SELECT 1, '0', 0, '- Videos indexed: ' || n FROM snap
-UNION ALL SELECT 1, '1', 0, '- With summaries: ' || h || ' (' || printf('%.1f', round(h * 100.0 / n, 4)) || '%)' FROM snap
-UNION ALL SELECT 1, '2', 0, '- Date range: ' || lo || ' — ' || hi FROM snap
-UNION ALL SELECT 1, '3', 0, '- Channels: ' || c FROM snap
-UNION ALL SELECT 3, lpad(CAST(rank AS VARCHAR), 9, '0'), 0, '| ' || rank || ' | ' || replace(term, '|', '\\|') || ' | ' || printf('%.6f', score) || ' | ' || document_frequency || ' |' FROM tm
-UNION ALL SELECT 5, lpad(CAST(rank AS VARCHAR), 9, '0'), 0, '| ' || rank || ' | ' || replace(term, '|', '\\|') || ' | ' || document_frequency || ' | ' || replace(channels, ',', ', ') || ' |' FROM phrases
-UNION ALL SELECT 7, bucket, 0, '### ' || bucket || ' — ' || n || ' videos — ' || coalesce((SELECT string_agg(term, ', ' ORDER BY r) FROM bt WHERE bt.bucket = bc.bucket), 'none') FROM bc
-UNION ALL SELECT 9, '0', 0, '- New terms: ' || coalesce((SELECT string_agg(term, ', ' ORDER BY term) FROM fresh), 'none')
-UNION ALL SELECT 11, lpad(CAST(rank AS VARCHAR), 9, '0'), position, position || '. **Doc ' || doc_id || '** — ' || channel FROM rd"""
+        "snap AS (SELECT count(*) AS n, count(*) FILTER (has_summary) AS h, min(upload_date) AS lo, max(upload_date) AS hi, count(DISTINCT channel) AS c FROM corpus)",
+    ],
+    """SELECT 0 AS s, '' AS p, 0 AS m, ['# Research Digest', '', 'Generated: 2024-03-01', '', '## Corpus Snapshot', '', '- Videos indexed: ' || n,
+    '- With summaries: ' || h || ' (' || printf('%.1f', round(h * 100.0 / n, 4)) || '%)', '- Date range: ' || lo || ' — ' || hi, '- Channels: ' || c,
+    '', '## Top Themes (last 30 days)', '', '- Channel filter: all channels', '- Videos considered: ' || (SELECT count(*) FROM cand)] AS lines FROM snap""",
+    _tables_sql(1, "###"),
+    "SELECT 5, '', 0, ['', '## Timeline']",
+    "SELECT 6, bucket, 0, ['', '### Week ' || bucket, '', '- Videos: ' || n, '- Top terms: ' || terms] FROM bk",
+    "SELECT 7, '', 0, ['', '_No videos in the lookback window._'] FROM bk HAVING count(*) = 0",
+    """SELECT 8, '', 0, ['', '## Emerging (vs previous run)', '', '- Previous run: 2024-02-09',
+    '- New terms: ' || coalesce((SELECT string_agg(term, ', ' ORDER BY term) FROM new_terms), 'none'),
+    '- New phrases: ' || coalesce((SELECT string_agg(term, ', ' ORDER BY term) FROM new_phrases), 'none'), '', '## Reading List']""",
+    "SELECT 9, lpad(CAST(rank AS VARCHAR), 9, '0'), 0, ['', '### ' || term, ''] FROM phrases",
+    """SELECT 9, lpad(CAST(rank AS VARCHAR), 9, '0'), position, [position || '. **Doc ' || doc_id || '** — ' || rd.channel || ', ' || CAST(upload_date AS VARCHAR)
+    || ' — `summary/' || rd.channel || '/Doc ' || doc_id || '.md`'] FROM rd JOIN cand USING (doc_id)""",
+    "SELECT 10, '', 0, ['', '_No phrases met the document-frequency threshold._'] FROM phrases HAVING count(*) = 0",
+)
 
 
 @query("research_digest", _DIGEST)
 def research_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digest lines of a full run against the run of three weeks before."""
+    """The digest of a full run against the run of three weeks before, written as text and read back."""
     import datetime as dt
 
-    index = views.corpus(spark, sf_dir)
-    before = tfidf.entries(reports.theme_weights(_docs(spark, sf_dir, dt.date(2024, 2, 9)), "doc_id"))
-    parts = reports.build_digest(
-        index, _docs(spark, sf_dir), "doc_id", views.REFERENCE, tfidf.top_terms(before, reports.TOP_TERMS)
-    )
-    return parts["digest"].select("pos.section", "pos.major", "pos.minor", "line")
+    before = dt.date(2024, 2, 9)
+    found = materialize(tfidf.entries(reports.theme_weights(_docs(spark, sf_dir, before), "doc_id")), "themes")
+    terms, phrases = tfidf.top_terms(found, reports.TOP_TERMS), tfidf.top_phrases(found, reports.TOP_PHRASES, reports.MIN_DOCUMENTS)
+    summary = F.concat(F.lit("summary/"), "channel", F.lit("/"), "title", F.lit(".md"))
+    docs = _docs(spark, sf_dir).withColumn("summary_md", summary)
+    parts = reports.build_digest(views.corpus(spark, sf_dir), docs, "doc_id", views.REFERENCE, reports.Previous(before.isoformat(), terms, phrases))
+    return _written(spark, parts["digest"], "digest")
 
 
 # --- index joins --------------------------------------------------------------

@@ -104,11 +104,11 @@ def candidates(
 
 
 def snapshot(index: DataFrame) -> DataFrame:
-    """One row: records, with summary, coverage, date range, channels."""
+    """One row: records, with summary, coverage (null without records), date range, channels."""
     return index.agg(
         F.count(F.lit(1)).alias("videos"),
         F.count_if(F.col("has_summary")).alias("with_summary"),
-        F.round(F.count_if(F.col("has_summary")) * 100.0 / F.count(F.lit(1)), 4).alias("coverage_pct"),
+        F.round(F.try_divide(F.count_if(F.col("has_summary")) * 100.0, F.count(F.lit(1))), 4).alias("coverage_pct"),
         F.min("upload_date").alias("first_date"),
         F.max("upload_date").alias("last_date"),
         F.count_distinct("channel").alias("channels"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from ..functions.text import normalize_markdown, strip_ws
 from ..operators import corpus, tfidf
 from ..operators.topn import ranked, top_per_group
 from ..session import materialize
+from . import markdown
 
 TOP_TERMS = 50
 TOP_PHRASES = 30
@@ -19,6 +21,7 @@ MIN_DOCUMENTS = 2
 TOP_VIDEOS = 10
 NGRAMS = (1, 2)
 BUCKET_TOP = 5
+LOOKBACK_DAYS = 30
 
 
 def document_text(rows: DataFrame, summary: str, transcript: str | None = None) -> DataFrame:
@@ -32,7 +35,7 @@ def document_text(rows: DataFrame, summary: str, transcript: str | None = None)
 
 def theme_weights(docs: DataFrame, doc: str, ngrams: tuple[int, int] = NGRAMS, **knobs) -> DataFrame:
     """Weights over rows with ``document``, ``channel`` and a unique ``doc``."""
-    extra = [c for c in ("title", "upload_date") if c in docs.columns and c != doc]
+    extra = [c for c in ("title", "upload_date", "summary_md") if c in docs.columns and c != doc]
     return tfidf.weights(docs.select(doc, "channel", *extra, "document"), doc, "document", ngrams=ngrams, **knobs)
 
 
@@ -79,149 +82,54 @@ def emerging(current: DataFrame, previous: DataFrame | None) -> DataFrame:
     return current.select("term").join(previous.select("term"), "term", "left_anti").distinct()
 
 
-def theme_lines(terms: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Markdown lines (pos, line) of the themes report, from ranked terms and phrases."""
+@dataclass(frozen=True)
+class Previous:
+    """Day, terms and phrases (``term``) of the run before."""
 
-    def table(rows: DataFrame, name: str, first: int) -> DataFrame:
-        heads = [(first + 1, f"## {name}s"), (first + 2, f"| Rank | {name} | Score | Documents |"), (first + 3, "|---|---|---|---|")]
-        cells = [F.col("rank").cast("string"), _cell(F.col("term")), F.format_string("%.6f", "score"), F.col("document_frequency").cast("string")]
-        body = rows.select((F.col("rank") + first + 1000).alias("pos"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
-        return rows.sparkSession.createDataFrame(heads, "pos long, line string").unionByName(body)
+    day: str
+    terms: DataFrame
+    phrases: DataFrame
 
-    title = terms.sparkSession.createDataFrame([(0, "# Themes")], "pos long, line string")
-    return title.unionByName(table(terms, "Term", 0)).unionByName(table(phrases, "Phrase", 2000))
 
-
-def timeline_lines(rows: DataFrame) -> DataFrame:
-    """Markdown lines (pos, line) of the timeline: bucket, video_count, channels, top_terms, top_phrases as text."""
-
-    def text(c: str):
-        return F.when(F.col(c) == "", F.lit("none")).otherwise(F.col(c))
-
-    lines = F.array(
-        F.concat(F.lit("## "), "bucket"), F.concat(F.lit("- Videos: "), F.col("video_count").cast("string")), F.concat(F.lit("- Channels: "), "channels"),
-        F.concat(F.lit("- Terms: "), text("top_terms")), F.concat(F.lit("- Phrases: "), text("top_phrases")),
-    )
-    body = rows.select("bucket", F.posexplode(lines).alias("i", "line")).select(F.concat_ws(" ", "bucket", F.col("i").cast("string")).alias("pos"), "line")
-    return rows.sparkSession.createDataFrame([("", "# Timeline")], "pos string, line string").unionByName(body)
-
-
-def _listing(c) -> object:
-    return F.when(F.size(c) == 0, F.lit("none")).otherwise(F.array_join(c, ", "))
-
-
-def _cell(c) -> object:
-    return F.replace(c, F.lit("|"), F.lit("\\|"))
-
-
-def digest_lines(
+def build_digest(
     index: DataFrame,
-    terms: DataFrame,
-    phrases: DataFrame,
-    videos: DataFrame,
-    buckets: DataFrame,
-    new_terms: DataFrame,
+    docs: DataFrame,
+    doc: str,
     reference: dt.date,
-) -> DataFrame:
-    """The digest as ordered Markdown lines (``pos`` struct, ``line``).
-
-    Every part is a capped report, so the text stays small.
-    """
-    spark = index.sparkSession
-
-    def fixed(section: int, lines: list[str]) -> DataFrame:
-        rows = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
-        return rows.select(_pos(F.lit(section), F.col("i")), "line")
-
-    def _pos(section, major, minor=None):
-        minor = F.lit(0) if minor is None else minor
-        return F.struct(
-            section.cast("int").alias("section"), major.cast("string").alias("major"), minor.cast("int").alias("minor")
-        ).alias("pos")
-
-    def padded(c):
-        return F.lpad(c.cast("string"), 9, "0")
-
-    snap = corpus.snapshot(index)
-    facts = snap.select(
-        F.posexplode(
-            F.array(
-                F.format_string("- Videos indexed: %d", "videos"),
-                F.concat(F.format_string("- With summaries: %d (", "with_summary"), F.format_number("coverage_pct", 1), F.lit("%)")),
-                F.concat(
-                    F.lit("- Date range: "),
-                    F.coalesce(F.concat(F.col("first_date").cast("string"), F.lit(" — "), F.col("last_date").cast("string")), F.lit("unknown")),
-                ),
-                F.format_string("- Channels: %d", "channels"),
-            )
-        ).alias("i", "line")
-    ).select(_pos(F.lit(1), F.col("i")), "line")
-    term_rows = terms.select(
-        _pos(F.lit(3), padded(F.col("rank"))),
-        F.format_string("| %d | %s | %.6f | %d |", "rank", _cell(F.col("term")), "score", "document_frequency").alias("line"),
-    )
-    phrase_rows = phrases.select(
-        _pos(F.lit(5), padded(F.col("rank"))),
-        F.format_string(
-            "| %d | %s | %d | %s |", "rank", _cell(F.col("term")), "document_frequency", _cell(F.array_join("channels", ", "))
-        ).alias("line"),
-    )
-    bucket_rows = buckets.select(
-        _pos(F.lit(7), F.col("bucket")),
-        F.concat(
-            F.lit("### "), F.col("bucket"), F.lit(" — "), F.col("video_count").cast("string"),
-            F.lit(" videos — "), _listing(F.col("top_terms")),
-        ).alias("line"),
-    )
-    fresh = new_terms.agg(F.array_sort(F.collect_set("term")).alias("t")).select(
-        _pos(F.lit(9), F.lit("0")), F.concat(F.lit("- New terms: "), _listing(F.col("t"))).alias("line")
-    )
-    reading = videos.join(phrases.select("term", "rank"), "term").select(
-        _pos(F.lit(11), padded(F.col("rank")), F.col("position")),
-        F.format_string("%d. **%s** — %s", "position", F.col("title"), F.col("channel")).alias("line"),
-    )
-    parts = [
-        fixed(0, ["# Research Digest", "", f"Generated: {reference.isoformat()}", "", "## Corpus Snapshot"]),
-        facts,
-        fixed(2, ["### Top terms (TF-IDF)", "", "| Rank | Term | Score | Videos |", "|------|------|-------|--------|"]),
-        term_rows,
-        fixed(4, ["### Top phrases", "", "| Rank | Phrase | Doc frequency | Top channels |", "|---|---|---|---|"]),
-        phrase_rows,
-        fixed(6, ["## Timeline"]),
-        bucket_rows,
-        fixed(8, ["## Emerging (vs previous run)"]),
-        fresh,
-        fixed(10, ["## Reading List"]),
-        reading,
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def build_digest(
-    index: DataFrame, docs: DataFrame, doc: str, reference: dt.date, previous_terms: DataFrame | None, bucket: str = "week"
+    previous: Previous | None,
+    bucket: str = "week",
+    lookback_days: int = LOOKBACK_DAYS,
+    channel: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Index, themes, timeline, emerging terms and digest lines of one run.
+    """Index, themes, timeline, emerging terms and phrases, and the Markdown lines of the
+    three reports of one run.
 
-    ``docs`` are the candidate rows with ``document``.  The weights feed three
-    reports, so they are written once to the scratch folder.
+    ``docs`` are the candidate rows with ``document``, ``title``, ``upload_date`` and
+    ``summary_md``.  ``previous`` is checked before anything is written; None is a first
+    run.  The weights and the capped reports feed several parts, so they are written once
+    to the scratch folder.
     """
-    if previous_terms is not None and "term" not in previous_terms.columns:
-        raise ValueError("previous snapshot has no 'term' column")
+    for name, rows in (("terms", previous.terms), ("phrases", previous.phrases)) if previous else ():
+        if "term" not in rows.columns:
+            raise ValueError(f"previous snapshot has no 'term' column in its {name}")
     weighted = materialize(theme_weights(docs, doc), "theme-weights")
     found = tfidf.entries(weighted)
-    terms = term_report(found)
-    phrases = phrase_report(found)
-    videos = tfidf.top_documents(weighted, phrases, doc, "title", TOP_VIDEOS)
-    buckets = timeline(docs, doc, bucket)
-    fresh = emerging(terms, previous_terms)
+    terms = materialize(term_report(found), "terms")
+    phrases = materialize(phrase_report(found), "phrases")
+    videos = materialize(tfidf.top_documents(weighted, phrases, doc, "title", TOP_VIDEOS), "videos")
+    buckets = materialize(timeline(docs, doc, bucket), "buckets")
+    new_terms = emerging(terms, previous.terms if previous else None)
+    new_phrases = emerging(phrases, previous.phrases if previous else None)
+    window = {"lookback_days": lookback_days, "channel": channel}
+    day = previous.day if previous else None
     return {
         "terms": terms,
         "phrases": phrases,
         "videos": videos,
         "timeline": buckets,
-        "emerging": fresh,
-        "digest": digest_lines(index, terms, phrases, videos, buckets, fresh, reference),
+        "emerging": new_terms,
+        "emerging_phrases": new_phrases,
+        "themes_report": markdown.theme_lines(docs, terms, phrases, **window),
+        "timeline_report": markdown.timeline_lines(docs, buckets, bucket, **window),
+        "digest": markdown.digest_lines(index, docs, terms, phrases, videos, buckets, new_terms, new_phrases, reference, day, bucket, **window),
     }
