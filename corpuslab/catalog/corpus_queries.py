@@ -326,7 +326,7 @@ def research_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- index joins --------------------------------------------------------------
 
 _ID = "CASE WHEN doc_id % 10 = 9 THEN NULL ELSE 'v' || (doc_id - doc_id % 3) END"
-_INDEX = f"""tr AS (SELECT 'clean/' || channel || '/Doc ' || doc_id AS path, channel, {_ID} AS video_id, 'Doc ' || doc_id AS stem,
+_INDEX = f"""tr AS (SELECT 'clean/' || channel || '/Doc ' || doc_id || '.txt' AS path, channel, {_ID} AS video_id, 'Doc ' || doc_id AS stem,
     doc_id, text FROM corpus),
 cnt AS (SELECT channel, video_id, count(*) AS n, min(doc_id) AS only_doc FROM
     (SELECT channel, 'v' || (doc_id - doc_id % 3) AS video_id, doc_id FROM corpus WHERE doc_id % 37 <> 5) GROUP BY ALL),
@@ -350,12 +350,14 @@ def _index_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def path(kind: str, ext: str):
         return F.concat(F.lit(kind + "/"), F.col("channel"), F.lit("/"), stem, F.lit(ext))
 
-    cues = views.table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("clean/"), F.col("source"), F.lit("/"), stem).alias("path"), (F.col("n_chars") * 70).alias("last_end_ms")
+    # every eleventh transcript has no cue file, and every eleventh one has a file without entries
+    cues = views.table(spark, sf_dir, "documents").where(d % 11 != 4).select(
+        F.concat(F.lit("clean/"), F.col("source"), F.lit("/"), stem, F.lit(".srt")).alias("path"),
+        F.when(d % 11 != 5, F.col("n_chars") * 70).alias("last_end_ms"),
     )
     return {
         "transcripts": docs.select(
-            path("clean", "").alias("path"), "channel", F.when(d % 10 != 9, vid).alias("video_id"), stem.alias("stem"), "text"
+            path("clean", ".txt").alias("path"), "channel", F.when(d % 10 != 9, vid).alias("video_id"), stem.alias("stem"), "text"
         ),
         "metadata": docs.where(d % 37 != 5).select(
             "channel", vid.alias("video_id"), stem.alias("stem"), path("meta", ".info.json").alias("path"), "title", "upload_date"
@@ -392,7 +394,8 @@ def metadata_match(spark: SparkSession, sf_dir: str) -> DataFrame:
   LEFT JOIN sm e ON e.channel = m.channel AND e.stem = m.stem)""",
         f"z AS (SELECT doc_id, {markdown('text')} AS norm FROM sm)",
     ) + f"""SELECT m.path, m.channel, coalesce(m.video_id, 'v' || (md.doc_id - md.doc_id % 3)) AS video_id, md.title,
-  CAST(md.upload_date AS VARCHAR) AS upload_date, CAST(floor(d.n_chars * 70 / 1000) AS BIGINT) AS duration_seconds,
+  CAST(md.upload_date AS VARCHAR) AS upload_date, CASE WHEN d.doc_id % 11 NOT IN (4, 5) THEN CAST(floor(d.n_chars * 70 / 1000) AS BIGINT) END AS duration_seconds,
+  CASE WHEN d.doc_id % 11 <> 4 THEN 'clean/' || m.channel || '/Doc ' || d.doc_id || '.srt' END AS cleaned_srt,
   {n_words('m.text')} AS word_count, coalesce(z.norm, '') <> '' AS has_summary,
   CASE WHEN z.norm <> '' THEN 'summary/' || m.channel || '/Doc ' || s.sum_doc || '.md' END AS summary_md,
   CASE WHEN z.norm <> '' THEN {n_words('z.norm')} END AS summary_words, ch.language, ch.category,
@@ -404,7 +407,7 @@ def corpus_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = C.build_index(**_index_inputs(spark, sf_dir))
     return index.orderBy(*C.index_order()).select(
         "path", "channel", "video_id", "title", F.col("upload_date").cast("string").alias("upload_date"), "duration_seconds",
-        "word_count", "has_summary", "paths.summary_md", F.col("summary_stats.word_count").alias("summary_words"),
+        "paths.cleaned_srt", "word_count", "has_summary", "paths.summary_md", F.col("summary_stats.word_count").alias("summary_words"),
         "channel_meta.language", "channel_meta.category", "problem",
     )
 

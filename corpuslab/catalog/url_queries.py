@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import urls as U
 from ..operators import url_queue as Q
 from ..plans import views
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 from ..sources import files, writers
 from .base import query, quoted, rows_of
 from .sqltext import collapse, lit, rep, strip, with_
@@ -257,11 +257,28 @@ def inbox_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("normalized_url", "source_line", "n_lines", "stem", "content_type")
 
 
-@query("inbox_consumable", "SELECT 'page' || page_id AS path FROM pages WHERE NOT contains(html, '&quot;')")
+_LISTS = """lists AS (SELECT position // 40 AS file, bool_or(position % 97 = 3) AS changed FROM inbox GROUP BY 1)"""
+
+
+@query("inbox_consumable", with_(_INBOX, _LISTS) + "SELECT 'list' || file || '.txt' AS name FROM lists WHERE NOT changed AND file % 10 <> 3")
 def inbox_consumable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files whose content did not change since the snapshot."""
-    pages = views.table(spark, sf_dir, "pages")
-    path = F.concat(F.lit("page"), F.col("page_id").cast("string"))
-    then = pages.select(path.alias("path"), F.sha2("html", 256).alias("sha256"))
-    now = pages.select(path.alias("path"), F.sha2(F.replace("html", F.lit("&quot;"), F.lit('"')), 256).alias("sha256"))
-    return Q.consumable(then, now).select("path")
+    """Written inbox files whose content did not change since the snapshot; files that came after it are left alone."""
+    root = scratch_dir(spark, "inbox")
+    place = F.col("position")
+    lines = views.inbox(spark, sf_dir).withColumn("file", F.floor(place / 40)).withColumn("late", place % 97 == 3)
+    # 20 pages give at most 40 lines
+    later = F.when(F.col("late"), F.concat("line", F.lit("#later"))).otherwise(F.col("line"))
+    bodies = lines.groupBy("file").agg(
+        F.array_sort(F.collect_list(F.struct("position", "line"))).alias("then"),
+        F.array_sort(F.collect_list(F.struct("position", later.alias("line")))).alias("now"),
+    )
+    named = bodies.select(
+        "file", F.concat(F.lit("list"), F.col("file").cast("string"), F.lit(".txt")).alias("name"),
+        *[F.concat(F.array_join(F.transform(c, lambda x: x["line"]), "\n"), F.lit("\n")).alias(c) for c in ("then", "now")],
+    )
+    named = materialize(named, "inbox-files")
+    writers.write_named(named.where("file % 10 <> 3"), "name", "then", root)
+    snapshot = materialize(files.inbox_snapshot(spark, root), "inbox-snapshot")
+    writers.write_named(named.where("then <> now OR file % 10 = 3"), "name", "now", root)
+    left = Q.consumable(snapshot, files.inbox_snapshot(spark, root))
+    return left.select(files.file_name(F.col("path")).alias("name"))

@@ -31,8 +31,9 @@ def build_index(
 
     transcripts: path, channel, video_id?, stem, text; metadata: channel,
     video_id, stem, path, title, upload_date; summaries: channel, video_id,
-    stem, path, text; cue_ends: path, last_end_ms; channels: channel, language,
-    category, description.  ``problem`` names a failed required join.
+    stem, path, text; cue_ends: path, last_end_ms (null without entries); channels:
+    channel, language, category, description.  The cue file of a transcript has its path
+    with ``.srt`` for the suffix.  ``problem`` names a failed required join.
     """
     keys = ["channel", "video_id"]
     base = transcripts.withColumn("word_count", word_count("text")).drop("text")
@@ -44,7 +45,8 @@ def build_index(
     stats = summary_stats(summaries, "text").select(F.col("path").alias("summary_path"), "summary_words", "summary_chars")
     joined = (
         left_join_known(left_join_known(with_sum, meta, "metadata_path"), stats, "summary_path")
-        .join(cue_ends.select("path", "last_end_ms"), "path", "left")
+        .withColumn("__srt", F.regexp_replace("path", r"\.[^./]+$", ".srt"))
+        .join(cue_ends.select(F.col("path").alias("__srt"), "last_end_ms", F.col("path").alias("cleaned_srt")), "__srt", "left")
         .join(channels.withColumn("__known", F.lit(True)), "channel", "left")
     )
     problem = F.when(F.col("__known").isNull(), "unknown channel").when(
@@ -62,6 +64,7 @@ def build_index(
         has.alias("has_summary"),
         F.struct(
             F.col("path").alias("cleaned_txt"),
+            "cleaned_srt",
             F.when(has, F.col("summary_path")).alias("summary_md"),
             F.col("metadata_path").alias("metadata_json"),
         ).alias("paths"),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +43,27 @@ def write_texts(texts: DataFrame, key: str, path: str, column: str = "text", per
     texts.select(key, column).write.partitionBy(key).option("maxRecordsPerFile", per_file).text(path)
 
 
+def write_named(texts: DataFrame, name: str, text: str, folder: str) -> int:
+    """Every row's text as the file of its name in ``folder``; gives the number of files.
+
+    Files are written by the tasks that hold their rows, and a task that runs again writes
+    them again.  A file that is there is replaced, null text is an empty file, rows with a
+    null name are left out; of rows of one name any may win.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = fs.FileSystem.from_uri(folder)
+        system.create_dir(root, recursive=True)
+        for batch in batches:
+            for file, body in zip(batch["name"], batch["body"]):
+                with system.open_output_stream(f"{root}/{file}") as out:
+                    out.write(body.encode("utf-8"))
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    rows = texts.select(F.col(name).alias("name"), F.coalesce(F.col(text), F.lit("")).alias("body")).where("name IS NOT NULL")
+    return rows.mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+
+
 def timeseries_rows(pubs: DataFrame) -> DataFrame:
     """Publication rows in CSV column order with ISO instants in UTC."""
     ts = F.col("published_at")

@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from corpuslab.operators import url_queue
 from corpuslab.sources import files, writers
 
 
@@ -145,3 +146,16 @@ def test_texts_of_one_key_are_split_over_files(spark, tmp_path):
     assert max(r["text"].count("u") for r in found) <= 8 and len([r for r in found if "=hot" in r["path"]]) >= 7
     lines = Counter(line for r in found for line in r["text"].removesuffix("\n").split("\n"))
     assert lines == Counter([f"t{i}" for i in range(50)] + ["u"] * 50 + ["", "x"])
+
+
+def test_named_files_are_replaced_and_read_back(spark, tmp_path):
+    folder = str(tmp_path / "inbox")
+    rows = spark.createDataFrame([("a.txt", "x\ny\n"), ("b.txt", "Grüße"), ("c.txt", None), (None, "lost")], "name string, text string")
+    assert writers.write_named(rows, "name", "text", folder) == 3
+    then = files.inbox_snapshot(spark, folder).collect()
+    assert writers.write_named(spark.createDataFrame([("a.txt", "x\n")], rows.schema), "name", "text", folder) == 1
+    assert writers.write_named(rows.limit(0), "name", "text", folder) == 0
+    assert {p.name: p.read_text("utf-8") for p in (tmp_path / "inbox").iterdir()} == {"a.txt": "x\n", "b.txt": "Grüße", "c.txt": ""}
+    left = url_queue.consumable(spark.createDataFrame(then), files.inbox_snapshot(spark, folder))
+    assert {r["path"].rsplit("/", 1)[-1] for r in left.collect()} >= {"b.txt"}
+    assert "a.txt" not in {r["path"].rsplit("/", 1)[-1] for r in left.collect()}
