@@ -1,4 +1,11 @@
-"""A corpus pipeline of five stages, each stored as Parquet and read again by the next."""
+"""A corpus pipeline of five stages, each stored as Parquet and read again by the next.
+
+All stages treat odd rows alike.  Every row is judged by its own whole text, however long,
+also where ids are null or repeat.  Of equal or similar rows the one of the smallest id
+stays, a null id comes after all others, and of rows of one id any one stays.  Null texts
+count as empty, and empty texts are clean.  All columns are kept as they are, whatever their
+names; null values in them mean nothing.  An empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from corpuslab.llm import bigru, bpe, cuckoo, near, winnow
-from corpuslab.llm.common import importable, table, without
+from corpuslab.llm.common import importable, table, without_rows
 from corpuslab.session import scratch_dir
 
 
@@ -16,8 +23,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, that of the smallest id."""
-    return without(docs, cuckoo.exact_dedup(docs).where("NOT kept"))
+    """One row of each group of equal texts, that of the smallest id; null and empty texts are one group."""
+    return without_rows(docs, lambda d: cuckoo.exact_dedup(d).where("NOT kept"))
 
 
 #: Words of a shingle in the near-dedup stage; query op10 has its own two.
@@ -25,17 +32,18 @@ NEAR_WORDS = 5
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component, that of the smallest id."""
-    return without(docs, near.near_duplicates(docs, size=NEAR_WORDS).where("NOT kept"))
+    """One row of each near-duplicate component, that of the smallest id; texts without words all stay."""
+    return without_rows(docs, lambda d: near.near_duplicates(d, size=NEAR_WORDS).where("NOT kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
-    return without(docs, winnow.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+    """Documents without a window of a benchmark item; a null text has none."""
+    items = table(spark, sf_dir, "benchmark")
+    return without_rows(docs, lambda d: winnow.decontaminate(d, items).where("contaminated"))
 
 
 def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token count and digests of every document that is left."""
+    """Token count and digests of every document that is left, one row per row."""
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

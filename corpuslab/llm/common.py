@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -97,6 +97,29 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFram
     return docs.join(checked(ids.select(id_col)), id_col, "left_anti").select(docs.columns)
 
 
+def without_rows(docs: DataFrame, rejected: Callable[[DataFrame], DataFrame], id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` but those that ``rejected`` names, columns as they were.
+
+    ``rejected`` takes documents and returns rows with the ids of those that go.  Where an
+    id is null or repeats, every row gets a key in its place, in the order of ids, nulls
+    last, and of rows; so every row is judged by its own text, and the smallest id of a
+    group still comes first.  The keys are made from the ids alone, in a distributed sort.
+    """
+    counts = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
+    if counts.where((F.col("_n") > 1) | F.col(id_col).isNull()).isEmpty():
+        return without(docs, rejected(docs), id_col)
+    scratch = Scratch(docs.sparkSession, "rows")
+    row = "_row"
+    while row in docs.columns or "_" + row in docs.columns:
+        row = "_" + row
+    key = "_" + row
+    rows = scratch.save(docs.withColumn(row, F.monotonically_increasing_id()), "rows", compression="zstd")
+    order = rows.select(id_col, row).orderBy(F.col(id_col).asc_nulls_last(), row).select(row, F.monotonically_increasing_id().alias(key))
+    keyed = scratch.save(rows.join(scratch.save(order, "order"), row).drop(row), "keyed", compression="zstd")
+    gone = rejected(keyed.withColumn(id_col, F.col(key)).drop(key)).select(F.col(id_col).alias(key))
+    return keyed.join(checked(gone), key, "left_anti").select(docs.columns)
+
+
 class Memo:
     """Memo of two generations of about ``limit`` bytes each; the older one is dropped when the younger is full."""
 
