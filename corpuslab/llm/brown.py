@@ -24,15 +24,15 @@ LENGTHS = 12
 ROUNDS = 8
 #: Most frequent words whose counts every task holds; the counts of all others come by a join.
 HELD = 131_072
-#: Pairs or contexts that a task takes together before it hands them on.
-FLUSH_PAIRS = 1 << 20
+#: Pairs or contexts that a task takes together before it hands them on, and tokens that it reads together.
+FLUSH_PAIRS, READ_TOKENS = 1 << 20, 1 << 17
 #: Distinct words that a task counts before it hands them on.
 FLUSH_WORDS = 300_000
 END = ""
 ALPHA = 0.1
-#: Most frequent words beside the held ones that may move; a task holds their hashes and classes (18 MB).
+#: Most frequent words beside the held ones whose hashes and classes a task holds (18 MB); those of all others come by joins.
 KNOWN = 1 << 21
-#: Occurrences of a word that one row takes up, and rows for the words that are not known.
+#: Occurrences of a word that one row takes up, and rows for the words that keep the class of their length.
 ROW_WORDS, UNKNOWN_PARTS = 1 << 20, 256
 #: What a move has to gain, as a share of the cost of naming one class of all.
 PRICE = 1.0
@@ -90,6 +90,10 @@ class Symbols:
         self.clustered = min(clustered, len(held))
         self.size = self.clustered + LENGTHS + 1
         self.end = self.size - 1
+        # by place, then that of the end
+        self.held_symbols = np.append(np.arange(len(held)), self.end)
+        if len(held) > self.clustered:
+            self.held_symbols[self.clustered : -1] = self.clustered + length_class(np.array([len(w.encode()) for w in held[self.clustered :]], np.int64))
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
         """(place in the held words or -1, symbol, text index, words) of all words, each text followed by its end (place -2)."""
@@ -125,22 +129,56 @@ def rest_keys(words: list[bytes]) -> np.ndarray:
     return (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) | np.uint64(1 << 63)).view(np.int64)
 
 
+def encoded(docs: DataFrame, held) -> DataFrame:
+    """``docs`` with ``key`` (see ``Symbols.keys``) of all words and ends, and ``size``, the length class of those that are not held, in place of the text."""
+    keep = [c for c in docs.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols = Symbols(*held.value)
+        for batch in batches:
+            for part, texts in groups(batch):
+                place, symbol, text, flat = symbols.of(texts)
+                key, loose = symbols.keys(place, flat), place == -1
+                ends = [np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(texts)))]).astype(np.int32) for of in (text, text[loose])]
+                lists = [pa.ListArray.from_arrays(pa.array(e), x) for e, x in zip(ends, (pa.array(key), pa.array((symbol[loose] - symbols.clustered).astype(np.int8))))]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *lists], [*keep, "key", "size"])
+
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in keep)
+    return docs.mapInArrow(run, schema + "key array<long>, size array<byte>")
+
+
+def tokens(batch: pa.RecordBatch, symbols: "Symbols") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of a batch of ``encoded`` of about ``READ_TOKENS`` tokens: (rows, key, symbol, text index)."""
+    at = batch.schema.get_field_index("key")
+    total = np.cumsum(batch.column(at).value_lengths().to_numpy(zero_copy_only=False))
+    cuts = np.flatnonzero(np.diff(total // READ_TOKENS, append=-1)) + 1
+    for start, stop in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
+        part = batch.slice(start, stop - start)
+        key = part.column(at).flatten().to_numpy(zero_copy_only=False)
+        symbol = symbols.held_symbols[np.maximum(key, 0)]
+        symbol[key < 0] = symbols.clustered + part.column(at + 1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        yield part, key, symbol, np.repeat(np.arange(stop - start), part.column(at).value_lengths().to_numpy(zero_copy_only=False))
+
+
+def of_tokens(docs: DataFrame, held) -> DataFrame:
+    return docs.select("key", "size") if "key" in docs.columns else encoded(docs.select("text"), held)
+
+
 def bigram_counts(docs: DataFrame, held) -> DataFrame:
-    """(pair, n): counts of neighbouring symbols, at most the square of their number."""
+    """(pair, n): counts of neighbouring symbols, at most the square of their number; ``docs`` has texts or is ``encoded``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = Symbols(*held.value)
         total = np.zeros(symbols.size**2, np.int64)
         for batch in batches:
-            for _, texts in groups(batch):
-                _, symbol, _, _ = symbols.of(texts)
+            for _, _, symbol, _ in tokens(batch, symbols):
                 total += np.bincount(symbols.before(symbol, symbols.end) * symbols.size + symbol, minlength=len(total))
         pair = np.flatnonzero(total)
         for i in range(0, len(pair), 100_000):
             part = pair[i : i + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["pair", "n"])
 
-    return docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return of_tokens(docs, held).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def summed(keys: list[np.ndarray], n: np.ndarray) -> list[np.ndarray]:
@@ -162,13 +200,20 @@ class Known(Symbols):
         self.known, self.at = known, at
 
     def numbers(self, place: np.ndarray, symbol: np.ndarray, flat: list[bytes]) -> np.ndarray:
-        out = place.copy()
-        out[place == -2] = len(self.place)
-        rest = np.flatnonzero(place == -1)
-        found = self.looked_up(rest_keys([flat[i] for i in rest.tolist()]))
+        return self.numbered(self.keys(place, flat), symbol)
+
+    def numbered(self, key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        out = key.copy()
+        rest = np.flatnonzero(key < 0)
+        found = self.looked_up(key[rest])
         out[rest] = np.where(found >= 0, found, -1 - self.at[symbol[rest]])
         return out
 
+    def loose(self, numbers: np.ndarray) -> np.ndarray:
+        """Whether words are neither clustered nor the end."""
+        end = len(self.place)
+        return (numbers < 0) | (numbers > end) | ((numbers >= self.clustered) & (numbers < end))
+
     def looked_up(self, keys: np.ndarray) -> np.ndarray:
         """Numbers of words that are not held by their keys, -1 of those that are not known."""
         if not len(self.known):
@@ -177,12 +222,13 @@ class Known(Symbols):
         return np.where(self.known[i] == keys, i + len(self.place) + 1, -1)
 
 
-def neighbours(docs: DataFrame, held, known, at: np.ndarray, parts: np.ndarray) -> DataFrame:
+def neighbours(docs: DataFrame, held, known, at: np.ndarray, parts: np.ndarray, apart: bool = False) -> DataFrame:
     """(w, multi, o, n): per word that is not clustered its neighbours, twice their number and one more if they come after it.
 
-    Made once: words are counted in the tasks, shuffled by word and packed into one row a
-    word.  ``parts``: into how many rows each held word is dealt (``multi``), so that a
-    frequent word's neighbours are spread over tasks; so are those of the unknown words.
+    Made once: words are counted in the tasks, which hand on one row a word, and packed
+    into one row a word.  ``parts``: into how many rows each held word is dealt
+    (``multi``), so that a frequent word's neighbours are spread over tasks; so are those
+    of the unknown words.  ``apart``: pairs with an unknown word are left to ``rare_pairs``.
     """
     sent = docs.sparkSession.sparkContext.broadcast((at, parts))
 
@@ -190,6 +236,10 @@ def neighbours(docs: DataFrame, held, known, at: np.ndarray, parts: np.ndarray)
         at, parts = sent.value
         words = Known(*held.value, known.value, at)
         end = len(words.place)
+        # unknown words are above -1 - lowest; a word, its part and its neighbour make one number
+        lowest = int(at.max(initial=0)) + 1
+        span = 2 * (end + 1 + len(words.known) + lowest)
+        most = max(UNKNOWN_PARTS, int(parts.max(initial=1)))
         pending: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
@@ -197,51 +247,107 @@ def neighbours(docs: DataFrame, held, known, at: np.ndarray, parts: np.ndarray)
             pending.clear()
             # every group of texts ends with an end, which is also what stands before a text
             a = np.concatenate([[end], b[:-1]])
-            loose = [(x < 0) | (x > end) | ((x >= words.clustered) & (x < end)) for x in (a, b)]
+            loose = [words.loose(x) & ~(((a < 0) | (b < 0)) & apart) for x in (a, b)]
             w, o = np.concatenate([b[loose[1]], a[loose[0]]]), np.concatenate([a[loose[1]] * 2, b[loose[0]] * 2 + 1])
-            w, o, n = summed([w, o], np.ones(len(w), np.int64))
             many = np.where(w < 0, UNKNOWN_PARTS, parts[np.clip(w, 0, end)] if len(parts) else 1)
             many[w > end] = 1
-            part = (o * 0x9E3779B1 >> 7) % many
-            return pa.RecordBatch.from_arrays([pa.array(w, pa.int32()), pa.array(part, pa.int32()), pa.array(o, pa.int32()), pa.array(n, pa.int32()), pa.array(many > 1)], ["w", "part", "o", "n", "multi"])
+            part = np.zeros(len(w), np.int64)
+            dealt = np.flatnonzero(many > 1)
+            part[dealt] = (o[dealt] * 0x9E3779B1 >> 7) % many[dealt]
+            pair = np.sort(((w + lowest) * most + part) * span + o + 2 * lowest)
+            first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
+            n = np.diff(first, append=len(pair))
+            row, o = np.divmod(pair[first], span)
+            starts = np.flatnonzero(np.append(True, row[1:] != row[:-1])[: len(row)])
+            w, part = np.divmod(row[starts], most)
+            w -= lowest
+            many = np.where(w < 0, UNKNOWN_PARTS, parts[np.clip(w, 0, end)] if len(parts) else 1)
+            ends = pa.array(np.append(starts, len(o)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (o - 2 * lowest, n)]
+            return pa.RecordBatch.from_arrays([pa.array(w, pa.int32()), pa.array(part, pa.int32()), pa.array((many > 1) & (w <= end)), *lists], ["w", "part", "multi", "o", "n"])
 
         for batch in batches:
-            for _, texts in groups(batch):
-                place, symbol, _, flat = words.of(texts)
-                pending.append(words.numbers(place, symbol, flat))
+            for _, key, symbol, _ in tokens(batch, words):
+                pending.append(words.numbered(key, symbol))
                 if sum(map(len, pending)) >= FLUSH_PAIRS:
                     yield out()
         if pending:
             yield out()
 
-    rows = docs.select("text").mapInArrow(run, "w int, part int, o int, n int, multi boolean")
-    rows = rows.repartition("w", "part").sortWithinPartitions("w", "part", "o")
+    rows = of_tokens(docs, held).mapInArrow(run, "w int, part int, multi boolean, o array<int>, n array<int>")
+    rows = rows.repartition("w", "part").sortWithinPartitions("w", "part")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
         def out(last: bool) -> Iterator[pa.RecordBatch]:
-            w, part, o, n, multi = (np.concatenate(x) for x in zip(*held))
+            w, part, multi, sizes, o, n = (np.concatenate(x) for x in zip(*held))
             cut = len(w) if last else int(np.flatnonzero((w != w[-1]) | (part != part[-1]))[-1]) + 1
-            held[:] = [] if last else [[x[cut:] for x in (w, part, o, n, multi)]]
+            inside = int(sizes[:cut].sum())
+            held[:] = [] if last else [[w[cut:], part[cut:], multi[cut:], sizes[cut:], o[inside:], n[inside:]]]
             if not cut:
                 return
-            w, part, o, n, multi = (x[:cut] for x in (w, part, o, n, multi))
-            first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (part[1:] != part[:-1]) | (o[1:] != o[:-1])]))
-            n, w, part, o, multi = np.add.reduceat(n, first), w[first], part[first], o[first], multi[first]
-            row = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (part[1:] != part[:-1])]))
-            ends = pa.array(np.append(row, len(w)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(w[row], pa.int32()), pa.array(multi[row]), *(pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in (o, n))], ["w", "multi", "o", "n"])
+            row = np.flatnonzero(np.concatenate([[True], (w[1:cut] != w[: cut - 1]) | (part[1:cut] != part[: cut - 1])]))
+            of = np.repeat(np.arange(len(row)), np.add.reduceat(sizes[:cut], row))
+            of, o, n = summed([of, o[:inside]], n[:inside])
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(row)))]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (o.astype(np.int32), n)]
+            yield pa.RecordBatch.from_arrays([pa.array(w[row], pa.int32()), pa.array(multi[row]), *lists], ["w", "multi", "o", "n"])
 
         for batch in batches:
             if batch.num_rows:
-                held.append([batch.column(j).to_numpy(zero_copy_only=False).astype(np.int64 if j < 4 else bool) for j in range(5)])
-            if sum(len(x[0]) for x in held) >= FLUSH_PAIRS and (held[0][0][0], held[0][1][0]) != (held[-1][0][-1], held[-1][1][-1]):
+                own = [batch.column(j).to_numpy(zero_copy_only=False) for j in range(3)]
+                lists = [batch.column(j).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for j in (3, 4)]
+                held.append([*own, batch.column(3).value_lengths().to_numpy(zero_copy_only=False), *lists])
+            if sum(len(x[4]) for x in held) >= FLUSH_PAIRS and (held[0][0][0], held[0][1][0]) != (held[-1][0][-1], held[-1][1][-1]):
                 yield from out(False)
         if held:
             yield from out(True)
 
-    return rows.mapInArrow(pack, "w int, multi boolean, o array<long>, n array<long>")
+    return rows.mapInArrow(pack, "w int, multi boolean, o array<int>, n array<long>")
+
+
+def rare_pairs(docs: DataFrame, held, known, at: np.ndarray) -> DataFrame:
+    """(w, o, after, n): the pairs that ``neighbours`` leaves out; words beyond the known ones by their hash, the others by number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Known(*held.value, known.value, at)
+        end = len(words.place)
+        for batch in batches:
+            for _, key, _, _ in tokens(batch, words):
+                b = key.copy()
+                rest = np.flatnonzero(key < 0)
+                found = words.looked_up(key[rest])
+                b[rest] = np.where(found >= 0, found, key[rest])
+                a = np.concatenate([[end], b[:-1]])
+                loose = [words.loose(x) & ((a < 0) | (b < 0)) for x in (a, b)]
+                w, o = np.concatenate([b[loose[1]], a[loose[0]]]), np.concatenate([a[loose[1]], b[loose[0]]])
+                after = np.repeat([0, 1], [loose[1].sum(), loose[0].sum()])
+                w, o, after, n = summed([w, o, after], np.ones(len(w), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(o), pa.array(after == 1), pa.array(n)], ["w", "o", "after", "n"])
+
+    rows = of_tokens(docs, held).mapInArrow(run, "w long, o long, after boolean, n long")
+    return rows.groupBy("w", "o", "after").agg(F.sum("n").alias("n"))
+
+
+def with_classes(pairs: DataFrame, rare: DataFrame) -> DataFrame:
+    """``rare_pairs`` with the classes ``cw`` and ``co`` of the words that are beyond the known ones; ``rare`` is (w, class).
+
+    No key is frequent: only words beyond the known ones take part in the joins.
+    """
+    for name in ("w", "o"):
+        own = rare.select(F.col("w").alias(name), F.col("class").alias("c" + name))
+        met = pairs.where(F.col(name) < 0).join(own, name)
+        pairs = met.unionByName(pairs.where(F.col(name) >= 0).withColumn("c" + name, F.lit(None).cast("long")))
+    return pairs.select("w", "o", "after", "n", "cw", "co")
+
+
+def rare_codes(batch: pa.RecordBatch, classes: np.ndarray, n_classes: int) -> tuple[np.ndarray, ...]:
+    """(w, o, code, n, own class) of a batch of ``with_classes``, the code as ``opened`` has it."""
+    w, o, after, n = (batch.column(j).to_numpy(zero_copy_only=False) for j in range(4))
+    cw, co = (batch.column(j).fill_null(0).to_numpy(zero_copy_only=False) for j in (4, 5))
+    own, other = (np.where(x < 0, c, classes[np.maximum(x, 0)]).astype(np.int64) for x, c in ((w, cw), (o, co)))
+    return w, o, other + after * n_classes, n, own
 
 
 def classes_of(numbers: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -295,6 +401,26 @@ def class_matrix(near: DataFrame, classes, clustered: int, end: int, fixed: np.n
     return m.reshape(n_classes, n_classes)
 
 
+def rare_matrix(pairs: DataFrame, classes, clustered: int, end: int, n_classes: int) -> np.ndarray:
+    """What ``with_classes`` adds to ``class_matrix``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_classes**2, np.int64)
+        for batch in batches:
+            _, o, code, n, own = rare_codes(batch, classes.value, n_classes)
+            before = code < n_classes
+            use = before | ((o >= 0) & (o < clustered)) | (o == end)
+            pair = np.where(before, code * n_classes + own, own * n_classes + code - n_classes)
+            total += np.bincount(pair[use], n[use], n_classes**2).astype(np.int64)
+        pair = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], ["pair", "n"])
+
+    m = np.zeros(n_classes**2)
+    for r in pairs.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        m[r["pair"]] += r["n"]
+    return m.reshape(n_classes, n_classes)
+
+
 def xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
 
@@ -312,18 +438,22 @@ def decided(w: np.ndarray, own: np.ndarray, row: np.ndarray, code: np.ndarray, n
     """
     n_classes = len(m)
     sides = (m.T, m)  # by class of the neighbour, then class of the word: after it, before it
+    logs = [xlogx(side) for side in sides]
     sums = (m.sum(1), m.sum(0))
     gain = np.zeros((len(w), n_classes))
     for side in (0, 1):
         at = np.flatnonzero((code < n_classes) == bool(side))
         for i in range(0, len(at), 1 << 14):
             e = at[i : i + (1 << 14)]
-            k = n[e][:, None].astype(float)
+            k, c, of = n[e].astype(float), code[e] % n_classes, row[e]
             # without the word itself in its class
-            rest = sides[side][code[e] % n_classes].copy()
-            rest[np.arange(len(e)), own[row[e]]] -= n[e]
-            rest = np.maximum(rest, 0)
-            np.add.at(gain, row[e], xlogx(rest + k) - xlogx(rest))
+            rest, was, here = sides[side][c], logs[side][c], (np.arange(len(e)), own[of])
+            rest[here] = np.maximum(rest[here] - k, 0)
+            was[here] = xlogx(rest[here])
+            rest += k[:, None]
+            more = rest * np.log(rest) - was
+            first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            np.add.at(gain, of[first], np.add.reduceat(more, first, axis=0))
         size = np.bincount(row[at], n[at], len(w))
         rest = np.repeat(sums[side][None, :], len(w), 0)
         rest[np.arange(len(w)), own] -= size
@@ -336,47 +466,62 @@ def decided(w: np.ndarray, own: np.ndarray, row: np.ndarray, code: np.ndarray, n
     return np.where(gain[np.arange(len(w)), best] > mine + PRICE * np.log(n_classes) + 1e-6 * (1 + np.abs(mine)), best, own)
 
 
-def moved(near: DataFrame, m: np.ndarray, classes, half, turn: int, several: bool) -> DataFrame:
+def moved(near: DataFrame, m: np.ndarray, classes, half, turn: int, several: bool, pairs: DataFrame | None = None, touched=None) -> DataFrame:
     """(w, class) of the words that leave their class; every second word may.
 
     Words move at the same time, so the caller looks at the likelihood after it.
-    ``several``: whether some word has more than one row; those are summed first.
+    ``several``: whether some word has more than one row; those are summed first.  So are
+    the words beyond the known ones, whose pairs are ``pairs`` (see ``with_classes``), and
+    their neighbours, which ``touched`` marks by number.
     """
     n_classes = len(m)
 
-    def going(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    def going(batch: pa.RecordBatch, summed_first: bool) -> tuple[np.ndarray, ...]:
+        if touched is not None:
+            w, multi = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 1))
+            batch = batch.filter(pa.array((multi | ((w >= 0) & touched.value[np.maximum(w, 0)])) == summed_first))
         w, row, _, code, n = opened(batch, classes.value, n_classes)
         go = (w >= 0) & (half.value[np.maximum(w, 0)] == turn % 2)
         keep = go[row]
         return w, *summed([row[keep], code[keep]], n[keep])
 
-    def changed(w: np.ndarray, row: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        own = classes_of(w, classes.value)
+    def changed(w: np.ndarray, own: np.ndarray, row: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         best = decided(w, own, row, code, n, m)
         go = np.flatnonzero(best != own)
         return pa.RecordBatch.from_arrays([pa.array(w[go]), pa.array(best[go])], ["w", "class"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield changed(*going(batch))
+            w, row, code, n = going(batch, False)
+            yield changed(w, classes_of(w, classes.value), row, code, n)
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            w, row, code, n = going(batch)
-            yield pa.RecordBatch.from_arrays([pa.array(w[row]), pa.array(code), pa.array(n)], ["w", "code", "n"])
+            w, row, code, n = going(batch, True)
+            yield pa.RecordBatch.from_arrays([pa.array(w[row]), pa.array(code), pa.array(n), pa.array(classes_of(w, classes.value)[row])], ["w", "code", "n", "own"])
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            w = batch.column(0).to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(len(w)), batch.column(1).value_lengths().to_numpy(zero_copy_only=False))
-            code, n = (batch.column(1).flatten().field(j).to_numpy(zero_copy_only=False) for j in (0, 1))
-            yield changed(w, row, code, n)
+            w, _, code, n, own = rare_codes(batch, classes.value, n_classes)
+            go = np.where(w < 0, w & 1, half.value[np.maximum(w, 0)]) == turn % 2
+            yield pa.RecordBatch.from_arrays([pa.array(x[go]) for x in (w, code, n, own)], ["w", "code", "n", "own"])
 
-    out = near.where("NOT multi").mapInArrow(run, "w long, class long")
-    if several:
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w, own = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 1))
+            row = np.repeat(np.arange(len(w)), batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
+            code, n = (batch.column(2).flatten().field(j).to_numpy(zero_copy_only=False) for j in (0, 1))
+            yield changed(w, own, row, code, n)
+
+    counted = "w long, code long, n long, own long"
+    out = (near.where("NOT multi") if touched is None else near).mapInArrow(run, "w long, class long")
+    if several or pairs is not None:
         # at most two counts a class for a word
-        sums = near.where("multi AND w >= 0").mapInArrow(some, "w long, code long, n long").groupBy("w", "code").agg(F.sum("n").alias("n"))
-        lists = sums.groupBy("w").agg(F.sort_array(F.collect_list(F.struct("code", "n"))).alias("c"))
+        first = (near.where("multi AND w >= 0") if touched is None else near).mapInArrow(some, counted)
+        if pairs is not None:
+            first = first.unionByName(pairs.mapInArrow(rare, counted))
+        sums = first.groupBy("w", "own", "code").agg(F.sum("n").alias("n"))
+        lists = sums.groupBy("w", "own").agg(F.sort_array(F.collect_list(F.struct("code", "n"))).alias("c"))
         out = out.unionByName(lists.mapInArrow(listed, "w long, class long"))
     return out
 
@@ -426,7 +571,7 @@ def exchange(counts: np.ndarray, clustered: int, classes: int = CLASSES, rounds:
 
 
 def score_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, clustered: int = CLUSTERED, classes: int = CLASSES, held_words: int = HELD, moves: int = MOVES, known_words: int = KNOWN
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, clustered: int = CLUSTERED, classes: int = CLASSES, held_words: int = HELD, moves: int = MOVES, known_words: int | None = None, table_words: int = KNOWN
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity), one row per input row.
 
@@ -435,11 +580,14 @@ def score_documents(
     log10 P(class | class before) + log10 P(word | class).  Word counts are of all
     training texts.  All training words have a class: the ``clustered`` most frequent by
     exchange, the others by ``moves`` rounds over the classes around them in all training
-    texts; the assignment of the highest likelihood counts.  Beside the held words the
-    ``known_words`` most frequent ones move (about equal counts all or none); rarer words
-    and words that were never seen have the class of their length.  A word moves where that
-    gains more than naming its class costs.  Tasks hold the ``held_words`` most frequent words; what
-    a document needs of the others is one row per document and pair with such a word, joined
+    texts; the assignment of the highest likelihood counts.  All training words move, unless
+    ``known_words`` is given: then, beside the held words, that many of the most frequent
+    ones (about equal counts all or none), and the others keep the class of their length.
+    Words that were never seen have the class of their length.  A word moves where that
+    gains more than naming its class costs.  Tasks hold the ``held_words`` most frequent
+    words, and hashes and classes of the next ``table_words``; the pairs of those beyond
+    meet their classes by joins in every round, with the same result.  What a document needs
+    of words that are not held is one row per document and pair with such a word, joined
     with their counts and classes by a 63-bit hash.
 
     Null counts as empty: one token, the end.  Repeated rows each count and give a row,
@@ -459,9 +607,12 @@ def score_documents(
 
     words_held = spark.sparkContext.broadcast((held, clustered))
     symbols = Symbols(held, clustered)
+    numbered = d.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
+    coded = scratch.save(encoded(numbered, words_held), "tokens", compression="zstd")
+    learned = coded.where(~F.col("held_out"))
     pairs = np.zeros(symbols.size**2)
     # bounded by the square of the number of symbols
-    for r in bigram_counts(train, words_held).toLocalIterator():
+    for r in bigram_counts(learned, words_held).toLocalIterator():
         pairs[r["pair"]] = r["n"]
     pairs = pairs.reshape(symbols.size, symbols.size)
     at = exchange(pairs, symbols.clustered, classes)
@@ -470,12 +621,13 @@ def score_documents(
     # every other word starts in the class of its length and moves by the classes around it
     words = scratch.save(rest_and_held(counts, words_held, at), "words")
     others = words.where("w < 0")
-    # the least eighth of a power of two from which words are known, so the driver gets no more than ``known_words``
+    # the least eighth of a power of two from which words are known, so the driver gets no more than ``most`` of them
+    most = table_words if known_words is None else known_words
     size_of = F.floor(F.log2("n") * 8)
     lowest, taken = 0, 0
     for r in sorted(others.groupBy(size_of.alias("b")).count().collect(), reverse=True):
         taken += r["count"]
-        if taken > known_words:
+        if taken > most:
             lowest = r["b"] + 1
             break
     firsts = others.where(size_of >= lowest).select("w", "class").toArrow()
@@ -483,14 +635,23 @@ def score_documents(
     keys = firsts["w"].to_numpy()[order]
     known = spark.sparkContext.broadcast(keys)
     parts = np.append(1 + held_n // ROW_WORDS, 1)
-    near = scratch.save(neighbours(train, words_held, known, at, parts), "neighbours", compression="zstd")
+    rare = rare_of = touched = None
+    if known_words is None and others.where(size_of < lowest).limit(1).count():
+        near = scratch.save(neighbours(learned, words_held, known, at, parts, apart=True), "neighbours", compression="zstd")
+        rare_of = scratch.save(rare_pairs(learned, words_held, known, at), "rare-pairs", compression="zstd")
+        rare = others.where(size_of < lowest).select("w", "class")
+        # numbers of known words, no more than tasks hold
+        beside = np.zeros(len(held) + 1 + len(keys), bool)
+        beside[rare_of.where("w >= 0").select("w").distinct().toArrow()["w"].to_numpy()] = True
+        touched = spark.sparkContext.broadcast(beside)
+    else:
+        near = scratch.save(neighbours(learned, words_held, known, at, parts), "neighbours", compression="zstd")
     several = bool((parts > 1).any())
     end = len(held)
     # classes by number; the held words' and the others' start is that of their length
     start = np.zeros(end + 1 + len(keys), np.uint8)
     start[: symbols.clustered], start[end] = at[: symbols.clustered], at[symbols.end]
-    if end > symbols.clustered:
-        start[symbols.clustered : end] = at[symbols.clustered + length_class(np.array([len(w.encode()) for w in held[symbols.clustered :]], np.int64))]
+    start[symbols.clustered : end] = at[symbols.held_symbols[symbols.clustered : end]]
     start[end + 1 :] = firsts["class"].to_numpy()[order]
     fixed = np.zeros((n_classes, n_classes), np.int64)
     own = np.append(np.arange(symbols.clustered), symbols.end)
@@ -499,17 +660,28 @@ def score_documents(
     half = spark.sparkContext.broadcast(np.concatenate([rest_keys([w.encode() for w in [*held, END]]), keys]) & 1)
     best = best_likelihood = None
     now = start
+    met = None
     for turn in range(moves + 1):
         sent = spark.sparkContext.broadcast(now)
         matrix = class_matrix(near, sent, symbols.clustered, end, fixed)
+        if rare is not None:
+            if met is not None:
+                scratch.drop(met)
+            met = scratch.save(with_classes(rare_of, rare), "rare-classes", compression="zstd")
+            matrix = matrix + rare_matrix(met, sent, symbols.clustered, end, n_classes)
         if best is not None and likelihood(matrix) <= best_likelihood:
             break
-        best, best_likelihood = (now, matrix), likelihood(matrix)
+        best, best_likelihood = (now, matrix, rare), likelihood(matrix)
         if turn < moves:
-            gone = moved(near, matrix, sent, half, turn, several).toArrow()
+            gone = moved(near, matrix, sent, half, turn, several, met, touched)
+            if rare is not None:
+                gone = scratch.save(gone, "moved")
+                left = gone.where("w < 0").select("w", F.col("class").alias("_to"))
+                rare = scratch.save(rare.join(left, "w", "left").select("w", F.coalesce("_to", "class").alias("class")), "rare")
+            gone = gone.where("w >= 0").toArrow()
             now = now.copy()
             now[gone["w"].to_numpy()] = gone["class"].to_numpy()
-    classes_now, matrix = best
+    classes_now, matrix, rare = best
     held_class = classes_now[: end + 1].astype(np.int64)
     scratch.drop(near)
     transition = np.log10((matrix + ALPHA) / (matrix.sum(1, keepdims=True) + ALPHA * n_classes))
@@ -518,7 +690,7 @@ def score_documents(
     size = matrix.sum(0)
     kinds = np.bincount(at[: symbols.clustered], minlength=n_classes).astype(float)
     kinds += np.bincount(np.concatenate([classes_now[symbols.clustered : end], classes_now[end + 1 :]]), minlength=n_classes)
-    for r in others.where(size_of < lowest).groupBy("class").count().collect():
+    for r in (others.where(size_of < lowest) if rare is None else rare).groupBy("class").count().collect():
         kinds[r["class"]] += r["count"]
     below = np.log10(size + kinds + 1)
     below[at[symbols.end]] = 0.0
@@ -528,19 +700,19 @@ def score_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sy = Symbols(*words_held.value)
         held_log, held_class, at, transition, below, end_log, end_known = model.value
-        logs = np.concatenate([held_log, [end_log, 0.0]])  # by place: -2 is the end, -1 a word that is not held
+        end = len(held_log)
+        logs = np.append(held_log, end_log)
         for batch in batches:
-            for part, texts in groups(batch):
-                place, symbol, text, flat = sy.of(texts)
-                n = len(texts)
-                key = sy.keys(place, flat)
+            for part, key, symbol, text in tokens(batch, sy):
+                n = part.num_rows
                 # words that are not held have the class of their length until the join
                 cls = np.where(key >= 0, held_class[np.maximum(key, 0)], at[symbol])
-                first, cls_first = sy.before(key, len(sy.place)), sy.before(cls, int(at[sy.end]))
+                first, cls_first = sy.before(key, end), sy.before(cls, int(at[sy.end]))
                 open_pair = (first < 0) | (key < 0)
                 steps = np.where(open_pair, 0.0, transition[cls_first, cls] - below[cls])
-                steps[place >= 0] += held_log[place[place >= 0]]
-                known = (place >= 0) | ((place == -2) & end_known)
+                word = (key >= 0) & (key < end)
+                steps[word] += held_log[key[word]]
+                known = word | ((key == end) & end_known)
                 i = np.flatnonzero(open_pair)
                 in_text, a, ca, b, cb, times = summed([text[i], first[i], cls_first[i], key[i], cls[i]], np.ones(len(i), np.int64))
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(in_text, minlength=n))]).astype(np.int32)
@@ -550,7 +722,7 @@ def score_documents(
                         *(part.column(j) for j in range(3)),
                         pa.array(np.bincount(text, minlength=n)),
                         pa.array(np.bincount(text, known, n).astype(np.int64)),
-                        pa.array(np.bincount(text, logs[place], n)),
+                        pa.array(np.bincount(text, np.where(key >= 0, logs[np.maximum(key, 0)], 0.0), n)),
                         pa.array(np.bincount(text, steps, n)),
                         pa.ListArray.from_arrays(pa.array(offsets), entries),
                     ],
@@ -559,8 +731,8 @@ def score_documents(
 
     kind = d.schema["doc_id"].dataType.simpleString()
     schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, steps double, rest array<struct<a:long,ca:long,b:long,cb:long,times:long>>"
-    numbered = d.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
-    scored = scratch.save(numbered.mapInArrow(run, schema), "scored")
+    scored = scratch.save(coded.mapInArrow(run, schema), "scored")
+    scratch.drop(coded)
     all_classes = spark.sparkContext.broadcast(classes_now)
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -571,6 +743,9 @@ def score_documents(
             cls = np.where(number >= 0, all_classes.value[np.maximum(number, 0)], first).astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cls), pa.array(np.log10(batch.column(1).to_numpy(zero_copy_only=False) + 1.0))], ["w", "class", "log"])
 
+    if rare is not None:
+        left = rare.select("w", F.col("class").alias("_to"))
+        others = others.join(left, "w", "left").withColumn("class", F.coalesce("_to", "class"))
     unheld = scratch.save(others.select("w", "n", "class").mapInArrow(final, "w long, class long, log double"), "unheld")
     rest = scored.select("row", F.explode("rest").alias("p")).select("row", "p.*")
 

@@ -595,3 +595,18 @@ def test_class_matrix_counts_every_pair(spark):
     send = spark.sparkContext.broadcast
     near = brown.neighbours(df, send((held, 5)), send(keys), at, np.append(np.arange(12) % 3 + 1, 1))
     assert (brown.class_matrix(near, send(classes), 5, 12, fixed) == want).all()
+
+
+def test_words_beyond_the_tables_of_tasks_move_as_well(spark, monkeypatch):
+    """How many words tasks hold decides no class: those beyond move by joins."""
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+
+    def scores(**more):
+        return {r["doc_id"]: round(r["score"], 6) for r in brown.score_documents(d, clustered=30, classes=8, **more).collect()}
+
+    whole = scores()
+    monkeypatch.setattr(brown, "ROW_WORDS", 20)
+    monkeypatch.setattr(brown, "READ_TOKENS", 500)
+    for held, tabled in ((900, 400), (60, 0)):
+        assert scores(held_words=held, table_words=tabled) == whole
+    assert scores(held_words=900, known_words=400) != whole
