@@ -9,17 +9,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import counted, run_starts
-from ..functions.text import strip_ws, words
+from ..functions.text import letter_words, strip_ws, words
 from ..session import materialize
 
 CHUNK_WORDS = 1000
 MIN_CONFIDENCE = 0.7
 ENGLISH_SHARE = 0.8
+#: Grams of the model that a task holds; the others meet the texts by a join.
+HELD_GRAMS = 1_000_000
+#: Characters that a task counts together, and distinct grams that it holds before it hands them on.
+READ_CHARS, FLUSH_GRAMS = 1 << 20, 1 << 20
 
 
 def chunks(docs: DataFrame, keys: list[str], text: str, target: int = CHUNK_WORDS) -> DataFrame:
@@ -38,17 +43,92 @@ def chunks(docs: DataFrame, keys: list[str], text: str, target: int = CHUNK_WORD
     )
 
 
-def gram_counts(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, gram, n): trigram counts built inside each row."""
-    kept = F.filter(words(F.col(text)), lambda w: w.rlike(r"\p{L}"))
-    alpha = F.nullif(F.array_join(kept, " "), F.lit(""))
-    chars = df.select(*keys, F.split(F.concat(F.lit(" "), F.lower(alpha), F.lit(" ")), "").alias("__c"))
-    c = F.col("__c")
-    grams = F.transform(F.sequence(F.lit(0), F.size(c) - 3), lambda i: F.concat(c[i], c[i + 1], c[i + 2]))
-    ordered = chars.select(*keys, F.when(F.size(c) >= 3, F.sort_array(grams)).alias("__g"))
-    marked = ordered.select(*keys, "__g", run_starts(F.col("__g")).alias("__s"))
-    pairs = counted(F.col("__g"), F.col("__s"), "gram", "n")
-    return marked.select(*keys, F.explode(pairs).alias("__e")).select(*keys, "__e.gram", "__e.n")
+def _spaced(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys, spaced): the words that hold a letter, lower-cased, with a blank at either end; null if there is none."""
+    alpha = F.nullif(letter_words(F.col(text)), F.lit(""))
+    return df.select(*keys, F.concat(F.lit(" "), F.lower(alpha), F.lit(" ")).alias("__spaced"))
+
+
+def _coded(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of a batch of ``_spaced``: (rows, trigrams as numbers of three code points, row of each)."""
+    texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+    total = np.cumsum([len(t) for t in texts])
+    cuts = np.flatnonzero(np.diff(total // READ_CHARS, append=-1)) + 1
+    for start, stop in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
+        chars = np.frombuffer("".join(texts[start:stop]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        row = np.repeat(np.arange(stop - start), [len(t) for t in texts[start:stop]])
+        inside = row[2:] == row[:-2]
+        code = (chars[:-2] << 42) | (chars[1:-1] << 21) | chars[2:]
+        yield batch.slice(start, stop - start), code[inside], row[2:][inside]
+
+
+def _grams(codes: np.ndarray) -> pa.Array:
+    chars = np.stack([codes >> 42, (codes >> 21) & 0x1FFFFF, codes & 0x1FFFFF], 1).astype(np.uint32)
+    flat = chars.tobytes().decode("utf-32-le", "surrogatepass")
+    return pa.array([flat[i : i + 3] for i in range(0, len(flat), 3)], pa.string())
+
+
+def _summed(keys: list[np.ndarray], n: np.ndarray) -> list[np.ndarray]:
+    """The distinct rows of ``keys`` in order and the sums of ``n``."""
+    order = np.lexsort(keys[::-1])
+    keys, n = [k[order] for k in keys], n[order]
+    new = np.ones(len(n), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    first = np.flatnonzero(new)
+    return [*(k[first] for k in keys), np.add.reduceat(n, first) if len(n) else n]
+
+
+def _fields(df: DataFrame, keys: list[str]) -> str:
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*keys).schema)
+
+
+def gram_counts(df: DataFrame, keys: list[str], text: str, but: np.ndarray | None = None) -> DataFrame:
+    """(keys, gram, n): trigram counts built inside each row, without the grams whose sorted codes are ``but``."""
+    known = df.sparkSession.sparkContext.broadcast(np.zeros(0, np.int64) if but is None else but)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, code, row in _coded(batch):
+                row, code, n = _summed([row, code], np.ones(len(code), np.int64))
+                if len(known.value):
+                    other = np.flatnonzero(known.value[np.minimum(np.searchsorted(known.value, code), len(known.value) - 1)] != code)
+                    row, code, n = row[other], code[other], n[other]
+                own = rows.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*own.columns[:-1], _grams(code), pa.array(n)], [*keys, "gram", "n"])
+
+    return _spaced(df, keys, text).mapInArrow(run, _fields(df, keys) + "gram string, n long")
+
+
+def label_grams(docs: DataFrame, label: str, text: str) -> DataFrame:
+    """(label, gram, n): trigram counts of all texts of a label, counted in the tasks first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # counts by label; there is a handful of them
+        held: dict = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for name, (code, n) in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(code), kind), _grams(code), pa.array(n)], [label, "gram", "n"])
+            held.clear()
+
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for rows, code, row in _coded(batch):
+                names = rows.column(0).dictionary_encode(null_encoding="encode")
+                which = names.indices.to_numpy(zero_copy_only=False)[row]
+                for i, name in enumerate(names.dictionary.to_pylist()):
+                    found, n = np.unique(code[which == i], return_counts=True)
+                    if not len(found):
+                        continue
+                    if name in held:
+                        found, n = _summed([np.concatenate([held[name][0], found])], np.concatenate([held[name][1], n]))
+                    held[name] = found, n
+                if sum(len(c) for c, _ in held.values()) > FLUSH_GRAMS:
+                    yield from out()
+        yield from out()
+
+    counts = _spaced(docs, [label], text).mapInArrow(run, _fields(docs, [label]) + "gram string, n long")
+    return counts.groupBy(label, "gram").agg(F.sum("n").alias("n"))
 
 
 def train(docs: DataFrame, label: str, text: str) -> DataFrame:
@@ -57,9 +137,8 @@ def train(docs: DataFrame, label: str, text: str) -> DataFrame:
 
     Every gram is kept.  Smoothing is add-one.
     """
-    per_label = gram_counts(docs.select(label, text), [label], text).groupBy(label, "gram").agg(F.sum("n").alias("n"))
     # Read four times below; far smaller than the texts.
-    per_label = materialize(per_label, "gram-counts")
+    per_label = materialize(label_grams(docs, label, text), "gram-counts")
     vocabulary = per_label.agg(F.count_distinct("gram")).scalar()
     n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     priors = docs.groupBy(label).agg(F.log(F.count(F.lit(1)) / n_docs).alias("prior"))
@@ -82,22 +161,62 @@ def train(docs: DataFrame, label: str, text: str) -> DataFrame:
     return counts.withColumns({"__labels": labels, "__v": vocabulary}).select("gram", per.alias("per_label"))
 
 
+def _log_sums(chunked: DataFrame, keys: list[str], text: str, model: DataFrame, n_labels: int) -> DataFrame:
+    """(keys, hits, s0, s1, ...): per chunk the grams that the model has and the sums of their logs by label."""
+    logs = [F.get("per_label", F.lit(i))["log_p"] for i in range(n_labels)]
+    flat = materialize(model.select("gram", *[x.alias(f"__l{i}") for i, x in enumerate(logs)]), "gram-logs")
+    whole = flat.count() <= HELD_GRAMS
+    # the likeliest grams first: most texts need few others
+    held = flat if whole else flat.orderBy(F.desc(F.greatest("__l0", *flat.columns[1:])), "gram").limit(HELD_GRAMS)
+    found = held.toArrow()
+    three = np.frombuffer("".join(found["gram"].to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64).reshape(-1, 3)
+    codes = (three[:, 0] << 42) | (three[:, 1] << 21) | three[:, 2]
+    order = np.argsort(codes)
+    codes = codes[order]
+    sent = chunked.sparkSession.sparkContext.broadcast((codes, [found[f"__l{i}"].to_numpy()[order] for i in range(n_labels)]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, logs = sent.value
+        for batch in batches:
+            for rows, code, row in _coded(batch):
+                n = rows.num_rows
+                own, back = np.unique(code, return_inverse=True)
+                place = np.minimum(np.searchsorted(codes, own), max(len(codes) - 1, 0))
+                hit = codes[place] == own if len(codes) else np.zeros(len(own), bool)
+                cols = [pa.array(np.bincount(row, hit[back], n).astype(np.int64))]
+                cols += [pa.array(np.bincount(row, np.where(hit, x[place], 0.0)[back] if len(codes) else np.zeros(len(row)), n).astype(float)) for x in logs]
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *cols], [*keys, "hits", *(f"s{i}" for i in range(n_labels))])
+
+    names = [f"s{i}" for i in range(n_labels)]
+    schema = _fields(chunked, keys) + "hits long" + "".join(f", {x} double" for x in names)
+    sums = materialize(_spaced(chunked, keys, text).mapInArrow(run, schema), "gram-sums")
+    if whole:
+        return sums
+    rest = gram_counts(chunked, keys, text, codes).join(flat.join(held.select("gram"), "gram", "left_anti"), "gram")
+    more = rest.groupBy(*keys).agg(F.sum("n").alias("hits"), *[F.sum(F.col("n") * F.col(f"__l{i}")).alias(x) for i, x in enumerate(names)])
+    return sums.withColumn("__chunk", F.lit(True)).unionByName(more.withColumn("__chunk", F.lit(False)))
+
+
 def predict(chunked: DataFrame, keys: list[str], text: str, model: DataFrame) -> DataFrame:
     """Best label and its posterior per chunk; ``??`` where no word holds a
-    letter."""
-    grams = gram_counts(chunked, keys, text)
+    letter.
+
+    Tasks hold the ``HELD_GRAMS`` likeliest grams of the model and sum over a chunk's grams
+    where the text is; grams beyond them meet the model by a join.
+    """
     # labels and priors are the same in every row of the model; there is a handful of them
     first = model.select("per_label").first()
     labels = [(x["label"], x["prior"]) for x in first["per_label"]] if first else [("??", 0.0)]
-    sums = [F.sum(F.col("n") * F.get("per_label", F.lit(i))["log_p"]).alias(f"__s{i}") for i in range(len(labels))]
-    summed = grams.join(model, "gram").groupBy(*keys).agg(*sums)
+    found = _log_sums(chunked, keys, text, model, len(labels))
+    each = found.where("__chunk") if "__chunk" in found.columns else found
+    summed = found.where("hits > 0").groupBy(*keys).agg(*[F.sum(f"s{i}").alias(f"__s{i}") for i in range(len(labels))])
     scores = F.array(*[F.struct((F.col(f"__s{i}") + prior).alias("s"), F.lit(label).alias("label")) for i, (label, prior) in enumerate(labels)])
     best = summed.select(*keys, scores.alias("__all")).withColumn("__top", F.array_max(F.transform("__all", lambda x: x["s"])))
     total = F.aggregate("__all", F.lit(0.0), lambda acc, x: acc + F.exp(x["s"] - F.col("__top")))
     winner = F.array_min(F.transform(F.filter("__all", lambda x: x["s"] == F.col("__top")), lambda x: x["label"]))
     out = best.select(*keys, winner.alias("predicted"), (F.lit(1.0) / total).alias("confidence"))
     return (
-        chunked.select(*keys).join(out, keys, "left")
+        each.select(*keys).join(out, keys, "left")
         .withColumns({
             "predicted": F.coalesce("predicted", F.lit("??")),
             "confidence": F.coalesce("confidence", F.lit(0.0)),

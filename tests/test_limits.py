@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpuslab import session
 from corpuslab.functions import text as T
+from corpuslab.catalog import audit_queries
 from corpuslab.operators import hierarchy, intervals, inventory, language, matching, pages, search
 from corpuslab.plans import reports
 from corpuslab.sources import files, writers
@@ -175,3 +176,40 @@ def test_predictions_sum_over_labels(spark):
     asked = spark.createDataFrame([(1, "then the"), (2, "dies das"), (3, "123"), (4, "zzz")], "id int, t string")
     got = {r["id"]: (r["predicted"], r["confidence"]) for r in language.predict(asked, ["id"], "t", model).collect()}
     assert got[1][0] == "en" and got[2][0] == "de" and got[1][1] > 0.9 and got[3] == ("??", 0.0) and got[4] == ("??", 0.0)
+
+
+def test_predictions_do_not_depend_on_what_tasks_hold(spark, monkeypatch):
+    texts = [(i % 90 if i % 17 else None, ["en", "de", "fr"][i % 3], " ".join(f"{'abc'[i % 3]}{chr(97 + i * j % 26)}é{j % 5}" for j in range(i % 40))) for i in range(300)]
+    docs = spark.createDataFrame(texts, "id int, lang string, t string").repartition(3)
+
+    def predicted():
+        made = language.train(docs, "lang", "t")
+        return sorted((r["id"] is None, r["id"], r["predicted"], round(r["confidence"], 9)) for r in language.predict(docs, ["id"], "t", made).collect())
+
+    whole = predicted()
+    assert len(whole) == 300 and len({r[2] for r in whole}) == 4
+    for name, value in (("READ_CHARS", 50), ("FLUSH_GRAMS", 20), ("HELD_GRAMS", 30)):
+        monkeypatch.setattr(language, name, value)
+        assert predicted() == whole
+
+
+def test_trigrams_are_counted_before_they_move(spark):
+    """A row per gram, task and label leaves the tasks, not one per gram and text."""
+    docs = spark.range(2000, numPartitions=2).selectExpr("'en' AS lang", "'der die das' AS t")
+    got = language.label_grams(docs, "lang", "t")
+    assert {r["gram"]: r["n"] for r in got.collect()}["der"] == 2000
+
+
+def test_raw_texts_take_as_many_files_as_the_table_has_parts(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(i, f"text {i}") for i in range(240)], "doc_id long, text string").repartition(24).write.parquet(f"{tmp_path}/documents.parquet")
+    seen, listed = [], audit_queries.files_source.raw_items
+    monkeypatch.setattr(audit_queries.files_source, "raw_items", lambda *a: seen.append(listed(*a)) or seen[-1])
+    for size, least in (("128m", 4), ("1k", 24)):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            assert [tuple(r) for r in audit_queries.raw_pending(spark, str(tmp_path)).collect()] == [("text", 3, True)]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert seen[-1].count() >= least
