@@ -388,11 +388,13 @@ def text_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("raw_pending", "SELECT 'text' AS content_type, CAST(3 AS BIGINT) AS n_pending, count(*) > 0 AS any FROM documents")
 def raw_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All texts as four raw files; the one with the first name is cleaned."""
+    """All texts as raw files, four at least and as many as the table has parts; all but the last three by name are cleaned."""
     root = scratch_dir(spark, "raw")
-    views.table(spark, sf_dir, "documents").select("text").repartition(4).write.text(f"{root}/text")
+    parts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").rdd.getNumPartitions()
+    views.table(spark, sf_dir, "documents").select("text").repartition(max(4, parts)).write.text(f"{root}/text")
     items = files_source.raw_items(spark, root)
-    cleaned = items.groupBy("content_type").agg(F.min("stem").alias("stem"), F.lit(5).alias("size"))
+    last = [r["stem"] for r in items.orderBy(F.desc("stem")).limit(3).select("stem").collect()]
+    cleaned = items.where(~F.col("stem").isin(last)).select("content_type", "stem", F.lit(5).alias("size"))
     todo = files_source.pending_raw(items, cleaned)
     return todo.groupBy("content_type").agg(F.count(F.lit(1)).alias("n_pending"), (F.sum("raw_bytes") > 0).alias("any"))
 
