@@ -25,6 +25,8 @@ TOKEN = r"[\p{L}\p{N}_]{2,}"
 MAX_FEATURES = 10000
 #: Vocabulary rows of all groups that are looked up together; more groups are taken one set after the other.
 ENTRIES = 2_000_000
+#: Terms of documents that a task looks up together, or four times the vocabulary if that is more.
+READ_TERMS = 1 << 17
 SCORE_DECIMALS = 6
 
 # English function words removed before phrases are formed.  A
@@ -94,6 +96,14 @@ def vocabulary(counts: DataFrame, group: list[str], cap: int = MAX_FEATURES) ->
     return top_per_group(totals, group, order, cap, spread_on="term")
 
 
+def slices(batch: pa.RecordBatch, lists: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose lists in column ``lists`` have about ``limit`` items together."""
+    total = np.cumsum(batch.column(lists).value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    cuts = np.flatnonzero(np.diff(total // limit, append=-1)) + 1
+    for start, stop in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
+        yield batch.slice(start, stop - start)
+
+
 def _looked_up(found: DataFrame, group: str | None, vocab: DataFrame) -> DataFrame:
     """``found`` with ``hits``, the (entry, tf, weight) of its terms that are in ``vocab`` (group, term, df, n_docs, entry).
 
@@ -112,7 +122,7 @@ def _looked_up(found: DataFrame, group: str | None, vocab: DataFrame) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, terms, codes, entry, idf = sent.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, at["terms"], max(READ_TERMS, 4 * len(terms)))):
             own, counts = batch.column(at["terms"]), batch.column(at["tfs"])
             sizes = own.value_lengths().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(len(sizes)), sizes)

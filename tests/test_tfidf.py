@@ -3,6 +3,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +123,19 @@ def test_weights_move_neither_texts_nor_postings(spark):
     # repeated rows are documents of their own
     twice = tfidf.weights(spark.createDataFrame([(1, "c", "ab cd"), (1, "c", "ab")], df.schema), "doc", "document").collect()
     assert sorted((r["term"], round(r["weight"], 6)) for r in twice) == [("ab", 0.449436), ("ab", 1.0), ("ab cd", 0.631667), ("cd", 0.631667)]
+
+
+def test_lookups_take_bounded_slices(spark, monkeypatch):
+    """Tasks look up a few documents' terms at a time, however many rows a batch has."""
+    docs = spark.createDataFrame([(i, "c", " ".join(f"w{i * j % 13}" for j in range(i % 9))) for i in range(60)], "i int, channel string, t string").repartition(2)
+
+    def weights():
+        return sorted((r["i"], r["term"], r["tf"], round(r["weight"], 9)) for r in tfidf.weights(docs, "i", "t", cap=5).collect())
+
+    whole = weights()
+    monkeypatch.setattr(tfidf, "READ_TERMS", 4)
+    assert weights() == whole
+    batch = pa.RecordBatch.from_pydict({"terms": [["a"] * (i % 5) for i in range(200)]})
+    parts = list(tfidf.slices(batch, 0, 12))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    assert max(len(p.column(0).flatten()) for p in parts) <= 12 + 4
