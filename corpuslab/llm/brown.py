@@ -22,7 +22,7 @@ MOVES = 3
 CLASSES = 48
 LENGTHS = 12
 ROUNDS = 8
-#: Most frequent words whose counts every task holds; the counts of all others come by a join.
+#: Most frequent words that every task holds as such.
 HELD = 131_072
 #: Pairs or contexts that a task takes together before it hands them on, and tokens that it reads together.
 FLUSH_PAIRS, READ_TOKENS = 1 << 20, 1 << 17
@@ -30,12 +30,17 @@ FLUSH_PAIRS, READ_TOKENS = 1 << 20, 1 << 17
 FLUSH_WORDS = 300_000
 END = ""
 ALPHA = 0.1
-#: Most frequent words beside the held ones whose hashes and classes a task holds (18 MB); those of all others come by joins.
+#: Most frequent words beside the held ones whose hashes, classes and counts a task holds (36 MB); those of all others come by joins.
 KNOWN = 1 << 21
+#: Words of training texts that occur once are held only if they are no more than this: a table in every task spares them one
+#: join each, which grows with the texts as they do.
+ONCE = 1 << 18
 #: Occurrences of a word that one row takes up, and rows for the words that keep the class of their length.
 ROW_WORDS, UNKNOWN_PARTS = 1 << 20, 256
 #: What a move has to gain, as a share of the cost of naming one class of all.
 PRICE = 1.0
+#: Counts up to which gains are looked up.
+FEW = 32
 
 
 def length_class(sizes: np.ndarray) -> np.ndarray:
@@ -129,8 +134,26 @@ def rest_keys(words: list[bytes]) -> np.ndarray:
     return (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) | np.uint64(1 << 63)).view(np.int64)
 
 
+def blobs(starts: np.ndarray, values: np.ndarray) -> pa.Array:
+    """A binary column of the values from each of ``starts``, which end with their number: columns of arrays would pass the JVM value by value."""
+    values = np.ascontiguousarray(values)
+    offsets = (starts * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(values, number of values per row) of a column of ``blobs``."""
+    size = np.dtype(kind).itemsize
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(0, np.int64)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    count = int(offsets[-1] - offsets[0]) // size
+    return np.frombuffer(column.buffers()[2], kind, count, offsets[0]) if count else np.zeros(0, kind), np.diff(offsets) // size
+
+
 def encoded(docs: DataFrame, held) -> DataFrame:
-    """``docs`` with ``key`` (see ``Symbols.keys``) of all words and ends, and ``size``, the length class of those that are not held, in place of the text."""
+    """``docs`` with ``key`` (see ``Symbols.keys``) of all words and ends, -1 for those that are not held, and for these
+    ``rest``, the key, and ``size``, the length class, in place of the text."""
     keep = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,30 +161,35 @@ def encoded(docs: DataFrame, held) -> DataFrame:
         for batch in batches:
             for part, texts in groups(batch):
                 place, symbol, text, flat = symbols.of(texts)
-                key, loose = symbols.keys(place, flat), place == -1
-                ends = [np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(texts)))]).astype(np.int32) for of in (text, text[loose])]
-                lists = [pa.ListArray.from_arrays(pa.array(e), x) for e, x in zip(ends, (pa.array(key), pa.array((symbol[loose] - symbols.clustered).astype(np.int8))))]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *lists], [*keep, "key", "size"])
+                place[place == -2] = len(symbols.place)
+                loose = place == -1
+                ends = [np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(texts)))]) for of in (text, text[loose])]
+                rest = rest_keys([flat[i] for i in np.flatnonzero(loose).tolist()])
+                cols = blobs(ends[0], place.astype(np.int32)), blobs(ends[1], rest), blobs(ends[1], (symbol[loose] - symbols.clustered).astype(np.int8))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *cols], [*keep, "key", "rest", "size"])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in keep)
-    return docs.mapInArrow(run, schema + "key array<long>, size array<byte>")
+    return docs.mapInArrow(run, schema + "key binary, rest binary, size binary")
 
 
 def tokens(batch: pa.RecordBatch, symbols: "Symbols") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Slices of a batch of ``encoded`` of about ``READ_TOKENS`` tokens: (rows, key, symbol, text index)."""
     at = batch.schema.get_field_index("key")
-    total = np.cumsum(batch.column(at).value_lengths().to_numpy(zero_copy_only=False))
+    total = np.cumsum(unpacked(batch.column(at), np.int32)[1])
     cuts = np.flatnonzero(np.diff(total // READ_TOKENS, append=-1)) + 1
     for start, stop in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
         part = batch.slice(start, stop - start)
-        key = part.column(at).flatten().to_numpy(zero_copy_only=False)
+        place, sizes = unpacked(part.column(at), np.int32)
+        key = place.astype(np.int64)
         symbol = symbols.held_symbols[np.maximum(key, 0)]
-        symbol[key < 0] = symbols.clustered + part.column(at + 1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        yield part, key, symbol, np.repeat(np.arange(stop - start), part.column(at).value_lengths().to_numpy(zero_copy_only=False))
+        loose = key < 0
+        key[loose] = unpacked(part.column(at + 1), np.int64)[0]
+        symbol[loose] = symbols.clustered + unpacked(part.column(at + 2), np.int8)[0].astype(np.int64)
+        yield part, key, symbol, np.repeat(np.arange(stop - start), sizes)
 
 
 def of_tokens(docs: DataFrame, held) -> DataFrame:
-    return docs.select("key", "size") if "key" in docs.columns else encoded(docs.select("text"), held)
+    return docs.select("key", "rest", "size") if "key" in docs.columns else encoded(docs.select("text"), held)
 
 
 def bigram_counts(docs: DataFrame, held) -> DataFrame:
@@ -228,7 +256,7 @@ def neighbours(docs: DataFrame, held, known, at: np.ndarray, parts: np.ndarray,
     Made once: words are counted in the tasks, which hand on one row a word, and packed
     into one row a word.  ``parts``: into how many rows each held word is dealt
     (``multi``), so that a frequent word's neighbours are spread over tasks; so are those
-    of the unknown words.  ``apart``: pairs with an unknown word are left to ``rare_pairs``.
+    of the unknown words.  ``apart``: pairs with an unknown word are left to ``rare_rows``.
     """
     sent = docs.sparkSession.sparkContext.broadcast((at, parts))
 
@@ -262,9 +290,10 @@ def neighbours(docs: DataFrame, held, known, at: np.ndarray, parts: np.ndarray,
             w, part = np.divmod(row[starts], most)
             w -= lowest
             many = np.where(w < 0, UNKNOWN_PARTS, parts[np.clip(w, 0, end)] if len(parts) else 1)
-            ends = pa.array(np.append(starts, len(o)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (o - 2 * lowest, n)]
-            return pa.RecordBatch.from_arrays([pa.array(w, pa.int32()), pa.array(part, pa.int32()), pa.array((many > 1) & (w <= end)), *lists], ["w", "part", "multi", "o", "n"])
+            # a word and its part are one number, also whether there are several
+            k = ((w + lowest) * most + part) * 2 + ((many > 1) & (w <= end))
+            pairs = blobs(np.append(starts, len(o)) * 2, np.column_stack([o - 2 * lowest, n]).astype(np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(k), pairs], ["k", "pairs"])
 
         for batch in batches:
             for _, key, symbol, _ in tokens(batch, words):
@@ -274,41 +303,46 @@ def neighbours(docs: DataFrame, held, known, at: np.ndarray, parts: np.ndarray,
         if pending:
             yield out()
 
-    rows = of_tokens(docs, held).mapInArrow(run, "w int, part int, multi boolean, o array<int>, n array<int>")
-    rows = rows.repartition("w", "part").sortWithinPartitions("w", "part")
+    rows = of_tokens(docs, held).mapInArrow(run, "k long, pairs binary").repartition("k").sortWithinPartitions("k")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts = sent.value
+        lowest, most = int(at.max(initial=0)) + 1, max(UNKNOWN_PARTS, int(parts.max(initial=1)))
         held: list[list[np.ndarray]] = []
 
         def out(last: bool) -> Iterator[pa.RecordBatch]:
-            w, part, multi, sizes, o, n = (np.concatenate(x) for x in zip(*held))
-            cut = len(w) if last else int(np.flatnonzero((w != w[-1]) | (part != part[-1]))[-1]) + 1
+            k, sizes, pairs = (np.concatenate(x) for x in zip(*held))
+            cut = len(k) if last else int(np.searchsorted(k, k[-1]))
             inside = int(sizes[:cut].sum())
-            held[:] = [] if last else [[w[cut:], part[cut:], multi[cut:], sizes[cut:], o[inside:], n[inside:]]]
+            held[:] = [] if last else [[k[cut:], sizes[cut:], pairs[inside:]]]
             if not cut:
                 return
-            row = np.flatnonzero(np.concatenate([[True], (w[1:cut] != w[: cut - 1]) | (part[1:cut] != part[: cut - 1])]))
+            row = np.flatnonzero(np.append(True, k[1:cut] != k[: cut - 1]))
             of = np.repeat(np.arange(len(row)), np.add.reduceat(sizes[:cut], row))
-            of, o, n = summed([of, o[:inside]], n[:inside])
-            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(row)))]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (o.astype(np.int32), n)]
-            yield pa.RecordBatch.from_arrays([pa.array(w[row], pa.int32()), pa.array(multi[row]), *lists], ["w", "multi", "o", "n"])
+            of, o, n = summed([of, pairs[:inside, 0]], pairs[:inside, 1].astype(np.int64))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(row)))])
+            w = (k[row] >> 1) // most - lowest
+            yield pa.RecordBatch.from_arrays([pa.array(w, pa.int32()), pa.array(k[row] & 1 == 1), blobs(ends, o.astype(np.int32)), blobs(ends, n)], ["w", "multi", "o", "n"])
 
         for batch in batches:
             if batch.num_rows:
-                own = [batch.column(j).to_numpy(zero_copy_only=False) for j in range(3)]
-                lists = [batch.column(j).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for j in (3, 4)]
-                held.append([*own, batch.column(3).value_lengths().to_numpy(zero_copy_only=False), *lists])
-            if sum(len(x[4]) for x in held) >= FLUSH_PAIRS and (held[0][0][0], held[0][1][0]) != (held[-1][0][-1], held[-1][1][-1]):
+                pairs, sizes = unpacked(batch.column(1), np.int32)
+                held.append([batch.column(0).to_numpy(zero_copy_only=False), sizes // 2, pairs.reshape(-1, 2)])
+            if sum(len(x[2]) for x in held) >= FLUSH_PAIRS and held[0][0][0] != held[-1][0][-1]:
                 yield from out(False)
         if held:
             yield from out(True)
 
-    return rows.mapInArrow(pack, "w int, multi boolean, o array<int>, n array<long>")
+    return rows.mapInArrow(pack, "w int, multi boolean, o binary, n binary")
+
 
+def rare_rows(docs: DataFrame, held, known, at: np.ndarray, rare: DataFrame) -> DataFrame:
+    """(w, class, mixed, c): one row per word beyond the known ones, by its hash, with its neighbours as (o, after, n).
 
-def rare_pairs(docs: DataFrame, held, known, at: np.ndarray) -> DataFrame:
-    """(w, o, after, n): the pairs that ``neighbours`` leaves out; words beyond the known ones by their hash, the others by number."""
+    What ``neighbours`` leaves out.  Neighbours are numbers or, beyond the known words, hashes;
+    ``mixed``: whether there is such a hash among them.  ``rare`` is (w, class).  No key is
+    frequent: the most frequent words are known.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Known(*held.value, known.value, at)
@@ -320,34 +354,36 @@ def rare_pairs(docs: DataFrame, held, known, at: np.ndarray) -> DataFrame:
                 found = words.looked_up(key[rest])
                 b[rest] = np.where(found >= 0, found, key[rest])
                 a = np.concatenate([[end], b[:-1]])
-                loose = [words.loose(x) & ((a < 0) | (b < 0)) for x in (a, b)]
-                w, o = np.concatenate([b[loose[1]], a[loose[0]]]), np.concatenate([a[loose[1]], b[loose[0]]])
-                after = np.repeat([0, 1], [loose[1].sum(), loose[0].sum()])
-                w, o, after, n = summed([w, o, after], np.ones(len(w), np.int64))
+                w, o = np.concatenate([b[b < 0], a[a < 0]]), np.concatenate([a[b < 0], b[a < 0]])
+                w, o, after, n = summed([w, o, np.repeat([0, 1], [(b < 0).sum(), (a < 0).sum()])], np.ones(len(w), np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(o), pa.array(after == 1), pa.array(n)], ["w", "o", "after", "n"])
 
-    rows = of_tokens(docs, held).mapInArrow(run, "w long, o long, after boolean, n long")
-    return rows.groupBy("w", "o", "after").agg(F.sum("n").alias("n"))
+    rows = of_tokens(docs, held).mapInArrow(run, "w long, o long, after boolean, n long").repartition("w")
+    rows = rows.groupBy("w", "o", "after").agg(F.sum("n").alias("n"))
+    rows = rows.groupBy("w").agg(F.collect_list(F.struct("o", "after", "n")).alias("c"), (F.min("o") < 0).alias("mixed"))
+    return rows.join(rare, "w").select("w", "class", "mixed", "c")
 
 
 def with_classes(pairs: DataFrame, rare: DataFrame) -> DataFrame:
-    """``rare_pairs`` with the classes ``cw`` and ``co`` of the words that are beyond the known ones; ``rare`` is (w, class).
-
-    No key is frequent: only words beyond the known ones take part in the joins.
-    """
-    for name in ("w", "o"):
-        own = rare.select(F.col("w").alias(name), F.col("class").alias("c" + name))
-        met = pairs.where(F.col(name) < 0).join(own, name)
-        pairs = met.unionByName(pairs.where(F.col(name) >= 0).withColumn("c" + name, F.lit(None).cast("long")))
-    return pairs.select("w", "o", "after", "n", "cw", "co")
+    """(w, o, after, n) of mixed ``rare_rows`` with the classes ``cw`` of their words and ``co`` of neighbours beyond the known ones; ``rare`` is (w, class)."""
+    pairs = pairs.join(rare.select("w", F.col("class").alias("cw")), "w")
+    met = pairs.where("o < 0").join(rare.select(F.col("w").alias("o"), F.col("class").alias("co")), "o")
+    return met.unionByName(pairs.where("o >= 0").withColumn("co", F.lit(None).cast("long"))).select("w", "o", "after", "n", "cw", "co")
 
 
 def rare_codes(batch: pa.RecordBatch, classes: np.ndarray, n_classes: int) -> tuple[np.ndarray, ...]:
-    """(w, o, code, n, own class) of a batch of ``with_classes``, the code as ``opened`` has it."""
-    w, o, after, n = (batch.column(j).to_numpy(zero_copy_only=False) for j in range(4))
-    cw, co = (batch.column(j).fill_null(0).to_numpy(zero_copy_only=False) for j in (4, 5))
-    own, other = (np.where(x < 0, c, classes[np.maximum(x, 0)]).astype(np.int64) for x, c in ((w, cw), (o, co)))
-    return w, o, other + after * n_classes, n, own
+    """(w, own class, row, o, after, code, n) of a batch of ``with_classes`` or of ``rare_rows`` that are not mixed, the code as ``opened`` has it."""
+    if batch.schema.names[1] == "class":
+        w, own = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 1))
+        row = np.repeat(np.arange(len(w)), batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
+        o, after, n = (batch.column(2).flatten().field(j).to_numpy(zero_copy_only=False) for j in range(3))
+        other = classes[o]
+    else:
+        w, o, after, n, own = (batch.column(j).to_numpy(zero_copy_only=False) for j in range(5))
+        row = np.arange(len(w))
+        other = np.where(o < 0, batch.column(5).fill_null(0).to_numpy(zero_copy_only=False), classes[np.maximum(o, 0)])
+    after = after.astype(np.int64)
+    return w, own, row, o, after, other.astype(np.int64) + after * n_classes, n
 
 
 def classes_of(numbers: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -357,8 +393,8 @@ def classes_of(numbers: np.ndarray, classes: np.ndarray) -> np.ndarray:
 def opened(batch: pa.RecordBatch, classes: np.ndarray, n_classes: int) -> tuple[np.ndarray, ...]:
     """(w, row, o, code, n) of a batch of ``neighbours``: code is the class of the one before, or ``n_classes`` more than that of the one after."""
     w = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    row = np.repeat(np.arange(len(w)), batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
-    o, n = (batch.column(j).flatten().to_numpy(zero_copy_only=False) for j in (2, 3))
+    o, sizes = unpacked(batch.column(2), np.int32)
+    row, n = np.repeat(np.arange(len(w)), sizes), unpacked(batch.column(3), np.int64)[0]
     return w, row, o >> 1, classes_of(o >> 1, classes) + (o & 1) * n_classes, n
 
 
@@ -401,23 +437,25 @@ def class_matrix(near: DataFrame, classes, clustered: int, end: int, fixed: np.n
     return m.reshape(n_classes, n_classes)
 
 
-def rare_matrix(pairs: DataFrame, classes, clustered: int, end: int, n_classes: int) -> np.ndarray:
-    """What ``with_classes`` adds to ``class_matrix``."""
+def rare_matrix(rows: list[DataFrame], classes, n_classes: int) -> np.ndarray:
+    """What the words beyond the known ones add to ``class_matrix``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_classes**2, np.int64)
         for batch in batches:
-            _, o, code, n, own = rare_codes(batch, classes.value, n_classes)
-            before = code < n_classes
-            use = before | ((o >= 0) & (o < clustered)) | (o == end)
-            pair = np.where(before, code * n_classes + own, own * n_classes + code - n_classes)
+            _, own, row, o, after, code, n = rare_codes(batch, classes.value, n_classes)
+            own = own[row]
+            # a pair of two such words stands with both of them and counts with the second
+            use = (after == 0) | (o >= 0)
+            pair = np.where(after == 0, code * n_classes + own, own * n_classes + code - n_classes)
             total += np.bincount(pair[use], n[use], n_classes**2).astype(np.int64)
         pair = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], ["pair", "n"])
 
     m = np.zeros(n_classes**2)
-    for r in pairs.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
-        m[r["pair"]] += r["n"]
+    for of in rows:
+        for r in of.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+            m[r["pair"]] += r["n"]
     return m.reshape(n_classes, n_classes)
 
 
@@ -441,17 +479,22 @@ def decided(w: np.ndarray, own: np.ndarray, row: np.ndarray, code: np.ndarray, n
     logs = [xlogx(side) for side in sides]
     sums = (m.sum(1), m.sum(0))
     gain = np.zeros((len(w), n_classes))
+    few = np.arange(FEW, dtype=float)[:, None, None]
     for side in (0, 1):
+        # of small counts, by count, class of the neighbour and class of the word
+        small = xlogx(sides[side] + few) - logs[side]
         at = np.flatnonzero((code < n_classes) == bool(side))
         for i in range(0, len(at), 1 << 14):
             e = at[i : i + (1 << 14)]
             k, c, of = n[e].astype(float), code[e] % n_classes, row[e]
+            more = small[np.minimum(n[e], FEW - 1), c]
+            large = np.flatnonzero(n[e] >= FEW)
+            if len(large):
+                more[large] = xlogx(sides[side][c[large]] + k[large, None]) - logs[side][c[large]]
             # without the word itself in its class
-            rest, was, here = sides[side][c], logs[side][c], (np.arange(len(e)), own[of])
-            rest[here] = np.maximum(rest[here] - k, 0)
-            was[here] = xlogx(rest[here])
-            rest += k[:, None]
-            more = rest * np.log(rest) - was
+            here = np.arange(len(e)), own[of]
+            rest = np.maximum(sides[side][c, own[of]] - k, 0)
+            more[here] = xlogx(rest + k) - xlogx(rest)
             first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
             np.add.at(gain, of[first], np.add.reduceat(more, first, axis=0))
         size = np.bincount(row[at], n[at], len(w))
@@ -466,13 +509,30 @@ def decided(w: np.ndarray, own: np.ndarray, row: np.ndarray, code: np.ndarray, n
     return np.where(gain[np.arange(len(w)), best] > mine + PRICE * np.log(n_classes) + 1e-6 * (1 + np.abs(mine)), best, own)
 
 
-def moved(near: DataFrame, m: np.ndarray, classes, half, turn: int, several: bool, pairs: DataFrame | None = None, touched=None) -> DataFrame:
+def moved_alone(rows: DataFrame, m: np.ndarray, classes, turn: int) -> DataFrame:
+    """``rare_rows`` that are not mixed with their new classes: their neighbours' classes are in the task, so no row leaves it."""
+    n_classes = len(m)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w, own = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 1))
+            go = (w & 1) == turn % 2
+            new = own.copy()
+            w, own, row, _, _, code, n = rare_codes(batch.filter(pa.array(go)), classes.value, n_classes)
+            new[go] = decided(w, own, *summed([row, code], n), m)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new), batch.column(2)], schema=batch.schema)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def moved(near: DataFrame, m: np.ndarray, classes, half, turn: int, several: bool, clustered: int, end: int, rare: list[DataFrame] = [], touched=None) -> DataFrame:
     """(w, class) of the words that leave their class; every second word may.
 
     Words move at the same time, so the caller looks at the likelihood after it.
-    ``several``: whether some word has more than one row; those are summed first.  So are
-    the words beyond the known ones, whose pairs are ``pairs`` (see ``with_classes``), and
-    their neighbours, which ``touched`` marks by number.
+    ``several``: whether some word has more than one row; those are summed first.  ``rare``
+    has the mixed rows of words beyond the known ones (see ``with_classes``) and the others;
+    summed first are also the former, and the neighbours of both, which ``touched`` marks by
+    number.  A word goes to its task with a list of counts by code, not with its pairs.
     """
     n_classes = len(m)
 
@@ -495,34 +555,63 @@ def moved(near: DataFrame, m: np.ndarray, classes, half, turn: int, several: boo
             w, row, code, n = going(batch, False)
             yield changed(w, classes_of(w, classes.value), row, code, n)
 
+    def lists(w: np.ndarray, own: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        w, code, own, n = summed([w, code, own], n)
+        first = np.flatnonzero(np.append(True, w[1:] != w[:-1])[: len(w)])
+        ends = pa.array(np.append(first, len(w)).astype(np.int32))
+        counted = (pa.ListArray.from_arrays(ends, pa.array(x)) for x in (code.astype(np.int16), n.astype(np.int64)))
+        return pa.RecordBatch.from_arrays([pa.array(w[first].astype(np.int64)), pa.array(own[first].astype(np.int16)), *counted], ["w", "own", "code", "n"])
+
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             w, row, code, n = going(batch, True)
-            yield pa.RecordBatch.from_arrays([pa.array(w[row]), pa.array(code), pa.array(n), pa.array(classes_of(w, classes.value)[row])], ["w", "code", "n", "own"])
+            yield lists(w[row], classes_of(w, classes.value)[row], code, n)
 
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            w, _, code, n, own = rare_codes(batch, classes.value, n_classes)
-            go = np.where(w < 0, w & 1, half.value[np.maximum(w, 0)]) == turn % 2
-            yield pa.RecordBatch.from_arrays([pa.array(x[go]) for x in (w, code, n, own)], ["w", "code", "n", "own"])
+            alone = batch.schema.names[1] == "class"
+            w, own, row, o, after, code, n = rare_codes(batch, classes.value, n_classes)
+            # the neighbour has this word on its other side
+            e = np.flatnonzero((o >= clustered) & (o != end))
+            e = e[half.value[o[e]] == turn % 2]
+            yield lists(o[e], classes.value[o[e]].astype(np.int64), own[row[e]] + (1 - after[e]) * n_classes, n[e])
+            if not alone:
+                go = (w & 1) == turn % 2
+                yield lists(w[go], own[go], code[go], n[go])
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[pa.RecordBatch] = []
+
+        def out(rows: pa.Table) -> pa.RecordBatch:
+            batch = rows.combine_chunks().to_batches()[0]
+            w, own = (batch.column(j).to_numpy(zero_copy_only=False).astype(np.int64) for j in (0, 1))
+            row = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+            of = np.repeat(np.arange(len(row)), np.diff(row, append=len(w)))
+            code, n = (batch.column(j).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for j in (2, 3))
+            of = np.repeat(of, batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
+            return changed(w[row], own[row], *summed([of, code], n))
+
         for batch in batches:
-            w, own = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 1))
-            row = np.repeat(np.arange(len(w)), batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
-            code, n = (batch.column(2).flatten().field(j).to_numpy(zero_copy_only=False) for j in (0, 1))
-            yield changed(w, own, row, code, n)
+            if not batch.num_rows:
+                continue
+            pending.append(batch)
+            w = batch.column(0).to_numpy(zero_copy_only=False)
+            # the last word may go on in the next batch
+            cut = np.searchsorted(w, w[-1])
+            if cut:
+                yield out(pa.Table.from_batches([*pending[:-1], batch.slice(0, cut)]))
+                pending[:] = [batch.slice(cut)]
+        if pending:
+            yield out(pa.Table.from_batches(pending))
 
-    counted = "w long, code long, n long, own long"
+    counted = "w long, own short, code array<short>, n array<long>"
     out = (near.where("NOT multi") if touched is None else near).mapInArrow(run, "w long, class long")
-    if several or pairs is not None:
+    if several or rare:
         # at most two counts a class for a word
         first = (near.where("multi AND w >= 0") if touched is None else near).mapInArrow(some, counted)
-        if pairs is not None:
-            first = first.unionByName(pairs.mapInArrow(rare, counted))
-        sums = first.groupBy("w", "own", "code").agg(F.sum("n").alias("n"))
-        lists = sums.groupBy("w", "own").agg(F.sort_array(F.collect_list(F.struct("code", "n"))).alias("c"))
-        out = out.unionByName(lists.mapInArrow(listed, "w long, class long"))
+        for of in rare:
+            first = first.unionByName(of.mapInArrow(beside, counted))
+        out = out.unionByName(first.repartition("w").sortWithinPartitions("w").mapInArrow(listed, "w long, class long"))
     return out
 
 
@@ -585,9 +674,12 @@ def score_documents(
     ones (about equal counts all or none), and the others keep the class of their length.
     Words that were never seen have the class of their length.  A word moves where that
     gains more than naming its class costs.  Tasks hold the ``held_words`` most frequent
-    words, and hashes and classes of the next ``table_words``; the pairs of those beyond
-    meet their classes by joins in every round, with the same result.  What a document needs
-    of words that are not held is one row per document and pair with such a word, joined
+    words, and hashes, counts and classes of the next ``table_words`` (without those that occur
+    once, if they are many), with the same result.  Of
+    those beyond, most stand among such words alone: each is a row with its class and
+    neighbours, which moves where it lies.  Only where two stand side by side do their
+    pairs meet their classes by joins in every round.  What a document needs
+    of words beyond those is one row per document and pair with such a word, joined
     with their counts and classes by a 63-bit hash.
 
     Null counts as empty: one token, the end.  Repeated rows each count and give a row,
@@ -627,22 +719,24 @@ def score_documents(
     lowest, taken = 0, 0
     for r in sorted(others.groupBy(size_of.alias("b")).count().collect(), reverse=True):
         taken += r["count"]
-        if taken > most:
+        if taken > most or (known_words is None and r["b"] == 0 and r["count"] > ONCE):
             lowest = r["b"] + 1
             break
-    firsts = others.where(size_of >= lowest).select("w", "class").toArrow()
+    firsts = others.where(size_of >= lowest).select("w", "class", "n").toArrow()
     order = np.argsort(firsts["w"].to_numpy())
     keys = firsts["w"].to_numpy()[order]
     known = spark.sparkContext.broadcast(keys)
     parts = np.append(1 + held_n // ROW_WORDS, 1)
-    rare = rare_of = touched = None
+    # words beyond the known ones: those with such neighbours as pairs, the others a row each with their class
+    alone = rare = pairs_of = touched = None
     if known_words is None and others.where(size_of < lowest).limit(1).count():
         near = scratch.save(neighbours(learned, words_held, known, at, parts, apart=True), "neighbours", compression="zstd")
-        rare_of = scratch.save(rare_pairs(learned, words_held, known, at), "rare-pairs", compression="zstd")
-        rare = others.where(size_of < lowest).select("w", "class")
+        packed = scratch.save(rare_rows(learned, words_held, known, at, others.where(size_of < lowest).select("w", "class")), "rare-rows", compression="zstd")
+        alone, rare = packed.where("NOT mixed").select("w", "class", "c"), packed.where("mixed").select("w", "class")
+        pairs_of = packed.where("mixed").select("w", F.inline("c"))
         # numbers of known words, no more than tasks hold
         beside = np.zeros(len(held) + 1 + len(keys), bool)
-        beside[rare_of.where("w >= 0").select("w").distinct().toArrow()["w"].to_numpy()] = True
+        beside[packed.select(F.explode("c.o").alias("o")).where("o >= 0").distinct().toArrow()["o"].to_numpy()] = True
         touched = spark.sparkContext.broadcast(beside)
     else:
         near = scratch.save(neighbours(learned, words_held, known, at, parts), "neighbours", compression="zstd")
@@ -664,25 +758,31 @@ def score_documents(
     for turn in range(moves + 1):
         sent = spark.sparkContext.broadcast(now)
         matrix = class_matrix(near, sent, symbols.clustered, end, fixed)
+        beyond = []
         if rare is not None:
             if met is not None:
                 scratch.drop(met)
-            met = scratch.save(with_classes(rare_of, rare), "rare-classes", compression="zstd")
-            matrix = matrix + rare_matrix(met, sent, symbols.clustered, end, n_classes)
+            met = scratch.save(with_classes(pairs_of, rare), "rare-classes", compression="zstd")
+            beyond = [met, alone]
+            matrix = matrix + rare_matrix(beyond, sent, n_classes)
         if best is not None and likelihood(matrix) <= best_likelihood:
             break
-        best, best_likelihood = (now, matrix, rare), likelihood(matrix)
+        if best is not None and rare is not None:
+            scratch.drop(*best[2:])
+        best, best_likelihood = (now, matrix, rare, alone), likelihood(matrix)
         if turn < moves:
-            gone = moved(near, matrix, sent, half, turn, several, met, touched)
+            gone = moved(near, matrix, sent, half, turn, several, symbols.clustered, end, beyond, touched)
             if rare is not None:
                 gone = scratch.save(gone, "moved")
                 left = gone.where("w < 0").select("w", F.col("class").alias("_to"))
                 rare = scratch.save(rare.join(left, "w", "left").select("w", F.coalesce("_to", "class").alias("class")), "rare")
+                alone = scratch.save(moved_alone(alone, matrix, sent, turn), "rare-alone", compression="zstd")
             gone = gone.where("w >= 0").toArrow()
             now = now.copy()
             now[gone["w"].to_numpy()] = gone["class"].to_numpy()
-    classes_now, matrix, rare = best
-    held_class = classes_now[: end + 1].astype(np.int64)
+    classes_now, matrix, rare, alone = best
+    # (w, class) of the words beyond the known ones
+    unknown = others.where(size_of < lowest).select("w", "class") if rare is None else rare.unionByName(alone.select("w", "class"))
     scratch.drop(near)
     transition = np.log10((matrix + ALPHA) / (matrix.sum(1, keepdims=True) + ALPHA * n_classes))
 
@@ -690,29 +790,34 @@ def score_documents(
     size = matrix.sum(0)
     kinds = np.bincount(at[: symbols.clustered], minlength=n_classes).astype(float)
     kinds += np.bincount(np.concatenate([classes_now[symbols.clustered : end], classes_now[end + 1 :]]), minlength=n_classes)
-    for r in (others.where(size_of < lowest) if rare is None else rare).groupBy("class").count().collect():
+    for r in unknown.groupBy("class").count().collect():
         kinds[r["class"]] += r["count"]
     below = np.log10(size + kinds + 1)
     below[at[symbols.end]] = 0.0
 
-    model = spark.sparkContext.broadcast((np.log10(held_n + 1.0), held_class, at, transition, below, float(np.log10(ends + 1.0)), ends > 0))
+    # by number: held words, the end, the known others
+    word_logs = np.log10(np.concatenate([held_n, [ends], firsts["n"].to_numpy()[order]]) + 1.0)
+    model = spark.sparkContext.broadcast((word_logs, classes_now, at, transition, below, ends > 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sy = Symbols(*words_held.value)
-        held_log, held_class, at, transition, below, end_log, end_known = model.value
-        end = len(held_log)
-        logs = np.append(held_log, end_log)
+        logs, classes_now, at, transition, below, end_known = model.value
+        sy = Known(*words_held.value, known.value, at)
+        end = len(sy.place)
         for batch in batches:
             for part, key, symbol, text in tokens(batch, sy):
                 n = part.num_rows
-                # words that are not held have the class of their length until the join
-                cls = np.where(key >= 0, held_class[np.maximum(key, 0)], at[symbol])
+                rest = np.flatnonzero(key < 0)
+                found = sy.looked_up(key[rest])
+                key = key.copy()
+                key[rest] = np.where(found >= 0, found, key[rest])
+                # words beyond the known ones have the class of their length until the join
+                cls = np.where(key >= 0, classes_now[np.maximum(key, 0)], at[symbol]).astype(np.int64)
                 first, cls_first = sy.before(key, end), sy.before(cls, int(at[sy.end]))
                 open_pair = (first < 0) | (key < 0)
                 steps = np.where(open_pair, 0.0, transition[cls_first, cls] - below[cls])
-                word = (key >= 0) & (key < end)
-                steps[word] += held_log[key[word]]
-                known = word | ((key == end) & end_known)
+                word = (key >= 0) & (key != end)
+                steps[word] += logs[key[word]]
+                known_word = word | ((key == end) & end_known)
                 i = np.flatnonzero(open_pair)
                 in_text, a, ca, b, cb, times = summed([text[i], first[i], cls_first[i], key[i], cls[i]], np.ones(len(i), np.int64))
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(in_text, minlength=n))]).astype(np.int32)
@@ -721,7 +826,7 @@ def score_documents(
                     [
                         *(part.column(j) for j in range(3)),
                         pa.array(np.bincount(text, minlength=n)),
-                        pa.array(np.bincount(text, known, n).astype(np.int64)),
+                        pa.array(np.bincount(text, known_word, n).astype(np.int64)),
                         pa.array(np.bincount(text, np.where(key >= 0, logs[np.maximum(key, 0)], 0.0), n)),
                         pa.array(np.bincount(text, steps, n)),
                         pa.ListArray.from_arrays(pa.array(offsets), entries),
@@ -733,24 +838,12 @@ def score_documents(
     schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, steps double, rest array<struct<a:long,ca:long,b:long,cb:long,times:long>>"
     scored = scratch.save(coded.mapInArrow(run, schema), "scored")
     scratch.drop(coded)
-    all_classes = spark.sparkContext.broadcast(classes_now)
-
-    def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Known(*words_held.value, known.value, at)
-        for batch in batches:
-            number = words.looked_up(batch.column(0).to_numpy(zero_copy_only=False))
-            first = batch.column(2).to_numpy(zero_copy_only=False)
-            cls = np.where(number >= 0, all_classes.value[np.maximum(number, 0)], first).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cls), pa.array(np.log10(batch.column(1).to_numpy(zero_copy_only=False) + 1.0))], ["w", "class", "log"])
-
-    if rare is not None:
-        left = rare.select("w", F.col("class").alias("_to"))
-        others = others.join(left, "w", "left").withColumn("class", F.coalesce("_to", "class"))
-    unheld = scratch.save(others.select("w", "n", "class").mapInArrow(final, "w long, class long, log double"), "unheld")
+    unheld = others.where(size_of < lowest).select("w", "n").join(unknown, "w").select("w", "class", F.log10(F.col("n") + 1.0).alias("log"))
+    unheld = scratch.save(unheld, "unheld")
     rest = scored.select("row", F.explode("rest").alias("p")).select("row", "p.*")
 
     def sent_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, _, _, transition, below, _, _ = model.value
+        _, _, _, transition, below, _ = model.value
         for batch in batches:
             row, ca, cb, times = (batch.column(j).to_numpy(zero_copy_only=False) for j in range(4))
             log = batch.column(4).fill_null(0.0).to_numpy(zero_copy_only=False)
@@ -759,7 +852,7 @@ def score_documents(
             cols = np.bincount(at_row, seen * times), np.bincount(at_row, times * log), np.bincount(at_row, times * (transition[ca, cb] - below[cb]))
             yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(cols[0].astype(np.int64)), pa.array(cols[1]), pa.array(cols[2])], ["row", "known", "more", "steps_open"])
 
-    # only words that are not held take part in the joins, and none of them is frequent
+    # only words beyond the known ones take part in the joins, and none of them is frequent
     one = rest.where("a < 0").join(unheld.select(F.col("w").alias("a"), F.col("class").alias("_ca")), "a", "left").select("row", F.coalesce("_ca", "ca").alias("ca"), "b", "cb", "times")
     one = one.unionByName(rest.where("a >= 0").select("row", "ca", "b", "cb", "times"))
     two = one.where("b < 0").join(unheld.select(F.col("w").alias("b"), F.col("class").alias("_cb"), "log"), "b", "left").select("row", "ca", F.coalesce("_cb", "cb").alias("cb"), "times", "log")

@@ -610,3 +610,33 @@ def test_words_beyond_the_tables_of_tasks_move_as_well(spark, monkeypatch):
     for held, tabled in ((900, 400), (60, 0)):
         assert scores(held_words=held, table_words=tabled) == whole
     assert scores(held_words=900, known_words=400) != whole
+
+
+def test_only_words_beyond_the_tables_that_stand_side_by_side_are_joined(spark, monkeypatch):
+    """Pairs of a word with words that tasks hold are in none of the joins of the rounds."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for i in range(300):
+        ws = [f"w{int(rng.integers(0, 40)):02}" for _ in range(20)]
+        ws[3:3] = [f"once{i}"]
+        if i % 10 == 0:
+            ws[9:9] = [f"pair{i}", f"of{i}"]
+        texts.append((i, " ".join(ws)))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+
+    def scores():
+        return {r["doc_id"]: round(r["score"], 6) for r in brown.score_documents(df, clustered=10, held_words=20, classes=4).collect()}
+
+    whole = scores()
+    joined, with_classes = [], brown.with_classes
+
+    def seen(pairs, rare):
+        joined.append({tuple(r)[:2] for r in pairs.collect()})
+        return with_classes(pairs, rare)
+
+    monkeypatch.setattr(brown, "with_classes", seen)
+    monkeypatch.setattr(brown, "ONCE", 0)
+    assert scores() == whole
+    pairs = [i for i in range(0, 300, 10) if zlib.crc32(str(i).encode()) % 7 != 2]
+    words = {int(k) for i in pairs for k in brown.rest_keys([f"pair{i}".encode(), f"of{i}".encode()])}
+    assert joined and all({w for w, _ in seen} == words for seen in joined)
