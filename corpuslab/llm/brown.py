@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch
-from .common import fold, groups, id_and_text, words_of
+from .common import fold, id_and_text
 
 #: Most frequent words, which exchange clustering deals out to ``CLASSES`` first.  All others start in the class of their length
 #: and then move, ``MOVES`` times half of them, to the class that fits the words around them.
@@ -26,8 +25,8 @@ ROUNDS = 8
 HELD = 131_072
 #: Pairs or contexts that a task takes together before it hands them on, and tokens that it reads together.
 FLUSH_PAIRS, READ_TOKENS = 1 << 20, 1 << 17
-#: Distinct words that a task counts before it hands them on.
-FLUSH_WORDS = 300_000
+#: Words that a task counts together before it hands them on, and bytes of text that it takes apart together.
+FLUSH_WORDS, READ_BYTES = 1 << 22, 1 << 22
 END = ""
 ALPHA = 0.1
 #: Most frequent words beside the held ones whose hashes, classes and counts a task holds (36 MB); those of all others come by joins.
@@ -37,6 +36,8 @@ KNOWN = 1 << 21
 ONCE = 1 << 18
 #: Occurrences of a word that one row takes up, and rows for the words that keep the class of their length.
 ROW_WORDS, UNKNOWN_PARTS = 1 << 20, 256
+#: Rows in which a task hands on the neighbours that it counted together; each has the words of one remainder.
+BUCKETS = 1 << 12
 #: What a move has to gain, as a share of the cost of naming one class of all.
 PRICE = 1.0
 #: Counts up to which gains are looked up.
@@ -47,25 +48,38 @@ def length_class(sizes: np.ndarray) -> np.ndarray:
     return np.minimum((sizes - 1) // 2, LENGTHS - 1)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about ``READ_BYTES`` bytes together."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // READ_BYTES, append=-1)) + 1
+    for start, stop in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
+        yield batch.slice(start, stop - start)
+
+
+def ended_words(texts: pa.Array) -> pa.ListArray:
+    """Words of each text as ``common.words_of`` has them, then the empty word, its end; null counts as empty."""
+    bare = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    # what is split off behind a blank is the end; a text without words is its end
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(pc.binary_length(bare), 0), "", pc.binary_join_element_wise(bare, "", " ")))
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts; the empty word stands for the ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        pending: list[pa.Array] = []
 
         def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in seen]), pa.array(seen.values(), pa.int64())], ["word", "n"])
-            seen.clear()
-            return made
+            seen = pa.chunked_array(pending).value_counts()
+            pending.clear()
+            return pa.RecordBatch.from_arrays([seen.field("values"), seen.field("counts")], ["word", "n"])
 
         for batch in batches:
-            for _, texts in groups(batch):
-                for text in texts:
-                    seen.update(words_of(text))
-                seen[END.encode()] += len(texts)
-                if len(seen) > FLUSH_WORDS:
+            for part in slices(batch):
+                pending.append(ended_words(part.column("text")).flatten())
+                if sum(map(len, pending)) >= FLUSH_WORDS:
                     yield out()
-        if seen:
+        if pending:
             yield out()
 
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -91,49 +105,69 @@ class Symbols:
     """Class symbols of words: the clustered words, the length classes, the end."""
 
     def __init__(self, held: list[str], clustered: int):
-        self.place = {w.encode(): i for i, w in enumerate(held)}
+        self.place = pa.array(held, pa.string())
         self.clustered = min(clustered, len(held))
         self.size = self.clustered + LENGTHS + 1
         self.end = self.size - 1
         # by place, then that of the end
         self.held_symbols = np.append(np.arange(len(held)), self.end)
-        if len(held) > self.clustered:
-            self.held_symbols[self.clustered : -1] = self.clustered + length_class(np.array([len(w.encode()) for w in held[self.clustered :]], np.int64))
+        self.held_symbols[self.clustered : -1] = self.clustered + length_class(sizes_of(self.place[self.clustered :]))
 
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    def of(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.DictionaryArray]:
         """(place in the held words or -1, symbol, text index, words) of all words, each text followed by its end (place -2)."""
-        flat: list[bytes] = []
-        sizes = np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            ws = words_of(text)
-            ws.append(b"")
-            sizes[i] = len(ws)
-            flat += ws
-        place = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
-        length = np.fromiter(map(len, flat), np.int64, len(flat))
+        lists = ended_words(pa.array(texts, pa.string()))
+        flat = lists.flatten().dictionary_encode()
+        place, symbol = self.of_words(flat.dictionary)
+        at = flat.indices.to_numpy()
+        return place[at], symbol[at], np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()), flat
+
+    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(place, symbol) of words as ``of`` has them."""
+        place = pc.fill_null(pc.index_in(words, value_set=self.place), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        length = sizes_of(words)
         symbol = np.where((place >= 0) & (place < self.clustered), place, self.clustered + length_class(length))
         ends = length == 0
         symbol[ends], place[ends] = self.end, -2
-        return place, symbol, np.repeat(np.arange(len(texts)), sizes), flat
+        return place, symbol
 
     @staticmethod
     def before(symbol: np.ndarray, end: int) -> np.ndarray:
         """Symbol before each; texts begin after an end."""
         return np.concatenate([[end], symbol[:-1]])
 
-    def keys(self, place: np.ndarray, flat: list[bytes]) -> np.ndarray:
+    def keys(self, place: np.ndarray, flat: pa.DictionaryArray) -> np.ndarray:
         """Place of held words, their number for the end, a negative hash of 63 bits for all others."""
         out = place.copy()
         out[place == -2] = len(self.place)
-        rest = np.flatnonzero(place == -1)
-        out[rest] = rest_keys([flat[i] for i in rest.tolist()])
+        loose = place == -1
+        out[loose] = loose_keys(flat, loose)
         return out
 
 
+def sizes_of(words: pa.Array) -> np.ndarray:
+    """Bytes of each word."""
+    return pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def rest_keys(words: list[bytes]) -> np.ndarray:
     return (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) | np.uint64(1 << 63)).view(np.int64)
 
 
+def loose_keys(flat: pa.DictionaryArray, loose: np.ndarray) -> np.ndarray:
+    """``rest_keys`` of the words of ``flat`` that ``loose`` marks; every distinct word is hashed once."""
+    at = flat.indices.to_numpy()[loose]
+    used = np.zeros(len(flat.dictionary), bool)
+    used[at] = True
+    keys = np.zeros(len(used), np.int64)
+    words = flat.dictionary.filter(pa.array(used))
+    if len(words):
+        # cut out of the buffer at once: a list made by Arrow has a scalar a word
+        ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].tolist()
+        data = words.buffers()[2].to_pybytes()
+        keys[used] = rest_keys([data[i:j] for i, j in zip(ends, ends[1:])])
+    return keys[at]
+
+
 def blobs(starts: np.ndarray, values: np.ndarray) -> pa.Array:
     """A binary column of the values from each of ``starts``, which end with their number: columns of arrays would pass the JVM value by value."""
     values = np.ascontiguousarray(values)
@@ -159,13 +193,12 @@ def encoded(docs: DataFrame, held) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = Symbols(*held.value)
         for batch in batches:
-            for part, texts in groups(batch):
-                place, symbol, text, flat = symbols.of(texts)
+            for part in slices(batch):
+                place, symbol, text, flat = symbols.of(part.column("text"))
                 place[place == -2] = len(symbols.place)
                 loose = place == -1
-                ends = [np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(texts)))]) for of in (text, text[loose])]
-                rest = rest_keys([flat[i] for i in np.flatnonzero(loose).tolist()])
-                cols = blobs(ends[0], place.astype(np.int32)), blobs(ends[1], rest), blobs(ends[1], (symbol[loose] - symbols.clustered).astype(np.int8))
+                ends = [np.concatenate([[0], np.cumsum(np.bincount(of, minlength=part.num_rows))]) for of in (text, text[loose])]
+                cols = blobs(ends[0], place.astype(np.int32)), blobs(ends[1], loose_keys(flat, loose)), blobs(ends[1], (symbol[loose] - symbols.clustered).astype(np.int8))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *cols], [*keep, "key", "rest", "size"])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in keep)
@@ -209,9 +242,21 @@ def bigram_counts(docs: DataFrame, held) -> DataFrame:
     return of_tokens(docs, held).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
+def joint(keys: list[np.ndarray]) -> np.ndarray | None:
+    """One number per row in the order of its keys, None if 63 bits are too few; one number is sorted faster than several."""
+    out, size = np.zeros(len(keys[0]), np.int64), 1
+    for k in keys if len(keys[0]) else ():
+        low, span = int(k.min()), int(k.max()) - int(k.min()) + 1
+        size *= span
+        if size >= 1 << 63:
+            return None
+        out = out * span + (k - low)
+    return out
+
+
 def summed(keys: list[np.ndarray], n: np.ndarray) -> list[np.ndarray]:
     """The distinct rows of ``keys`` and the sums of ``n``."""
-    order = np.lexsort(keys[::-1])
+    order = np.lexsort(keys[::-1]) if (one := joint(keys)) is None else np.argsort(one)
     keys, n = [k[order] for k in keys], n[order]
     new = np.ones(len(n), bool)
     new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
@@ -227,7 +272,7 @@ class Known(Symbols):
         super().__init__(held, clustered)
         self.known, self.at = known, at
 
-    def numbers(self, place: np.ndarray, symbol: np.ndarray, flat: list[bytes]) -> np.ndarray:
+    def numbers(self, place: np.ndarray, symbol: np.ndarray, flat: pa.DictionaryArray) -> np.ndarray:
         return self.numbered(self.keys(place, flat), symbol)
 
     def numbered(self, key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -253,21 +298,26 @@ class Known(Symbols):
 def neighbours(docs: DataFrame, held, known, at: np.ndarray, parts: np.ndarray, apart: bool = False) -> DataFrame:
     """(w, multi, o, n): per word that is not clustered its neighbours, twice their number and one more if they come after it.
 
-    Made once: words are counted in the tasks, which hand on one row a word, and packed
-    into one row a word.  ``parts``: into how many rows each held word is dealt
+    Made once: words are counted in the tasks, which hand on one row per bucket of words, and
+    packed into one row a word.  ``parts``: into how many rows each held word is dealt
     (``multi``), so that a frequent word's neighbours are spread over tasks; so are those
     of the unknown words.  ``apart``: pairs with an unknown word are left to ``rare_rows``.
     """
     sent = docs.sparkSession.sparkContext.broadcast((at, parts))
 
+    def sizes(n_known: int) -> tuple[int, int, int, int]:
+        """(lowest, words, rows of a bucket, span): unknown words are above ``-1 - lowest``, ``words`` is odd so that the parts of a word are in different buckets."""
+        at, parts = sent.value
+        lowest = int(at.max(initial=0)) + 1
+        words = (len(parts) + n_known + lowest) | 1
+        most = max(UNKNOWN_PARTS, int(parts.max(initial=1)))
+        return lowest, words, -(-words * most // BUCKETS), 2 * words
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, parts = sent.value
         words = Known(*held.value, known.value, at)
         end = len(words.place)
-        # unknown words are above -1 - lowest; a word, its part and its neighbour make one number
-        lowest = int(at.max(initial=0)) + 1
-        span = 2 * (end + 1 + len(words.known) + lowest)
-        most = max(UNKNOWN_PARTS, int(parts.max(initial=1)))
+        lowest, n_words, rows, span = sizes(len(words.known))
         pending: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
@@ -277,23 +327,23 @@ def neighbours(docs: DataFrame, held, known, at: np.ndarray, parts: np.ndarray,
             a = np.concatenate([[end], b[:-1]])
             loose = [words.loose(x) & ~(((a < 0) | (b < 0)) & apart) for x in (a, b)]
             w, o = np.concatenate([b[loose[1]], a[loose[0]]]), np.concatenate([a[loose[1]] * 2, b[loose[0]] * 2 + 1])
-            many = np.where(w < 0, UNKNOWN_PARTS, parts[np.clip(w, 0, end)] if len(parts) else 1)
+            many = np.where(w < 0, UNKNOWN_PARTS, parts[np.clip(w, 0, end)])
             many[w > end] = 1
-            part = np.zeros(len(w), np.int64)
+            row = w + lowest
             dealt = np.flatnonzero(many > 1)
-            part[dealt] = (o[dealt] * 0x9E3779B1 >> 7) % many[dealt]
-            pair = np.sort(((w + lowest) * most + part) * span + o + 2 * lowest)
+            row[dealt] += (o[dealt] * 0x9E3779B1 >> 7) % many[dealt] * n_words
+            # a word and its part are a row, rows are in the order of their buckets; a row and a neighbour make one number
+            pair = np.sort((row % BUCKETS * rows + row // BUCKETS) * span + o + 2 * lowest)
             first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
             n = np.diff(first, append=len(pair))
             row, o = np.divmod(pair[first], span)
             starts = np.flatnonzero(np.append(True, row[1:] != row[:-1])[: len(row)])
-            w, part = np.divmod(row[starts], most)
-            w -= lowest
-            many = np.where(w < 0, UNKNOWN_PARTS, parts[np.clip(w, 0, end)] if len(parts) else 1)
-            # a word and its part are one number, also whether there are several
-            k = ((w + lowest) * most + part) * 2 + ((many > 1) & (w <= end))
-            pairs = blobs(np.append(starts, len(o)) * 2, np.column_stack([o - 2 * lowest, n]).astype(np.int32))
-            return pa.RecordBatch.from_arrays([pa.array(k), pairs], ["k", "pairs"])
+            row, inside = row[starts], np.diff(starts, append=len(o))
+            bucket = row // rows
+            new = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+            ends = np.append(new, len(row))
+            pairs = blobs(np.append(starts, len(o))[ends] * 2, np.column_stack([o, n]).astype(np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(bucket[new].astype(np.int32)), blobs(ends, row), blobs(ends, inside.astype(np.int32)), pairs], ["bucket", "row", "inside", "pairs"])
 
         for batch in batches:
             for _, key, symbol, _ in tokens(batch, words):
@@ -303,41 +353,43 @@ def neighbours(docs: DataFrame, held, known, at: np.ndarray, parts: np.ndarray,
         if pending:
             yield out()
 
-    rows = of_tokens(docs, held).mapInArrow(run, "k long, pairs binary").repartition("k").sortWithinPartitions("k")
+    rows = of_tokens(docs, held).mapInArrow(run, "bucket int, row binary, inside binary, pairs binary").repartition("bucket").sortWithinPartitions("bucket")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, parts = sent.value
-        lowest, most = int(at.max(initial=0)) + 1, max(UNKNOWN_PARTS, int(parts.max(initial=1)))
-        held: list[list[np.ndarray]] = []
+        parts, end = sent.value[1], len(sent.value[1]) - 1
+        lowest, n_words, rows, _ = sizes(len(known.value))
+        pending: list[tuple[np.ndarray, ...]] = []
 
         def out(last: bool) -> Iterator[pa.RecordBatch]:
-            k, sizes, pairs = (np.concatenate(x) for x in zip(*held))
-            cut = len(k) if last else int(np.searchsorted(k, k[-1]))
-            inside = int(sizes[:cut].sum())
-            held[:] = [] if last else [[k[cut:], sizes[cut:], pairs[inside:]]]
+            row, inside, pairs = (np.concatenate(x) for x in zip(*pending))
+            # the last bucket may go on
+            cut = len(row) if last else int(np.searchsorted(row // rows, row[-1] // rows))
+            taken = int(inside[:cut].sum())
+            pending[:] = [] if last else [(row[cut:], inside[cut:], pairs[taken:])]
             if not cut:
                 return
-            row = np.flatnonzero(np.append(True, k[1:cut] != k[: cut - 1]))
-            of = np.repeat(np.arange(len(row)), np.add.reduceat(sizes[:cut], row))
-            of, o, n = summed([of, pairs[:inside, 0]], pairs[:inside, 1].astype(np.int64))
-            ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(row)))])
-            w = (k[row] >> 1) // most - lowest
-            yield pa.RecordBatch.from_arrays([pa.array(w, pa.int32()), pa.array(k[row] & 1 == 1), blobs(ends, o.astype(np.int32)), blobs(ends, n)], ["w", "multi", "o", "n"])
+            of, o, n = summed([np.repeat(row[:cut], inside[:cut]), pairs[:taken, 0]], pairs[:taken, 1].astype(np.int64))
+            starts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            ends = np.append(starts, len(of))
+            bucket, place = np.divmod(of[starts], rows)
+            w = (place * BUCKETS + bucket) % n_words - lowest
+            multi = (w < 0) | ((w <= end) & (parts[np.clip(w, 0, end)] > 1))
+            yield pa.RecordBatch.from_arrays([pa.array(w, pa.int32()), pa.array(multi), blobs(ends, (o - 2 * lowest).astype(np.int32)), blobs(ends, n)], ["w", "multi", "o", "n"])
 
         for batch in batches:
-            if batch.num_rows:
-                pairs, sizes = unpacked(batch.column(1), np.int32)
-                held.append([batch.column(0).to_numpy(zero_copy_only=False), sizes // 2, pairs.reshape(-1, 2)])
-            if sum(len(x[2]) for x in held) >= FLUSH_PAIRS and held[0][0][0] != held[-1][0][-1]:
-                yield from out(False)
-        if held:
+            # a slice has few buckets' rows, so that little is held beside a bucket that goes on
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                pending.append((unpacked(part.column(1), np.int64)[0], unpacked(part.column(2), np.int32)[0], unpacked(part.column(3), np.int32)[0].reshape(-1, 2)))
+                if sum(len(x[2]) for x in pending) >= FLUSH_PAIRS and pending[0][0][0] // rows != pending[-1][0][-1] // rows:
+                    yield from out(False)
+        if pending:
             yield from out(True)
 
     return rows.mapInArrow(pack, "w int, multi boolean, o binary, n binary")
 
 
 def rare_rows(docs: DataFrame, held, known, at: np.ndarray, rare: DataFrame) -> DataFrame:
-    """(w, class, mixed, c): one row per word beyond the known ones, by its hash, with its neighbours as (o, after, n).
+    """(w, class, mixed, o, n): one row per word beyond the known ones, by its hash, with its neighbours and twice their number, one more if they come after it.
 
     What ``neighbours`` leaves out.  Neighbours are numbers or, beyond the known words, hashes;
     ``mixed``: whether there is such a hash among them.  ``rare`` is (w, class).  No key is
@@ -361,7 +413,39 @@ def rare_rows(docs: DataFrame, held, known, at: np.ndarray, rare: DataFrame) ->
     rows = of_tokens(docs, held).mapInArrow(run, "w long, o long, after boolean, n long").repartition("w")
     rows = rows.groupBy("w", "o", "after").agg(F.sum("n").alias("n"))
     rows = rows.groupBy("w").agg(F.collect_list(F.struct("o", "after", "n")).alias("c"), (F.min("o") < 0).alias("mixed"))
-    return rows.join(rare, "w").select("w", "class", "mixed", "c")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = batch.column(3)
+            ends = np.concatenate([[0], np.cumsum(c.value_lengths().to_numpy(zero_copy_only=False))])
+            o, after, n = (c.flatten().field(j).to_numpy(zero_copy_only=False) for j in range(3))
+            yield pa.RecordBatch.from_arrays([*(batch.column(j) for j in range(3)), blobs(ends, o), blobs(ends, n * 2 + after)], ["w", "class", "mixed", "o", "n"])
+
+    return rows.join(rare, "w").select("w", "class", "mixed", "c").mapInArrow(pack, "w long, class long, mixed boolean, o binary, n binary")
+
+
+def rare_pairs(rows: DataFrame) -> DataFrame:
+    """(w, o, after, n) of ``rare_rows``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            o, sizes = unpacked(batch.column(1), np.int64)
+            n = unpacked(batch.column(2), np.int64)[0]
+            w = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(o), pa.array(n & 1 == 1), pa.array(n >> 1)], ["w", "o", "after", "n"])
+
+    return rows.select("w", "o", "n").mapInArrow(run, "w long, o long, after boolean, n long")
+
+
+def numbers_beside(rows: DataFrame) -> DataFrame:
+    """(o): the distinct numbers among the neighbours of ``rare_rows``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            o = np.unique(unpacked(batch.column(0), np.int64)[0])
+            yield pa.RecordBatch.from_arrays([pa.array(o[o >= 0])], ["o"])
+
+    return rows.select("o").mapInArrow(run, "o long").distinct()
 
 
 def with_classes(pairs: DataFrame, rare: DataFrame) -> DataFrame:
@@ -375,8 +459,9 @@ def rare_codes(batch: pa.RecordBatch, classes: np.ndarray, n_classes: int) -> tu
     """(w, own class, row, o, after, code, n) of a batch of ``with_classes`` or of ``rare_rows`` that are not mixed, the code as ``opened`` has it."""
     if batch.schema.names[1] == "class":
         w, own = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 1))
-        row = np.repeat(np.arange(len(w)), batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
-        o, after, n = (batch.column(2).flatten().field(j).to_numpy(zero_copy_only=False) for j in range(3))
+        o, sizes = unpacked(batch.column(2), np.int64)
+        n = unpacked(batch.column(3), np.int64)[0]
+        row, after, n = np.repeat(np.arange(len(w)), sizes), n & 1, n >> 1
         other = classes[o]
     else:
         w, o, after, n, own = (batch.column(j).to_numpy(zero_copy_only=False) for j in range(5))
@@ -404,10 +489,9 @@ def rest_and_held(counts: DataFrame, held, at: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = Symbols(*held.value)
         for batch in batches:
-            flat = [w.encode("utf-8", "surrogatepass") for w in batch.column(0).to_pylist()]
-            place = np.fromiter(map(symbols.place.get, flat, repeat(-1)), np.int64, len(flat))
-            length = np.fromiter(map(len, flat), np.int64, len(flat))
-            cols = symbols.keys(place, flat), batch.column(1), at[symbols.clustered + length_class(length)]
+            flat = batch.column(0).dictionary_encode()
+            place, symbol = (x[flat.indices.to_numpy()] for x in symbols.of_words(flat.dictionary))
+            cols = symbols.keys(place, flat), batch.column(1), at[symbols.clustered + length_class(sizes_of(batch.column(0)))]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["w", "n", "class"]).filter(pa.array((place < 0) | (place >= symbols.clustered)))
 
     return counts.where(F.col("word") != END).select("word", "n").mapInArrow(run, "w long, n long, class long")
@@ -520,7 +604,7 @@ def moved_alone(rows: DataFrame, m: np.ndarray, classes, turn: int) -> DataFrame
             new = own.copy()
             w, own, row, _, _, code, n = rare_codes(batch.filter(pa.array(go)), classes.value, n_classes)
             new[go] = decided(w, own, *summed([row, code], n), m)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new), batch.column(2)], schema=batch.schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new), batch.column(2), batch.column(3)], schema=batch.schema)
 
     return rows.mapInArrow(run, rows.schema)
 
@@ -732,11 +816,11 @@ def score_documents(
     if known_words is None and others.where(size_of < lowest).limit(1).count():
         near = scratch.save(neighbours(learned, words_held, known, at, parts, apart=True), "neighbours", compression="zstd")
         packed = scratch.save(rare_rows(learned, words_held, known, at, others.where(size_of < lowest).select("w", "class")), "rare-rows", compression="zstd")
-        alone, rare = packed.where("NOT mixed").select("w", "class", "c"), packed.where("mixed").select("w", "class")
-        pairs_of = packed.where("mixed").select("w", F.inline("c"))
+        alone, rare = packed.where("NOT mixed").select("w", "class", "o", "n"), packed.where("mixed").select("w", "class")
+        pairs_of = rare_pairs(packed.where("mixed"))
         # numbers of known words, no more than tasks hold
         beside = np.zeros(len(held) + 1 + len(keys), bool)
-        beside[packed.select(F.explode("c.o").alias("o")).where("o >= 0").distinct().toArrow()["o"].to_numpy()] = True
+        beside[numbers_beside(packed).toArrow()["o"].to_numpy()] = True
         touched = spark.sparkContext.broadcast(beside)
     else:
         near = scratch.save(neighbours(learned, words_held, known, at, parts), "neighbours", compression="zstd")

@@ -7,12 +7,13 @@ from math import log10
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from corpuslab.llm import bigru, bpe, brown, chat, cuckoo, licenses, near, queries, rules, tokens, winnow
+from corpuslab.llm import bigru, bpe, brown, chat, common, cuckoo, licenses, near, queries, rules, tokens, winnow
 from corpuslab.session import Scratch
 
 SF = "/root/testdata/sf0.001"
@@ -640,3 +641,26 @@ def test_only_words_beyond_the_tables_that_stand_side_by_side_are_joined(spark,
     pairs = [i for i in range(0, 300, 10) if zlib.crc32(str(i).encode()) % 7 != 2]
     words = {int(k) for i in pairs for k in brown.rest_keys([f"pair{i}".encode(), f"of{i}".encode()])}
     assert joined and all({w for w, _ in seen} == words for seen in joined)
+
+
+def test_words_and_their_ends_are_taken_apart_by_arrow():
+    texts = ["", " ", "a b", "  A\x0b\x0cb\x1cc\x85d \r\n\tÉ ÀB x ", "\x00", "\x1f a", None, "a a"]
+    want = [[*common.words_of(t or ""), b""] for t in texts]
+    assert brown.ended_words(pa.array(texts, pa.string())).cast(pa.list_(pa.binary())).to_pylist() == want
+    symbols = brown.Symbols(["a", "b"], 1)
+    place, _, text, flat = symbols.of(texts)
+    words = [w for ws in want for w in ws]
+    assert place.tolist() == [{b"a": 0, b"b": 1, b"": -2}.get(w, -1) for w in words]
+    assert text.tolist() == [i for i, ws in enumerate(want) for _ in ws]
+    assert brown.loose_keys(flat, place == -1).tolist() == brown.rest_keys([w for w in words if w not in (b"a", b"b", b"")]).tolist()
+
+
+def test_sums_by_one_number_are_those_by_several_keys():
+    rng = np.random.default_rng(3)
+    n = rng.integers(1, 9, 500)
+    for keys in ([rng.integers(-5, 5, 500), rng.integers(0, 4, 500)], [rng.integers(-(1 << 63), (1 << 63) - 1, 20)[rng.integers(0, 20, 500)], rng.integers(0, 4, 500)]):
+        want = Counter()
+        for *k, m in zip(*keys, n):
+            want[tuple(map(int, k))] += int(m)
+        a, b, sums = brown.summed(keys, n)
+        assert list(zip(a.tolist(), b.tolist(), sums.tolist())) == [(*k, want[k]) for k in sorted(want)]
