@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_markdown, word_count
+from ..functions.text import collapsed_word_count, normalize_markdown, word_count
 from .matching import left_join_known, match_by_id_then_stem
 
 
@@ -18,7 +18,7 @@ def summary_stats(summaries: DataFrame, text: str) -> DataFrame:
     rows = summaries.withColumn("normalized", F.nullif(clean, F.lit("")))
     return rows.withColumns(
         {
-            "summary_words": F.when(F.col("normalized").isNotNull(), word_count("normalized")),
+            "summary_words": collapsed_word_count("normalized"),
             "summary_chars": F.length("normalized").cast("long"),
         }
     )
