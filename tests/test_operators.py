@@ -266,3 +266,39 @@ def test_long_pages_are_cut_in_linear_time(spark):
 
     seconds(1000)
     assert seconds(40000) < 6 * seconds(10000) + 2
+
+
+def test_each_step_over_a_page_is_worked_out_once(spark):
+    df = spark.createDataFrame([(1, "<body>x</body>")], "i int, html string")
+    plan = pages.extract_pages(df).select("text")._jdf.queryExecution().optimizedPlan().toString()
+    # comments and scripts go from the body, from the article and from what is left of it without containers
+    assert {p: plan.count(p) for p in ("<body(?=", "</body", "(?=<[A-Za-z/])")} == {"<body(?=": 1, "</body": 1, "(?=<[A-Za-z/])": 1}
+    assert all(plan.count(p) == 2 for p in ("<article(?=", "</article", pages.BLOCK_TAGS, pages.ANY_TAG)) and all(plan.count(p) == 3 for p in pages.DROPPED)
+
+
+@pytest.mark.parametrize(
+    ("html", "family", "lines"),
+    [
+        # characters beyond the basic plane count as one
+        ("<p>\U0001f600\U0001f600</p><BODY><p>a \U0001f600 b</p></BODY >c", "generic", ["a \U0001f600 b"]),
+        (
+            "\U0001f600<article>no</article><article class='newsletter-post'>\U0001f600<div class='post-ufi'>\U0001f600<br>x</div>y</article>z<!-- substackcdn.com -->",
+            "substack", ["\U0001f600 y"],
+        ),
+        # every kind of reference, known or not, and white space that they give
+        ("&lt&ampx;&notin;&notit;&unknown;&AMP;&;& &#65;&#x42&#xD800;&#0;&#128;&#9999999;&#x1F600;", "generic", ["<&x;∉¬it;&unknown;&&;& AB\ufffd\ufffd€\ufffd\U0001f600"]),
+        (" \t&NewLine;a&nbsp; \x1f&#x2003;b \u2028 \x85 \n&emsp;<p>c\r\nd\u3000", "generic", ["a b", "c", "d"]),
+        # a comment that hides a script, and one that a script holds; both go on to their end
+        ("a<!-- <script> -->b<script>x<!-- </script>-->c</script >d<style>e", "generic", ["a b d"]),
+        # containers beside and in one another, flat ones, and one that does not end
+        (
+            "<article class=newsletter-post><!-- x --><p>a</p><div role=dialog><i role=dialog>b</i>c</div><img class='post-footer'>d<hr>"
+            "<section class='button-wrapper'>e</section><p>f</p><div class='post-ufi'><p>g</p>h</article><!-- substackcdn.com -->",
+            "substack", ["a", "d", "f"],
+        ),
+        (None, "generic", None), ("", "generic", []),
+    ],
+)
+def test_lines_of_odd_pages(spark, html, family, lines):
+    row = pages.extract_pages(spark.createDataFrame([(html,)], "html string")).first()
+    assert (row["family"], row["lines"]) == (family, lines)
