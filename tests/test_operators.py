@@ -273,7 +273,7 @@ def test_each_step_over_a_page_is_worked_out_once(spark):
     plan = pages.extract_pages(df).select("text")._jdf.queryExecution().optimizedPlan().toString()
     # comments and scripts go from the body, from the article and from what is left of it without containers
     assert {p: plan.count(p) for p in ("<body(?=", "</body", "(?=<[A-Za-z/])")} == {"<body(?=": 1, "</body": 1, "(?=<[A-Za-z/])": 1}
-    assert all(plan.count(p) == 2 for p in ("<article(?=", "</article", pages.BLOCK_TAGS, pages.ANY_TAG)) and all(plan.count(p) == 3 for p in pages.DROPPED)
+    assert all(plan.count(p) == 2 for p in ("<article(?=", "</article", pages.LINE_BREAK, pages.ANY_TAG)) and all(plan.count(p) == 3 for p in pages.DROPPED)
 
 
 @pytest.mark.parametrize(
